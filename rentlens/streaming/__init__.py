@@ -1,0 +1 @@
+"""All inputs are files read once, so there is no streaming operator to offer."""
