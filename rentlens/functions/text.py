@@ -11,23 +11,27 @@ from pyspark.sql import functions as F
 
 def parse_money(col: Column) -> Column:
     """``"$1,234"`` -> 1234.0; text that is no number becomes null."""
-    return F.regexp_replace(col, "[$,]", "").try_cast("double")
+    return F.translate(col, "$,", "").try_cast("double")
 
 
 def parse_fee(col: Column, min_fee: float = 10000.0) -> Column:
-    """Money text with an optional ``.00`` tail; fees not above ``min_fee`` become null."""
-    value = F.regexp_replace(F.regexp_replace(col, "[$,]", ""), r"\.00$", "").try_cast("double")
+    """Money text, with or without a ``.00`` tail; fees not above ``min_fee`` become null."""
+    value = parse_money(col)
     return F.when(value > min_fee, value)
 
 
 def as_code(col: Column) -> Column:
-    """Text form of an id, without the ``.0`` a numeric column leaves behind."""
+    return col.cast("string")
+
+
+def strip_decimal(col: Column) -> Column:
+    """Text form of a code read as a number: ``1101.0`` -> ``1101``."""
     return F.regexp_replace(col.cast("string"), r"\.0$", "")
 
 
 def pad_left(col: Column, width: int) -> Column:
-    """Left zero-pad. ``lpad`` alone would cut longer codes."""
-    return F.when(F.length(col) < width, F.lpad(col, width, "0")).otherwise(col)
+    """Left zero-pad. A fixed ``lpad`` would cut longer codes."""
+    return F.lpad(col, F.greatest(F.length(col), F.lit(width)), F.lit("0"))
 
 
 def common_prefix_length(a: Column, b: Column, longest: int = 5) -> Column:

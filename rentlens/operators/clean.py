@@ -22,17 +22,21 @@ def only_homes(df: DataFrame, kind: str = "TIPO_INMUEBLE") -> DataFrame:
 
 
 def pad_codes(df: DataFrame) -> DataFrame:
-    """Sector code to 6 and lot id to 10 digits; a blank lot id is a missing one."""
-    lot = F.when(F.trim("BARMANPRE") != "", as_code(F.col("BARMANPRE")))
+    """Sector code to 6 and lot id to 10 digits."""
     return df.withColumns({"CODIGO_BARRIO": pad_left(as_code(F.col("CODIGO_BARRIO")), 6),
-                           "BARMANPRE": pad_left(lot, 10)})
+                           "BARMANPRE": pad_left(as_code(F.col("BARMANPRE")), 10)})
 
 
 def exclusions(df: DataFrame) -> DataFrame:
-    """Urban listings with a built area, a lot id and a stratum. Codes must be padded."""
-    return df.filter(F.col("CODIGO_BARRIO").startswith("0")
+    """Urban listings with a built area, a lot id and a stratum.
+
+    A padded urban code starts with 0, so a raw one is short or starts with 0. Tests on the raw columns reach
+    the scan, where tests on padded ones would not: exclude first, then pad.
+    """
+    code = as_code(F.col("CODIGO_BARRIO"))
+    return df.filter(((F.length(code) < 6) | code.startswith("0"))
                      & (F.col("AREA_CONSTRUIDA") > 0)
-                     & F.col("BARMANPRE").isNotNull()
+                     & (F.trim(as_code(F.col("BARMANPRE"))) != "")
                      & (F.col("ESTRATO") > 0))
 
 
@@ -127,7 +131,7 @@ def clean_listings(listings: DataFrame, fee_census: DataFrame, min_fee: float =
 
     The published method leaves rents gross; ``net_of_fee`` subtracts the indexed fee from them.
     """
-    kept = exclusions(parsed_listings(listings, min_fee))
+    kept = parsed_listings(exclusions(listings), min_fee)
     priced = with_census_fees(kept, fee_census).withColumn(
         "VALOR_ADMON", fee_by_priority("TIPO_INMUEBLE", F.col("VALOR_ADMINISTRACION")))
     priced = priced.withColumn(

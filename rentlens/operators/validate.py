@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.functions.quantiles import exact_medians, exact_quantiles
-from rentlens.functions.text import as_code, band, pad_left
+from rentlens.functions.text import as_code, band, pad_left, strip_decimal
 from rentlens.operators.clean import (DEFLATORS, HOMES, clean_listings, fee_by_priority, indexed, value_per_m2,
                                       with_census_fees)
 from rentlens.operators.control import quality_control
@@ -27,7 +27,7 @@ def join_rates(two_price: DataFrame, rates_sector: DataFrame, rates_locality: Da
     base = two_price.withColumn("CODIGO_BARRIO", pad_left(as_code(F.col("CODIGO_BARRIO")), 6))
     keys = {"ANO": "VIGENCIA", "ESTRATO": "CODIGO_ESTRATO_SIIC"}
     sector = (rates_sector.drop("CODIGO_LOCALIDAD").withColumnsRenamed({**keys, "TASA_RENTA": "TASA_SECTOR"})
-              .withColumn("CODIGO_BARRIO", pad_left(as_code(F.col("CODIGO_BARRIO")), 6)))
+              .withColumn("CODIGO_BARRIO", pad_left(strip_decimal(F.col("CODIGO_BARRIO")), 6)))
     locality = rates_locality.withColumnsRenamed({**keys, "TASA_RENTA": "TASA_LOCALIDAD"})
     return (base.join(sector, ["OFT_TIPO_INMUEBLE", "VIGENCIA", "CODIGO_BARRIO", "CODIGO_ESTRATO_SIIC"], "left")
             .join(locality, ["OFT_TIPO_INMUEBLE", "VIGENCIA", "CODIGO_LOCALIDAD", "CODIGO_ESTRATO_SIIC"], "left"))

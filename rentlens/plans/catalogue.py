@@ -38,7 +38,7 @@ class Inputs(Tables):
     @property
     def urban(self) -> DataFrame:
         """Listings after the exclusions, with numbers parsed."""
-        return clean.exclusions(clean.parsed_listings(clean.only_homes(self.listings)))
+        return clean.parsed_listings(clean.exclusions(clean.only_homes(self.listings)))
 
     @property
     def cohorts(self) -> DataFrame:
@@ -133,7 +133,7 @@ def clean_pad_codes(t: Inputs) -> DataFrame:
 
 @query
 def clean_exclusions(t: Inputs) -> DataFrame:
-    return clean.exclusions(clean.pad_codes(t.listings)).select(
+    return clean.pad_codes(clean.exclusions(t.listings)).select(
         "IDENTIFICADOR", "CODIGO_BARRIO", "BARMANPRE", "AREA_CONSTRUIDA", "ESTRATO")
 
 
@@ -227,9 +227,8 @@ def fmt_counts(t: Inputs) -> DataFrame:
 
 @query
 def val_lot_id(t: Inputs) -> DataFrame:
-    padded = validate.with_lot_id(t.two_price)
-    plain = validate.with_lot_id(padded.withColumnRenamed("BARMANPRE", "BARMANPRE_2"), 0)
-    return plain.select("OFT_CODIGO", "BARMANPRE", "BARMANPRE_2")
+    plain = validate.with_lot_id(t.two_price, 0).withColumnRenamed("BARMANPRE", "BARMANPRE_2")
+    return validate.with_lot_id(plain).select("OFT_CODIGO", "BARMANPRE", "BARMANPRE_2")
 
 
 @query
@@ -413,7 +412,8 @@ def t2_statistic_p3(t: Inputs) -> DataFrame:
 
 @query
 def t2_limit_p2(t: Inputs) -> DataFrame:
-    limits = control.chart_parameters(control.moments(t.urban, [*SEGMENT, "CODIGO_LOCALIDAD"], PAIR), 2)
+    stats = control.moments(t.urban, [*SEGMENT, "CODIGO_LOCALIDAD"], PAIR)
+    limits = control.chart_parameters(stats, 2, singular_tol=0.0).filter("p = 2")
     return limits.select(*SEGMENT, "CODIGO_LOCALIDAD", "n", "p", _rounded("ucl", 6))
 
 

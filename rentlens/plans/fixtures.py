@@ -124,9 +124,17 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def base(self, table: str) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if table == "lineitem" and df.rdd.getNumPartitions() < cores:
+            # a small file has few row groups; spread its rows over the cores
+            df = df.repartition(cores)
+        return df
+
     def view(self, name: str) -> DataFrame:
         for table in BASE_TABLES:
-            self.spark.read.parquet(f"{self.folder}/{table}.parquet").createOrReplaceTempView(table)
+            self.base(table).createOrReplaceTempView(table)
         return self.spark.sql(with_views([name], f"SELECT * FROM {name}"))
 
     offers = cached_property(lambda self: self.view("offers"))
