@@ -30,8 +30,7 @@ def _join(a: DataFrame, b: DataFrame, keys: list[str], how: str, extra=None) ->
 def exact_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[float],
                     group_limit: int = 2_000_000) -> DataFrame:
     """One row per group with ``<col>_q`` = array of the quantiles at ``probs`` (linear interpolation)."""
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
-    hot = stage(sizes.filter(F.col("rows") > group_limit), "hot-groups")
+    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > group_limit)
     wanted = F.array(*[F.lit(float(p)) for p in probs])
 
     def direct(rows: DataFrame) -> DataFrame:
@@ -41,7 +40,7 @@ def exact_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[f
         return direct(df)
     if not by:
         return _narrowed(df, by, cols, probs, group_limit)
-    hot = hot.select(*by)
+    hot = stage(hot.select(*by), "hot-groups")
     cold_rows = _join(df, hot, by, "left_anti")
     hot_rows = _join(df, hot, by, "left_semi")
     return direct(cold_rows).unionByName(_narrowed(hot_rows, by, cols, probs, group_limit))

@@ -7,7 +7,10 @@ import math
 import numpy as np
 
 _TINY = 1e-300
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+
+
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(v) for v in np.ravel(x)]).reshape(np.shape(x))
 
 
 def beta_cdf(x, a, b):

@@ -6,6 +6,9 @@ moments are merged on the sector table in between, so no listing is shuffled by
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
@@ -20,6 +23,7 @@ from rentlens.sources.store import stage
 
 # workers need not have this package installed
 cloudpickle.register_pickle_by_value(special)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MEASURES = ["PRECIO", "VALOR_M2_INTEGRAL", "AREA_CONSTRUIDA"]
 SINGULAR = 2.2e-16
@@ -69,108 +73,80 @@ def merge_moments(parts: DataFrame, by: list[str], size: int = 3) -> DataFrame:
         *[spread(i, j).alias(f"cov{i}{j}") for i, j in pairs])
 
 
+def _upper(size: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(size) for j in range(i, size)]
+
+
+def _inverses(corr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inverse of each correlation matrix, and which of them have none."""
+    none = np.linalg.det(corr) == 0
+    safe = np.where(none[:, None, None], np.eye(corr.shape[1]), corr)
+    return np.linalg.inv(safe), none
+
+
+def _solve(stats: pd.DataFrame, size: int, confidence: float, tol: float, scaled: bool) -> pd.DataFrame:
+    """Columns in use, inverse correlation and limit for a batch of groups."""
+    k = range(size)
+    cov = np.zeros((len(stats), size, size))
+    for i, j in _upper(size):
+        cov[:, i, j] = cov[:, j, i] = stats[f"var{i}" if i == j else f"cov{i}{j}"].fillna(0.0)
+    low, high = (np.stack([stats[f"{n}{i}"] for i in k], axis=1).astype(float) for n in ("min", "max"))
+    variance = np.stack([cov[:, i, i] for i in k], axis=1)
+    on = (low < high) & (variance > 0)
+    sd = np.sqrt(np.where(variance > 0, variance, 1.0))
+    corr = cov / (sd[:, :, None] * sd[:, None, :])
+    unit = np.ones_like(sd) if scaled else sd
+
+    for _ in k:
+        # columns that are out are decoupled, which leaves the inverse of the others unchanged
+        both = on[:, :, None] & on[:, None, :]
+        used = np.where(both, corr, 0.0)
+        used[:, range(size), range(size)] = 1.0
+        inverse, none = _inverses(used)
+        scale = unit[:, :, None] * unit[:, None, :]
+        norm = np.abs(np.where(both, used * scale, 0.0)).sum(axis=1).max(axis=1)
+        inverse_norm = np.abs(np.where(both, inverse / scale, 0.0)).sum(axis=1).max(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rcond = np.where(none, 0.0, 1.0 / (norm * inverse_norm))
+        bad = (on.sum(axis=1) > 1) & (rcond < tol) | none
+        if not bad.any():
+            break
+        last = size - 1 - np.argmax(on[:, ::-1], axis=1)
+        on[bad, last[bad]] = False
+
+    m, p = stats["n"].to_numpy(dtype=float), on.sum(axis=1)
+    # pools share few sizes: one quantile per distinct (m, p)
+    known, place = np.unique(np.stack([m, p], axis=1), axis=0, return_inverse=True)
+    mm, pp = known[:, 0], known[:, 1]
+    q = special.beta_quantile(confidence, np.where(pp > 0, pp / 2, -1.0), (mm - pp - 1) / 2)
+    ucl = ((mm - 1) ** 2 / mm * q)[place.ravel()]
+    return pd.DataFrame({
+        **{f"on{i}": on[:, i] for i in k},
+        **{f"inv{i}{j}": inverse[:, i, j] for i, j in _upper(size)},
+        "p": p.astype("int32"), "ucl": pd.Series(ucl).astype(object).where(~np.isnan(ucl), None)})
+
+
 def chart_parameters(stats: DataFrame, size: int = 3, confidence: float = 0.9,
                      singular_tol: float = SINGULAR, scaled: bool = False) -> DataFrame:
-    """Per group: which columns enter (on0..), the inverse correlation entries and the upper limit.
+    """Per group: which columns enter (on0..), the inverse correlation entries, p and the upper limit.
 
     Constant columns leave first. If the covariance of the rest is singular (reciprocal condition number in
-    the 1-norm under ``singular_tol``), the longest leading prefix that is not singular stays. With
-    ``scaled`` the test looks at the correlation instead, which does not depend on units.
+    the 1-norm under ``singular_tol``), the longest leading prefix that is not singular stays. With ``scaled``
+    the test looks at the correlation instead, which does not depend on units. The limit for individual
+    observations is (m-1)^2/m times the Beta(p/2, (m-p-1)/2) quantile, and null where m <= p + 1.
+
+    ``stats`` has one row per group, so the matrix work is one numpy batch per few thousand groups.
     """
-    if not 1 <= size <= 3:
-        raise ValueError("one to three measures")
-    k = range(size)
-    out = stats.withColumns({f"on{i}": (F.col(f"min{i}") < F.col(f"max{i}")) & (F.col(f"var{i}") > 0) for i in k})
-    for i in k:
-        for j in range(i + 1, size):
-            root = F.sqrt(F.col(f"var{i}")) * F.sqrt(F.col(f"var{j}"))
-            out = out.withColumn(f"r{i}{j}", F.try_divide(F.col(f"cov{i}{j}"), root))
-
-    # drop the last column in use while the rest is singular
-    for _ in range(size - 1):
-        out = out.withColumn("rcond", _rcond(size, scaled))
-        used = sum((F.col(f"on{i}").cast("int") for i in k), F.lit(0))
-        bad = (used > 1) & (F.coalesce("rcond", F.lit(0.0)) < singular_tol)
-        last = F.greatest(*[F.when(F.col(f"on{i}"), i).otherwise(-1) for i in k])
-        out = out.withColumn("drop_at", F.when(bad, last).otherwise(F.lit(-1)))
-        out = out.withColumns({f"on{i}": F.col(f"on{i}") & (F.col("drop_at") != i) for i in k})
-    out = out.drop("rcond", "drop_at")
-
-    inverse = _inverse_correlation(size)
-    out = out.withColumns({f"inv{i}{j}": v for (i, j), v in inverse.items()})
-    out = out.withColumn("p", sum((F.col(f"on{i}").cast("int") for i in k), F.lit(0)))
-    return out.withColumn("ucl", upper_limit(F.col("n"), F.col("p"), confidence))
-
-
-def _masked_r(size: int) -> dict[tuple[int, int], Column]:
-    """Correlations with unused columns decoupled, which leaves the used block's inverse unchanged."""
-    r = {}
-    for i in range(size):
-        for j in range(i + 1, size):
-            both = F.col(f"on{i}") & F.col(f"on{j}")
-            r[i, j] = F.when(both, F.col(f"r{i}{j}")).otherwise(F.lit(0.0))
-    return r
-
-
-def _inverse_correlation(size: int) -> dict[tuple[int, int], Column]:
-    """Upper triangle of the inverse of a correlation matrix of order 1 to 3, in closed form."""
-    r = _masked_r(size)
-    if size == 1:
-        return {(0, 0): F.lit(1.0)}
-    if size == 2:
-        det = 1 - r[0, 1] * r[0, 1]
-        return {(0, 0): F.try_divide(F.lit(1.0), det), (1, 1): F.try_divide(F.lit(1.0), det),
-                (0, 1): F.try_divide(-r[0, 1], det)}
-    a, b, c = r[0, 1], r[0, 2], r[1, 2]
-    det = 1 + 2 * a * b * c - a * a - b * b - c * c
-    over = {(0, 0): 1 - c * c, (1, 1): 1 - b * b, (2, 2): 1 - a * a,
-            (0, 1): b * c - a, (0, 2): a * c - b, (1, 2): a * b - c}
-    return {ij: F.try_divide(v, det) for ij, v in over.items()}
-
-
-def _rcond(size: int, scaled: bool) -> Column:
-    """1 / (|A| |inverse of A|) in the 1-norm, over the columns in use."""
-    r, inv = _masked_r(size), _inverse_correlation(size)
-
-    def sd(i: int) -> Column:
-        return F.lit(1.0) if scaled else F.sqrt(F.col(f"var{i}"))
-
-    def norm(entry) -> Column:
-        sums = []
-        for j in range(size):
-            total = sum((F.abs(entry(min(i, j), max(i, j))) for i in range(size)
-                         if i != j), F.abs(entry(j, j)))
-            sums.append(F.when(F.col(f"on{j}"), total).otherwise(F.lit(0.0)))
-        return F.greatest(*sums) if size > 1 else sums[0]
-
-    def both(i: int, j: int) -> Column:
-        return F.col(f"on{i}") & F.col(f"on{j}")
-
-    def direct(i: int, j: int) -> Column:
-        value = F.lit(1.0) if i == j else r[i, j]
-        return F.when(both(i, j), value * sd(i) * sd(j)).otherwise(F.lit(0.0))
-
-    def inverse(i: int, j: int) -> Column:
-        return F.when(both(i, j), F.try_divide(inv[i, j], sd(i) * sd(j))).otherwise(F.lit(0.0))
-
-    return F.try_divide(F.lit(1.0), norm(direct) * norm(inverse))
-
-
-def upper_limit(n: Column, p: Column, confidence: float = 0.9) -> Column:
-    """Limit for individual observations: (m-1)^2/m times the Beta(p/2, (m-p-1)/2) quantile; null if m <= p+1."""
-
-    @F.pandas_udf(T.DoubleType())
-    def limit(m: pd.Series, used: pd.Series) -> pd.Series:
-        # one quantile per distinct (m, p): pools share few sizes
-        pairs = pd.DataFrame({"m": m.astype(float), "p": used.astype(float)})
-        known = pairs.drop_duplicates()
-        mm, pp = known["m"].to_numpy(), known["p"].to_numpy()
-        q = special.beta_quantile(confidence, np.where(pp > 0, pp / 2, -1.0), (mm - pp - 1) / 2)
-        known = known.assign(ucl=np.where(np.isnan(q), np.nan, (mm - 1) ** 2 / np.maximum(mm, 1) * q))
-        values = pairs.merge(known, how="left", on=["m", "p"])["ucl"]
-        return values.astype(object).where(values.notna(), None)
-
-    return limit(n.cast("double"), p.cast("double"))
+    new = [*[T.StructField(f"on{i}", T.BooleanType()) for i in range(size)],
+           *[T.StructField(f"inv{i}{j}", T.DoubleType()) for i, j in _upper(size)],
+           T.StructField("p", T.IntegerType()), T.StructField("ucl", T.DoubleType())]
+    def batches(frames):
+        for frame in frames:
+            if len(frame):
+                found = _solve(frame, size, confidence, singular_tol, scaled)
+                yield pd.concat([frame.reset_index(drop=True), found], axis=1)
+
+    return stats.mapInPandas(batches, T.StructType([*stats.schema.fields, *new]))
 
 
 def t2_expression(cols: list[str]) -> Column:
@@ -226,40 +202,45 @@ def control_pass(df: DataFrame, cutoff: int = 10, confidence: float = 0.9, cols:
 
 
 def quality_control(df: DataFrame, passes: int = 2, cutoff: int = 10, confidence: float = 0.9,
-                    cols: list[str] = MEASURES, singular_tol: float = SINGULAR,
-                    scaled: bool = False) -> DataFrame:
-    """Rows that stay inside the limits in every pass; pools are rebuilt from the survivors each time."""
+                    cols: list[str] = MEASURES, singular_tol: float = SINGULAR, scaled: bool = False,
+                    save: Callable[[DataFrame, str], DataFrame] = stage) -> DataFrame:
+    """Rows that stay inside the limits in every pass; pools are rebuilt from the survivors each time.
+
+    ``df`` is read several times and should be a stored table. ``save`` stores the rows after each pass.
+    """
     kept = df
     if "AREA_CONSTRUIDA" in cols and not df.filter(F.col("AREA_CONSTRUIDA").isNull()).isEmpty():
         kept = stage(fill_group_mean(kept, ["AREA_CONSTRUIDA"], SEGMENT), "qc-input")
-    for _ in range(passes):
+    for k in range(1, passes + 1):
         scored = control_pass(kept.drop("CODIGO_BARRIO_NEW"), cutoff, confidence, cols, singular_tol, scaled)
-        kept = stage(scored.filter(~F.col("is_outlier"))
-                     .drop("t2", "ucl", "is_outlier", "pool_n", "pool_p"), "qc-pass")
+        kept = save(scored.filter(~F.col("is_outlier"))
+                    .drop("t2", "ucl", "is_outlier", "pool_n", "pool_p"), f"qc-pass-{k}")
     return kept
 
 
 def chart_points(chart: DataFrame, by: list[str], order_by: list[str]) -> DataFrame:
-    """Control-chart data: position in the group, T2, limit and ``in``/``out``.
-
-    The position is the number of rows before this one. It is counted with one aggregate per slice of the
-    order, so a huge group is not sorted by one task.
-    """
+    """Control-chart data: position in the group, T2, limit and ``in``/``out``."""
     return numbered(chart, by, order_by, "label").withColumn(
         "out", F.when(F.col("is_outlier"), "out").otherwise("in"))
 
 
 def numbered(df: DataFrame, by: list[str], order_by: list[str], name: str) -> DataFrame:
-    """Row number within the group, for groups of any size: a range sort, then offsets per sorted slice."""
+    """Row number within the group, without giving any group to one task.
+
+    Rows are range-sorted over all partitions, ties split by a hash of the row, and stored with their place.
+    The number is the place in the partition plus the group's rows in earlier partitions.
+    """
     parts = max(df.sparkSession.sparkContext.defaultParallelism,
                 int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = df.repartitionByRange(parts, *by, *order_by).withColumn("slice", F.spark_partition_id())
-    ordered = stage(ordered, "ordered")
-    sizes = ordered.groupBy(*by, "slice").agg(F.count(F.lit(1)).alias("rows"))
+    keys = [*by, *order_by, F.xxhash64(*df.columns)]
+    placed = stage(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+                   .withColumn("place", F.monotonically_increasing_id()), "ordered")
+    # the id holds the partition in its upper bits and the place within it in the lower 33
+    placed = placed.withColumns({"slice": F.shiftright("place", 33),
+                                 "place": F.col("place").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = placed.groupBy(*by, "slice").agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("first"))
     before = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(sizes.select(*by, "slice", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset")),
-                    "offsets")
-    within = Window.partitionBy(*by, "slice").orderBy(*order_by)
-    return (ordered.join(offsets, [*by, "slice"])
-            .withColumn(name, (F.col("offset") + F.row_number().over(within)).cast("long"))
-            .drop("slice", "offset"))
+    shift = F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first") + 1
+    shifts = stage(sizes.select(*by, "slice", shift.alias("shift")), "offsets")
+    return (placed.join(shifts, [*by, "slice"]).withColumn(name, F.col("place") + F.col("shift"))
+            .drop("slice", "place", "shift"))

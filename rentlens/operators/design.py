@@ -46,13 +46,17 @@ class SlopeModel:
 def slope_model(df: DataFrame, factors: tuple[str, ...] = ("ESTRATO", "CODIGO_LOCALIDAD", "ANO"),
                 response: str = "PRECIO_MEAN_VENTA", slope: str = "PRECIO_MEAN_ARRIENDO") -> SlopeModel:
     """Levels from the data, ascending (text in string order). A dense solve sets the limit on levels."""
-    levels = {}
-    for f in factors:
-        found = [r[0] for r in df.select(f).filter(F.col(f).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()]
+    levels: dict[str, list] = {f: [] for f in factors}
+    if factors:
+        flags = [F.grouping(f).alias(f"all_{f}") for f in factors]
+        found = df.groupingSets([[f] for f in factors], *factors).agg(*flags).limit(MAX_LEVELS + 1).collect()
         if len(found) > MAX_LEVELS:
-            raise ValueError(f"{f} has more than {MAX_LEVELS} levels and is no factor")
-        levels[f] = sorted(found)
-    return SlopeModel(levels, response, slope)
+            raise ValueError(f"{list(factors)} have more than {MAX_LEVELS} levels and are no factors")
+        for r in found:
+            for f in factors:
+                if not r[f"all_{f}"] and r[f] is not None:
+                    levels[f].append(r[f])
+    return SlopeModel({f: sorted(v) for f, v in levels.items()}, response, slope)
 
 
 def with_indicators(df: DataFrame, model: SlopeModel) -> DataFrame:

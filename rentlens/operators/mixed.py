@@ -11,14 +11,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.functions.special import chi2_tail
 from rentlens.operators.design import SlopeModel, coefficient_table, cross_products, independent_columns
 from rentlens.sources.store import stage
 
-COARSE = np.concatenate([[0.0], 10.0 ** np.linspace(-6, 6, 49)])
+COARSE = np.concatenate([[0.0], 10.0 ** np.linspace(-6, 6, 25)])
 FINE = 17
 
 
@@ -112,7 +112,7 @@ def profile_table(df: DataFrame, model: SlopeModel, group: str, thetas: list[flo
 def _peak(log_t: np.ndarray, values: np.ndarray) -> float:
     """Maximiser of a smooth function known on a fine grid, by a polynomial through it."""
     mid, half = 0.5 * (log_t[0] + log_t[-1]), 0.5 * (log_t[-1] - log_t[0])
-    fit = np.polynomial.Polynomial.fit(log_t, values, 8)
+    fit = np.polynomial.Polynomial.fit(log_t, values, 10)
     grid = mid + half * np.linspace(-1, 1, 20001)
     return float(grid[np.argmax(fit(grid))])
 
@@ -147,15 +147,31 @@ def _maximise(sectors: DataFrame, gram: np.ndarray, n: int, columns: list[list[i
     return out
 
 
+def fit_nested(df: DataFrame, model: SlopeModel, group: str = "CODIGO_BARRIO",
+               method: str = "REML") -> list[MixedFit]:
+    """The models that add one factor at a time, from the common slope to all of ``model``."""
+    gram, n = cross_products(df, model)
+    kept = independent_columns(gram[:-1, :-1])
+    sectors = stage(sector_terms(df, model, group), "sector-terms")
+    steps = [[c for c in kept if model.terms[c][0] in ("all", *model.factors[:k])]
+             for k in range(len(model.factors) + 1)]
+    return [_fitted(sectors, model, group, method, n, columns, *best)
+            for columns, best in zip(steps, _maximise(sectors, gram, n, steps, method))]
+
+
 def fit_mixed(df: DataFrame, model: SlopeModel, group: str = "CODIGO_BARRIO", method: str = "REML") -> MixedFit:
     gram, n = cross_products(df, model)
     kept = independent_columns(gram[:-1, :-1])
     sectors = stage(sector_terms(df, model, group), "sector-terms")
-    theta, loglik, sigma2, short = _maximise(sectors, gram, n, [kept], method)[0]
-    beta = np.full(len(gram) - 1, np.nan)
-    beta[kept] = short
-    coefs = coefficient_table(df.sparkSession, model, beta)
-    return MixedFit(model, group, method, beta, theta, sigma2, loglik, n, len(kept), coefs,
+    return _fitted(sectors, model, group, method, n, kept, *_maximise(sectors, gram, n, [kept], method)[0])
+
+
+def _fitted(sectors: DataFrame, model: SlopeModel, group: str, method: str, n: int, columns: list[int],
+            theta: float, loglik: float, sigma2: float, short: np.ndarray) -> MixedFit:
+    beta = np.full(len(model.terms), np.nan)
+    beta[columns] = short
+    coefs = coefficient_table(sectors.sparkSession, model, beta)
+    return MixedFit(model, group, method, beta, theta, sigma2, loglik, n, len(columns), coefs,
                     random_effects(sectors, group, beta, theta))
 
 
@@ -167,35 +183,33 @@ def random_effects(sectors: DataFrame, group: str, beta: np.ndarray, theta: floa
     return sectors.select(group, (c * rest).alias("RAN_EFFECT"))
 
 
-def nested_anova(df: DataFrame, model: SlopeModel, group: str = "CODIGO_BARRIO",
-                 method: str = "REML") -> DataFrame:
-    """Likelihood-ratio table of the models that add one factor at a time.
+def anova(spark: SparkSession, fits: list[MixedFit]) -> DataFrame:
+    """Likelihood-ratio table of nested models.
 
-    REML likelihoods of models with different fixed effects are not comparable; ``method="ML"`` gives the
-    valid test, REML the published table.
+    REML likelihoods of models with different fixed effects are not comparable; ``method="ML"`` fits give the
+    valid test, REML fits the published table.
     """
-    gram, n = cross_products(df, model)
-    kept = independent_columns(gram[:-1, :-1])
-    sectors = stage(sector_terms(df, model, group), "sector-terms")
-    steps = [[c for c in kept if model.terms[c][0] in ("all", *model.factors[:k])]
-             for k in range(len(model.factors) + 1)]
-    fits = _maximise(sectors, gram, n, steps, method)
     rows, before = [], None
-    for k, (columns, fit) in enumerate(zip(steps, fits), start=1):
-        loglik, df_model = fit[1], len(columns) + 2
-        nobs = n - len(columns) if method == "REML" else n
+    for k, fit in enumerate(fits, start=1):
+        size = fit.p + 2
+        nobs = fit.n - fit.p if fit.method == "REML" else fit.n
         ratio = prob = None
         if before is not None:
-            ratio = 2 * abs(loglik - before[0])
-            prob = chi2_tail(ratio, abs(df_model - before[1])) if df_model != before[1] else None
-        rows.append((k, df_model, float(2 * df_model - 2 * loglik), float(df_model * np.log(nobs) - 2 * loglik),
-                     float(loglik), None if ratio is None else float(ratio),
-                     None if prob is None else float(prob)))
-        before = (loglik, df_model)
-    return df.sparkSession.createDataFrame(
+            ratio = float(2 * abs(fit.loglik - before.loglik))
+            more = abs(fit.p - before.p)
+            prob = float(chi2_tail(ratio, more)) if more else None
+        rows.append((k, size, float(2 * size - 2 * fit.loglik), float(size * np.log(nobs) - 2 * fit.loglik),
+                     float(fit.loglik), ratio, prob))
+        before = fit
+    return spark.createDataFrame(
         rows, "Model int, df int, AIC double, BIC double, logLik double, L_Ratio double, p_value double")
 
 
+def nested_anova(df: DataFrame, model: SlopeModel, group: str = "CODIGO_BARRIO",
+                 method: str = "REML") -> DataFrame:
+    return anova(df.sparkSession, fit_nested(df, model, group, method))
+
+
 def with_fitted(df: DataFrame, fit: MixedFit) -> DataFrame:
     """Fitted values (random effect included) and residuals."""
     model = fit.model

@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 from itertools import product
+from math import prod
 
 import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rentlens.operators import design
 from rentlens.operators.design import SlopeModel, coefficient_table, cross_products, independent_columns
+from rentlens.sources.store import stage
+
+# above this many combinations of levels, only those in the data are computed, by the workers
+LOCAL_CELLS = 50_000
+
+# workers need not have this package installed
+cloudpickle.register_pickle_by_value(design)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass(frozen=True)
@@ -40,25 +53,37 @@ def ols_coefficients(df: DataFrame, fit: OlsFit) -> DataFrame:
     return coefficient_table(df.sparkSession, fit.model, fit.beta)
 
 
-def _cells(df: DataFrame, fit: OlsFit) -> DataFrame | None:
-    """Per combination of levels: slope, leverage per rent^2, and extreme scaled rows of the inverse."""
+def _cell_values(cells: pd.DataFrame, fit: OlsFit) -> pd.DataFrame:
+    """Slope, leverage per rent^2, and extreme scaled rows of the inverse, per combination of levels."""
+    where = {t: i for i, t in enumerate(fit.model.terms)}
+    d = np.zeros((len(cells), len(where)))
+    d[:, 0] = 1.0
+    for f in fit.model.factors:
+        column = cells[f].map(lambda v, f=f: where.get((f, v), -1)).to_numpy(dtype=int)
+        has = column >= 0
+        d[np.flatnonzero(has), column[has]] = 1.0
+    a = d[:, fit.kept] @ fit.inverse
+    b = a / np.sqrt(np.diag(fit.inverse))
+    return cells.assign(slope_fit=d @ np.nan_to_num(fit.beta), leverage=(a * d[:, fit.kept]).sum(axis=1),
+                        b_min=b.min(axis=1), b_max=b.max(axis=1))
+
+
+def _cells(df: DataFrame, fit: OlsFit) -> DataFrame:
+    """The cell values as a table. Catalyst knows its size and broadcasts it when that is small enough."""
     model = fit.model
-    where = {t: i for i, t in enumerate(model.terms)}
-    place = {j: i for i, j in enumerate(fit.kept)}
-    scale = np.sqrt(np.diag(fit.inverse))
-    rows = []
-    for levels in product(*model.levels.values()):
-        columns = [0, *[where[t] for t in zip(model.factors, levels) if t in where]]
-        d = np.zeros(len(fit.kept))
-        d[[place[c] for c in columns if c in place]] = 1.0
-        a = fit.inverse @ d
-        b = a / scale
-        rows.append((*levels, float(np.nan_to_num(fit.beta)[columns].sum()), float(d @ a),
-                     float(b.min()), float(b.max())))
-    fields = [*[df.schema[f] for f in model.factors],
-              *[T.StructField(c, T.DoubleType()) for c in ("slope_fit", "leverage", "b_min", "b_max")]]
-    return df.sparkSession.createDataFrame(rows, T.StructType(
-        [T.StructField(f.name, f.dataType) for f in fields]))
+    schema = T.StructType([*[T.StructField(f, df.schema[f].dataType) for f in model.factors],
+                           *[T.StructField(c, T.DoubleType()) for c in ("slope_fit", "leverage", "b_min", "b_max")]])
+    if prod(len(v) for v in model.levels.values()) <= LOCAL_CELLS:
+        combos = list(product(*model.levels.values()))
+        cells = pd.DataFrame(combos, columns=model.factors, index=range(len(combos)))
+        return df.sparkSession.createDataFrame(
+            [tuple(r) for r in _cell_values(cells, fit).itertuples(index=False)], schema)
+
+    def batches(frames):
+        for frame in frames:
+            yield _cell_values(frame, fit)
+
+    return stage(df.select(*model.factors).distinct().mapInPandas(batches, schema), "cells")
 
 
 def with_influence(df: DataFrame, fit: OlsFit) -> DataFrame:
@@ -68,7 +93,6 @@ def with_influence(df: DataFrame, fit: OlsFit) -> DataFrame:
     rows = model.rows(df)
     cells = _cells(df, fit)
     if model.factors:
-        # Catalyst knows the size of this local table and broadcasts it when it is small enough
         rows = rows.join(cells, model.factors)
     else:
         only = cells.first()

@@ -413,7 +413,7 @@ def t2_statistic_p3(t: Inputs) -> DataFrame:
 @query
 def t2_limit_p2(t: Inputs) -> DataFrame:
     stats = control.moments(t.urban, [*SEGMENT, "CODIGO_LOCALIDAD"], PAIR)
-    limits = control.chart_parameters(stats, 2, singular_tol=0.0).filter("p = 2")
+    limits = control.chart_parameters(stats, 2, singular_tol=0.0).filter("p = 2 AND n > 2")
     return limits.select(*SEGMENT, "CODIGO_LOCALIDAD", "n", "p", _rounded("ucl", 6))
 
 

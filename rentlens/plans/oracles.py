@@ -305,7 +305,7 @@ oracle("t2_statistic_p3", f"""SELECT IDENTIFICADOR, {SEG}, PRECIO, round((
 oracle("t2_limit_p2", f"""SELECT {SEG}, CODIGO_LOCALIDAD, count(*) AS n, 2::int AS p,
     CASE WHEN count(*) > 3 THEN round((count(*) - 1) * (count(*) - 1) / count(*)
       * (1 - pow(1 - 0.9::double, 2.0::double / (count(*) - 3))), 6) END AS ucl
-    FROM urban GROUP BY ALL HAVING min(PRECIO) < max(PRECIO) AND min(AREA_CONSTRUIDA) < max(AREA_CONSTRUIDA)""",
+    FROM urban GROUP BY ALL HAVING count(*) > 2 AND min(PRECIO) < max(PRECIO) AND min(AREA_CONSTRUIDA) < max(AREA_CONSTRUIDA)""",
        steps=("urban",))
 oracle("t2_flags_p2", f"SELECT IDENTIFICADOR, {SEG}, PRECIO, AREA_CONSTRUIDA FROM chart2 WHERE t2 > ucl",
        steps=("chart2",))

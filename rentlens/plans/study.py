@@ -11,7 +11,7 @@ from rentlens.operators.clean import clean_listings, only_homes
 from rentlens.operators.cohort import cohort_table, impute_cohorts, split_by_ratio
 from rentlens.operators.control import quality_control
 from rentlens.operators.design import slope_model
-from rentlens.operators.mixed import MixedFit, fit_mixed, nested_anova, with_fitted
+from rentlens.operators.mixed import MixedFit, anova, fit_nested, with_fitted
 from rentlens.operators.ols import prune_influential
 from rentlens.operators.rates import (published_locality_rates, published_sector_rates, rate_table,
                                       rates_by_locality, rates_by_stratum)
@@ -38,12 +38,16 @@ class ClassStudy:
         return self._save(prune_influential(self.cohorts, slope_model(self.cohorts)), "pruned")
 
     @cached_property
+    def fits(self) -> list[MixedFit]:
+        return fit_nested(self.pruned, slope_model(self.pruned))
+
+    @property
     def fit(self) -> MixedFit:
-        return fit_mixed(self.pruned, slope_model(self.pruned))
+        return self.fits[-1]
 
     @cached_property
     def anova(self) -> DataFrame:
-        return nested_anova(self.pruned, slope_model(self.pruned))
+        return anova(self.study.store.spark, self.fits)
 
     @cached_property
     def residuals(self) -> DataFrame:
@@ -76,7 +80,7 @@ class Study:
 
     @cached_property
     def kept(self) -> DataFrame:
-        return self.store.save(quality_control(self.cleaned), "kept")
+        return quality_control(self.cleaned, save=self.store.save)
 
     @cached_property
     def cohorts(self) -> DataFrame:
