@@ -2,7 +2,7 @@
 
 ``percentile`` keeps every distinct value of a group in one task. That is right for many small groups and
 wrong for a few huge ones, such as all apartments. Groups above ``group_limit`` rows are therefore solved by
-narrowing: count the rows in equal-width slices of the group's range, keep the slice that holds the wanted
+narrowing: count the rows in slices of the group's range, keep the slice that holds the wanted
 rank, and repeat until the slice is small. Only slice counts are shuffled, and the answer is exact.
 """
 
@@ -46,10 +46,31 @@ def exact_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[f
     return direct(cold_rows).unionByName(_narrowed(hot_rows, by, cols, probs, group_limit))
 
 
-def _narrowed(rows: DataFrame, by: list[str], cols: list[str], probs: list[float], limit: int) -> DataFrame:
+def _slice(x: Column, lo: Column, hi: Column) -> Column:
+    """Slice of ``x`` in [lo, hi], rising with x; both ends never share one.
+
+    A range across zero is split by sign, a wide one in equal ratios, any other in equal widths. A few rounds
+    thus isolate a rank however heavy the tails are.
+    """
+    def even(at: Column, start: Column, end: Column) -> Column:
+        width = end / SLICES - start / SLICES
+        place = F.least(F.floor((at - start) / width), F.lit(SLICES - 1).cast("long"))
+        return F.when(width > 0, place).otherwise(F.when(x < hi, 0).otherwise(1))
+
+    return (F.when((lo <= 0) & (hi >= 0), F.signum(x).cast("long"))
+            .when((lo > 0) & (hi / SLICES > lo), even(F.ln(x), F.ln(lo), F.ln(hi)))
+            .when((hi < 0) & (lo / SLICES < hi), even(-F.ln(-x), -F.ln(-lo), -F.ln(-hi)))
+            .otherwise(even(x, lo, hi)))
+
+
+def _narrowed(rows: DataFrame, groups: list[str], cols: list[str], probs: list[float], limit: int) -> DataFrame:
+    # own names for the keys, so that no column of the caller meets the working columns
+    by = [f"_by{i}" for i in range(len(groups))]
+    rows = rows.select(*[F.col(g).alias(b) for g, b in zip(groups, by)],
+                       *[F.col(c).alias(f"_col{i}") for i, c in enumerate(cols)])
     keys = [*by, "metric"]
-    values = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("x"))
-                                 for c in cols])).alias("v")
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"_col{i}").cast("double").alias("x"))
+                                 for i, c in enumerate(cols)])).alias("v")
     long = rows.select(*by, values).select(*by, "v.metric", "v.x").filter(F.col("x").isNotNull())
 
     # wanted ranks (0-based): the two neighbours of (n - 1) p for each probability
@@ -70,10 +91,7 @@ def _narrowed(rows: DataFrame, by: list[str], cols: list[str], probs: list[float
             break
         spans = state.filter(todo).select(*keys, "lo", "hi").distinct()
         hits = _join(long, spans, keys, "inner", F.col("x").between(F.col("lo"), F.col("hi")))
-        width = F.col("hi") / SLICES - F.col("lo") / SLICES
-        place = F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(SLICES - 1).cast("long"))
-        counted = (hits.withColumn("slice", F.when(width > 0, place)
-                                   .otherwise(F.when(F.col("x") < F.col("hi"), 0).otherwise(1)))
+        counted = (hits.withColumn("slice", _slice(F.col("x"), F.col("lo"), F.col("hi")))
                    .groupBy(*keys, "lo", "hi", "slice")
                    .agg(F.count("x").alias("c"), F.min("x").alias("new_lo"), F.max("x").alias("new_hi")))
         # at most SLICES rows per window
@@ -108,8 +126,9 @@ def _narrowed(rows: DataFrame, by: list[str], cols: list[str], probs: list[float
                  .groupBy(*keys, "i").agg(F.sum(F.col("value") * weight).alias("q")))
     per_metric = quantiles.groupBy(*keys).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("i", "q"))), lambda s: s["q"]).alias("q"))
-    return per_metric.groupBy(*by).agg(
+    wide = per_metric.groupBy(*by).agg(
         *[F.first(F.when(F.col("metric") == c, F.col("q")), ignorenulls=True).alias(f"{c}_q") for c in cols])
+    return wide.withColumnsRenamed(dict(zip(by, groups)))
 
 
 def exact_medians(df: DataFrame, by: list[str], cols: dict[str, str], group_limit: int = 2_000_000) -> DataFrame:

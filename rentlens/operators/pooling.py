@@ -48,33 +48,36 @@ def nearest_code(counts: DataFrame, by: list[str] = SEGMENT, cutoff: int = 10) -
 def chain_roots(links: DataFrame, by: list[str] = SEGMENT) -> DataFrame:
     """Follow neighbours to the first sector that is not small; on a cycle, to its last sector in code order.
 
-    Pointer jumping: every round doubles the distance covered and carries the greatest code passed. It stops
-    when nothing moves, at the latest once the distance exceeds the sectors of the largest segment.
+    Pointer jumping: every jump doubles the distance covered and carries the greatest code passed. It stops
+    when nothing moves, or once the distance exceeds the sectors of the largest segment, as on a cycle.
     """
     state = stage(links.select(*by, "code", F.col("neighbour").alias("to"), F.col("code").alias("top")), "links")
-    longest = state.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    covered = 1
-    while covered <= 2 * longest:
-        ahead = state.select(*by, F.col("code").alias("to"), F.col("to").alias("next"),
-                             F.col("top").alias("next_top"))
-        moved = state.join(ahead, [*by, "to"], "left").select(
-            *by, "code",
-            F.coalesce("next", "to").alias("to"),
-            F.greatest("top", F.coalesce("next_top", "top")).alias("top"),
-            (F.col("next").isNotNull()
-             & ((F.col("next") != F.col("to")) | (F.col("next_top") > F.col("top")))).alias("changed"))
-        state = stage(moved, "links")
+    covered, longest = 1, None
+    while True:
+        state = stage(_jump(_jump(state, by).drop("changed"), by), "links")
         still = state.filter("changed").isEmpty()
         state = state.drop("changed")
-        if still:
+        covered *= 4
+        if not still and covered > 1000 and longest is None:
+            longest = state.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if still or (longest is not None and covered > 2 * longest):
             break
-        covered *= 2
     # a target that is itself small lies on a cycle; its greatest code passed is the root
     cycle = state.select(*by, F.col("code").alias("to"), F.col("top").alias("cycle_top"))
     return state.join(cycle, [*by, "to"], "left").select(
         *by, "code", F.coalesce("cycle_top", "to").alias("root"))
 
 
+def _jump(state: DataFrame, by: list[str]) -> DataFrame:
+    """Double the distance of every sector: continue with what its target has covered."""
+    ahead = state.select(*by, F.col("code").alias("to"), F.col("to").alias("next"), F.col("top").alias("next_top"))
+    return state.join(ahead, [*by, "to"], "left").select(
+        *by, "code", F.coalesce("next", "to").alias("to"),
+        F.greatest("top", F.coalesce("next_top", "top")).alias("top"),
+        (F.col("next").isNotNull()
+         & ((F.col("next") != F.col("to")) | (F.col("next_top") > F.col("top")))).alias("changed"))
+
+
 def merges(counts: DataFrame, by: list[str] = SEGMENT, cutoff: int = 10) -> DataFrame:
     """One round: (segment, code, root) of the sectors that join another one."""
     return chain_roots(nearest_code(counts, by, cutoff), by).filter(F.col("root") != F.col("code"))
@@ -86,27 +89,20 @@ def pool_sectors(counts: DataFrame, by: list[str] = SEGMENT, cutoff: int = 10) -
     Sectors with up to ``cutoff`` rows merge, pools under ``cutoff`` ask for another round. A segment stops
     when one pool is left or a round changes nothing.
     """
-    pools = stage(counts.select(*by, "code", "n", F.col("code").alias("pool"), F.lit(True).alias("active")),
-                  "pools")
+    pools = stage(counts.select(*by, "code", "n", F.col("code").alias("pool")), "pools")
+    sizes = pools.select(*by, "code", "n")
     while True:
-        active = pools.filter("active")
-        sizes = stage(active.groupBy(*by, F.col("pool").alias("code")).agg(F.sum("n").alias("n")), "pool-sizes")
-        roots = merges(sizes, by, cutoff).withColumnRenamed("code", "pool")
-        merged = pools.join(roots, [*by, "pool"], "left").select(
-            *by, "code", "n", F.coalesce("root", "pool").alias("pool"), "active",
-            F.col("root").isNotNull().alias("moved"))
-        merged = stage(merged, "pools")
-        after = (merged.filter("active").groupBy(*by, "pool")
-                 .agg(F.sum("n").alias("n"), F.max("moved").alias("moved"))
-                 .groupBy(*by).agg((F.min("n") < cutoff).alias("short"), F.count(F.lit(1)).alias("pools"),
-                                   F.max("moved").alias("moved"))
-                 .filter(F.col("short") & (F.col("pools") > 1) & F.col("moved"))
-                 .select(*by, F.lit(True).alias("again")))
-        after = stage(after, "open-segments")
-        if after.isEmpty():
-            return merged.select(*by, "code", "n", "pool")
-        pools = stage(merged.drop("active", "moved").join(after, by, "left")
-                      .withColumn("active", F.coalesce("again", F.lit(False))).drop("again"), "pools")
+        roots = merges(stage(sizes, "pool-sizes"), by, cutoff).withColumnRenamed("code", "pool")
+        pools = stage(pools.drop("moved").join(roots, [*by, "pool"], "left").select(
+            *by, "code", "n", F.coalesce("root", "pool").alias("pool"),
+            F.col("root").isNotNull().alias("moved")), "pools")
+        totals = pools.groupBy(*by, "pool").agg(F.sum("n").alias("n"), F.max("moved").alias("moved"))
+        again = (totals.groupBy(*by).agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("pools"),
+                                         F.max("moved").alias("moved"))
+                 .filter((F.col("least") < cutoff) & (F.col("pools") > 1) & F.col("moved")).select(*by))
+        if again.isEmpty():
+            return pools.select(*by, "code", "n", "pool")
+        sizes = totals.join(again, by, "left_semi").select(*by, F.col("pool").alias("code"), "n")
 
 
 def pool_codes(df: DataFrame, by: list[str] = SEGMENT, code: str = "CODIGO_BARRIO",

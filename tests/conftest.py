@@ -1,6 +1,10 @@
 import os
 import sys
 
+# dense cross-checks run on one BLAS thread: a threaded 400 x 400 inverse does not return in some containers
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+os.environ.setdefault("OMP_NUM_THREADS", "1")
+
 import pytest
 from pyspark.sql import SparkSession
 

@@ -75,9 +75,9 @@ def test_groups_without_a_limit_keep_all(spark):
 def test_planted_outlier_and_exceedance(spark):
     rng = np.random.default_rng(8)
     m = rng.normal(size=(3000, 3)) + 20
-    m[0] = [60, -20, 60]
+    m[0] = [30, 10, 30]
     rows = control.t2_chart(frame(spark, {"g": m}), ["g"]).collect()
-    assert [r["is_outlier"] for r in rows if r["PRECIO"] == 60] == [True]
+    assert [r["is_outlier"] for r in rows if r["PRECIO"] == 30] == [True]
     assert 0.07 < np.mean([r["is_outlier"] for r in rows]) < 0.13
 
 
