@@ -37,7 +37,7 @@ def beta_cdf(x, a, b):
             c = 1.0 + step / c
             c = np.where(np.abs(c) < _TINY, _TINY, c)
             total = total * c * d
-        if np.all(np.abs(total - before) <= 1e-15 * np.abs(total)):
+        if np.all(np.abs(total - before) <= 2e-15 * np.abs(total)):
             break
     value = np.exp(log_front) * total / p
     value = np.where(inside, value, np.where(y <= 0, 0.0, 1.0))
@@ -59,7 +59,7 @@ def beta_quantile(prob, a, b):
             step = x - gap / np.exp(log_norm + (a - 1) * np.log(x) + (b - 1) * np.log1p(-x))
         inside = (step > low) & (step < high)
         following = np.where(inside, step, 0.5 * (low + high))
-        done = np.abs(following - x) <= 4e-16 * x
+        done = np.abs(following - x) <= 1e-13 * x
         x = following
         if done.all():
             break
