@@ -33,6 +33,11 @@ def line_fit(df: DataFrame, y: str, x: str, by: list[str]) -> DataFrame:
                                F.count(F.lit(1)).alias("N"))
 
 
+def first_group(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of the first group in key order, as picked for an illustration."""
+    return df.join(df.select(*by).orderBy(*by).limit(1), by, "left_semi")
+
+
 def listing_counts(df: DataFrame, sets: list[list[str]], more_than: int = 0) -> DataFrame:
     """Listings for several column combinations in one pass; GRUPO names the combination."""
     cols = list(dict.fromkeys(c for s in sets for c in s))

@@ -56,6 +56,11 @@ def report_rates(summary: DataFrame) -> DataFrame:
             .withColumn("TASA_PORCENTAJE", F.col("TASA_RENTA") * 100))
 
 
+def only_strata(df: DataFrame, strata: list[int]) -> DataFrame:
+    """Part of a table that is shown on its own."""
+    return df.filter(F.col("ESTRATO").isin(*strata))
+
+
 def with_locality_names(df: DataFrame, localities: DataFrame) -> DataFrame:
     names = localities.select(F.col("CODIGO_LOCALIDAD").try_cast("int").alias("CODIGO_LOCALIDAD"),
                               "NOMBRE_LOCALIDAD")

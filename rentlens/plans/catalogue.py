@@ -437,6 +437,14 @@ def chart_points(t: Inputs) -> DataFrame:
         *SEGMENT, "label", "IDENTIFICADOR", _rounded("t2", 5), _rounded("ucl", 5), "out")
 
 
+@query
+def chart_first_group(t: Inputs) -> DataFrame:
+    """The chart shown as an illustration: the first segment's."""
+    chart = control.t2_chart(diagnostics.first_group(stage(t.urban), SEGMENT), SEGMENT, PAIR)
+    return control.chart_points(chart, SEGMENT, ["IDENTIFICADOR", "PRECIO", "AREA_CONSTRUIDA"]).select(
+        *SEGMENT, "label", "IDENTIFICADOR", _rounded("t2", 5), "out")
+
+
 @query
 def qc_pass(t: Inputs) -> DataFrame:
     scored = control.control_pass(t.study.cleaned)
@@ -615,6 +623,11 @@ def rates_stratum(t: Inputs) -> DataFrame:
     return rates.rates_by_stratum(t.fixed_rates)
 
 
+@query
+def rates_low_strata(t: Inputs) -> DataFrame:
+    return rates.only_strata(rates.rates_by_stratum(t.fixed_rates), [1, 2, 3])
+
+
 @query
 def rates_locality(t: Inputs) -> DataFrame:
     return rates.rates_by_locality(t.fixed_rates)

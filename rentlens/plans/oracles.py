@@ -313,6 +313,11 @@ oracle("chart_points", f"""SELECT {SEG}, row_number() OVER (PARTITION BY {SEG}
       ORDER BY IDENTIFICADOR, PRECIO, AREA_CONSTRUIDA) AS label, IDENTIFICADOR, round(t2, 5) AS t2,
     round(ucl, 5) AS ucl, CASE WHEN t2 > ucl THEN 'out' ELSE 'in' END AS "out" FROM chart2""", steps=("chart2",))
 
+oracle("chart_first_group", f"""SELECT {SEG}, row_number() OVER (ORDER BY IDENTIFICADOR, PRECIO, AREA_CONSTRUIDA)
+      AS label, IDENTIFICADOR, round(t2, 5) AS t2, CASE WHEN t2 > ucl THEN 'out' ELSE 'in' END AS "out"
+    FROM chart2 WHERE (ANO, CLASE_PREDIO, ESTRATO, TIPO_OFERTA) = (SELECT (ANO, CLASE_PREDIO, ESTRATO, TIPO_OFERTA)
+      FROM chart2 ORDER BY ANO, CLASE_PREDIO, ESTRATO, TIPO_OFERTA LIMIT 1)""", steps=("chart2",))
+
 # ---- models --------------------------------------------------------------------------------------------
 
 _LEVELS = [("ESTRATO", v) for v in (2, 3, 4, 5)] + [("ANO", v) for v in (2018, 2019, 2020)] + [
@@ -373,6 +378,7 @@ _PLACE = """SELECT DISTINCT ANO AS A, cast(CODIGO_LOCALIDAD AS int) AS CODIGO_LO
     round(Coef_all + Coef_loc + Coef_year, 2) AS TASA_RENTA,
     round(1 / round(Coef_all + Coef_loc + Coef_year, 2), 4) AS TASA_RENTA_2 FROM rates"""
 oracle("rates_stratum", _STRATUM, steps=("rates",))
+oracle("rates_low_strata", f"SELECT * FROM ({_STRATUM}) WHERE ESTRATO <= 3", steps=("rates",))
 oracle("rates_locality", _PLACE, steps=("rates",))
 oracle("rates_locality_named", f"""SELECT p.*, NOMBRE_LOCALIDAD FROM ({_PLACE}) p LEFT JOIN locality l
     ON p.CODIGO_LOCALIDAD = cast(l.CODIGO_LOCALIDAD AS int)""", ("locality",), ("rates",))
