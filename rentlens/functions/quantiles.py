@@ -8,25 +8,15 @@ rank, and repeat until the slice is small. Only slice counts are shuffled, and t
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rentlens.functions.joins import null_safe_join
 from rentlens.sources.store import stage
 
 SLICES = 1024
 
 
-def _join(a: DataFrame, b: DataFrame, keys: list[str], how: str, extra=None) -> DataFrame:
-    """Null-safe equi-join that keeps one copy of the keys."""
-    renamed = b.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in b.columns if c not in keys])
-    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.lit(True))
-    if extra is not None:
-        on = on & extra
-    return a.join(renamed, on, how).drop(*[f"__{k}" for k in keys])
-
-
 def exact_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[float],
                     group_limit: int = 2_000_000) -> DataFrame:
     """One row per group with ``<col>_q`` = array of the quantiles at ``probs`` (linear interpolation)."""
@@ -41,8 +31,8 @@ def exact_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[f
     if not by:
         return _narrowed(df, by, cols, probs, group_limit)
     hot = stage(hot.select(*by), "hot-groups")
-    cold_rows = _join(df, hot, by, "left_anti")
-    hot_rows = _join(df, hot, by, "left_semi")
+    cold_rows = null_safe_join(df, hot, by, "left_anti")
+    hot_rows = null_safe_join(df, hot, by, "left_semi")
     return direct(cold_rows).unionByName(_narrowed(hot_rows, by, cols, probs, group_limit))
 
 
@@ -90,7 +80,7 @@ def _narrowed(rows: DataFrame, groups: list[str], cols: list[str], probs: list[f
         if state.filter(todo).isEmpty():
             break
         spans = state.filter(todo).select(*keys, "lo", "hi").distinct()
-        hits = _join(long, spans, keys, "inner", F.col("x").between(F.col("lo"), F.col("hi")))
+        hits = null_safe_join(long, spans, keys, "inner", F.col("x").between(F.col("lo"), F.col("hi")))
         counted = (hits.withColumn("slice", _slice(F.col("x"), F.col("lo"), F.col("hi")))
                    .groupBy(*keys, "lo", "hi", "slice")
                    .agg(F.count("x").alias("c"), F.min("x").alias("new_lo"), F.max("x").alias("new_hi")))
@@ -98,7 +88,7 @@ def _narrowed(rows: DataFrame, groups: list[str], cols: list[str], probs: list[f
         order = Window.partitionBy(*keys, "lo", "hi").orderBy("slice")
         counted = counted.withColumn("upto", F.sum("c").over(order))
         renamed = counted.withColumnsRenamed({"lo": "c_lo", "hi": "c_hi"})
-        narrowed = _join(state.filter(todo), renamed, keys, "inner",
+        narrowed = null_safe_join(state.filter(todo), renamed, keys, "inner",
                          (F.col("lo") == F.col("c_lo")) & (F.col("hi") == F.col("c_hi"))
                          & (F.col("rank") >= F.col("below") + F.col("upto") - F.col("c"))
                          & (F.col("rank") < F.col("below") + F.col("upto")))
@@ -109,12 +99,12 @@ def _narrowed(rows: DataFrame, groups: list[str], cols: list[str], probs: list[f
     single = state.filter(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("value"))
     small = state.filter(F.col("lo") < F.col("hi"))
     spans = small.select(*keys, "lo", "hi").distinct()
-    held = (_join(long, spans, keys, "inner", F.col("x").between(F.col("lo"), F.col("hi")))
+    held = (null_safe_join(long, spans, keys, "inner", F.col("x").between(F.col("lo"), F.col("hi")))
             .groupBy(*keys, F.col("lo").alias("c_lo"), F.col("hi").alias("c_hi"), "x")
             .agg(F.count("x").alias("c")))
     order = Window.partitionBy(*keys, "c_lo", "c_hi").orderBy("x")
     held = held.withColumn("upto", F.sum("c").over(order))
-    ranked = _join(small, held, keys, "inner",
+    ranked = null_safe_join(small, held, keys, "inner",
                    (F.col("lo") == F.col("c_lo")) & (F.col("hi") == F.col("c_hi"))
                    & (F.col("rank") >= F.col("below") + F.col("upto") - F.col("c"))
                    & (F.col("rank") < F.col("below") + F.col("upto")))
@@ -122,7 +112,7 @@ def _narrowed(rows: DataFrame, groups: list[str], cols: list[str], probs: list[f
 
     part = F.col("h") - F.floor("h")
     weight = F.when(F.col("rank") == F.floor("h"), 1 - part).otherwise(part)
-    quantiles = (_join(targets, found.withColumnRenamed("rank", "r"), keys, "inner", F.col("rank") == F.col("r"))
+    quantiles = (null_safe_join(targets, found.withColumnRenamed("rank", "r"), keys, "inner", F.col("rank") == F.col("r"))
                  .groupBy(*keys, "i").agg(F.sum(F.col("value") * weight).alias("q")))
     per_metric = quantiles.groupBy(*keys).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("i", "q"))), lambda s: s["q"]).alias("q"))

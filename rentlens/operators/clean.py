@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.functions.joins import null_safe_join
 from rentlens.functions.quantiles import exact_medians
 from rentlens.functions.text import as_code, pad_left, parse_fee, parse_money
 from rentlens.sources.store import stage
@@ -104,7 +105,7 @@ def value_per_m2(price: Column, area: Column) -> Column:
 def fill_group_mean(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
     """Replace nulls by the group's mean. An aggregate and a join, so a huge group is never one task."""
     means = stage(df.groupBy(*by).agg(*[F.avg(c).alias(f"{c}__mean") for c in cols]), "group-means")
-    filled = df.join(means, by, "left")
+    filled = null_safe_join(df, means, by, "left")
     return filled.withColumns({c: F.coalesce(c, f"{c}__mean") for c in cols}).drop(*[f"{c}__mean" for c in cols])
 
 

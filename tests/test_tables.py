@@ -66,6 +66,14 @@ def test_net_price_and_deflators(spark):
     assert clean.clean_listings(late, census(spark, *FEES), default_deflator=0.0).first()["VALOR_ADMON_IPC"] == 0.0
 
 
+def test_group_mean_fills_unknown_groups_too(spark):
+    rows = [("a", 1.0), ("a", None), ("a", 3.0), (None, 5.0), (None, None), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    found = sorted(clean.fill_group_mean(df, ["x"], ["g"]).collect(), key=str)
+    assert sorted((r["g"] or "", r["x"] or -1.0) for r in found) == [
+        ("", 5.0), ("", 5.0), ("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", -1.0)]
+
+
 def test_ratio_ends(spark):
     rows = [("a", 1.0, 100.0), ("b", 1.0, 300.0), ("c", None, 200.0), ("d", 1.0, 299.999), ("e", 1.0, 99.0),
             ("f", 1.0, 301.0), ("g", 0.0, 10.0)]
