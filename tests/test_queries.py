@@ -4,6 +4,7 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as driver
+from rentlens.plans.catalogue import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,10 +16,10 @@ def con():
 
 def test_registration():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert not [n for n in driver.queries() if n.startswith("op") and n[2:3].isdigit()]
+    assert set(QUERIES) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     df = driver.queries()[name](spark, FOLDER)
     sql = driver.oracle_sql().get(name)
