@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rentlens.llm import bpe, simhash, token_cache
+from rentlens.llm import bpe, main_text, mixing, neighbours, pii, quality, simhash, token_cache
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(_table(spark, folder, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_cache.token_counts(_table(spark, folder, "documents"),
                                     public_tokenizers.path("byte_bpe_50k.json"))
@@ -29,5 +33,22 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_bpe, op5_token_counts, op6_simhash)}
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.schedule(_table(spark, folder, "documents").select("doc_id", "source"))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(_table(spark, folder, "documents"))
+
+
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(_table(spark, folder, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_bpe, op2_main_text, op5_token_counts, op6_simhash, op7_mixing, op8_quality, op9_pii, op10_neighbours)}
 ORACLES: dict[str, str] = {}

@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.llm.common import by_value, hex_of, stage, texts
@@ -48,16 +48,23 @@ def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
     return int(np.packbits(ones > half).view(">i8")[0])
 
 
+def _keys(doc_id: Column, text: Column) -> list[Column]:
+    """128 bits that stand for an id and its text."""
+    return [F.xxhash64(doc_id, text).alias("k"), F.xxhash64(text, doc_id).alias("k2")]
+
+
 def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) of every document; a null text counts as empty, whose fingerprint is zero."""
+    """(doc_id, k, k2, fp) of every document, with two digests of the row; a null text counts as empty."""
     def run(batches):
         for batch in batches:
             prints = [fingerprint(t.as_buffer().to_pybytes(), width, seed) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k", "k2")),
+                                              pa.array(prints, pa.int64())], ["doc_id", "k", "k2", "fp"])
 
     rows = texts(docs)
-    return (rows.select("doc_id", F.col("text").cast("binary").alias("text"))
-            .mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return (rows.select("doc_id", *_keys(F.col("doc_id"), F.col("text")), F.col("text").cast("binary").alias("text"))
+            .mapInArrow(run, f"doc_id {kind}, k long, k2 long, fp long"))
 
 
 def block_masks(distance: int = 3, blocks: int = 6) -> list[int]:
@@ -116,6 +123,17 @@ def links(prints: DataFrame, distance: int = 3, blocks: int = 6, pairs_to: int =
     return pairs.union(stars).distinct()
 
 
+def _members(docs: DataFrame, distance: int, width: int, seed: int, pairs_to: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, k, k2, fp) of every document, and (fp, component_id) of every fingerprint."""
+    prints = stage(fingerprints(docs, width, seed), "fingerprints")
+    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    tied = stage(components(links(nodes.select("fp"), distance, pairs_to=pairs_to)), "components")
+    ends = (nodes.join(tied.withColumnRenamed("node", "fp"), "fp", "left")
+            .withColumn("component", F.coalesce("component", "fp")))
+    ids = ends.groupBy("component").agg(F.min("first").alias("component_id"))
+    return prints, stage(ends.join(ids, "component").select("fp", "component", "component_id"), "ends")
+
+
 def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3, seed: int = 42,
                     pairs_to: int = PAIRS_TO) -> DataFrame:
     """doc_id, fingerprint and component_id of every document.
@@ -123,13 +141,24 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3, seed: in
     Equal fingerprints are one node, so copies are never paired; components are built on distinct fingerprints and
     joined back. ``component_id`` is the smallest doc_id that can be reached by links of at most ``distance`` bits.
     Null and empty texts share fingerprint zero and are linked like any other. Repeated rows each give a row. A null
-    doc_id keeps its row and is never a component_id unless all of its component are null. An empty table gives one.
+    doc_id keeps its row and is a component_id only where no other id is. An empty table gives an empty result.
     """
-    prints = stage(fingerprints(docs, width, seed), "fingerprints")
-    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    tied = stage(components(links(nodes.select("fp"), distance, pairs_to=pairs_to)), "components")
-    ends = (nodes.join(tied.withColumnRenamed("node", "fp"), "fp", "left")
-            .withColumn("component", F.coalesce("component", "fp")))
-    ids = ends.groupBy("component").agg(F.min("first").alias("component_id"))
-    ends = stage(ends.join(ids, "component").select("fp", "component_id"), "ends")
+    prints, ends = _members(docs, distance, width, seed, pairs_to)
     return prints.join(ends, "fp").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, distance: int = 3, width: int = 3, seed: int = 42,
+               pairs_to: int = PAIRS_TO) -> DataFrame:
+    """One document of each component of near-duplicates, with all its columns: the one with the smallest id.
+
+    Of rows that repeat that id the one with the smaller digest stays; a null id stays only where no other is.
+    """
+    prints, ends = _members(docs, distance, width, seed, pairs_to)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "k2")).alias("best")
+    # first within a fingerprint, so that the copies of a group are few when they meet
+    of_print = prints.groupBy("fp").agg(best).join(ends, "fp").select("component", "best.*")
+    first = stage(of_print.groupBy("component").agg(best).select("best.k", "best.k2"), "kept")
+    rows = docs.select(*_keys(F.col("doc_id"), F.coalesce("text", F.lit(""))),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return (rows.join(first, ["k", "k2"], "left_semi").groupBy("k", "k2").agg(F.first("row").alias("row"))
+            .select("row.*"))
