@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rentlens.llm import bpe, main_text, mixing, neighbours, pii, quality, simhash, token_cache
+from rentlens.llm import bpe, chunks, main_text, mixing, neighbours, pii, quality, simhash, sketch, token_cache
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,14 @@ def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extract(_table(spark, folder, "pages"))
 
 
+def op3_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.repeats(_table(spark, folder, "documents"))
+
+
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.fingerprints(_table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_cache.token_counts(_table(spark, folder, "documents"),
                                     public_tokenizers.path("byte_bpe_50k.json"))
@@ -50,5 +58,6 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_bpe, op2_main_text, op5_token_counts, op6_simhash, op7_mixing, op8_quality, op9_pii, op10_neighbours)}
+    op1_bpe, op2_main_text, op3_chunks, op4_fingerprints, op5_token_counts, op6_simhash, op7_mixing, op8_quality,
+    op9_pii, op10_neighbours)}
 ORACLES: dict[str, str] = {}
