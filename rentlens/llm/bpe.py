@@ -6,7 +6,10 @@ import hashlib
 import json
 import re
 import sys
-from collections.abc import Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -37,20 +40,26 @@ class Words:
     """
 
     def __init__(self, spec: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_str(spec)
-        self.tok.no_truncation()
-        self.tok.no_padding()
+        self.spec = spec
         special = [t["content"] for t in json.loads(spec)["added_tokens"]]
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
         self.specials = frozenset(special)
         self.latin = re.compile(PATTERN.replace(r"[\p{L}]", f"[{LETTER}]").replace(r"[\p{N}]", f"[{NUMBER}]")
                                 .replace(r"\s\p{L}\p{N}", SPACE + LETTER + NUMBER)).findall
 
+    @cached_property
+    def tok(self):
+        """The library's tokenizer, loaded where it is needed: most chunks are split without it."""
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_str(self.spec)
+        tok.no_truncation()
+        tok.no_padding()
+        return tok
+
     def split(self, text: str) -> list[str]:
         if "<|" in text and self.special.search(text):
             return [w for part in self.special.split(text)
@@ -106,8 +115,9 @@ def _unpack(data: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
-def _id_bytes(docs: DataFrame, spec: str, chunk_bytes: int) -> DataFrame:
-    """(doc_id, ids) with the ids as bytes. See ``encode``."""
+def _encoded(docs: DataFrame, spec: str, chunk_bytes: int, finish: Callable[[pa.ChunkedArray, Iterable[bytes]], pa.Table],
+             schema: str) -> DataFrame:
+    """The documents with their ids, as ``finish`` makes rows of doc_ids and packed ids. See ``encode``."""
     rows = texts(docs)
     chunks = chunk_count(total_bytes(rows), chunk_bytes)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -119,15 +129,15 @@ def _id_bytes(docs: DataFrame, spec: str, chunk_bytes: int) -> DataFrame:
             data = pa.array([press(t.as_buffer().to_pybytes()) for t in b.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("chunk"), b.column("doc_id"), data], ["chunk", "doc_id", "data"])
 
-    def words_of(table: pa.Table) -> Iterator[tuple[int, list[str]]]:
+    def words_of(table: pa.Table) -> Iterator[list[str]]:
         grow, words = zstandard.ZstdDecompressor().decompress, Words(spec)
-        for k, data in enumerate(table.column("data")):
-            yield k, words.split(grow(data.as_buffer()).decode())
+        for data in table.column("data"):
+            yield words.split(grow(data.as_buffer()).decode())
 
     def ask(table: pa.Table) -> pa.Table:
         chunk, found = table.column("chunk")[0].as_py(), set()
-        for _, split in words_of(table):
-            found.update(split)
+        for words in words_of(table):
+            found.update(words)
         parts = _dictionary(found, chunks)
         return pa.table({"bucket": pa.array(parts, pa.int64()), "chunk": pa.array([chunk] * len(parts), pa.int64()),
                          "words": pa.array([zstandard.compress("\n".join(p).encode(), 3) for p in parts.values()],
@@ -145,31 +155,28 @@ def _id_bytes(docs: DataFrame, spec: str, chunk_bytes: int) -> DataFrame:
                          "ids": pa.array([_pack([ids[w] for w in words]) for words in asked], pa.binary())})
 
     def assemble(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        split, found = [], set()
-        for _, words in words_of(docs):
-            split.append(words)
-            found.update(words)
-        parts, ids = _dictionary(found, chunks), {}
+        place: defaultdict[str, int] = defaultdict()
+        place.default_factory = place.__len__  # a word's position in the chunk's dictionary
+        split = [array("i", map(place.__getitem__, words)) for words in words_of(docs)]
+        parts, ids = _dictionary(set(place), chunks), [b""] * len(place)
         for bucket, data in zip(answers.column("bucket").to_pylist(), answers.column("ids")):
-            ids.update(zip(parts[bucket], _unpack(data.as_buffer())))
-        return pa.table({"doc_id": docs.column("doc_id"),
-                         "ids": pa.array([b"".join([ids[w] for w in words]) for words in split], pa.large_binary())
-                         .cast(pa.binary())})
+            for word, coded in zip(parts[bucket], _unpack(data.as_buffer())):
+                ids[place[word]] = coded
+        return finish(docs.column("doc_id"), (b"".join(map(ids.__getitem__, words)) for words in split))
 
     packed = (rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "doc_id",
                           F.col("text").cast("binary").alias("text"))
               .mapInArrow(squeeze, f"chunk long, doc_id {kind}, data binary"))
     asked = packed.groupBy("chunk").applyInArrow(ask, "bucket long, chunk long, words binary")
     answers = asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, ids binary")
-    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        assemble, f"doc_id {kind}, ids binary")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(assemble, f"doc_id {kind}, {schema}")
 
 
-def _lists(ids: pa.Array) -> pa.ListArray:
+def _lists(ids: list[bytes]) -> pa.LargeListArray:
     """Bytes of little-endian unsigned 32-bit integers as lists."""
-    ends = np.concatenate(([0], np.cumsum([len(x.as_buffer()) // 4 if x.is_valid else 0 for x in ids])))
-    data = b"".join(x.as_buffer().to_pybytes() for x in ids if x.is_valid)
-    return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(data, "<u4").astype("i8")))
+    ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids])))
+    return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()),
+                                         pa.array(np.frombuffer(b"".join(ids), "<u4").astype("i8")))
 
 
 def encode(docs: DataFrame, tokenizer: str, chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -184,13 +191,10 @@ def encode(docs: DataFrame, tokenizer: str, chunk_bytes: int = 4 << 20) -> DataF
     Null and empty texts have no ids. Special tokens in a text give their id. Repeated rows each give a row, a null
     doc_id stays null, other columns are left out, and an empty table gives an empty result.
     """
-    def lists(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(b.column("ids")).cast(pa.list_(pa.int64()))],
-                                             ["doc_id", "ids"])
+    def lists(doc_ids: pa.ChunkedArray, ids: Iterable[bytes]) -> pa.Table:
+        return pa.table({"doc_id": doc_ids, "ids": _lists(list(ids)).cast(pa.list_(pa.int64()))})
 
-    coded = _id_bytes(docs, load(tokenizer), chunk_bytes)
-    return coded.mapInArrow(lists, f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, {ENCODED}")
+    return _encoded(docs, load(tokenizer), chunk_bytes, lists, ENCODED)
 
 
 def pieces(tokenizer: str) -> pa.Array:
@@ -240,22 +244,15 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 def round_trip(docs: DataFrame, tokenizer: str, chunk_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256: ``encode`` and then ``decode``, with their results as digests.
 
-    Ids stay packed between the two, which only changes how they travel. Rows and nulls as in ``encode``.
+    A chunk's ids are decoded where they are put together. Rows and nulls as in ``encode``.
     """
     spec, table = load(tokenizer), _decoder(tokenizer)
     sha = lambda b: hashlib.sha256(b).hexdigest()
 
-    def run(batches):
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):  # bounded memory for very long texts
-                b = batch.slice(k, 256)
-                data = [x.as_buffer() for x in b.column("ids")]
-                texts = _joined(_lists(b.column("ids")), table)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array([len(x) // 4 for x in data], pa.int64()),
-                     pa.array([sha(x) for x in data]), pa.array([sha(x.as_buffer()) for x in texts])],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    coded = _id_bytes(docs, spec, chunk_bytes)
-    return coded.mapInArrow(run, f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, n_tokens long, "
-                                 "ids_sha256 string, decoded_sha256 string")
+    def digests(doc_ids: pa.ChunkedArray, ids: Iterable[bytes]) -> pa.Table:
+        rows = [(len(x) // 4, sha(x), sha(_joined(_lists([x]), table)[0].as_buffer())) for x in ids]
+        n, coded, decoded = zip(*rows) if rows else ((), (), ())
+        return pa.table({"doc_id": doc_ids, "n_tokens": pa.array(n, pa.int64()),
+                         "ids_sha256": pa.array(coded, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())})
+
+    return _encoded(docs, spec, chunk_bytes, digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
