@@ -16,10 +16,11 @@ from rentlens.llm.common import stage, texts
 PARAGRAPH = r"(?:[^\s]++[^\S\n]*+){1,8}+"
 CHECK = 77        #: seed of the check value
 CELLS = 4         #: cells of each part of a fingerprint, whose size is fixed
-LEAST = 16        #: cells of each part of a table to be peeled, at least
-ROUNDS = 7        #: passes over the three parts in an attempt
+LEAST = 32        #: cells of each part of a table to be peeled, at least
+ROUNDS = 4        #: passes over the three parts in an attempt
 GROWTH = 4        #: an attempt that leaves cells is made anew with a table so much larger
 BLOCK = 64        #: documents of neighbouring ids that are put in order together
+TASK = 8 << 20    #: bytes of text in a task; their cells take about twenty times as much
 
 EDITED, NEXT, PRINT, EDITED_PRINT, COUNTS = range(5)  # tables of a document
 
@@ -40,9 +41,9 @@ def _check(digest: Column) -> Column:
 
 
 def _size(many: Column, attempt: int) -> Column:
-    """Cells of each part for so many digests: a power of two with half as many at least."""
-    power = F.ceil(F.log2(F.greatest(many, F.lit(1)) / 2.0)).cast("int")
-    return F.greatest(F.lit(LEAST), F.pow(F.lit(2), F.greatest(power, F.lit(0))).cast("int")) * GROWTH ** attempt
+    """Cells of each part for so many digests: the next power of two."""
+    power = F.ceil(F.log2(F.greatest(many, F.lit(1)).cast("double")))
+    return F.greatest(F.lit(LEAST), F.pow(F.lit(2.0), power).cast("int")) * GROWTH ** attempt
 
 
 def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -156,7 +157,8 @@ def _in_order(docs: DataFrame) -> DataFrame:
     from a table of one row per block, so the texts are shuffled once. The smallest id is followed by the largest.
     """
     rows = texts(docs).withColumn("k", F.xxhash64("text"))
-    span = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).first()
+    span = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"),
+                    F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
     blocks = max(1, span["n"] // BLOCK)
     low, width = span["low"] or 0, max(1, -(-((span["high"] or 0) - (span["low"] or 0) + 1) // blocks))
     # rows without an id come last, in blocks below zero
@@ -174,7 +176,8 @@ def _in_order(docs: DataFrame) -> DataFrame:
     below = order.join(runs, "run").select("block", F.coalesce(F.lag("block").over(within), "under", "all").alias("below"))
     borders = (below.join(heads.withColumnRenamed("block", "below"), "below")
                .select("block", "doc_id", "k", "text", F.lit(1).alias("border")))
-    every = rows.withColumn("border", F.lit(0)).unionByName(borders)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (span["bytes"] or 0) // TASK)
+    every = rows.withColumn("border", F.lit(0)).unionByName(borders).repartition(tasks, "block")
     in_order = Window.partitionBy("block").orderBy("border", F.col("doc_id").desc_nulls_last(), "k")
     lead = {c: F.lead(x).over(in_order) for c, x in (("next_id", "doc_id"), ("next_k", "k"), ("following", "text"))}
     return every.withColumns({"place": F.row_number().over(in_order), **lead}).filter("border = 0").drop("border")
@@ -202,7 +205,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     about = rows.select(*keys, "doc_id", "k", "next_id", "next_k", F.char_length("text").cast("long").alias("n_chars"),
                         F.sha2(change.cast("binary"), 256).alias("edited_sha256"))
     done = stage(about.join(first, keys), "fingerprints")
-    failed = done.filter("near_edited is null or near_next is null").select(*keys, "doc_id", "k", "next_id", "next_k")
+    failed = stage(done.filter("near_edited is null or near_next is null")
+                   .select(*keys, "doc_id", "k", "next_id", "next_k"), "failed")
     out, attempt = None, 0
     while not failed.isEmpty():
         attempt += 1
@@ -221,7 +225,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Digests of the few documents whose tables did not peel, from their texts and those that follow them."""
-    both = wanted.select("doc_id", "k").union(wanted.select("next_id", "next_k")).distinct().alias("w")
+    both = stage(wanted.select("doc_id", "k").union(wanted.select("next_id", "next_k")).distinct(), "wanted").alias("w")
     rows = texts(docs).withColumn("k", F.xxhash64("text")).alias("r")
     same = F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("r.k") == F.col("w.k"))
     found = stage(rows.join(both, same, "left_semi").dropDuplicates(["doc_id", "k"]), "texts")
