@@ -6,6 +6,7 @@ import hashlib
 import json
 import re
 import sys
+import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -32,6 +33,16 @@ NUMBER = "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter of each byte in a byte-level vocabulary: itself if it shows, else the next one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class Words:
     """Splits texts into the words of a tokenizer file, and encodes single words.
 
@@ -74,8 +85,13 @@ class Words:
             return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
         return self.latin(text.lower())
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch(words, add_special_tokens=False)]
+    def encode(self, word: str) -> list[int]:
+        """Ids of a word that ``split`` gave: it is normalised already, so the library's merges take it as it is."""
+        if word in self.specials:
+            return [self.tok.token_to_id(word)]
+        plain = word.isascii() and word.isprintable()
+        letters = word if plain else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return [t.id for t in self.tok.model.tokenize(letters)]
 
 
 def load(path: str) -> str:
@@ -89,7 +105,7 @@ def load(path: str) -> str:
 
 
 def _bucket(word: str, buckets: int) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=4).digest(), "big") % buckets
+    return zlib.crc32(word.encode()) % buckets
 
 
 def _dictionary(found: set[str], buckets: int) -> dict[int, list[str]]:
@@ -146,11 +162,8 @@ def _encoded(docs: DataFrame, spec: str, chunk_bytes: int, finish: Callable[[pa.
     def answer(table: pa.Table) -> pa.Table:
         # the distinct-word table of this bucket: each word once, however many chunks hold it
         asked = [zstandard.decompress(w.as_buffer()).decode().split("\n") for w in table.column("words")]
-        distinct = list(dict.fromkeys(w for words in asked for w in words))
-        tok, ids = Words(spec), {}
-        for k in range(0, len(distinct), 4096):
-            part = distinct[k:k + 4096]
-            ids.update(zip(part, tok.encode(part)))
+        encode = Words(spec).encode
+        ids = {w: encode(w) for w in dict.fromkeys(w for words in asked for w in words)}
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
                          "ids": pa.array([_pack([ids[w] for w in words]) for words in asked], pa.binary())})
 
@@ -250,8 +263,23 @@ def round_trip(docs: DataFrame, tokenizer: str, chunk_bytes: int = 4 << 20) -> D
     sha = lambda b: hashlib.sha256(b).hexdigest()
 
     def digests(doc_ids: pa.ChunkedArray, ids: Iterable[bytes]) -> pa.Table:
-        rows = [(len(x) // 4, sha(x), sha(_joined(_lists([x]), table)[0].as_buffer())) for x in ids]
-        n, coded, decoded = zip(*rows) if rows else ((), (), ())
+        rows: list[tuple[int, str, str]] = []
+        part: list[bytes] = []
+
+        def put() -> None:
+            decoded = _joined(_lists(part), table)
+            rows.extend((len(x) // 4, sha(x), sha(t.as_buffer())) for x, t in zip(part, decoded))
+            part.clear()
+
+        held = 0
+        for x in ids:
+            part.append(x)
+            held += len(x)
+            if held > 1 << 20:  # bounded memory, whatever the length of the texts
+                put()
+                held = 0
+        put()
+        n, coded, decoded = zip(*rows)
         return pa.table({"doc_id": doc_ids, "n_tokens": pa.array(n, pa.int64()),
                          "ids_sha256": pa.array(coded, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())})
 
