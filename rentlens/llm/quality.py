@@ -23,6 +23,7 @@ RANK = 8            #: length of the factors of pairwise interactions
 TRAIN_ROWS = 12_000  #: at most so many labelled rows are learnt from, those with the smallest hash of their id
 FOLDS = 5           #: rows whose crc32(doc_id) is divisible by this are held out
 THRESHOLD = 0.3
+PART = 256          #: documents whose features are held at once
 
 NAMES = ["length", "words", "word_length", "upper", "digits", "symbols", "spaces", "lines", "line_length", "line_repeats",
          "word_repeats", "top_word", "sentences", "bare_words", "marked_words", "shouted_words", "longest_word", "letters",
@@ -189,8 +190,8 @@ def classify(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
 
     def run(batches):
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                b = batch.slice(k, 256)
+            for k in range(0, batch.num_rows, PART):
+                b = batch.slice(k, PART)
                 found = [features(t, c) for t, c in zip(b.column("text").to_pylist(), b.column("n_chars").to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores(model, found))],
                                                  ["doc_id", "score"])
@@ -211,7 +212,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, thresh
 
     @F.pandas_udf("double")
     def score(text: pd.Series, n_chars: pd.Series) -> pd.Series:
-        return pd.Series(scores(model, [features(t, c) for t, c in zip(text, n_chars)]), dtype=float)
+        parts = [scores(model, [features(t, c) for t, c in zip(text[k:k + PART], n_chars[k:k + PART])])
+                 for k in range(0, len(text), PART)]
+        return pd.Series(np.concatenate(parts) if parts else [], dtype=float)
 
     stated = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
     return docs.filter(score(F.coalesce("text", F.lit("")), stated) >= threshold)
