@@ -25,6 +25,9 @@ TASK = 8 << 20    #: bytes of text in a task; their cells take about twenty time
 EDITED, NEXT, PRINT, EDITED_PRINT, COUNTS = range(5)  # tables of a document
 
 
+NOTHING = "00000000:"  # the print of a text without paragraphs
+
+
 def paragraphs(text: Column) -> Column:
     """Distinct digests of a text's paragraphs; white space at their ends does not count."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)),
@@ -164,7 +167,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
     # rows without an id come last, in blocks below zero
     block = F.coalesce(F.expr(f"(doc_id - {low}L) div {width}L"), -1 - F.pmod("k", F.lit(blocks)))
     rows = rows.select(block.alias("block"), "doc_id", "k", "text")
-    top = F.struct(F.col("doc_id"), (-F.col("k")).alias("down"))
+    top = F.struct(F.col("doc_id"), F.bitwise_not("k").alias("down"))
     heads = rows.groupBy("block").agg(F.max_by(F.struct("doc_id", "k", "text"), top).alias("head"))
     heads = stage(heads.select("block", "head.*"), "heads")
     # the block below each block: within a run of blocks, else the top of the run below, else the top of all
@@ -204,7 +207,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     first = _compared(digests, keys, 0, True)
     about = rows.select(*keys, "doc_id", "k", "next_id", "next_k", F.char_length("text").cast("long").alias("n_chars"),
                         F.sha2(change.cast("binary"), 256).alias("edited_sha256"))
-    done = stage(about.join(first, keys), "fingerprints")
+    # a document without any paragraph on either side has no cell
+    none = {"near_edited": 1.0, "near_next": 1.0, "print": NOTHING, "edited_print": NOTHING}
+    first = first.withColumn("peeled", F.lit(True))
+    done = about.join(first, keys, "left")
+    done = stage(done.withColumns({c: F.when(F.col("peeled").isNull(), F.lit(v)).otherwise(F.col(c))
+                                   for c, v in none.items()}), "fingerprints")
     failed = stage(done.filter("near_edited is null or near_next is null")
                    .select(*keys, "doc_id", "k", "next_id", "next_k"), "failed")
     out, attempt = None, 0
