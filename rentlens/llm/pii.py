@@ -123,10 +123,14 @@ def _found(docs: DataFrame) -> DataFrame:
 
 
 def _word_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(term, n_term): in how many documents each wanted term occurs, over all documents and their whole texts."""
+    """(term, n_term): in how many documents each wanted term occurs, over all documents and their whole texts.
+
+    Words are counted where the texts lie before any of them moves, whether they are wanted or not.
+    """
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    return (texts(docs).select(F.explode(words).alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
-            .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+    counts = texts(docs).select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # an inner join: Spark would move a semi-join below the counting
+    return counts.join(wanted.select("term").distinct(), "term")
 
 
 def detect(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
