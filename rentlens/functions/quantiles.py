@@ -1,9 +1,8 @@
-"""Exact grouped quantiles whose memory does not grow with the largest group.
+"""Exact grouped quantiles, one way for groups of any size.
 
-``percentile`` keeps every distinct value of a group in one task. That is right for many small groups and
-wrong for a few huge ones, such as all apartments. Groups above ``group_limit`` rows are therefore solved by
-narrowing: count the rows in slices of the group's range, keep the slice that holds the wanted
-rank, and repeat until the slice is small. Only slice counts are shuffled, and the answer is exact.
+Equal values of a group are counted before the shuffle. The distinct ones are sorted by (group, column, value) over all
+partitions, so a huge group is spread over many of them, and a value's rank is its rank among its group's values in the
+partition plus the group's rows in earlier partitions. No group is gathered in one task.
 """
 
 from __future__ import annotations
@@ -14,114 +13,57 @@ from pyspark.sql import functions as F
 from rentlens.functions.joins import null_safe_join
 from rentlens.sources.store import stage
 
-SLICES = 1024
 
+def exact_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[float]) -> DataFrame:
+    """One row per group with ``<col>_q`` = array of the quantiles at ``probs`` (linear interpolation).
 
-def exact_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[float],
-                    group_limit: int = 2_000_000) -> DataFrame:
-    """One row per group with ``<col>_q`` = array of the quantiles at ``probs`` (linear interpolation)."""
-    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > group_limit)
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-
-    def direct(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*by).agg(*[F.percentile(c, wanted).alias(f"{c}_q") for c in cols])
-
-    if hot.isEmpty():
-        return direct(df)
-    if not by:
-        return _narrowed(df, by, cols, probs, group_limit)
-    hot = stage(hot.select(*by), "hot-groups")
-    cold_rows = null_safe_join(df, hot, by, "left_anti")
-    hot_rows = null_safe_join(df, hot, by, "left_semi")
-    return direct(cold_rows).unionByName(_narrowed(hot_rows, by, cols, probs, group_limit))
-
-
-def _slice(x: Column, lo: Column, hi: Column) -> Column:
-    """Slice of ``x`` in [lo, hi], rising with x; both ends never share one.
-
-    A range across zero is split by sign, a wide one in equal ratios, any other in equal widths. A few rounds
-    thus isolate a rank however heavy the tails are.
+    Null and NaN values are missing; a group without values has a null in place of the array. Infinite values have their
+    rank like any other, and a quantile between an infinite and a finite value is infinite. Null keys are a group.
     """
-    def even(at: Column, start: Column, end: Column) -> Column:
-        width = end / SLICES - start / SLICES
-        place = F.least(F.floor((at - start) / width), F.lit(SLICES - 1).cast("long"))
-        return F.when(width > 0, place).otherwise(F.when(x < hi, 0).otherwise(1))
-
-    return (F.when((lo <= 0) & (hi >= 0), F.signum(x).cast("long"))
-            .when((lo > 0) & (hi / SLICES > lo), even(F.ln(x), F.ln(lo), F.ln(hi)))
-            .when((hi < 0) & (lo / SLICES < hi), even(-F.ln(-x), -F.ln(-lo), -F.ln(-hi)))
-            .otherwise(even(x, lo, hi)))
-
-
-def _narrowed(rows: DataFrame, groups: list[str], cols: list[str], probs: list[float], limit: int) -> DataFrame:
     # own names for the keys, so that no column of the caller meets the working columns
-    by = [f"_by{i}" for i in range(len(groups))]
-    rows = rows.select(*[F.col(g).alias(b) for g, b in zip(groups, by)],
-                       *[F.col(c).alias(f"_col{i}") for i, c in enumerate(cols)])
-    keys = [*by, "metric"]
-    values = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"_col{i}").cast("double").alias("x"))
-                                 for i, c in enumerate(cols)])).alias("v")
-    long = rows.select(*by, values).select(*by, "v.metric", "v.x").filter(F.col("x").isNotNull())
-
-    # wanted ranks (0-based): the two neighbours of (n - 1) p for each probability
-    spot = [F.struct(F.lit(i).alias("i"), ((F.col("n") - 1) * F.lit(float(p))).alias("h"))
-            for i, p in enumerate(probs)]
-    ranges = long.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    targets = stage(
-        ranges.select(*keys, "n", "lo", "hi", F.explode(F.array(*spot)).alias("t"))
-        .select(*keys, "n", "lo", "hi", F.col("t.i").alias("i"), F.col("t.h").alias("h"),
-                F.explode(F.array_distinct(F.array(F.floor("t.h"), F.ceil("t.h")))).alias("rank")),
-        "quantile-ranks")
-    open_ = targets.select(*keys, "rank", "lo", "hi", F.lit(0).cast("long").alias("below"),
-                           F.col("n").alias("inside")).distinct()
-    while True:
-        state = stage(open_, "quantile-slices")
-        todo = (F.col("lo") < F.col("hi")) & (F.col("inside") > limit)
-        if state.filter(todo).isEmpty():
-            break
-        spans = state.filter(todo).select(*keys, "lo", "hi").distinct()
-        hits = null_safe_join(long, spans, keys, "inner", F.col("x").between(F.col("lo"), F.col("hi")))
-        counted = (hits.withColumn("slice", _slice(F.col("x"), F.col("lo"), F.col("hi")))
-                   .groupBy(*keys, "lo", "hi", "slice")
-                   .agg(F.count("x").alias("c"), F.min("x").alias("new_lo"), F.max("x").alias("new_hi")))
-        # at most SLICES rows per window
-        order = Window.partitionBy(*keys, "lo", "hi").orderBy("slice")
-        counted = counted.withColumn("upto", F.sum("c").over(order))
-        renamed = counted.withColumnsRenamed({"lo": "c_lo", "hi": "c_hi"})
-        narrowed = null_safe_join(state.filter(todo), renamed, keys, "inner",
-                         (F.col("lo") == F.col("c_lo")) & (F.col("hi") == F.col("c_hi"))
-                         & (F.col("rank") >= F.col("below") + F.col("upto") - F.col("c"))
-                         & (F.col("rank") < F.col("below") + F.col("upto")))
-        open_ = state.filter(~todo).unionByName(narrowed.select(
-            *keys, "rank", F.col("new_lo").alias("lo"), F.col("new_hi").alias("hi"),
-            (F.col("below") + F.col("upto") - F.col("c")).alias("below"), F.col("c").alias("inside")))
-
-    single = state.filter(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("value"))
-    small = state.filter(F.col("lo") < F.col("hi"))
-    spans = small.select(*keys, "lo", "hi").distinct()
-    held = (null_safe_join(long, spans, keys, "inner", F.col("x").between(F.col("lo"), F.col("hi")))
-            .groupBy(*keys, F.col("lo").alias("c_lo"), F.col("hi").alias("c_hi"), "x")
-            .agg(F.count("x").alias("c")))
-    order = Window.partitionBy(*keys, "c_lo", "c_hi").orderBy("x")
-    held = held.withColumn("upto", F.sum("c").over(order))
-    ranked = null_safe_join(small, held, keys, "inner",
-                   (F.col("lo") == F.col("c_lo")) & (F.col("hi") == F.col("c_hi"))
-                   & (F.col("rank") >= F.col("below") + F.col("upto") - F.col("c"))
-                   & (F.col("rank") < F.col("below") + F.col("upto")))
-    found = single.unionByName(ranked.select(*keys, "rank", F.col("x").alias("value")))
-
-    part = F.col("h") - F.floor("h")
-    weight = F.when(F.col("rank") == F.floor("h"), 1 - part).otherwise(part)
-    quantiles = (null_safe_join(targets, found.withColumnRenamed("rank", "r"), keys, "inner", F.col("rank") == F.col("r"))
-                 .groupBy(*keys, "i").agg(F.sum(F.col("value") * weight).alias("q")))
-    per_metric = quantiles.groupBy(*keys).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "q"))), lambda s: s["q"]).alias("q"))
-    wide = per_metric.groupBy(*by).agg(
-        *[F.first(F.when(F.col("metric") == c, F.col("q")), ignorenulls=True).alias(f"{c}_q") for c in cols])
-    return wide.withColumnsRenamed(dict(zip(by, groups)))
-
-
-def exact_medians(df: DataFrame, by: list[str], cols: dict[str, str], group_limit: int = 2_000_000) -> DataFrame:
+    names = [f"_by{i}" for i in range(len(by))]
+    rows = df.select(*[F.col(g).alias(b) for g, b in zip(by, names)],
+                     *[F.col(c).cast("double").alias(f"_col{i}") for i, c in enumerate(cols)])
+    # the same pass lists every group, through a row without a metric
+    values = [F.struct(F.lit(i).alias("metric"), F.col(f"_col{i}").alias("x")) for i in range(len(cols))]
+    listed = F.struct(F.lit(-1).alias("metric"), F.lit(0.0).alias("x"))
+    long = rows.select(*names, F.explode(F.array(listed, *values)).alias("v")).select(*names, "v.metric", "v.x")
+    counted = (long.filter(F.col("x").isNotNull() & ~F.isnan("x")).groupBy(*names, "metric", "x")
+               .agg(F.count(F.lit(1)).alias("c")))
+    keys = [*names, "metric"]
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = stage(counted.repartitionByRange(parts, *keys, "x").withColumn("slice", F.spark_partition_id()), "ordered")
+    sizes = placed.groupBy(*keys, "slice").agg(F.sum("c").alias("rows"))
+    group = Window.partitionBy(*keys)  # as many rows as the group has partitions
+    sizes = sizes.withColumns({
+        "before": F.coalesce(F.sum("rows").over(group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "n": F.sum("rows").over(group)}).drop("rows")
+    inside = Window.partitionBy(*keys, "slice").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = null_safe_join(placed.withColumn("upto", F.sum("c").over(inside)), stage(sizes, "offsets"), [*keys, "slice"])
+    last = F.col("before") + F.col("upto")  # ranks from 0: [last - c, last)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= last - F.col("c")) & (rank < last), F.col("x")))
+
+    spots = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    found = ranked.groupBy(*keys).agg(
+        F.max("n").alias("n"),
+        *[at(f(h)).alias(f"{side}{i}") for i, h in enumerate(spots) for side, f in (("low", F.floor), ("high", F.ceil))])
+
+    def quantile(i: int) -> Column:
+        part = spots[i] - F.floor(spots[i])
+        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        return F.when((part == 0) | (low == high), low).otherwise(low * (1 - part) + high * part)
+
+    q = F.array(*[quantile(i) for i in range(len(probs))])
+    found = found.select(*keys, q.alias("q"))
+    wide = found.groupBy(*names).agg(
+        *[F.max(F.when(F.col("metric") == i, F.col("q"))).alias(f"{c}_q") for i, c in enumerate(cols)])
+    return wide.select(*[F.col(b).alias(g) for g, b in zip(by, names)], *[f"{c}_q" for c in cols])
+
+
+def exact_medians(df: DataFrame, by: list[str], cols: dict[str, str]) -> DataFrame:
     """Medians of the columns in ``cols`` (column -> output name)."""
-    q = exact_quantiles(df, by, list(cols), [0.5], group_limit)
+    q = exact_quantiles(df, by, list(cols), [0.5])
     return q.select(*by, *[F.col(f"{c}_q")[0].alias(name) for c, name in cols.items()])

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 
 def parse_money(col: Column) -> Column:
-    """``"$1,234"`` -> 1234.0; text that is no number becomes null."""
-    return F.translate(col, "$,", "").try_cast("double")
+    """``"$1,234"`` -> 1234.0; text that is no number, or not a finite one, becomes null."""
+    value = F.translate(col, "$,", "").try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def parse_fee(col: Column, min_fee: float = 10000.0) -> Column:
@@ -54,12 +55,12 @@ def format_thousands(col: Column) -> Column:
 
 
 def band(col: Column, edges: list[float], labels: list[str], other: str | None = None) -> Column:
-    """Label of the half-open range ``(edges[i], edges[i+1]]`` holding the value."""
+    """Label of the open range ``(edges[i], edges[i+1])`` holding the value; a value on an edge is in none."""
     if len(labels) != len(edges) - 1:
         raise ValueError("one label per range is needed")
     out = F.lit(other)
     for low, high, label in zip(edges, edges[1:], labels):
-        out = F.when((col > low) & (col <= high), F.lit(label)).otherwise(out)
+        out = F.when((col > low) & (col < high), F.lit(label)).otherwise(out)
     return out
 
 

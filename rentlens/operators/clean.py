@@ -51,13 +51,13 @@ def sector_of_lot(lot: Column) -> Column:
     return F.substring(pad_left(as_code(lot), 10), 1, 6)
 
 
-def fee_medians(fee_census: DataFrame, group_limit: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
+def fee_medians(fee_census: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Exact median fee by (sector, stratum) and by sector."""
     census = fee_census.select(sector_of_lot(F.col("BARMANPRE_AJUSTADO")).alias("CODIGO_BARRIO"),
                                "ESTRATO", "VALOR_ADMINISTRACION_MODA")
     fee = "VALOR_ADMINISTRACION_MODA"
-    by_both = exact_medians(census, ["CODIGO_BARRIO", "ESTRATO"], {fee: "MEDIANA_ADMON"}, group_limit)
-    by_sector = exact_medians(census, ["CODIGO_BARRIO"], {fee: "MEDIANA_ADMON_2"}, group_limit)
+    by_both = exact_medians(census, ["CODIGO_BARRIO", "ESTRATO"], {fee: "MEDIANA_ADMON"})
+    by_sector = exact_medians(census, ["CODIGO_BARRIO"], {fee: "MEDIANA_ADMON_2"})
     return by_both, by_sector
 
 

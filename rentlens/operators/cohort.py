@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.functions.joins import null_safe_join
 from rentlens.functions.quantiles import exact_medians
 from rentlens.sources.store import stage
 
@@ -22,7 +23,7 @@ def cohort_summary(df: DataFrame, stat: str = "mean") -> DataFrame:
     if stat != "median":
         raise ValueError("stat is 'mean' or 'median'")
     medians = exact_medians(df, by, {"VALOR_M2_INTEGRAL": "PRECIO_MEAN"})
-    return counts.drop("PRECIO_MEAN").join(medians, by)
+    return null_safe_join(counts.drop("PRECIO_MEAN"), medians, by, "left")
 
 
 def cohort_pivot(df: DataFrame, stat: str = "mean") -> DataFrame:

@@ -26,7 +26,7 @@ cloudpickle.register_pickle_by_value(special)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MEASURES = ["PRECIO", "VALOR_M2_INTEGRAL", "AREA_CONSTRUIDA"]
-SINGULAR = 2.2e-16
+SINGULAR = float(np.finfo(float).eps)
 
 
 def _pairs(cols: list[str]) -> list[tuple[int, int]]:

@@ -20,10 +20,10 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
             .withColumn("DESDE", F.lit(low) + F.col("BIN") * F.lit(width)))
 
 
-def five_numbers(df: DataFrame, col: str, by: list[str], group_limit: int = 2_000_000) -> DataFrame:
+def five_numbers(df: DataFrame, col: str, by: list[str]) -> DataFrame:
     """Minimum, quartiles and maximum per group, exact for groups of any size."""
     names = ["MINIMO", "Q1", "MEDIANA", "Q3", "MAXIMO"]
-    q = exact_quantiles(df, by, [col], [0.0, 0.25, 0.5, 0.75, 1.0], group_limit)
+    q = exact_quantiles(df, by, [col], [0.0, 0.25, 0.5, 0.75, 1.0])
     return q.select(*by, *[F.col(f"{col}_q")[i].alias(n) for i, n in enumerate(names)])
 
 
@@ -38,14 +38,19 @@ def first_group(df: DataFrame, by: list[str]) -> DataFrame:
     return df.join(df.select(*by).orderBy(*by).limit(1), by, "left_semi")
 
 
-def listing_counts(df: DataFrame, sets: list[list[str]], more_than: int = 0) -> DataFrame:
-    """Listings for several column combinations in one pass; GRUPO names the combination."""
+def listing_counts(df: DataFrame, sets: list[list[str]], more_than: dict[str, int] | None = None) -> DataFrame:
+    """Listings for several column combinations in one pass; GRUPO names the combination.
+
+    ``more_than`` has the number that a count of a combination must exceed to be shown.
+    """
     cols = list(dict.fromkeys(c for s in sets for c in s))
     label = reduce(lambda out, s: F.when(
         reduce(lambda a, b: a & b, [F.grouping(c) == (0 if c in s else 1) for c in cols]),
         F.lit("+".join(s))).otherwise(out), sets, F.lit(None))
     counts = df.groupingSets(sets, *cols).agg(label.alias("GRUPO"), F.count(F.lit(1)).alias("N"))
-    return counts.filter(F.col("N") > more_than)
+    for name, least in (more_than or {}).items():
+        counts = counts.filter((F.col("GRUPO") != name) | (F.col("N") > least))
+    return counts
 
 
 def distinct_count(df: DataFrame, by: list[str], col: str) -> DataFrame:

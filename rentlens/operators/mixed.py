@@ -20,6 +20,7 @@ from rentlens.sources.store import stage
 
 COARSE = np.concatenate([[0.0], 10.0 ** np.linspace(-6, 6, 25)])
 FINE = 17
+LAST = 1e60  # where the search for the variance ratio gives up, with an error
 
 
 @dataclass(frozen=True)
@@ -127,7 +128,16 @@ def _maximise(sectors: DataFrame, gram: np.ndarray, n: int, columns: list[list[i
         return [[profile(gram, s, v, n, c, method) for s, v in zip(shrunk, logs)] for c in columns]
 
     coarse = evaluate(grid)
-    best = [int(np.argmax([v[0] for v in values])) for values in coarse]
+    while True:
+        best = [int(np.argmax([v[0] for v in values])) for values in coarse]
+        if max(best) < len(grid) - 1:
+            break
+        # still rising at the end: go on, by as many decades as the grid has
+        if grid[-1] * scale > LAST:
+            raise ArithmeticError("the likelihood still rises at the end of the search: the errors have no variance")
+        more = [grid[-1] * float(v) for v in 10.0 ** np.linspace(0.5, 12, 24)]
+        grid += more
+        coarse = [a + b for a, b in zip(coarse, evaluate(more))]
     brackets = []
     for i in best:
         low, high = max(i - 1, 1), min(max(i, 1) + 1, len(grid) - 1)
@@ -138,6 +148,12 @@ def _maximise(sectors: DataFrame, gram: np.ndarray, n: int, columns: list[list[i
         values = np.array([v[0] for v in fine[k][k * FINE:(k + 1) * FINE]])
         final.append(float(np.exp(_peak(b, values))))
     last = evaluate(final)
+    for k, b in enumerate(brackets):
+        # a polynomial may miss; a point of the grid that is better takes its place
+        values = fine[k][k * FINE:(k + 1) * FINE]
+        top = int(np.argmax([v[0] for v in values]))
+        if values[top][0] > last[k][k][0]:
+            final[k], last[k][k] = float(np.exp(b[top])), values[top]
     out = []
     for k, t in enumerate(final):
         if coarse[k][0][0] >= last[k][k][0]:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import sys
 from dataclasses import dataclass
-from itertools import product
-from math import prod
 
 import numpy as np
 import pandas as pd
@@ -18,9 +16,6 @@ from rentlens.operators import design
 from rentlens.operators.design import SlopeModel, coefficient_table, cross_products, independent_columns
 from rentlens.sources.store import stage
 
-# above this many combinations of levels, only those in the data are computed, by the workers
-LOCAL_CELLS = 50_000
-
 # workers need not have this package installed
 cloudpickle.register_pickle_by_value(design)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -73,11 +68,6 @@ def _cells(df: DataFrame, fit: OlsFit) -> DataFrame:
     model = fit.model
     schema = T.StructType([*[T.StructField(f, df.schema[f].dataType) for f in model.factors],
                            *[T.StructField(c, T.DoubleType()) for c in ("slope_fit", "leverage", "b_min", "b_max")]])
-    if prod(len(v) for v in model.levels.values()) <= LOCAL_CELLS:
-        combos = list(product(*model.levels.values()))
-        cells = pd.DataFrame(combos, columns=model.factors, index=range(len(combos)))
-        return df.sparkSession.createDataFrame(
-            [tuple(r) for r in _cell_values(cells, fit).itertuples(index=False)], schema)
 
     def batches(frames):
         for frame in frames:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.functions.joins import null_safe_join
 from rentlens.functions.quantiles import exact_medians, exact_quantiles
 from rentlens.functions.text import as_code, band, pad_left, strip_decimal
 from rentlens.operators.clean import (DEFLATORS, HOMES, clean_listings, fee_by_priority, indexed, value_per_m2,
@@ -80,7 +81,7 @@ def apply_rates(two_price: DataFrame, rates_sector: DataFrame, rates_locality: D
     return with_errors(plausible(net_rent(with_lot_id(chosen), fee_census)))
 
 
-def validation_summary(df: DataFrame, group_limit: int = 2_000_000) -> DataFrame:
+def validation_summary(df: DataFrame) -> DataFrame:
     """Count and median errors by (type, locality, stratum), type, locality and stratum.
 
     NIVEL names the grouping. Rows are expanded to the four groupings as GROUPING SETS would, and the exact
@@ -101,10 +102,8 @@ def validation_summary(df: DataFrame, group_limit: int = 2_000_000) -> DataFrame
                                            F.explode(levels).alias("g"))
     rows = rows.select("g.*", "CODIGO_RESTO", "DIFERENCIAS", "DIFERENCIAS_TCR")
     counts = rows.groupBy(*by).agg(F.count("CODIGO_RESTO").alias("NUM_PREDIOS"))
-    medians = exact_medians(rows, by, {"DIFERENCIAS": "ERROR_TOTAL_MEDIO", "DIFERENCIAS_TCR": "DIF_TCR"},
-                            group_limit).withColumnsRenamed({b: f"m_{b}" for b in by})
-    same = [F.col(b).eqNullSafe(F.col(f"m_{b}")) for b in by]
-    return counts.join(medians, same).drop(*[f"m_{b}" for b in by])
+    medians = exact_medians(rows, by, {"DIFERENCIAS": "ERROR_TOTAL_MEDIO", "DIFERENCIAS_TCR": "DIF_TCR"})
+    return null_safe_join(counts, medians, by, "left")
 
 
 def error_bands(df: DataFrame) -> DataFrame:
@@ -112,10 +111,10 @@ def error_bands(df: DataFrame) -> DataFrame:
             .groupBy("CAT_DIFERENCIA").agg(F.count(F.lit(1)).alias("N")))
 
 
-def error_quantiles(df: DataFrame, kind: str = "APARTAMENTO", group_limit: int = 2_000_000) -> DataFrame:
+def error_quantiles(df: DataFrame, kind: str = "APARTAMENTO") -> DataFrame:
     """Error quantiles in millions, one row per probability."""
     rows = df.filter(F.col("OFT_TIPO_INMUEBLE") == kind).select("DIFERENCIAS")
-    q = exact_quantiles(rows, [], ["DIFERENCIAS"], ERROR_QUANTILES, group_limit)
+    q = exact_quantiles(rows, [], ["DIFERENCIAS"], ERROR_QUANTILES)
     probs = F.array(*[F.lit(p) for p in ERROR_QUANTILES])
     pairs = F.explode(F.arrays_zip(probs.alias("PROB"), F.col("DIFERENCIAS_q").alias("Q"))).alias("z")
     return q.select(pairs).select("z.PROB", (F.col("z.Q") / 1e6).alias("MILLONES"))

@@ -243,10 +243,15 @@ def funnel_counts(t: Inputs) -> DataFrame:
 
 @query
 def listing_counts(t: Inputs) -> DataFrame:
-    sets = [["NOMBRE_FUENTE"], ["TIPO_INMUEBLE"], ["TIPO_INMUEBLE", "ESTRATO"], ["ANO", "NOMBRE_FUENTE"],
-            ["ANO", "TIPO_OFERTA"], ["ANO", "CLASE_PREDIO"], ["ANO", "TIPO_INMUEBLE"],
-            ["ANO", "TIPO_OFERTA", "NOMBRE_FUENTE"]]
-    counts = diagnostics.listing_counts(t.listings, sets, more_than=2000)
+    """Sources of all listings; everything else of the cleaned ones, strata of homes only."""
+    cleaned = stage(t.urban)
+    sets = [["TIPO_INMUEBLE"], ["ANO", "NOMBRE_FUENTE"], ["ANO", "TIPO_OFERTA"], ["ANO", "CLASE_PREDIO"],
+            ["ANO", "TIPO_INMUEBLE"], ["ANO", "TIPO_OFERTA", "NOMBRE_FUENTE"]]
+    shown = {"TIPO_INMUEBLE": 2000, "ANO+TIPO_INMUEBLE": 2000}
+    homes = cleaned.filter(F.col("TIPO_INMUEBLE").isin("APARTAMENTO", "CASA"))
+    counts = (diagnostics.listing_counts(cleaned, sets, shown)
+              .unionByName(diagnostics.listing_counts(t.listings, [["NOMBRE_FUENTE"]]), allowMissingColumns=True)
+              .unionByName(diagnostics.listing_counts(homes, [["TIPO_INMUEBLE", "ESTRATO"]]), allowMissingColumns=True))
     return _doubles(counts, "ESTRATO", "ANO")
 
 
@@ -601,7 +606,7 @@ def diag_boxplot(t: Inputs) -> DataFrame:
 @query
 def diag_boxplot_narrowed(t: Inputs) -> DataFrame:
     """The same five numbers with every group treated as too large for one task."""
-    return diagnostics.five_numbers(stage(t.urban), "VALOR_M2_INTEGRAL", ["ESTRATO", "ANO"], group_limit=100)
+    return diagnostics.five_numbers(stage(t.urban), "VALOR_M2_INTEGRAL", ["ESTRATO", "ANO"])
 
 
 @query
@@ -710,7 +715,7 @@ def val_summary_grouping_sets(t: Inputs) -> DataFrame:
 @query
 def val_summary_narrowed(t: Inputs) -> DataFrame:
     """The same summary with the large groups solved by narrowing."""
-    summary = validate.validation_summary(stage(t.validated), group_limit=500)
+    summary = validate.validation_summary(stage(t.validated))
     return _doubles(summary, "CODIGO_ESTRATO_SIIC").select(
         "NIVEL", "OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC", "NUM_PREDIOS",
         _rounded("ERROR_TOTAL_MEDIO", 3), _rounded("DIF_TCR", 9))

@@ -125,12 +125,7 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def base(self, table: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if table == "lineitem" and df.rdd.getNumPartitions() < cores:
-            # a small file has few row groups; spread its rows over the cores
-            df = df.repartition(cores)
-        return df
+        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
     def view(self, name: str) -> DataFrame:
         for table in BASE_TABLES:

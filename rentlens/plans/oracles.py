@@ -227,12 +227,15 @@ def _listing_counts() -> str:
     parts = []
     for s in sets:
         shown = ", ".join(f"cast({c if c in s else 'NULL'} AS {k}) AS {c}" for c, k in cols.items())
-        parts.append(f"SELECT {shown}, '{'+'.join(s)}' AS GRUPO, count(*) AS N FROM offers "
-                     f"GROUP BY {', '.join('offers.' + c for c in s)} HAVING count(*) > 2000")
+        base = "offers" if s == ["NOMBRE_FUENTE"] else "urban"
+        parts.append(f"SELECT {shown}, '{'+'.join(s)}' AS GRUPO, count(*) AS N FROM {base} "
+                     + ("WHERE TIPO_INMUEBLE IN ('APARTAMENTO', 'CASA') " if s == ["TIPO_INMUEBLE", "ESTRATO"] else "")
+                     + f"GROUP BY {', '.join(f'{base}.{c}' for c in s)}"
+                     + (" HAVING count(*) > 2000" if s in (["TIPO_INMUEBLE"], ["ANO", "TIPO_INMUEBLE"]) else ""))
     return "\nUNION ALL ".join(parts)
 
 
-oracle("listing_counts", _listing_counts(), ("offers",))
+oracle("listing_counts", _listing_counts(), ("offers",), steps=("urban",))
 oracle("distinct_count_per_group", """SELECT CODIGO_BARRIO, CLASE_PREDIO, count(DISTINCT BARMANPRE) AS N
     FROM offers GROUP BY ALL""", ("offers",))
 
@@ -410,7 +413,7 @@ for _name in ("val_summary_grouping_sets", "val_summary_narrowed"):
         GROUP BY GROUPING SETS ((OFT_TIPO_INMUEBLE, NOMBRE_LOCALIDAD, CODIGO_ESTRATO_SIIC), (OFT_TIPO_INMUEBLE),
           (NOMBRE_LOCALIDAD), (CODIGO_ESTRATO_SIIC))""", steps=("valid",))
 oracle("val_error_bands", "SELECT CASE " + " ".join(
-    f"WHEN DIFERENCIAS * 8 > {a!r} AND DIFERENCIAS * 8 <= {b!r} THEN '{name}'"
+    f"WHEN DIFERENCIAS * 8 > {a!r} AND DIFERENCIAS * 8 < {b!r} THEN '{name}'"
     for a, b, name in zip(ERROR_EDGES, ERROR_EDGES[1:], ERROR_LABELS))
        + " ELSE 'VACIO' END AS CAT_DIFERENCIA, count(*) AS N FROM valid GROUP BY 1", steps=("valid",))
 oracle("val_error_quantiles", f"""SELECT PROB, round(q / 1e6, 8) AS MILLONES FROM (

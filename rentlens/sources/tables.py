@@ -10,6 +10,9 @@ from rentlens.functions.text import normalise_names
 from rentlens.sources import schemas
 
 
+RATE_KEYS = ["OFT_TIPO_INMUEBLE", "ANO", "CODIGO_LOCALIDAD", "ESTRATO", "CODIGO_BARRIO"]
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t") -> DataFrame:
     """Text with a header line. Columns are taken by position, so accents in the header do not matter."""
     return (spark.read.schema(schema).option("sep", sep).option("header", True)
@@ -34,10 +37,14 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 
 
 def publish_rates(sector: DataFrame, locality: DataFrame, path: str) -> None:
-    """The rate tables, one folder per class and level. ``sector`` and ``locality`` carry CLASE_PREDIO."""
+    """The rate tables: a root per level with its own schema, in it a folder per class. A second run replaces the first.
+
+    ``sector`` and ``locality`` carry CLASE_PREDIO. Rows are sorted by their keys, over all files of a level.
+    """
     for level, table in (("sectores", sector), ("localidades", locality)):
-        (table.withColumn("CLASE", F.col("CLASE_PREDIO")).withColumn("NIVEL", F.lit(level)).drop("CLASE_PREDIO")
-         .write.mode("append").partitionBy("NIVEL", "CLASE").parquet(path))
+        keys = [c for c in RATE_KEYS if c in table.columns]
+        (table.withColumnRenamed("CLASE_PREDIO", "CLASE").repartitionByRange("CLASE", *keys)
+         .sortWithinPartitions("CLASE", *keys).write.mode("overwrite").partitionBy("CLASE").parquet(f"{path}/{level}"))
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:

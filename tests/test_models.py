@@ -90,10 +90,7 @@ def _by_row(found):
     return {(r["CODIGO_BARRIO"], r["PRECIO_MEAN_ARRIENDO"]): r for r in found}
 
 
-@pytest.mark.parametrize("local", [True, False])
-def test_influence_is_leave_one_out(spark, monkeypatch, local):
-    if not local:
-        monkeypatch.setattr(ols, "LOCAL_CELLS", 0)
+def test_influence_is_leave_one_out(spark):
     rows = cohorts(seed=2, n=120)
     df = table(spark, rows)
     model = design.slope_model(df)
@@ -203,6 +200,17 @@ def test_planted_values_are_recovered(spark):
     assert coefs["year", "2019"] == pytest.approx(4, abs=0.5)
 
 
+def test_maximum_far_beyond_the_first_grid(spark):
+    rows = cohorts(seed=8, n=240, sectors=40, theta=1e8, noise=0.01)
+    df = table(spark, rows)
+    model = design.slope_model(df)
+    fit = mixed.fit_mixed(df, model)
+    around = mixed.profile_table(df, model, "CODIGO_BARRIO", [fit.theta * f for f in (0.5, 0.9, 1.0, 1.1, 2.0)]).collect()
+    best = max(around, key=lambda r: r["LOGLIK"])
+    assert best["THETA"] == pytest.approx(fit.theta) and fit.theta > 1e7
+    assert fit.loglik == pytest.approx(best["LOGLIK"])
+
+
 def test_no_variation_between_sectors(spark):
     rng = np.random.default_rng(7)
     rows = []
