@@ -106,6 +106,14 @@ def validation_summary(df: DataFrame) -> DataFrame:
     return null_safe_join(counts, medians, by, "left")
 
 
+def validation_tables(df: DataFrame) -> dict[str, DataFrame]:
+    """What the validation publishes: its rows and the four summaries, each ordered by its keys."""
+    summary = stage(validation_summary(df), "summary")
+    keys = ["OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC"]
+    return {"BASE_FINAL": df} | {name: summary.filter(F.col("NIVEL") == name).drop("NIVEL").orderBy(*keys)
+                                 for name in ("RESUMEN", "RESUMEN_CP", "RESUMEN_LOC", "RESUMEN_EST")}
+
+
 def error_bands(df: DataFrame) -> DataFrame:
     return (df.withColumn("CAT_DIFERENCIA", band(F.col("DIFERENCIAS"), ERROR_EDGES, ERROR_LABELS, "VACIO"))
             .groupBy("CAT_DIFERENCIA").agg(F.count(F.lit(1)).alias("N")))

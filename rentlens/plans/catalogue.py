@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +35,10 @@ class Inputs(Tables):
     def study(self) -> Study:
         return _study(self.spark.sparkContext.applicationId, self.folder)
 
-    @property
+    @cached_property
     def urban(self) -> DataFrame:
-        """Listings after the exclusions, with numbers parsed."""
-        return clean.parsed_listings(clean.exclusions(clean.only_homes(self.listings)))
+        """Listings after the exclusions, with numbers parsed; derived once for a query, whatever its steps."""
+        return stage(clean.parsed_listings(clean.exclusions(clean.only_homes(self.listings))))
 
     @property
     def cohorts(self) -> DataFrame:
@@ -48,9 +48,9 @@ class Inputs(Tables):
     def imputed(self) -> DataFrame:
         return cohort.impute_cohorts(self.cohorts, self.urban, self.cadastral)
 
-    @property
+    @cached_property
     def split(self) -> DataFrame:
-        return cohort.split_by_ratio(self.imputed)
+        return stage(cohort.split_by_ratio(self.imputed))
 
     @property
     def apartments(self) -> DataFrame:
@@ -244,7 +244,7 @@ def funnel_counts(t: Inputs) -> DataFrame:
 @query
 def listing_counts(t: Inputs) -> DataFrame:
     """Sources of all listings; everything else of the cleaned ones, strata of homes only."""
-    cleaned = stage(t.urban)
+    cleaned = t.urban
     sets = [["TIPO_INMUEBLE"], ["ANO", "NOMBRE_FUENTE"], ["ANO", "TIPO_OFERTA"], ["ANO", "CLASE_PREDIO"],
             ["ANO", "TIPO_INMUEBLE"], ["ANO", "TIPO_OFERTA", "NOMBRE_FUENTE"]]
     shown = {"TIPO_INMUEBLE": 2000, "ANO+TIPO_INMUEBLE": 2000}
@@ -405,13 +405,13 @@ def pool_moments_merged(t: Inputs) -> DataFrame:
 
 @query
 def t2_statistic_p2(t: Inputs) -> DataFrame:
-    chart = control.t2_chart(stage(t.urban), SEGMENT, PAIR)
+    chart = control.t2_chart(t.urban, SEGMENT, PAIR)
     return chart.select("IDENTIFICADOR", *SEGMENT, "PRECIO", _rounded("t2", 5))
 
 
 @query
 def t2_statistic_p3(t: Inputs) -> DataFrame:
-    chart = control.t2_chart(stage(t.urban), SEGMENT, singular_tol=0.0)
+    chart = control.t2_chart(t.urban, SEGMENT, singular_tol=0.0)
     return chart.select("IDENTIFICADOR", *SEGMENT, "PRECIO", _rounded("t2", 5))
 
 
@@ -430,13 +430,13 @@ def t2_limit(t: Inputs) -> DataFrame:
 
 @query
 def t2_flags_p2(t: Inputs) -> DataFrame:
-    chart = control.t2_chart(stage(t.urban), SEGMENT, PAIR)
+    chart = control.t2_chart(t.urban, SEGMENT, PAIR)
     return chart.filter("is_outlier").select("IDENTIFICADOR", *SEGMENT, "PRECIO", "AREA_CONSTRUIDA")
 
 
 @query
 def chart_points(t: Inputs) -> DataFrame:
-    chart = control.t2_chart(stage(t.urban), SEGMENT, PAIR)
+    chart = control.t2_chart(t.urban, SEGMENT, PAIR)
     order = ["IDENTIFICADOR", "PRECIO", "AREA_CONSTRUIDA"]
     return control.chart_points(chart, SEGMENT, order).select(
         *SEGMENT, "label", "IDENTIFICADOR", _rounded("t2", 5), _rounded("ucl", 5), "out")
@@ -445,7 +445,7 @@ def chart_points(t: Inputs) -> DataFrame:
 @query
 def chart_first_group(t: Inputs) -> DataFrame:
     """The chart shown as an illustration: the first segment's."""
-    chart = control.t2_chart(diagnostics.first_group(stage(t.urban), SEGMENT), SEGMENT, PAIR)
+    chart = control.t2_chart(diagnostics.first_group(t.urban, SEGMENT), SEGMENT, PAIR)
     return control.chart_points(chart, SEGMENT, ["IDENTIFICADOR", "PRECIO", "AREA_CONSTRUIDA"]).select(
         *SEGMENT, "label", "IDENTIFICADOR", _rounded("t2", 5), "out")
 
@@ -606,7 +606,7 @@ def diag_boxplot(t: Inputs) -> DataFrame:
 @query
 def diag_boxplot_narrowed(t: Inputs) -> DataFrame:
     """The same five numbers with every group treated as too large for one task."""
-    return diagnostics.five_numbers(stage(t.urban), "VALOR_M2_INTEGRAL", ["ESTRATO", "ANO"])
+    return diagnostics.five_numbers(t.urban, "VALOR_M2_INTEGRAL", ["ESTRATO", "ANO"])
 
 
 @query
@@ -654,6 +654,35 @@ def rates_published(t: Inputs) -> DataFrame:
     return rates.published_sector_rates(t.fixed_rates)
 
 
+def _read_back(t: Inputs, level: str) -> DataFrame:
+    """Publish the rates twice and read a level."""
+    path = Store(t.spark, "rates").path("published")
+    both = [f(t.fixed_rates).withColumn("CLASE_PREDIO", F.lit("P"))
+            for f in (rates.published_sector_rates, rates.published_locality_rates)]
+    for _ in range(2):
+        tables.publish_rates(*map(stage, both), path)
+    return t.spark.read.parquet(f"{path}/{level}")
+
+
+@query
+def rates_sector_read_back(t: Inputs) -> DataFrame:
+    return _read_back(t, "sectores")
+
+
+@query
+def rates_locality_read_back(t: Inputs) -> DataFrame:
+    return _read_back(t, "localidades")
+
+
+@query
+def clean_rows_read_back(t: Inputs) -> DataFrame:
+    """Cleaned listings written as a table and read again."""
+    path = Store(t.spark, "clean").path("tables")
+    tables.write_tables({"DEPURADA": t.urban}, path)
+    return t.spark.read.parquet(f"{path}/DEPURADA").groupBy(*SEGMENT).agg(
+        F.count(F.lit(1)).alias("N"), F.sum("VALOR_M2_INTEGRAL").alias("TOTAL"))
+
+
 @query
 def distinct_rates(t: Inputs) -> DataFrame:
     return rates.published_locality_rates(t.fixed_rates)
@@ -704,6 +733,18 @@ def val_errors(t: Inputs) -> DataFrame:
     return t.validated.select("OFT_CODIGO", "DIFERENCIAS", "DIFERENCIAS_TCR")
 
 
+@query
+def val_tables_read_back(t: Inputs) -> DataFrame:
+    """The validation's base and its four summaries written as tables; the summaries read again."""
+    path = Store(t.spark, "validation").path("tables")
+    made = validate.validation_tables(stage(t.validated))
+    tables.write_tables(made, path)
+    found = [t.spark.read.parquet(f"{path}/{name}").withColumn("NIVEL", F.lit(name)) for name in made if name != "BASE_FINAL"]
+    summary = reduce(DataFrame.unionByName, found)
+    return _doubles(summary, "CODIGO_ESTRATO_SIIC").withColumns({
+        "ERROR_TOTAL_MEDIO": F.round("ERROR_TOTAL_MEDIO", 3), "DIF_TCR": F.round("DIF_TCR", 9)})
+
+
 @query
 def val_summary_grouping_sets(t: Inputs) -> DataFrame:
     summary = validate.validation_summary(stage(t.validated))

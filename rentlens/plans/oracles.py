@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rentlens.operators.clean import DEFLATORS
+from rentlens.operators.clean import DEFLATORS, SEGMENT
 from rentlens.operators.validate import ERROR_EDGES, ERROR_LABELS, ERROR_QUANTILES
 from rentlens.plans.catalogue import BLUP_THETA, THETAS
 from rentlens.plans.fixtures import with_views
@@ -390,6 +390,11 @@ oracle("rates_report", f"""SELECT A, ESTRATO, round(1 / TASA_RENTA, 5) AS TASA_R
 _PUBLISHED = """SELECT ANO, CODIGO_LOCALIDAD, ESTRATO, CODIGO_BARRIO, round(1 / TASA_RENTA, 5) AS TASA_RENTA
     FROM rates"""
 oracle("rates_published", _PUBLISHED, steps=("rates",))
+oracle("rates_sector_read_back", f"SELECT *, 'P' AS CLASE FROM ({_PUBLISHED})", steps=("rates",))
+oracle("rates_locality_read_back", """SELECT DISTINCT ANO, cast(CODIGO_LOCALIDAD AS int) AS CODIGO_LOCALIDAD, ESTRATO,
+    round(1 / (Coef_all + Coef_est + Coef_loc + Coef_year), 5) AS TASA_RENTA, 'P' AS CLASE FROM rates""", steps=("rates",))
+oracle("clean_rows_read_back", f"""SELECT {', '.join(SEGMENT)}, count(*) AS N, sum(VALOR_M2_INTEGRAL) AS TOTAL
+    FROM urban GROUP BY ALL""", steps=("urban",))
 oracle("distinct_rates", """SELECT DISTINCT ANO, cast(CODIGO_LOCALIDAD AS int) AS CODIGO_LOCALIDAD, ESTRATO,
     round(1 / (Coef_all + Coef_est + Coef_loc + Coef_year), 5) AS TASA_RENTA FROM rates""", steps=("rates",))
 oracle("val_rates_union", f"""SELECT *, 'CASA' AS OFT_TIPO_INMUEBLE FROM ({_PUBLISHED})
@@ -404,7 +409,7 @@ oracle("val_plausible", """SELECT OFT_CODIGO, VR_INICIAL_ARRIENDO / VR_INICIAL_V
 oracle("val_estimate", """SELECT OFT_CODIGO, VR_INICIAL_ARRIENDO, TCR_ESTADISTICA, TCR_OIC, VENTA_ESTIMADA FROM valid""",
        steps=("valid",))
 oracle("val_errors", "SELECT OFT_CODIGO, DIFERENCIAS, DIFERENCIAS_TCR FROM valid", steps=("valid",))
-for _name in ("val_summary_grouping_sets", "val_summary_narrowed"):
+for _name in ("val_summary_grouping_sets", "val_summary_narrowed", "val_tables_read_back"):
     oracle(_name, """SELECT CASE grouping(OFT_TIPO_INMUEBLE, NOMBRE_LOCALIDAD, CODIGO_ESTRATO_SIIC)
           WHEN 0 THEN 'RESUMEN' WHEN 3 THEN 'RESUMEN_CP' WHEN 5 THEN 'RESUMEN_LOC' ELSE 'RESUMEN_EST' END AS NIVEL,
         OFT_TIPO_INMUEBLE, NOMBRE_LOCALIDAD, cast(CODIGO_ESTRATO_SIIC AS double) AS CODIGO_ESTRATO_SIIC,
