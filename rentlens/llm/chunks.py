@@ -16,7 +16,7 @@ by_value(sys.modules[__name__])
 
 WINDOW = 16       #: bytes that the rolling hash sees: it has 16 bits and moves up one bit per byte
 REACH = 24        #: a cut has the smallest hash within so many bytes on both sides, so chunks have 49 bytes on average
-LEAST = 64        #: bytes of neighbouring repeated chunks that make a repeated passage
+LEAST = 100       #: bytes of neighbouring repeated chunks that make a repeated passage: more than a common line
 SEGMENT = 1 << 22
 GEAR = np.random.default_rng(64).integers(0, 1 << 16, 256).astype(np.uint16)
 
