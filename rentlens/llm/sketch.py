@@ -25,9 +25,6 @@ TASK = 8 << 20    #: bytes of text in a task; their cells take about twenty time
 EDITED, NEXT, PRINT, EDITED_PRINT, COUNTS = range(5)  # tables of a document
 
 
-NOTHING = "00000000:"  # the print of a text without paragraphs
-
-
 def paragraphs(text: Column) -> Column:
     """Distinct digests of a text's paragraphs; white space at their ends does not count."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)),
@@ -80,7 +77,8 @@ def _spread(rows: DataFrame, keys: list[str], attempt: int, tables: dict[str, li
     """Every digest once for each part of each of its tables, as a cell that holds one digest.
 
     ``rows`` has columns a, e and b of digests; ``tables`` says which tables a column's digests go to. Digests of e and b
-    are taken from those of a. The numbers of digests go along as cells 0, 1 and 2 of the table COUNTS.
+    are taken from those of a. The numbers of digests go along, plus one so that every row has cells, as cells 0, 1
+    and 2 of the table COUNTS.
     """
     rows = rows.withColumns({f"n_{c}": F.size(c) for c in "aeb"})
     rows = rows.withColumns({"size0": _size(F.col("n_a") + F.col("n_e"), attempt),
@@ -92,7 +90,7 @@ def _spread(rows: DataFrame, keys: list[str], attempt: int, tables: dict[str, li
         return F.transform(column, lambda d: F.struct(d.alias("digest"), F.lit(-1 if column in "eb" else 1).alias("sign"),
                                                       F.array(*map(F.lit, slots)).alias("slots")))
 
-    counts = F.array(*[F.struct(F.col(f"n_{c}").cast("long").alias("digest"), F.lit(0).alias("sign"),
+    counts = F.array(*[F.struct((F.col(f"n_{c}") + 1).cast("long").alias("digest"), F.lit(0).alias("sign"),
                                 F.array(F.lit(COUNTS * 4 + k)).alias("slots")) for k, c in enumerate("aeb")])
     carried = [*keys, "size0", "size1"]
     digests = rows.select(*carried, F.explode(F.concat(counts, *map(of, tables))).alias("d"))
@@ -138,7 +136,7 @@ def _compared(rows: DataFrame, keys: list[str], attempt: int, prints: bool) -> D
     out = cells.groupBy(*keys).agg(
         *[total((task == t) & (cell == -1)).alias(f"apart{t}") for t in (EDITED, NEXT)],
         *[F.count(F.when((task == t) & (cell >= 0), 1)).alias(f"left{t}") for t in (EDITED, NEXT)],
-        *[total((task == COUNTS) & (cell == k)).alias(f"n_{c}") for k, c in enumerate("aeb")],
+        *[(total((task == COUNTS) & (cell == k)) - 1).alias(f"n_{c}") for k, c in enumerate("aeb")],
         *[F.array_join(F.array_sort(F.collect_list(F.when(task == t, text))), "").alias(c) for c, t in of.items()])
     near = [F.when(F.col(f"left{t}") == 0, likeness(F.col("n_a"), F.col(f"n_{c}"), F.col(f"apart{t}"))).alias(name)
             for t, c, name in ((EDITED, "e", "near_edited"), (NEXT, "b", "near_next"))]
@@ -207,12 +205,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     first = _compared(digests, keys, 0, True)
     about = rows.select(*keys, "doc_id", "k", "next_id", "next_k", F.char_length("text").cast("long").alias("n_chars"),
                         F.sha2(change.cast("binary"), 256).alias("edited_sha256"))
-    # a document without any paragraph on either side has no cell
-    none = {"near_edited": 1.0, "near_next": 1.0, "print": NOTHING, "edited_print": NOTHING}
-    first = first.withColumn("peeled", F.lit(True))
-    done = about.join(first, keys, "left")
-    done = stage(done.withColumns({c: F.when(F.col("peeled").isNull(), F.lit(v)).otherwise(F.col(c))
-                                   for c, v in none.items()}), "fingerprints")
+    # both sides read one shuffle of the texts, as an inner join asks the same of them
+    done = stage(about.join(first, keys), "fingerprints")
     failed = stage(done.filter("near_edited is null or near_next is null")
                    .select(*keys, "doc_id", "k", "next_id", "next_k"), "failed")
     out, attempt = None, 0
