@@ -96,16 +96,17 @@ def cross_products(df: DataFrame, model: SlopeModel) -> tuple[np.ndarray, int]:
 
 def independent_columns(a: np.ndarray, tol: float = 1e-10) -> list[int]:
     """Columns of a Gram matrix that are not a combination of earlier ones."""
+    # a Cholesky factor that grows by a row for each column kept: one triangular step per column, no solve
+    rows = np.zeros_like(a)  # row k: the k-th kept column's part of every column
+    rest = np.diag(a).astype(float).copy()
     kept: list[int] = []
     for j in range(len(a)):
-        if a[j, j] <= 0:
+        if a[j, j] <= 0 or rest[j] <= tol * a[j, j]:
             continue
-        rest = a[j, j]
-        if kept:
-            cross = a[kept, j]
-            rest -= cross @ np.linalg.solve(a[np.ix_(kept, kept)], cross)
-        if rest > tol * a[j, j]:
-            kept.append(j)
+        k = len(kept)
+        rows[k] = (a[j] - rows[:k, j] @ rows[:k]) / np.sqrt(rest[j])
+        rest -= rows[k] ** 2
+        kept.append(j)
     return kept
 
 

@@ -182,6 +182,17 @@ def fit_mixed(df: DataFrame, model: SlopeModel, group: str = "CODIGO_BARRIO", me
     return _fitted(sectors, model, group, method, n, kept, *_maximise(sectors, gram, n, [kept], method)[0])
 
 
+def fit_at(df: DataFrame, model: SlopeModel, theta: float, group: str = "CODIGO_BARRIO",
+           method: str = "REML") -> MixedFit:
+    """The model at a given variance ratio."""
+    gram, n = cross_products(df, model)
+    kept = independent_columns(gram[:-1, :-1])
+    sectors = stage(sector_terms(df, model, group), "sector-terms")
+    shrunk, logs = shrunk_products(sectors, [theta], len(gram))
+    return _fitted(sectors, model, group, method, n, kept, theta,
+                   *profile(gram, shrunk[0], logs[0], n, kept, method))
+
+
 def _fitted(sectors: DataFrame, model: SlopeModel, group: str, method: str, n: int, columns: list[int],
             theta: float, loglik: float, sigma2: float, short: np.ndarray) -> MixedFit:
     beta = np.full(len(model.terms), np.nan)

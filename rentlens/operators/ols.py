@@ -81,12 +81,11 @@ def with_influence(df: DataFrame, fit: OlsFit) -> DataFrame:
     model = fit.model
     x, y, p, n = F.col(model.slope), F.col(model.response), fit.rank, fit.n
     rows = model.rows(df)
-    cells = _cells(df, fit)
     if model.factors:
-        rows = rows.join(cells, model.factors)
-    else:
-        only = cells.first()
-        rows = rows.withColumns({c: F.lit(only[c]) for c in cells.columns})
+        rows = rows.join(_cells(df, fit), model.factors)
+    else:  # one cell, and no column to make a table of
+        only = _cell_values(pd.DataFrame(index=[0]), fit).iloc[0]
+        rows = rows.withColumns({c: F.lit(float(v)) for c, v in only.items()})
     rows = rows.withColumn("residual", y - x * F.col("slope_fit")).withColumn("hat", x * x * F.col("leverage"))
     # a row that fixes its own fitted value has no influence measures
     rows = rows.withColumn("free", F.when(F.col("hat") < 1 - 1e-10, 1 - F.col("hat")))

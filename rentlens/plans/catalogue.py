@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, lru_cache, reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from rentlens.functions import text
 from rentlens.operators import (clean, cohort, control, design, diagnostics, mixed, ols, pooling, rates,
                                 validate)
 from rentlens.plans.fixtures import Tables
-from rentlens.plans.study import Study
+from rentlens.plans.study import ClassStudy, Study
 from rentlens.sources import schemas, tables
 from rentlens.sources.store import Store, stage
 
@@ -20,20 +20,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SEGMENT = clean.SEGMENT
 COHORT = cohort.COHORT
 N_COLUMNS = ("N_ARRIENDO", "N_VENTA")
-
-
-@lru_cache(maxsize=8)
-def _study(app: str, folder: str) -> Study:
-    t = Tables(SparkSession.active(), folder)
-    return Study(t.listings, t.fee_census, t.cadastral)
+CLASSES = ("P", "N")
 
 
 class Inputs(Tables):
     """Fixture views and the steps that several queries start from."""
 
-    @property
+    @cached_property
     def study(self) -> Study:
-        return _study(self.spark.sparkContext.applicationId, self.folder)
+        """The steps that this query asks for, from the tables as they are now."""
+        return Study(self.listings, self.fee_census, self.cadastral)
 
     @cached_property
     def urban(self) -> DataFrame:
@@ -52,10 +48,11 @@ class Inputs(Tables):
     def split(self) -> DataFrame:
         return stage(cohort.split_by_ratio(self.imputed))
 
-    @property
-    def apartments(self) -> DataFrame:
-        """Cohorts the apartment model is fitted on."""
-        return stage(self.split.filter((F.col("SPLIT") == "in") & (F.col("CLASE_PREDIO") == "P")))
+    @cached_property
+    def classes(self) -> dict[str, DataFrame]:
+        """Cohorts that the model of each property class is fitted on."""
+        inside = stage(self.split.filter(F.col("SPLIT") == "in"))
+        return {kind: inside.filter(F.col("CLASE_PREDIO") == kind) for kind in CLASSES}
 
     @property
     def fixed_rates(self) -> DataFrame:
@@ -81,6 +78,21 @@ def _rounded(name: str, digits: int):
     return (F.round(name, digits) + F.lit(0.0)).alias(name)
 
 
+def _labelled(parts: dict[str, DataFrame]) -> DataFrame:
+    """The tables of the property classes as one, told apart by CLASE_PREDIO."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [df.withColumn("CLASE_PREDIO", F.lit(kind)) for kind, df in parts.items()])
+
+
+def _by_class(t: Inputs, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``make`` of the cohorts of each property class."""
+    return _labelled({kind: make(rows) for kind, rows in t.classes.items()})
+
+
+def _study_by_class(t: Inputs, make: Callable[[ClassStudy], DataFrame]) -> DataFrame:
+    return _labelled({kind: make(t.study.classes[kind]) for kind in CLASSES})
+
+
 # ---- sources -------------------------------------------------------------------------------------------
 
 @query
@@ -464,64 +476,86 @@ def qc_two_pass(t: Inputs) -> DataFrame:
 
 # ---- models --------------------------------------------------------------------------------------------
 
+def _origin(rows: DataFrame) -> design.SlopeModel:
+    return design.slope_model(rows, ())
+
+
+def _one_factor(rows: DataFrame) -> design.SlopeModel:
+    return design.slope_model(rows, ("ESTRATO",))
+
+
+KEYS = ["CLASE_PREDIO", "CODIGO_BARRIO", "ESTRATO", "ANO"]
+
+
 @query
 def onehot(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    model = design.slope_model(rows)
-    return design.with_indicators(rows, model).select(
-        "CODIGO_BARRIO", "ESTRATO", "ANO", *[f"{f}{v}" for f, v in model.terms[1:]])
+    """One column per level of either class; a level that a class lacks is 0 there."""
+    def indicators(rows: DataFrame) -> DataFrame:
+        model = design.slope_model(rows)
+        return design.with_indicators(rows, model).select(
+            "CODIGO_BARRIO", "ESTRATO", "ANO", *[f"{f}{v}" for f, v in model.terms[1:]])
 
-
-def _origin(rows: DataFrame) -> design.SlopeModel:
-    return design.slope_model(rows, ())
+    return _by_class(t, indicators).fillna(0)
 
 
 @query
 def ols_origin_p1(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    fit = ols.fit_ols(rows, _origin(rows))
-    return ols.ols_coefficients(rows, fit).select("FACTOR", "NIVEL", _rounded("COEF", 6))
+    return _by_class(t, lambda rows: ols.ols_coefficients(rows, ols.fit_ols(rows, _origin(rows)))).select(
+        "CLASE_PREDIO", "FACTOR", "NIVEL", _rounded("COEF", 6))
+
+
+@query
+def ols_one_factor(t: Inputs) -> DataFrame:
+    """A slope per stratum: the base's, and each other stratum's difference from it."""
+    return _by_class(t, lambda rows: ols.ols_coefficients(rows, ols.fit_ols(rows, _one_factor(rows)))).select(
+        "CLASE_PREDIO", "FACTOR", "NIVEL", _rounded("COEF", 6))
 
 
 @query
 def ols_normal_equations(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    fit = ols.fit_ols(rows, design.slope_model(rows))
-    return ols.normal_equations(rows, fit).select("FACTOR", "NIVEL", _rounded("RELATIVE", 8))
+    return _by_class(t, lambda rows: ols.normal_equations(rows, ols.fit_ols(rows, design.slope_model(rows)))).select(
+        "CLASE_PREDIO", "FACTOR", "NIVEL", _rounded("RELATIVE", 8))
 
 
 @query
 def ols_coefs(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    return ols.ols_coefficients(rows, ols.fit_ols(rows, design.slope_model(rows)))
+    return _by_class(t, lambda rows: ols.ols_coefficients(rows, ols.fit_ols(rows, design.slope_model(rows))))
 
 
-def _influence_p1(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    return ols.with_influence(rows, ols.fit_ols(rows, _origin(rows)))
+def _influence(t: Inputs, model: Callable[[DataFrame], design.SlopeModel]) -> DataFrame:
+    return _by_class(t, lambda rows: ols.with_influence(rows, ols.fit_ols(rows, model(rows))))
 
 
 @query
 def cook_p1(t: Inputs) -> DataFrame:
-    return _influence_p1(t).select("CODIGO_BARRIO", "ESTRATO", "ANO", _rounded("hat", 9), _rounded("cook", 9))
+    return _influence(t, _origin).select(*KEYS, _rounded("hat", 9), _rounded("cook", 9))
 
 
 @query
 def dfbetas_p1(t: Inputs) -> DataFrame:
-    return _influence_p1(t).select("CODIGO_BARRIO", "ESTRATO", "ANO", _rounded("dfbetas_max", 8))
+    return _influence(t, _origin).select(*KEYS, _rounded("dfbetas_max", 8))
+
+
+@query
+def influence_one_factor(t: Inputs) -> DataFrame:
+    return _influence(t, _one_factor).select(
+        *KEYS, *[_rounded(c, 7) for c in ("hat", "cook", "dfbetas_min", "dfbetas_max")])
+
+
+@query
+def prune_one_factor(t: Inputs) -> DataFrame:
+    return _by_class(t, lambda rows: ols.prune_influential(rows, _one_factor(rows))).select(
+        *KEYS, "PRECIO_MEAN_ARRIENDO", "PRECIO_MEAN_VENTA")
 
 
 @query
 def cook(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    return ols.with_influence(rows, ols.fit_ols(rows, design.slope_model(rows))).select(
-        "CODIGO_BARRIO", "ESTRATO", "ANO", "hat", "cook", "dfbetas_min", "dfbetas_max")
+    return _influence(t, design.slope_model).select(*KEYS, "hat", "cook", "dfbetas_min", "dfbetas_max")
 
 
 @query
 def prune(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    return ols.prune_influential(rows, design.slope_model(rows))
+    return _by_class(t, lambda rows: ols.prune_influential(rows, design.slope_model(rows)))
 
 
 # theta values of the profile queries
@@ -531,57 +565,88 @@ BLUP_THETA = 1e-10
 
 @query
 def lmm_profile_p1(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    table = mixed.profile_table(rows, _origin(rows), "CODIGO_BARRIO", THETAS)
-    return table.select("THETA", _rounded("LOGLIK", 5), (F.round(F.col("SIGMA2") / 1e9, 6)).alias("SIGMA2"))
+    table = _by_class(t, lambda rows: mixed.profile_table(rows, _origin(rows), "CODIGO_BARRIO", THETAS))
+    return table.select("CLASE_PREDIO", "THETA", _rounded("LOGLIK", 5),
+                        (F.round(F.col("SIGMA2") / 1e9, 6)).alias("SIGMA2"))
+
+
+def _fit_p1(rows: DataFrame) -> mixed.MixedFit:
+    return mixed.fit_at(rows, _origin(rows), BLUP_THETA)
 
 
 @query
 def lmm_blup_p1(t: Inputs) -> DataFrame:
-    rows = t.apartments
-    model = _origin(rows)
-    sectors = stage(mixed.sector_terms(rows, model, "CODIGO_BARRIO"))
-    gram, n = design.cross_products(rows, model)
-    shrunk, logs = mixed.shrunk_products(sectors, [BLUP_THETA], len(gram))
-    beta = mixed.profile(gram, shrunk[0], logs[0], n, [0], "REML")[2]
-    effects = mixed.random_effects(sectors, "CODIGO_BARRIO", beta, BLUP_THETA)
-    return effects.select("CODIGO_BARRIO", _rounded("RAN_EFFECT", 6))
+    return _by_class(t, lambda rows: _fit_p1(rows).ranef).select(
+        "CLASE_PREDIO", "CODIGO_BARRIO", _rounded("RAN_EFFECT", 6))
+
+
+@query
+def lmm_fixed_p1(t: Inputs) -> DataFrame:
+    return _by_class(t, lambda rows: _fit_p1(rows).coefs).select(
+        "CLASE_PREDIO", "FACTOR", "NIVEL", _rounded("COEF", 6))
+
+
+def _residuals_p1(t: Inputs) -> DataFrame:
+    return _by_class(t, lambda rows: mixed.with_fitted(rows, _fit_p1(rows)))
+
+
+@query
+def lmm_residuals_p1(t: Inputs) -> DataFrame:
+    return _residuals_p1(t).select(*KEYS, _rounded("Fitted", 3), _rounded("Residuals", 3))
+
+
+@query
+def lmm_residual_boxplot_p1(t: Inputs) -> DataFrame:
+    box = diagnostics.five_numbers(_residuals_p1(t), "Residuals", ["CLASE_PREDIO", "ESTRATO", "ANO"])
+    return box.select("CLASE_PREDIO", "ESTRATO", "ANO", *[
+        _rounded(c, 3) for c in ("MINIMO", "Q1", "MEDIANA", "Q3", "MAXIMO")])
+
+
+@query
+def lmm_residual_histogram_p1(t: Inputs) -> DataFrame:
+    return diagnostics.histogram(stage(_residuals_p1(t)), "Residuals").select("BIN", "N")
+
+
+@query
+def lmm_random_histogram_p1(t: Inputs) -> DataFrame:
+    effects = stage(_by_class(t, lambda rows: _fit_p1(rows).ranef))
+    return diagnostics.histogram(effects, "RAN_EFFECT").select("BIN", "N")
 
 
 @query
 def lmm_fixed(t: Inputs) -> DataFrame:
-    return t.study.classes["P"].fit.coefs
+    return _study_by_class(t, lambda c: c.fit.coefs)
 
 
 @query
 def lmm_random(t: Inputs) -> DataFrame:
-    return t.study.classes["P"].fit.ranef
+    return _study_by_class(t, lambda c: c.fit.ranef)
 
 
 @query
 def lmm_anova(t: Inputs) -> DataFrame:
-    return t.study.classes["P"].anova
+    return _study_by_class(t, lambda c: c.anova)
 
 
 @query
 def lmm_residuals(t: Inputs) -> DataFrame:
-    return t.study.classes["P"].residuals.select(
-        "CODIGO_BARRIO", "ESTRATO", "ANO", "PRECIO_MEAN_ARRIENDO", "PRECIO_MEAN_VENTA", "Fitted", "Residuals")
+    return _study_by_class(t, lambda c: c.residuals).select(
+        *KEYS, "PRECIO_MEAN_ARRIENDO", "PRECIO_MEAN_VENTA", "Fitted", "Residuals")
 
 
 @query
 def lmm_residual_boxplot(t: Inputs) -> DataFrame:
-    return diagnostics.five_numbers(t.study.classes["P"].residuals, "Residuals", ["ESTRATO", "ANO"])
+    return _study_by_class(t, lambda c: diagnostics.five_numbers(c.residuals, "Residuals", ["ESTRATO", "ANO"]))
 
 
 @query
 def lmm_residual_histogram(t: Inputs) -> DataFrame:
-    return diagnostics.histogram(t.study.classes["P"].residuals, "Residuals")
+    return _study_by_class(t, lambda c: diagnostics.histogram(c.residuals, "Residuals"))
 
 
 @query
 def lmm_random_histogram(t: Inputs) -> DataFrame:
-    return diagnostics.histogram(t.study.classes["P"].fit.ranef, "RAN_EFFECT")
+    return _study_by_class(t, lambda c: diagnostics.histogram(c.fit.ranef, "RAN_EFFECT"))
 
 
 @query
@@ -605,7 +670,7 @@ def diag_boxplot(t: Inputs) -> DataFrame:
 
 @query
 def diag_boxplot_narrowed(t: Inputs) -> DataFrame:
-    """The same five numbers with every group treated as too large for one task."""
+    """Five numbers; the quantiles have one path for groups of any size."""
     return diagnostics.five_numbers(t.urban, "VALOR_M2_INTEGRAL", ["ESTRATO", "ANO"])
 
 
@@ -755,7 +820,7 @@ def val_summary_grouping_sets(t: Inputs) -> DataFrame:
 
 @query
 def val_summary_narrowed(t: Inputs) -> DataFrame:
-    """The same summary with the large groups solved by narrowing."""
+    """The validation summary; its medians have one path for groups of any size."""
     summary = validate.validation_summary(stage(t.validated))
     return _doubles(summary, "CODIGO_ESTRATO_SIIC").select(
         "NIVEL", "OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC", "NUM_PREDIOS",

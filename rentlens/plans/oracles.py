@@ -58,7 +58,35 @@ STEPS = {
           THEN 'in' WHEN PRECIO_MEAN_VENTA / PRECIO_MEAN_ARRIENDO < 100
           OR PRECIO_MEAN_VENTA / PRECIO_MEAN_ARRIENDO > 300 THEN 'out' END AS SPLIT FROM imputed"""),
     "flats": ([], ["split"], """SELECT *, PRECIO_MEAN_ARRIENDO AS x, PRECIO_MEAN_VENTA AS y FROM split
-        WHERE SPLIT = 'in' AND CLASE_PREDIO = 'P'"""),
+        WHERE SPLIT = 'in'"""),
+    "beta1": ([], ["flats"], """SELECT CLASE_PREDIO, sum(x * y) / sum(x * x) AS beta, sum(x * x) AS sxx, count(*) AS n
+        FROM flats GROUP BY CLASE_PREDIO"""),
+    "fit1": ([], ["beta1"], "SELECT *, y - beta * x AS e, x * x / sxx AS h FROM flats JOIN beta1 USING (CLASE_PREDIO)"),
+    "slopes": ([], ["flats"], """SELECT CLASE_PREDIO, ESTRATO, sum(x * y) / sum(x * x) AS b, sum(x * x) AS s,
+        ESTRATO = min(ESTRATO) OVER (PARTITION BY CLASE_PREDIO) AS base, count(*) OVER (PARTITION BY CLASE_PREDIO) AS p,
+        sum(count(*)) OVER (PARTITION BY CLASE_PREDIO) AS n FROM flats GROUP BY CLASE_PREDIO, ESTRATO"""),
+    # one slope per stratum. A row moves its own stratum's coefficient; one of the base moves all others the other way,
+    # most where the sum of squares is largest
+    "by_stratum": ([], ["slopes"], """SELECT f.*, y - b * x AS e, x * x / s AS h, s, base, p, n,
+        sum((y - b * x) * (y - b * x)) OVER (PARTITION BY CLASE_PREDIO) AS sse
+        FROM flats f JOIN slopes USING (CLASE_PREDIO, ESTRATO)"""),
+    "influence": ([], ["by_stratum"], """SELECT CLASE_PREDIO, CODIGO_BARRIO, ESTRATO, ANO, PRECIO_MEAN_ARRIENDO,
+        PRECIO_MEAN_VENTA, h, n, p, e * e * h / (p * sse / (n - p) * (1 - h) * (1 - h)) AS cook,
+        least(0, own, other) AS low, greatest(0, own, other) AS high
+        FROM (SELECT r.*, CASE WHEN base THEN change / sqrt(s) ELSE change / s / sqrt(1 / s + 1 / s0) END AS own,
+            CASE WHEN base THEN -change / s / sqrt(1 / s + 1 / s_high) END AS other
+          FROM (SELECT *, x * e / ((1 - h) * sqrt((sse - e * e / (1 - h)) / (n - p - 1))) AS change FROM by_stratum) r
+          JOIN (SELECT CLASE_PREDIO, max(CASE WHEN base THEN s END) AS s0, max(CASE WHEN NOT base THEN s END) AS s_high
+            FROM slopes GROUP BY CLASE_PREDIO) q USING (CLASE_PREDIO))"""),
+    "shrunk": ([], ["flats"], f"""SELECT *, {_real(BLUP_THETA)} / (1 + {_real(BLUP_THETA)} * s) AS c
+        FROM (SELECT CLASE_PREDIO, CODIGO_BARRIO, sum(x * x) AS s, sum(x * y) AS w, sum(y * y) AS yy, count(*) AS k
+          FROM flats GROUP BY CLASE_PREDIO, CODIGO_BARRIO)"""),
+    "beta_mixed": ([], ["shrunk"], """SELECT CLASE_PREDIO, (sum(w) - sum(c * w * s)) / (sum(s) - sum(c * s * s)) AS beta
+        FROM shrunk GROUP BY CLASE_PREDIO"""),
+    "blup": ([], ["beta_mixed"], """SELECT CLASE_PREDIO, CODIGO_BARRIO, beta, c * (w - s * beta) AS RAN_EFFECT
+        FROM shrunk JOIN beta_mixed USING (CLASE_PREDIO)"""),
+    "residuals": ([], ["blup"], """SELECT f.*, x * (beta + RAN_EFFECT) AS fit, y - x * (beta + RAN_EFFECT) AS e
+        FROM flats f JOIN blup USING (CLASE_PREDIO, CODIGO_BARRIO)"""),
     "counts": ([], ["urban"], f"""SELECT {SEG}, CODIGO_BARRIO AS code, count(*) AS n FROM urban
         GROUP BY {SEG}, CODIGO_BARRIO"""),
     "pairs": ([], ["counts"], f"""SELECT {SEG}, a.code, b.code AS other, b.n AS n_neighbour,
@@ -325,35 +353,54 @@ oracle("chart_first_group", f"""SELECT {SEG}, row_number() OVER (ORDER BY IDENTI
 
 _LEVELS = [("ESTRATO", v) for v in (2, 3, 4, 5)] + [("ANO", v) for v in (2018, 2019, 2020)] + [
     ("CODIGO_LOCALIDAD", v) for v in range(1, 24)]
-oracle("onehot", "SELECT CODIGO_BARRIO, ESTRATO, ANO, " + ", ".join(
+oracle("onehot", "SELECT CLASE_PREDIO, CODIGO_BARRIO, ESTRATO, ANO, " + ", ".join(
     f"cast(CASE WHEN {f} = '{v}' THEN 1 ELSE 0 END AS int) AS {f}{v}" for f, v in _LEVELS) + " FROM flats",
        steps=("flats",))
-oracle("ols_origin_p1", "SELECT 'all' AS FACTOR, '' AS NIVEL, round(sum(x * y) / sum(x * x), 6) AS COEF FROM flats",
-       steps=("flats",))
-oracle("ols_normal_equations", """SELECT 'all' AS FACTOR, '' AS NIVEL, 0.0::double AS RELATIVE
-    UNION ALL SELECT DISTINCT 'ESTRATO', cast(ESTRATO AS varchar), 0.0::double FROM flats
-    UNION ALL SELECT DISTINCT 'CODIGO_LOCALIDAD', CODIGO_LOCALIDAD, 0.0::double FROM flats
-    UNION ALL SELECT DISTINCT 'ANO', cast(ANO AS varchar), 0.0::double FROM flats""", steps=("flats",))
-_FIT1 = """(SELECT *, y - beta * x AS e, x * x / sxx AS h FROM flats,
-    (SELECT sum(x * y) / sum(x * x) AS beta, sum(x * x) AS sxx, count(*) AS n FROM flats))"""
-_SSE1 = f"(SELECT sum(e * e) AS sse FROM {_FIT1})"
-oracle("cook_p1", f"""SELECT CODIGO_BARRIO, ESTRATO, ANO, round(h, 9) AS hat,
-    round(e * e * h / (sse / (n - 1) * (1 - h) * (1 - h)), 9) AS cook FROM {_FIT1}, {_SSE1}""", steps=("flats",))
-oracle("dfbetas_p1", f"""SELECT CODIGO_BARRIO, ESTRATO, ANO,
+oracle("ols_origin_p1", "SELECT CLASE_PREDIO, 'all' AS FACTOR, '' AS NIVEL, round(beta, 6) AS COEF FROM beta1",
+       steps=("beta1",))
+oracle("ols_one_factor", """SELECT CLASE_PREDIO, CASE WHEN base THEN 'all' ELSE 'est' END AS FACTOR,
+    CASE WHEN base THEN '' ELSE cast(ESTRATO AS varchar) END AS NIVEL,
+    round(b - CASE WHEN base THEN 0 ELSE b0 END, 6) + 0 AS COEF
+    FROM slopes JOIN (SELECT CLASE_PREDIO, b AS b0 FROM slopes WHERE base) USING (CLASE_PREDIO)""", steps=("slopes",))
+oracle("ols_normal_equations", "UNION ALL ".join(
+    f"""SELECT DISTINCT CLASE_PREDIO, '{f}' AS FACTOR, {v} AS NIVEL, 0.0::double AS RELATIVE FROM flats
+    """ for f, v in (("all", "''"), ("ESTRATO", "cast(ESTRATO AS varchar)"), ("CODIGO_LOCALIDAD", "CODIGO_LOCALIDAD"),
+                     ("ANO", "cast(ANO AS varchar)"))), steps=("flats",))
+_SSE1 = "(SELECT CLASE_PREDIO, sum(e * e) AS sse FROM fit1 GROUP BY CLASE_PREDIO)"
+_KEYS = "CLASE_PREDIO, CODIGO_BARRIO, ESTRATO, ANO"
+oracle("cook_p1", f"""SELECT {_KEYS}, round(h, 9) AS hat,
+    round(e * e * h / (sse / (n - 1) * (1 - h) * (1 - h)), 9) AS cook FROM fit1 JOIN {_SSE1} USING (CLASE_PREDIO)""",
+       steps=("fit1",))
+oracle("dfbetas_p1", f"""SELECT {_KEYS},
     round(x * e / ((1 - h) * sqrt((sse - e * e / (1 - h)) / (n - 2)) * sqrt(sxx)), 8) + 0 AS dfbetas_max
-    FROM {_FIT1}, {_SSE1}""", steps=("flats",))
-_SECTOR = "(SELECT CODIGO_BARRIO, sum(x * x) AS s, sum(x * y) AS w, sum(y * y) AS yy, count(*) AS k FROM flats GROUP BY 1)"
-oracle("lmm_profile_p1", f"""SELECT THETA, round(-0.5 * ((n - 1) * (ln(2 * pi() * q / (n - 1)) + 1) + logs + ln(a)), 5)
-      AS LOGLIK, round(q / (n - 1) / 1e9, 6) AS SIGMA2
-    FROM (SELECT THETA, n, logs, a, qy - b * b / a AS q FROM (
-      SELECT THETA, sum(k) AS n, sum(ln(1 + THETA * s)) AS logs,
+    FROM fit1 JOIN {_SSE1} USING (CLASE_PREDIO)""", steps=("fit1",))
+oracle("influence_one_factor", f"""SELECT {_KEYS}, round(h, 7) AS hat, round(cook, 7) AS cook,
+    round(low, 7) + 0 AS dfbetas_min, round(high, 7) + 0 AS dfbetas_max FROM influence""", steps=("influence",))
+oracle("prune_one_factor", f"""SELECT {_KEYS}, PRECIO_MEAN_ARRIENDO, PRECIO_MEAN_VENTA FROM influence
+    WHERE cook < 4.0::double * p / n AND high <= 6 / sqrt(n)""", steps=("influence",))
+oracle("lmm_profile_p1", f"""SELECT CLASE_PREDIO, THETA,
+    round(-0.5 * ((n - 1) * (ln(2 * pi() * q / (n - 1)) + 1) + logs + ln(a)), 5) AS LOGLIK,
+    round(q / (n - 1) / 1e9, 6) AS SIGMA2
+    FROM (SELECT CLASE_PREDIO, THETA, n, logs, a, qy - b * b / a AS q FROM (
+      SELECT CLASE_PREDIO, THETA, sum(k) AS n, sum(ln(1 + THETA * s)) AS logs,
         sum(s) - sum(THETA / (1 + THETA * s) * s * s) AS a, sum(w) - sum(THETA / (1 + THETA * s) * w * s) AS b,
         sum(yy) - sum(THETA / (1 + THETA * s) * w * w) AS qy
-      FROM {_SECTOR}, (SELECT unnest([{', '.join(_real(v) for v in THETAS)}]) AS THETA) GROUP BY THETA))""",
-       steps=("flats",))
-_C = f"({_real(BLUP_THETA)} / (1 + {_real(BLUP_THETA)} * s))"
-oracle("lmm_blup_p1", f"""SELECT CODIGO_BARRIO, round({_C} * (w - s * beta), 6) + 0 AS RAN_EFFECT FROM {_SECTOR},
-    (SELECT (sum(w) - sum({_C} * w * s)) / (sum(s) - sum({_C} * s * s)) AS beta FROM {_SECTOR})""", steps=("flats",))
+      FROM shrunk, (SELECT unnest([{', '.join(_real(v) for v in THETAS)}]) AS THETA) GROUP BY CLASE_PREDIO, THETA))""",
+       steps=("shrunk",))
+oracle("lmm_blup_p1", "SELECT CLASE_PREDIO, CODIGO_BARRIO, round(RAN_EFFECT, 6) + 0 AS RAN_EFFECT FROM blup",
+       steps=("blup",))
+oracle("lmm_fixed_p1", "SELECT CLASE_PREDIO, 'all' AS FACTOR, '' AS NIVEL, round(beta, 6) AS COEF FROM beta_mixed",
+       steps=("beta_mixed",))
+oracle("lmm_residuals_p1", f"""SELECT {_KEYS}, round(fit, 3) + 0 AS Fitted, round(e, 3) + 0 AS Residuals
+    FROM residuals""", steps=("residuals",))
+oracle("lmm_residual_boxplot_p1", """SELECT CLASE_PREDIO, ESTRATO, ANO, round(min(e), 3) + 0 AS MINIMO,
+    round(quantile_cont(e, 0.25), 3) + 0 AS Q1, round(median(e), 3) + 0 AS MEDIANA,
+    round(quantile_cont(e, 0.75), 3) + 0 AS Q3, round(max(e), 3) + 0 AS MAXIMO FROM residuals GROUP BY ALL""",
+       steps=("residuals",))
+for _name, _step, _value in (("lmm_residual_histogram_p1", "residuals", "e"),
+                             ("lmm_random_histogram_p1", "blup", "RAN_EFFECT")):
+    oracle(_name, f"""SELECT cast(least(floor(({_value} - lo) / ((hi - lo) / 30)), 29) AS int) AS BIN, count(*) AS N
+        FROM {_step}, (SELECT min({_value}) AS lo, max({_value}) AS hi FROM {_step}) GROUP BY 1""", steps=(_step,))
 oracle("coef_terms", """SELECT 'PRECIO_MEAN_ARRIENDO' AS rowname, cast(NULL AS varchar) AS ESTRATO,
       cast(NULL AS varchar) AS CODIGO_LOCALIDAD, cast(NULL AS varchar) AS ANO, 1 AS Intercepto
     UNION ALL SELECT DISTINCT concat('PRECIO_MEAN_ARRIENDO:ESTRATO', ESTRATO), cast(ESTRATO AS varchar), NULL, NULL, 0
