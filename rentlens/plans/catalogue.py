@@ -429,8 +429,9 @@ def t2_statistic_p3(t: Inputs) -> DataFrame:
 
 @query
 def t2_limit_p2(t: Inputs) -> DataFrame:
+    """Of every group; those of one or two rows, or without a measure that varies, have no limit."""
     stats = control.moments(t.urban, [*SEGMENT, "CODIGO_LOCALIDAD"], PAIR)
-    limits = control.chart_parameters(stats, 2, singular_tol=0.0).filter("p = 2 AND n > 2")
+    limits = control.chart_parameters(stats, 2, singular_tol=1e-12, scaled=True)
     return limits.select(*SEGMENT, "CODIGO_LOCALIDAD", "n", "p", _rounded("ucl", 6))
 
 
@@ -454,12 +455,31 @@ def chart_points(t: Inputs) -> DataFrame:
         *SEGMENT, "label", "IDENTIFICADOR", _rounded("t2", 5), _rounded("ucl", 5), "out")
 
 
+POOL = [*SEGMENT, "CODIGO_BARRIO_NEW"]
+
+
 @query
 def chart_first_group(t: Inputs) -> DataFrame:
-    """The chart shown as an illustration: the first segment's."""
-    chart = control.t2_chart(diagnostics.first_group(t.urban, SEGMENT), SEGMENT, PAIR)
-    return control.chart_points(chart, SEGMENT, ["IDENTIFICADOR", "PRECIO", "AREA_CONSTRUIDA"]).select(
-        *SEGMENT, "label", "IDENTIFICADOR", _rounded("t2", 5), "out")
+    """The chart shown as an illustration: the first pool of the first segment, on three measures."""
+    first = diagnostics.first_group(stage(pooling.pool_codes(t.urban)), POOL)
+    chart = control.t2_chart(first, POOL, singular_tol=0.0)
+    return control.chart_points(chart, POOL, ["IDENTIFICADOR", "PRECIO", "AREA_CONSTRUIDA"]).select(
+        *POOL, "label", "IDENTIFICADOR", _rounded("t2", 5), _rounded("ucl", 5), "out")
+
+
+@query
+def qc_pass_pools(t: Inputs) -> DataFrame:
+    """A control pass by pool; no measure is dropped for a covariance that is only close to singular."""
+    scored = control.control_pass(t.urban, singular_tol=0.0)
+    return scored.groupBy(*POOL).agg(F.count(F.lit(1)).alias("N"), F.count_if("is_outlier").alias("OUT"),
+                                     F.round(F.first("ucl"), 6).alias("UCL"))
+
+
+@query
+def qc_two_pass_rows(t: Inputs) -> DataFrame:
+    """Rows that two passes keep, with the pool of the second."""
+    return control.quality_control(t.urban, singular_tol=0.0).select(
+        "IDENTIFICADOR", *POOL, "CODIGO_BARRIO", "PRECIO", "AREA_CONSTRUIDA")
 
 
 @query
@@ -856,10 +876,9 @@ def second_sample_union(t: Inputs) -> DataFrame:
 
 
 def _survivors(t: Inputs) -> DataFrame:
-    """Both prices of some properties, one price of others."""
-    sample = validate.union_samples(t.two_price, t.urban)
-    return sample.filter((F.col("AREA_CONSTRUIDA") % 3 == 0)
-                         | ((F.col("AREA_CONSTRUIDA") % 3 == 1) & (F.col("TIPO_OFERTA") == "VENTA")))
+    """Rows of both samples that two passes of the control keep."""
+    sample = stage(clean.clean_listings(validate.union_samples(t.two_price, t.urban), t.fee_census))
+    return control.quality_control(sample, singular_tol=0.0)
 
 
 @query

@@ -8,6 +8,7 @@ from rentlens.plans.catalogue import BLUP_THETA, THETAS
 from rentlens.plans.fixtures import with_views
 
 ORACLES: dict[str, str] = {}
+RECURSIVE = ("walk", "bisect")
 
 
 def _real(v: float) -> str:
@@ -89,25 +90,6 @@ STEPS = {
         FROM flats f JOIN blup USING (CLASE_PREDIO, CODIGO_BARRIO)"""),
     "counts": ([], ["urban"], f"""SELECT {SEG}, CODIGO_BARRIO AS code, count(*) AS n FROM urban
         GROUP BY {SEG}, CODIGO_BARRIO"""),
-    "pairs": ([], ["counts"], f"""SELECT {SEG}, a.code, b.code AS other, b.n AS n_neighbour,
-        CASE {' '.join(f"WHEN substr(a.code, 1, {k}) = substr(b.code, 1, {k}) THEN {k}" for k in (5, 4, 3, 2, 1))}
-          ELSE 0 END AS prefix_len,
-        1 - levenshtein(a.code, b.code) / greatest(length(a.code), length(b.code)) AS similarity
-        FROM counts a JOIN counts b USING ({SEG}) WHERE a.n <= 10 AND a.code <> b.code"""),
-    "neighbours": ([], ["pairs"], f"""SELECT {SEG}, code, other AS neighbour, prefix_len, similarity, n_neighbour
-        FROM pairs QUALIFY row_number() OVER (PARTITION BY {SEG}, code
-          ORDER BY prefix_len DESC, similarity DESC, n_neighbour DESC, other) = 1"""),
-    # walk along the neighbours; the walk ends at a sector that is not small or when it meets a known one
-    "walk": ([], ["neighbours"], f"""SELECT {SEG}, code, neighbour AS place, [code, neighbour] AS seen FROM neighbours
-        UNION ALL SELECT w.ANO, w.CLASE_PREDIO, w.ESTRATO, w.TIPO_OFERTA, w.code, s.neighbour,
-          list_append(w.seen, s.neighbour)
-        FROM walk w JOIN neighbours s ON w.ANO = s.ANO AND w.CLASE_PREDIO = s.CLASE_PREDIO AND w.ESTRATO = s.ESTRATO
-          AND w.TIPO_OFERTA = s.TIPO_OFERTA AND w.place = s.code
-        WHERE len(list_distinct(w.seen)) = len(w.seen)"""),
-    "roots": ([], ["walk"], f"""SELECT {SEG}, code,
-        CASE WHEN len(list_distinct(seen)) = len(seen) THEN place
-          ELSE list_max(list_slice(seen, list_position(seen, place), len(seen))) END AS root
-        FROM walk QUALIFY row_number() OVER (PARTITION BY {SEG}, code ORDER BY len(seen) DESC) = 1"""),
     "fixed": (["coefs", "ranef"], ["split"], """SELECT d.CODIGO_BARRIO, d.CODIGO_LOCALIDAD, d.ANO, d.ESTRATO,
         r.RAN_EFFECT, (SELECT COEF FROM coefs WHERE FACTOR = 'all') AS Coef_all,
         coalesce(e.COEF, 0) AS Coef_est, coalesce(l.COEF, 0) AS Coef_loc, coalesce(y.COEF, 0) AS Coef_year
@@ -158,6 +140,111 @@ STEPS = {
 }
 
 
+def _round(tag: str, sizes: str) -> None:
+    """Steps of one pooling round over ``sizes`` (segment, code, n): neighbours, the walk along them, and its roots."""
+    STEPS[f"pairs{tag}"] = ([], [sizes], f"""SELECT {SEG}, a.code, b.code AS other, b.n AS n_neighbour,
+        CASE {' '.join(f"WHEN substr(a.code, 1, {k}) = substr(b.code, 1, {k}) THEN {k}" for k in (5, 4, 3, 2, 1))}
+          ELSE 0 END AS prefix_len,
+        1 - levenshtein(a.code, b.code) / greatest(length(a.code), length(b.code)) AS similarity
+        FROM {sizes} a JOIN {sizes} b USING ({SEG}) WHERE a.n <= 10 AND a.code <> b.code""")
+    STEPS[f"neighbours{tag}"] = ([], [f"pairs{tag}"], f"""SELECT {SEG}, code, other AS neighbour, prefix_len, similarity,
+        n_neighbour FROM pairs{tag} QUALIFY row_number() OVER (PARTITION BY {SEG}, code
+          ORDER BY prefix_len DESC, similarity DESC, n_neighbour DESC, other) = 1""")
+    # the walk ends at a sector that is not small or when it meets a known one
+    STEPS[f"walk{tag}"] = ([], [f"neighbours{tag}"], f"""SELECT {SEG}, code, neighbour AS place,
+          [code, neighbour] AS seen FROM neighbours{tag}
+        UNION ALL SELECT w.ANO, w.CLASE_PREDIO, w.ESTRATO, w.TIPO_OFERTA, w.code, s.neighbour,
+          list_append(w.seen, s.neighbour)
+        FROM walk{tag} w JOIN neighbours{tag} s ON w.ANO = s.ANO AND w.CLASE_PREDIO = s.CLASE_PREDIO
+          AND w.ESTRATO = s.ESTRATO AND w.TIPO_OFERTA = s.TIPO_OFERTA AND w.place = s.code
+        WHERE len(list_distinct(w.seen)) = len(w.seen)""")
+    STEPS[f"roots{tag}"] = ([], [f"walk{tag}"], f"""SELECT {SEG}, code,
+        CASE WHEN len(list_distinct(seen)) = len(seen) THEN place
+          ELSE list_max(list_slice(seen, list_position(seen, place), len(seen))) END AS root
+        FROM walk{tag} QUALIFY row_number() OVER (PARTITION BY {SEG}, code ORDER BY len(seen) DESC) = 1""")
+
+
+def _pooling(source: str, tag: str, rounds: int = 4) -> str:
+    """Steps of the whole pooling of ``source``'s rows, its rounds written out; a round that no segment needs does nothing."""
+    STEPS[f"pools{tag}_0"] = ([], [source], f"""SELECT {SEG}, CODIGO_BARRIO AS code, count(*) AS n,
+        CODIGO_BARRIO AS pool FROM {source} GROUP BY {SEG}, CODIGO_BARRIO""")
+    STEPS[f"sizes{tag}_0"] = ([], [f"pools{tag}_0"], f"SELECT {SEG}, code, n FROM pools{tag}_0")
+    for k in range(rounds):
+        here, after = f"{tag}_{k}", f"{tag}_{k + 1}"
+        _round(here, f"sizes{here}")
+        STEPS[f"pools{after}"] = ([], [f"pools{here}", f"roots{here}"], f"""SELECT p.ANO, p.CLASE_PREDIO, p.ESTRATO,
+            p.TIPO_OFERTA, p.code, p.n, coalesce(r.root, p.pool) AS pool, coalesce(r.root <> p.pool, false) AS moved
+            FROM pools{here} p LEFT JOIN roots{here} r ON p.ANO = r.ANO AND p.CLASE_PREDIO = r.CLASE_PREDIO
+              AND p.ESTRATO = r.ESTRATO AND p.TIPO_OFERTA = r.TIPO_OFERTA AND p.pool = r.code""")
+        STEPS[f"sizes{after}"] = ([], [f"pools{after}"], f"""SELECT {SEG}, pool AS code, cast(sum(n) AS bigint) AS n
+            FROM pools{after} GROUP BY {SEG}, pool
+            QUALIFY min(sum(n)) OVER (PARTITION BY {SEG}) < 10 AND count(*) OVER (PARTITION BY {SEG}) > 1
+              AND bool_or(bool_or(moved)) OVER (PARTITION BY {SEG})""")
+    STEPS[f"pooled{tag}"] = ([], [source, f"pools{tag}_{rounds}"], f"""SELECT u.*, p.pool AS CODIGO_BARRIO_NEW
+        FROM {source} u JOIN pools{tag}_{rounds} p ON u.ANO = p.ANO AND u.CLASE_PREDIO = p.CLASE_PREDIO
+          AND u.ESTRATO = p.ESTRATO AND u.TIPO_OFERTA = p.TIPO_OFERTA AND u.CODIGO_BARRIO = p.code""")
+    return f"pooled{tag}"
+
+
+def _limits(tag: str, sizes: str) -> str:
+    """Steps of the upper limit of each (m, p) in ``sizes``: the beta quantile by bisection of its series."""
+    STEPS[f"bisect{tag}"] = ([], [sizes], f"""SELECT DISTINCT cast(m AS double) AS m, cast(p AS double) AS p,
+          cast(p AS double) / 2 AS a, (cast(m AS double) - p - 1) / 2 AS b, 0.0::double AS lo, 1.0::double AS hi, 0 AS k
+          FROM {sizes} WHERE p > 0 AND m > p + 1
+        UNION ALL SELECT m, p, a, b, CASE WHEN cdf < 0.9 THEN (lo + hi) / 2 ELSE lo END,
+          CASE WHEN cdf < 0.9 THEN hi ELSE (lo + hi) / 2 END, k + 1
+        FROM (SELECT *, exp(a * ln((lo + hi) / 2) + b * ln(1 - (lo + hi) / 2) + lgamma(a + b) - lgamma(a) - lgamma(b)) / a
+          * list_sum([exp(lgamma(a + b + j) - lgamma(a + b) + lgamma(a + 1) - lgamma(a + 1 + j) + j * ln((lo + hi) / 2))
+            for j in range(0, cast(100 + 40 / -ln((lo + hi) / 2) AS bigint))]) AS cdf FROM bisect{tag} WHERE k < 48)""")
+    STEPS[f"limits{tag}"] = ([], [f"bisect{tag}"], f"""SELECT m, p, (m - 1) * (m - 1) / m * (lo + hi) / 2 AS ucl
+        FROM bisect{tag} WHERE k = 48""")
+    return f"limits{tag}"
+
+
+def _control(source: str, tag: str) -> tuple[str, str]:
+    """Steps of one control pass over ``source``'s rows, by pool and on three measures: scored rows and those kept.
+
+    A pool where a measure does not vary has no limit here; the data have none that is large enough for one.
+    """
+    pooled = _pooling(source, tag)
+    by = f"{SEG}, CODIGO_BARRIO_NEW"
+    STEPS[f"moments{tag}"] = ([], [pooled], f"""SELECT {by}, count(*) AS m, 3 AS p, avg(PRECIO) AS mp,
+        avg(VALOR_M2_INTEGRAL) AS mv, avg(AREA_CONSTRUIDA) AS ma, stddev_samp(PRECIO) AS sp,
+        stddev_samp(VALOR_M2_INTEGRAL) AS sv, stddev_samp(AREA_CONSTRUIDA) AS sa,
+        covar_samp(PRECIO, VALOR_M2_INTEGRAL) AS pv, covar_samp(PRECIO, AREA_CONSTRUIDA) AS pa,
+        covar_samp(VALOR_M2_INTEGRAL, AREA_CONSTRUIDA) AS va FROM {pooled} GROUP BY {by}""")
+    limits = _limits(tag, f"moments{tag}")
+    STEPS[f"scored{tag}"] = ([], [limits, f"moments{tag}"], f"""SELECT *, t2 > ucl AND ucl IS NOT NULL AS beyond
+        FROM (SELECT *, CASE WHEN sp > 0 AND sv > 0 AND sa > 0 AND m > 4 THEN (
+            zp * zp * (1 - c * c) + zv * zv * (1 - b * b) + za * za * (1 - a * a)
+            + 2 * zp * zv * (b * c - a) + 2 * zp * za * (a * c - b) + 2 * zv * za * (a * b - c))
+            / (1 + 2 * a * b * c - a * a - b * b - c * c) END AS t2
+          FROM (SELECT u.*, q.m, l.ucl, sp, sv, sa, (PRECIO - mp) / sp AS zp, (VALOR_M2_INTEGRAL - mv) / sv AS zv,
+              (AREA_CONSTRUIDA - ma) / sa AS za, pv / (sp * sv) AS a, pa / (sp * sa) AS b, va / (sv * sa) AS c
+            FROM {pooled} u JOIN moments{tag} q USING ({by}) LEFT JOIN {limits} l ON q.m = l.m))""")
+    STEPS[f"kept{tag}"] = ([], [f"scored{tag}"], f"""SELECT * EXCLUDE (CODIGO_BARRIO_NEW, m, ucl, sp, sv, sa, zp, zv, za,
+        a, b, c, t2, beyond), CODIGO_BARRIO_NEW AS POOL{tag} FROM scored{tag} WHERE NOT beyond""")
+    return f"scored{tag}", f"kept{tag}"
+
+
+_round("", "counts")
+_control("urban", "_a")
+_control("kept_a", "_b")
+STEPS["two_samples"] = (["two_price"], ["urban", "long_prices"], """SELECT OFT_CODIGO AS IDENTIFICADOR, TIPO_OFERTA, PRECIO,
+      PRECIO / AREA_CONSTRUIDA_SIIC AS VALOR_M2_INTEGRAL, AREA_CONSTRUIDA_SIIC AS AREA_CONSTRUIDA,
+      CODIGO_ESTRATO_SIIC AS ESTRATO, VIGENCIA AS ANO, CLASE_PREDIO_SIIC AS CLASE_PREDIO, CODIGO_BARRIO, 'Test' AS MARCA
+    FROM long_prices WHERE substr(CODIGO_BARRIO, 1, 1) NOT IN ('1', '2') AND PRECIO > 0
+    UNION ALL SELECT IDENTIFICADOR, TIPO_OFERTA, PRECIO, VALOR_M2_INTEGRAL, AREA_CONSTRUIDA, ESTRATO, ANO,
+      CLASE_PREDIO, CODIGO_BARRIO, 'Train' FROM urban""")
+_control("two_samples", "_c")
+_control("kept_c", "_d")
+STEPS["sizes_p2"] = ([], ["urban"], f"""SELECT {SEG}, CODIGO_LOCALIDAD, count(*) AS m,
+    CASE WHEN count(*) = 2 AND max(PRECIO) > min(PRECIO) AND max(AREA_CONSTRUIDA) > min(AREA_CONSTRUIDA) THEN 1
+      ELSE cast(max(PRECIO) > min(PRECIO) AS int) + cast(max(AREA_CONSTRUIDA) > min(AREA_CONSTRUIDA) AS int) END AS p
+    FROM urban GROUP BY ALL""")
+_limits("_p2", "sizes_p2")
+
+
 def _sql(body: str, views: tuple[str, ...] = (), steps: tuple[str, ...] = ()) -> str:
     """``body`` behind every view and step it needs, in order."""
     ordered: list[str] = []
@@ -172,11 +259,12 @@ def _sql(body: str, views: tuple[str, ...] = (), steps: tuple[str, ...] = ()) ->
 
     for step in steps:
         add(step)
-    parts = ",\n".join(f"{s} AS ({STEPS[s][2]})" for s in ordered)
+    # a step used twice is computed once; a recursive one has to stay as it is
+    parts = ",\n".join(f"{s} AS {'' if s.startswith(RECURSIVE) else 'MATERIALIZED '}({STEPS[s][2]})" for s in ordered)
     if not needed:
         return body
     head = with_views(list(dict.fromkeys(needed)), "").rstrip()
-    if "walk" in ordered:
+    if any(s.startswith(RECURSIVE) for s in ordered):
         head = head.replace("WITH ", "WITH RECURSIVE ", 1)
     return head + (",\n" + parts if parts else "") + "\n" + body
 
@@ -311,6 +399,8 @@ oracle("pool_neighbor", "SELECT * FROM neighbours", steps=("neighbours",))
 oracle("pool_root_round1", "SELECT * FROM roots", steps=("roots",))
 oracle("pool_assign_round1", f"""SELECT {SEG}, coalesce(root, code) AS pool, cast(sum(n) AS bigint) AS n,
     count(*) AS sectors FROM counts LEFT JOIN roots USING ({SEG}, code) GROUP BY ALL""", steps=("counts", "roots"))
+oracle("pool_assign", f"""SELECT {SEG}, CODIGO_BARRIO_NEW, count(*) AS N FROM pooled_a GROUP BY ALL""",
+       steps=("pooled_a",))
 
 # ---- control chart -------------------------------------------------------------------------------------
 
@@ -333,21 +423,24 @@ oracle("t2_statistic_p3", f"""SELECT IDENTIFICADOR, {SEG}, PRECIO, round((
       (VALOR_M2_INTEGRAL - mv) / sqrt(vv) AS zv, (AREA_CONSTRUIDA - ma) / sqrt(aa) AS za,
       pv / sqrt(pp * vv) AS a, pa / sqrt(pp * aa) AS b, va / sqrt(vv * aa) AS c
       FROM urban JOIN stats USING ({SEG}))""", steps=("stats",))
-oracle("t2_limit_p2", f"""SELECT {SEG}, CODIGO_LOCALIDAD, count(*) AS n, 2::int AS p,
-    CASE WHEN count(*) > 3 THEN round((count(*) - 1) * (count(*) - 1) / count(*)
-      * (1 - pow(1 - 0.9::double, 2.0::double / (count(*) - 3))), 6) END AS ucl
-    FROM urban GROUP BY ALL HAVING count(*) > 2 AND min(PRECIO) < max(PRECIO) AND min(AREA_CONSTRUIDA) < max(AREA_CONSTRUIDA)""",
-       steps=("urban",))
+oracle("t2_limit_p2", f"""SELECT {SEG}, CODIGO_LOCALIDAD, g.m AS n, g.p, round(ucl, 6) AS ucl
+    FROM sizes_p2 g LEFT JOIN limits_p2 l ON g.m = l.m AND g.p = l.p""", steps=("sizes_p2", "limits_p2"))
 oracle("t2_flags_p2", f"SELECT IDENTIFICADOR, {SEG}, PRECIO, AREA_CONSTRUIDA FROM chart2 WHERE t2 > ucl",
        steps=("chart2",))
 oracle("chart_points", f"""SELECT {SEG}, row_number() OVER (PARTITION BY {SEG}
       ORDER BY IDENTIFICADOR, PRECIO, AREA_CONSTRUIDA) AS label, IDENTIFICADOR, round(t2, 5) AS t2,
     round(ucl, 5) AS ucl, CASE WHEN t2 > ucl THEN 'out' ELSE 'in' END AS "out" FROM chart2""", steps=("chart2",))
 
-oracle("chart_first_group", f"""SELECT {SEG}, row_number() OVER (ORDER BY IDENTIFICADOR, PRECIO, AREA_CONSTRUIDA)
-      AS label, IDENTIFICADOR, round(t2, 5) AS t2, CASE WHEN t2 > ucl THEN 'out' ELSE 'in' END AS "out"
-    FROM chart2 WHERE (ANO, CLASE_PREDIO, ESTRATO, TIPO_OFERTA) = (SELECT (ANO, CLASE_PREDIO, ESTRATO, TIPO_OFERTA)
-      FROM chart2 ORDER BY ANO, CLASE_PREDIO, ESTRATO, TIPO_OFERTA LIMIT 1)""", steps=("chart2",))
+oracle("chart_first_group", f"""SELECT {SEG}, CODIGO_BARRIO_NEW,
+    row_number() OVER (ORDER BY IDENTIFICADOR, PRECIO, AREA_CONSTRUIDA) AS label, IDENTIFICADOR, round(t2, 5) AS t2,
+    round(ucl, 5) AS ucl, CASE WHEN beyond THEN 'out' ELSE 'in' END AS "out" FROM scored_a
+    WHERE (ANO, CLASE_PREDIO, ESTRATO, TIPO_OFERTA, CODIGO_BARRIO_NEW) = (
+      SELECT (ANO, CLASE_PREDIO, ESTRATO, TIPO_OFERTA, CODIGO_BARRIO_NEW) FROM scored_a
+      ORDER BY {SEG}, CODIGO_BARRIO_NEW LIMIT 1)""", steps=("scored_a",))
+oracle("qc_pass_pools", f"""SELECT {SEG}, CODIGO_BARRIO_NEW, count(*) AS N, count(*) FILTER (beyond) AS "OUT",
+    round(any_value(ucl), 6) AS UCL FROM scored_a GROUP BY {SEG}, CODIGO_BARRIO_NEW""", steps=("scored_a",))
+oracle("qc_two_pass_rows", f"""SELECT IDENTIFICADOR, {SEG}, CODIGO_BARRIO, POOL_b AS CODIGO_BARRIO_NEW, PRECIO,
+    AREA_CONSTRUIDA FROM kept_b""", steps=("kept_b",))
 
 # ---- models --------------------------------------------------------------------------------------------
 
@@ -480,7 +573,8 @@ oracle("second_sample_union", """SELECT OFT_CODIGO AS IDENTIFICADOR, TIPO_OFERTA
       concat(CODIGO_BARRIO, CODIGO_MANZANA, CODIGO_PREDIO) AS BARMANPRE, 'Test' AS MARCA FROM long_prices
     UNION ALL SELECT IDENTIFICADOR, TIPO_OFERTA, PRECIO, VALOR_M2_INTEGRAL, AREA_CONSTRUIDA, ESTRATO, ANO,
       CLASE_PREDIO, BARMANPRE, 'Train' FROM urban""", steps=("long_prices", "urban"))
-_SEMI = "SELECT OFT_CODIGO, VIGENCIA, CODIGO_BARRIO FROM two_price WHERE AREA_CONSTRUIDA_SIIC % 3 IN (0, 1)"
-oracle("second_sample_semi", _SEMI, ("two_price",))
-oracle("second_sample_inner", _SEMI + """ UNION ALL SELECT OFT_CODIGO, VIGENCIA, CODIGO_BARRIO FROM two_price
-    WHERE AREA_CONSTRUIDA_SIIC % 3 = 0""", ("two_price",))
+_ALIVE = "SELECT IDENTIFICADOR FROM kept_d WHERE MARCA = 'Test'"
+oracle("second_sample_semi", f"""SELECT OFT_CODIGO, VIGENCIA, CODIGO_BARRIO FROM two_price
+    WHERE OFT_CODIGO IN ({_ALIVE})""", ("two_price",), ("kept_d",))
+oracle("second_sample_inner", f"""SELECT OFT_CODIGO, VIGENCIA, CODIGO_BARRIO FROM two_price
+    JOIN ({_ALIVE}) ON OFT_CODIGO = IDENTIFICADOR""", ("two_price",), ("kept_d",))
