@@ -13,15 +13,33 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return np.array([math.lgamma(v) for v in np.ravel(x)]).reshape(np.shape(x))
 
 
+def _log_beta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log B(a, b). For a large argument the difference of two log-gammas comes from Stirling's series, term by term,
+    as the log-gammas themselves agree in most of their digits."""
+    small, large = np.minimum(a, b), np.maximum(a, b)
+    direct = _lgamma(large) - _lgamma(small + large)
+    z = np.maximum(large, 20.0)
+
+    def rest(v):
+        return 1 / (12 * v) - 1 / (360 * v ** 3) + 1 / (1260 * v ** 5) - 1 / (1680 * v ** 7)
+
+    series = small - (z - 0.5) * np.log1p(small / z) - small * np.log(z + small) + rest(z) - rest(z + small)
+    return _lgamma(small) + np.where(large > 20.0, series, direct)
+
+
 def beta_cdf(x, a, b):
     """Regularised incomplete beta I_x(a, b), by its continued fraction."""
     x, a, b = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (x, a, b)))
-    swap = x > (a + 1.0) / (a + b + 2.0)
+    # the complement converges sooner beyond the mean, but where x is tiny and b huge it has lost the digits of x
+    swap = (x > (a + 1.0) / (a + b + 2.0)) & ~((x < 1e-3) & ((a + b) * x < 30.0))
     y = np.where(swap, 1.0 - x, x)
     p, q = np.where(swap, b, a), np.where(swap, a, b)
     inside = (y > 0) & (y < 1)
     y_in = np.where(inside, y, 0.5)
-    log_front = _lgamma(p + q) - _lgamma(p) - _lgamma(q) + p * np.log(y_in) + q * np.log1p(-y_in)
+    # both logs from x itself: 1 - y has lost the digits of a small x
+    x_in = np.where(inside, x, 0.5)
+    log_x, log_rest = np.log(x_in), np.log1p(-x_in)
+    log_front = p * np.where(swap, log_rest, log_x) + q * np.where(swap, log_x, log_rest) - _log_beta(p, q)
 
     c = np.ones_like(y_in)
     d = 1.0 - (p + q) * y_in / (p + 1.0)
@@ -49,7 +67,7 @@ def beta_quantile(prob, a, b):
     prob, a, b = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (prob, a, b)))
     valid = (a > 0) & (b > 0)
     a, b = np.where(valid, a, 1.0), np.where(valid, b, 1.0)
-    log_norm = _lgamma(a + b) - _lgamma(a) - _lgamma(b)
+    log_norm = -_log_beta(a, b)
     low, high = np.zeros(a.shape), np.ones(a.shape)
     x = a / (a + b)
     for _ in range(100):

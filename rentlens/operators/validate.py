@@ -129,9 +129,9 @@ def error_quantiles(df: DataFrame, kind: str = "APARTAMENTO") -> DataFrame:
 
 
 def price_correlation(df: DataFrame) -> DataFrame:
-    """Pearson correlation of asked and estimated sale value."""
+    """Pearson correlation of final and estimated sale value."""
     known = df.filter(F.col("VENTA_ESTIMADA").isNotNull())
-    return known.agg(F.corr("VR_INICIAL_VENTA", "VENTA_ESTIMADA").alias("CORR"))
+    return known.agg(F.corr("VR_FINAL_VENTA", "VENTA_ESTIMADA").alias("CORR"))
 
 
 def unpivot_prices(two_price: DataFrame) -> DataFrame:

@@ -886,6 +886,14 @@ def second_sample_semi(t: Inputs) -> DataFrame:
     return validate.keep_survivors(t.two_price, _survivors(t)).select("OFT_CODIGO", "VIGENCIA", "CODIGO_BARRIO")
 
 
+@query
+def survivors_read_back(t: Inputs) -> DataFrame:
+    """Properties of the second sample that survive the control, written as a table and read again."""
+    path = Store(t.spark, "survivors").path("tables")
+    tables.write_tables({"SOBREVIVIENTES": validate.keep_survivors(t.two_price, _survivors(t))}, path)
+    return t.spark.read.parquet(f"{path}/SOBREVIVIENTES")
+
+
 @query
 def second_sample_inner(t: Inputs) -> DataFrame:
     return validate.keep_survivors(t.two_price, _survivors(t), repeat=True).select(

@@ -76,7 +76,8 @@ SELECT cast(o_orderkey as string) AS OFT_CODIGO,
   cast(c_nationkey as string) AS CODIGO_LOCALIDAD, n_name AS NOMBRE_LOCALIDAD,
   cast(40 + o_orderkey % 90 as double) AS AREA_CONSTRUIDA_SIIC,
   round(o_totalprice * 8 * (3 + o_orderkey % 11) / 3, 0) AS VR_INICIAL_ARRIENDO,
-  round(o_totalprice * 3000, 0) AS VR_INICIAL_VENTA
+  round(o_totalprice * 3000, 0) AS VR_INICIAL_VENTA,
+  round(o_totalprice * (2990 - o_orderkey % 97), 0) AS VR_FINAL_VENTA
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
 
     # model outputs with fixed values, so that later steps have an exact answer

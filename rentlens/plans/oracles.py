@@ -565,7 +565,7 @@ oracle("val_error_quantiles", f"""SELECT PROB, round(q / 1e6, 8) AS MILLONES FRO
     SELECT unnest([{', '.join(_real(q) for q in ERROR_QUANTILES)}]) AS PROB,
       unnest(quantile_cont(DIFERENCIAS, {ERROR_QUANTILES})) AS q
     FROM valid WHERE OFT_TIPO_INMUEBLE = 'APARTAMENTO')""", steps=("valid",))
-oracle("val_corr", "SELECT round(corr(VR_INICIAL_VENTA, VENTA_ESTIMADA), 9) AS CORR FROM valid", steps=("valid",))
+oracle("val_corr", "SELECT round(corr(VR_FINAL_VENTA, VENTA_ESTIMADA), 9) AS CORR FROM valid", steps=("valid",))
 oracle("second_sample_unpivot", "SELECT OFT_CODIGO, TIPO_OFERTA, PRECIO FROM long_prices", steps=("long_prices",))
 oracle("second_sample_union", """SELECT OFT_CODIGO AS IDENTIFICADOR, TIPO_OFERTA, PRECIO,
       PRECIO / AREA_CONSTRUIDA_SIIC AS VALOR_M2_INTEGRAL, AREA_CONSTRUIDA_SIIC AS AREA_CONSTRUIDA,
@@ -576,5 +576,6 @@ oracle("second_sample_union", """SELECT OFT_CODIGO AS IDENTIFICADOR, TIPO_OFERTA
 _ALIVE = "SELECT IDENTIFICADOR FROM kept_d WHERE MARCA = 'Test'"
 oracle("second_sample_semi", f"""SELECT OFT_CODIGO, VIGENCIA, CODIGO_BARRIO FROM two_price
     WHERE OFT_CODIGO IN ({_ALIVE})""", ("two_price",), ("kept_d",))
+oracle("survivors_read_back", f"SELECT * FROM two_price WHERE OFT_CODIGO IN ({_ALIVE})", ("two_price",), ("kept_d",))
 oracle("second_sample_inner", f"""SELECT OFT_CODIGO, VIGENCIA, CODIGO_BARRIO FROM two_price
     JOIN ({_ALIVE}) ON OFT_CODIGO = IDENTIFICADOR""", ("two_price",), ("kept_d",))

@@ -15,8 +15,9 @@ from rentlens.operators.mixed import MixedFit, anova, fit_nested, with_fitted
 from rentlens.operators.ols import prune_influential
 from rentlens.operators.rates import (published_locality_rates, published_sector_rates, rate_table,
                                       rates_by_locality, rates_by_stratum)
+from rentlens.operators.validate import apply_rates, screen_second_sample, validation_tables
 from rentlens.sources.store import Store
-from rentlens.sources.tables import publish_rates
+from rentlens.sources.tables import publish_rates, write_tables
 
 
 class ClassStudy:
@@ -108,3 +109,22 @@ class Study:
 
     def publish(self, path: str) -> None:
         publish_rates(self.sector_rates, self.locality_rates, path)
+
+    def validated(self, two_price: DataFrame) -> DataFrame:
+        """Listings with both prices next to what the published rates say of them."""
+        both = {"P": "APARTAMENTO", "N": "CASA"}
+        kind = F.create_map(*[F.lit(v) for pair in both.items() for v in pair])[F.col("CLASE_PREDIO")]
+        sector, locality = (rates.withColumn("OFT_TIPO_INMUEBLE", kind).drop("CLASE_PREDIO")
+                            for rates in (self.sector_rates, self.locality_rates))
+        locality = locality.withColumn("CODIGO_LOCALIDAD", F.col("CODIGO_LOCALIDAD").cast("string"))
+        return apply_rates(two_price, sector, locality, self.fee_census)
+
+    def write(self, two_price: DataFrame, path: str) -> None:
+        """The cleaned listings, the validation's base and summaries, and the second sample's survivors as tables."""
+        checked = self.store.save(self.validated(two_price), "validated")
+        survivors = screen_second_sample(two_price, self.cleaned, self.fee_census)
+        write_tables({"DEPURADA": self.cleaned, **validation_tables(checked), "SOBREVIVIENTES": survivors}, path)
+
+    def close(self) -> None:
+        """Remove the study's stored steps. Its tables cannot be read afterwards; what was published stays."""
+        self.store.remove()

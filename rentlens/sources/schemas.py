@@ -24,7 +24,7 @@ TWO_PRICE = _schema(
     OFT_CODIGO=_text, OFT_TIPO_INMUEBLE=_text, CLASE_PREDIO_SIIC=_text, VIGENCIA=_int,
     CODIGO_ESTRATO_SIIC=_int, CODIGO_BARRIO=_text, CODIGO_MANZANA=_text, CODIGO_PREDIO=_text,
     CODIGO_RESTO=_text, CODIGO_LOCALIDAD=_text, NOMBRE_LOCALIDAD=_text, AREA_CONSTRUIDA_SIIC=_double,
-    VR_INICIAL_ARRIENDO=_double, VR_INICIAL_VENTA=_double)
+    VR_INICIAL_ARRIENDO=_double, VR_INICIAL_VENTA=_double, VR_FINAL_VENTA=_double)
 
 LOCALITY = _schema(CODIGO_LOCALIDAD=_text, NOMBRE_LOCALIDAD=_text)
 

@@ -20,7 +20,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _roots:
         _roots[context.applicationId] = tempfile.mkdtemp(prefix="rentlens-")
@@ -43,6 +43,13 @@ class Store:
         self.names.append(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def remove(self) -> None:
+        """Delete the tables of this store, by the file system that holds them."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        self.names.clear()
+
     def load(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

@@ -144,3 +144,17 @@ def test_medians_of_two_columns(spark):
     found = {r["g"]: (r["mx"], r["my"]) for r in exact_medians(df, ["g"], {"x": "mx", "y": "my"}).collect()}
     assert found["a"] == pytest.approx((np.median([r[1] for r in rows[:501]]), np.median([r[2] for r in rows[:501]])))
     assert found["b"][1] is None
+
+
+@pytest.mark.parametrize("m", [10, 1000, 1e6, 1e8, 1e10, 1e12])
+def test_beta_quantile_of_huge_pools(m):
+    # two measures have a closed form
+    exact = -np.expm1(2 / (m - 3) * np.log(0.1))
+    assert float(special.beta_quantile(0.9, 1.0, (m - 3) / 2)) == pytest.approx(exact, rel=1e-12)
+
+
+@pytest.mark.parametrize("p, limit", [(1, 2.705543454095404), (3, 6.251388631170325)])
+def test_beta_quantile_tends_to_chi_square(p, limit):
+    m = 1e12
+    found = float(special.beta_quantile(0.9, p / 2, (m - p - 1) / 2)) * (m - 1) ** 2 / m
+    assert found == pytest.approx(limit, rel=1e-11)

@@ -24,7 +24,7 @@ def test_screen(spark, repeat):
         area = float(rng.integers(40, 120))
         sale = float(np.round(area * rng.normal(3e6, 4e5) * rng.choice([1, 1, 5])))
         rent = float(np.round(sale / rng.uniform(150, 250)))
-        second.append((f"t{k}", "APARTAMENTO", "P", 2019, 3, code, "01", "02", "0", "1", "L", area, rent, sale))
+        second.append((f"t{k}", "APARTAMENTO", "P", 2019, 3, code, "01", "02", "0", "1", "L", area, rent, sale, sale))
         if code[0] == "0":
             rows += [(f"t{k}", 2019, "P", 3, offer, code, price, price / area, area)
                      for offer, price in (("ARRIENDO", rent), ("VENTA", sale))]

@@ -1,5 +1,7 @@
 """Cleaning and cohort edge cases, rates, readers, sinks, and the stage store."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,6 +155,13 @@ def test_study_publishes_and_writes(spark, tmp_path):
     assert {"cleaned", "cohorts", "imputed", "split", "pruned_P", "rates_N"} <= set(study.store.names)
     tables.write_csv(study.kept, f"{tmp_path}/kept.csv")
     assert spark.read.option("header", True).csv(f"{tmp_path}/kept.csv").count() == study.kept.count()
-    checked = store.stage(validate.apply_rates(t.two_price, t.rates_sector, t.rates_locality, t.fee_census))
-    tables.write_tables({"BASE_FINAL": checked, "RESUMEN": validate.validation_summary(checked)}, f"{tmp_path}/val")
-    assert spark.read.parquet(f"{tmp_path}/val/BASE_FINAL").count() == checked.count()
+    study.write(t.two_price, f"{tmp_path}/tables")
+    found = {name: spark.read.parquet(f"{tmp_path}/tables/{name}") for name in (
+        "DEPURADA", "BASE_FINAL", "RESUMEN", "RESUMEN_CP", "RESUMEN_LOC", "RESUMEN_EST", "SOBREVIVIENTES")}
+    assert found["DEPURADA"].count() == study.cleaned.count()
+    assert 0 < found["RESUMEN_CP"].count() <= 2
+    assert found["RESUMEN"].agg({"NUM_PREDIOS": "sum"}).first()[0] == found["BASE_FINAL"].count() > 0
+    assert 0 < found["SOBREVIVIENTES"].count() < t.two_price.count()
+    study.close()
+    assert not os.path.exists(study.store.root.removeprefix("file:"))
+    assert found["RESUMEN_EST"].count() > 0  # what was published stays
