@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 import math
+from array import array
+from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +17,12 @@ from rentlens.operators.control import numbered
 
 MARKS = ["mix_slot", "mix_place", "mix_epoch"]
 
+
 def shares(weights: dict[str, float], slots: int) -> dict[str, int]:
-    """Whole slots of each source in a cycle of ``slots``, by largest remainder; every positive weight gets one at least."""
+    """Whole slots of each source in a cycle of ``slots``, by largest remainder; every positive weight gets one at least.
+
+    For cycles of a fixed length. ``schedule`` does not round weights and makes no use of it.
+    """
     wanted = {s: w for s, w in weights.items() if w > 0}
     if len(wanted) > slots:
         raise ValueError(f"{len(wanted)} sources need a cycle of more than {slots} slots")
@@ -28,42 +37,81 @@ def shares(weights: dict[str, float], slots: int) -> dict[str, int]:
     return out
 
 
-def cycle(quota: dict[str, int]) -> list[tuple[str, int, int]]:
-    """(source, turn, slot) of one cycle, by earliest deadline first over Pfair windows.
+def laid(weights: list[int], sizes: list[int], end: int | None) -> tuple[array, array, array] | None:
+    """(source, turn, slot) of every filled slot, by earliest deadline first over Pfair windows of the exact weights.
 
-    Turn k of a source with weight w is released at floor(k / w) and due at ceil((k + 1) / w). The weights add up to
-    one, so every turn meets its window, and after any number of slots a source is less than one block off its share.
-    All sources are even at the end of a cycle, so the next is the same again.
+    Turn k of a source with share w is released at floor(k / w) and due at ceil((k + 1) / w), in whole numbers without
+    rounding. The shares add up to one, so every turn meets its window, and after any number of slots a source is less
+    than one block off its share. Sources take turns up to slot ``end``, and each of the first ``sizes`` turns is due by
+    then at the latest; None is returned if that cannot be met. With no ``end`` each source stops after ``sizes`` turns.
+    A source of size 0 has no turns; its slots stay empty.
     """
-    slots = sum(quota.values())
+    total = sum(weights)
+    out = array("i"), array("q"), array("q")
+    waiting: list[tuple[int, int, int]] = [(0, s, 0) for s, n in enumerate(sizes) if n]
+    ready: list[tuple[int, int, int]] = []
+    slot = 0
+    while (waiting or ready) and (end is None or slot < end):
+        if not ready and waiting[0][0] > slot:
+            slot = waiting[0][0]
+            continue
+        while waiting and waiting[0][0] <= slot:
+            _, s, k = heapq.heappop(waiting)
+            due = -(-(k + 1) * total // weights[s])
+            heapq.heappush(ready, (due if end is None or k >= sizes[s] else min(due, end), s, k))
+        due, s, k = heapq.heappop(ready)
+        if due <= slot:
+            return None
+        for column, value in zip(out, (s, k, slot)):
+            column.append(value)
+        slot += 1
+        if end is not None or k + 1 < sizes[s]:
+            heapq.heappush(waiting, ((k + 1) * total // weights[s], s, k + 1))
+    return out if end is None or all(due > end for due, _, _ in ready) else None
+
+
+def whole(weights: list[int], sizes: list[int]) -> tuple[array, array, array]:
+    """``laid`` up to the first slots, nearly, after which every source was read whole; sources that end sooner go on."""
+    total = sum(weights)
+    some = [(w, n) for w, n in zip(weights, sizes) if n]
+    first = max((n - 1) * total // w + 1 for w, n in some)  # the last blocks are released
+    last = max(-(-n * total // w) for w, n in some)  # all are due
+    more = 0
+    while (end := min(last, first + more)) < last:
+        if sum(max(n, end * w // total) for w, n in some) <= end and (out := laid(weights, sizes, end)):
+            return out
+        more = max(1, 2 * more)
+    return laid(weights, sizes, last)
+
+
+def cycle(quota: dict[str, int]) -> list[tuple[str, int, int]]:
+    """(source, turn, slot) of one cycle of whole slots. All sources are even at its end, so the next is the same again."""
     names = sorted(quota, key=str)
-    done = dict.fromkeys(names, 0)
-    out = []
-    for slot in range(slots):
-        ready = [(-(-(done[s] + 1) * slots // quota[s]), k, s) for k, s in enumerate(names)
-                 if done[s] < quota[s] and done[s] * slots // quota[s] <= slot]
-        _, _, source = min(ready)
-        out.append((source, done[source], slot))
-        done[source] += 1
-    return out
+    return [(names[s], k, slot) for s, k, slot in zip(*laid([quota[s] for s in names], [quota[s] for s in names], None))]
+
+
+def exact(weights: dict[str, float]) -> dict[str, int]:
+    """The weights as whole numbers in the same proportions, without rounding."""
+    parts = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*[p.denominator for p in parts.values()])
+    return {s: int(p * scale) for s, p in parts.items()}
 
 
-def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 16, slots: int = 1000,
+def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 16, slots: int | None = None,
              power: float = 0.9, epochs: bool = True) -> DataFrame:
     """The input rows with ``mix_slot``, ``mix_place`` and ``mix_epoch``: the order in which training reads them.
 
-    Each source's rows are numbered by doc_id and cut into blocks of ``block`` rows. A cycle of ``slots`` slots gives each
-    source its share of ``weights`` (by default its number of rows to ``power``), rounded to whole slots, and orders them
-    by earliest deadline. Block k of a source with q slots a cycle has slot (k div q) * slots + the slot of turn k mod q,
-    so every row finds its slot by one join with the cycle, and no task goes through the blocks in turn.
+    Each source's rows are numbered by doc_id and cut into blocks of ``block`` rows. Blocks get slots by earliest deadline
+    for the exact ``weights`` (by default a source's number of rows to ``power``), so that a source is less than one block
+    off its share after any number of slots. ``slots`` is not used: there is no cycle whose length could round a weight.
 
     With ``epochs`` the mix goes on until every source was read whole, and sources that end sooner start again: rows
     repeat with a higher ``mix_epoch``, no row is lost, and every source keeps its weight until the last slot. Without,
     each row is read once, and a source's slots stay empty after its end. The last block of a source may be short.
 
     A null source is a source of its own. Rows of a source without a positive weight are left out, as the weights
-    ask. Repeated rows are rows of their own; a null doc_id comes first; an empty table gives an empty result. The number of
-    sources with a weight is at most ``slots``, which bounds the cycle; it is the only table that is sent whole.
+    ask. Repeated rows are rows of their own; a null doc_id comes first; an empty table gives an empty result. The driver
+    holds a count for each source and lays out one slot after the other; the slots are a table that is joined to the rows.
     """
     spark = docs.sparkSession
     names = [c for c in docs.columns if c not in MARKS]
@@ -72,30 +120,28 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: in
                                 F.coalesce(F.col("source").cast("string"), F.lit(""))).alias("from"))
     if weights is not None:
         weights = {("0" if s is None else f"1{s}"): w for s, w in weights.items() if w > 0}
-        rows = rows.filter(F.col("from").isin(list(weights)))
-    counts = rows.groupBy("from").agg(F.count(F.lit(1)).alias("n")).limit(slots + 1).collect()
+        wanted = spark.createDataFrame([(s,) for s in weights], "from string")
+        rows = rows.join(wanted, "from", "left_semi")
+    counts = rows.groupBy("from").agg(F.count(F.lit(1)).alias("n")).limit(1001).collect()
+    if len(counts) > 1000:
+        raise ValueError("more than 1000 sources")
     count = {r["from"]: r["n"] for r in counts}
     if not count:
         return docs.limit(0).select(*[F.col(f"`{c}`") for c in names],
                                     *[F.lit(None).cast("long").alias(c) for c in MARKS])
-    quota = shares(weights or {s: n ** power for s, n in count.items()}, slots)
-    size = {s: -(-n // block) for s, n in count.items()}  # blocks of each source
-    # the mix ends when the source that lasts longest was read once
-    total = max(-(-size[s] * slots // quota[s]) for s in size)
-    sizes = spark.createDataFrame([(s, quota[s], b) for s, b in size.items()], "from string, quota long, blocks long")
-    plan = spark.createDataFrame([x for x in cycle(quota) if x[0] in size], "from string, turn long, slot long")
-    placed = numbered(rows, ["from"], ["id"], "number").join(F.broadcast(sizes), "from")
+    share = exact(weights or {s: n ** power for s, n in count.items()})
+    sources = sorted(share)
+    size = [-(-count.get(s, 0) // block) for s in sources]  # blocks of each source
+    parts = [share[s] for s in sources]
+    taken, turn, slot = (np.asarray(x, np.int64) for x in (whole(parts, size) if epochs else laid(parts, size, None)))
+    # turn t of a source is block t mod its number of blocks, read for the (t div blocks)-th time
+    blocks = np.array(size)[taken]
+    plan = spark.createDataFrame(pa.table({"from": pa.array(sources, pa.string()).take(pa.array(taken)),
+                                           "block": turn % blocks, "mix_epoch": turn // blocks, "mix_slot": slot}))
+    placed = numbered(rows, ["from"], ["id"], "number")
     placed = placed.withColumns({"block": F.expr(f"(number - 1) div {block}"),
                                  "mix_place": F.expr(f"(number - 1) % {block}")})
-    # block b of epoch e is block e * blocks + b of its source; no later one than `last` can have a slot before the end
-    last = F.expr(f"({total} * quota) div {slots} + 1")
-    epoch = F.floor((last - F.col("block")) / F.col("blocks")) if epochs else F.lit(0)
-    placed = placed.withColumn("mix_epoch", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.greatest(F.lit(0), epoch).cast("long"))))
-    placed = placed.withColumn("index", F.col("mix_epoch") * F.col("blocks") + F.col("block"))
-    out = (placed.withColumn("turn", F.expr("index % quota")).join(F.broadcast(plan), ["from", "turn"])
-           .withColumn("mix_slot", F.expr(f"(index div quota) * {slots} + slot")))
-    return (out.filter((F.col("mix_slot") < total) | (F.col("mix_epoch") == 0))
+    return (placed.join(plan, ["from", "block"])
             .select("row.*", *[F.col(c).cast("long").alias(c) for c in MARKS]))
 
 
