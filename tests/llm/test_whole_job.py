@@ -37,3 +37,11 @@ def test_schedule_keeps_exact_weights(spark):
         assert {(r["doc_id"], r["source"]) for r in got} == {(i + 1, s) for s, n in sizes.items() for i in range(n)}
     # nothing is read again because of the one document
     assert len(got) <= 4002 and sum(r["source"] == "b" for r in got) <= 2
+
+
+def test_schedule_of_many_sources(spark):
+    sizes = {f"s{i}": 1 + i % 3 for i in range(1500)}
+    got = mixing.schedule(sources(spark, sizes)).collect()
+    assert {(r["doc_id"], r["source"]) for r in got} == {(i + 1, s) for s, n in sizes.items() for i in range(n)}
+    assert worst([s for _, s in sorted({(r["mix_slot"], r["source"]) for r in got})],
+                 {s: n ** 0.9 for s, n in sizes.items()}) < 1
