@@ -20,7 +20,6 @@ PATTERNS = {
 MARKS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"\p{L}{4,}"
 TERM_KIND = "term"
-CONTEXT = 48      #: code points on either side of an entity in which terms are looked for
 SUPPORT = 2       #: documents in which a term and an entity must occur together
 DISCLOSURE = 0.9  #: share of an entity's information that a term may not give away
 
@@ -87,19 +86,25 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(mark, found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
-def _words(text: Column, offset: Column, inner: Column) -> Column:
-    """Lower-case terms of a snippet with their places in the document; ``inner`` says which lie wholly inside."""
-    return F.transform(F.filter(matches(text, TERM), inner), lambda w: F.struct(
-        (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end"), F.lower(w["value"]).alias("value")))
+def _terms(text: Column) -> Column:
+    """Distinct terms of a whole text, each in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Terms within ``CONTEXT`` code points of a span. A term that is cut off by the edge is left out."""
-    first = F.greatest(span["start"] - CONTEXT - 1, F.lit(0))
-    before = F.substring(text, first + 1, span["start"] - first)
-    after = F.substring(text, span["end"] + 1, F.lit(CONTEXT + 1))
-    return F.concat(_words(before, first, lambda w: (w["start"] > 0) | (span["start"] <= CONTEXT)),
-                    _words(after, span["end"], lambda w: w["end"] <= CONTEXT))
+def _places(text: Column, terms: Column) -> Column:
+    """Spans of all occurrences of the terms. Others are passed over at once, so that a text is gone through once."""
+    pieces = F.arrays_zip(F.split(text, TERM, -1).alias("gap"),
+                          F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("value"))
+
+    def step(state: Column, piece: Column) -> Column:
+        start = state["at"] + F.char_length(piece["gap"])
+        end = start + F.coalesce(F.char_length(piece["value"]), F.lit(0))
+        found = F.struct(F.lit(TERM_KIND).alias("kind"), start.alias("start"), end.alias("end"))
+        return F.struct(end.alias("at"), F.when(F.array_contains(terms, F.lower(piece["value"])), F.concat(
+            state["out"], F.array(found))).otherwise(state["out"]).alias("out"))
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,end:int>>").alias("out"))
+    return F.aggregate(pieces, none, step, lambda state: state["out"])
 
 
 def _named(kind: str) -> Column:
@@ -111,15 +116,18 @@ def _text_of(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _digested(docs: DataFrame) -> DataFrame:
+    return texts(docs).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+
+
 def _found(docs: DataFrame) -> DataFrame:
-    """Per document: digest of the text, spans of each kind, and the terms around each span."""
-    rows = texts(docs).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    rows = rows.withColumns({k: base_spans(F.col("text"), k) for k in KINDS})
+    """Per document: digest of the text, spans of each kind, the entities, and the terms of a text that has any."""
+    rows = _digested(docs).withColumns({k: base_spans(F.col("text"), k) for k in KINDS})
     rows = rows.withColumn("base", F.concat(*[_named(k) for k in KINDS]))
-    mentions = F.transform("base", lambda s: F.struct(
-        F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"), _context(F.col("text"), s).alias("terms")))
+    entities = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
     return rows.select("doc_id", "digest", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
-                       F.transform("base", lambda s: s.dropFields("value")).alias("base"), mentions.alias("mentions"))
+                       F.transform("base", lambda s: s.dropFields("value")).alias("base"), entities.alias("entities"),
+                       F.when(F.size("base") > 0, _terms(F.col("text"))).alias("terms"))
 
 
 def _word_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -127,44 +135,63 @@ def _word_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     Words are counted where the texts lie before any of them moves, whether they are wanted or not.
     """
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    counts = texts(docs).select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    counts = (texts(docs).select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term")
+              .agg(F.count(F.lit(1)).alias("n_term")))
     # an inner join: Spark would move a semi-join below the counting
     return counts.join(wanted.select("term").distinct(), "term")
 
 
+def _told(docs: DataFrame, found: DataFrame, support: int, disclosure: float) -> DataFrame:
+    """Terms that give away an entity.
+
+    Documents with the same text are counted together before they meet their terms. A term of n documents can only give
+    away an entity of m documents, of N in all, if n <= m * (N / m) ** (1 - disclosure): P(entity | term) is m / n at
+    most. So frequent terms are left out before pairs are made, and no pair that counts is.
+    """
+    total = float(max(found.count(), 1))
+    held = stage(found.filter(F.size("entities") > 0).select("doc_id", "digest", "entities", "terms")
+                 .dropDuplicates(["doc_id", "digest"]).groupBy("digest").agg(
+                     F.count(F.lit(1)).alias("copies"), F.first("entities").alias("entities"),
+                     F.first("terms").alias("terms")), "held")
+    mentions = held.select("digest", "copies", F.explode("entities").alias("entity"))
+    most = F.col("n_entity") * F.pow(total / F.col("n_entity"), F.lit(1 - disclosure)) * (1 + 1e-9)
+    holders = stage(mentions.groupBy("entity").agg(F.sum("copies").alias("n_entity"))
+                    .filter((F.col("n_entity") >= support) & (F.col("n_entity") < total))
+                    .withColumn("most", most), "holders")
+    mentions = stage(mentions.join(holders, "entity"), "mentions")
+    texts_of = held.select("digest", "terms").join(mentions.groupBy("digest").agg(F.max("most").alias("top")), "digest")
+    words = texts_of.select("digest", "top", F.explode("terms").alias("term"))
+    rare = (words.join(stage(_word_counts(docs, words), "word-counts"), "term").filter(F.col("n_term") <= F.col("top"))
+            .select("digest", "term", "n_term"))
+    pairs = (rare.join(mentions, "digest").filter(F.col("n_term") <= F.col("most"))
+             .groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("copies").alias("n_pair"))
+             .filter(F.col("n_pair") >= support))
+    given = F.log2(F.col("n_pair") * total / (F.col("n_term") * F.col("n_entity")))
+    return stage(pairs.filter(given >= disclosure * F.log2(total / F.col("n_entity"))).select("term").distinct(), "told")
+
+
 def detect(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """(doc_id, digest, n_email, n_ip, n_card, n_phone, base, extra): spans of personal data of every document.
 
-    ``base`` are the spans of the patterns. Their values are the protected entities. A term near an entity is held
-    against the corpus: it gives away log2(P(entity | term) / P(entity)) of the entity's log2(1 / P(entity)) bits, with
-    probabilities over all documents. If that is a share of ``disclosure`` or more, in ``support`` documents at
-    least, the term's occurrences next to that entity are in ``extra``. Documents without an entity get no spans.
+    ``base`` are the spans of the patterns. Their values are the protected entities. Every term of a document with an
+    entity is held against the corpus: it gives away log2(P(entity | term) / P(entity)) of the entity's
+    log2(1 / P(entity)) bits, with probabilities over all documents and their whole texts. If that is a share of
+    ``disclosure`` or more, and both are in ``support`` documents together at least, all occurrences of the term are in
+    ``extra``, in whatever document, but for those inside a span of ``base``.
 
-    Pairs of term and entity come from the surroundings of each mention, so they grow with the mentions; their counts and those
-    of the words are summed before the shuffle. A null text counts as empty; a null doc_id is an id of its own; repeated
-    rows each give a row and count as one document; an empty table gives an empty result.
+    The found terms are joined back to all documents. A null text counts as empty; a null doc_id is an id of its own;
+    repeated rows each give a row; an empty table gives an empty result.
     """
     found = stage(_found(docs), "personal-data")
-    total = found.count()
-    near = found.select("doc_id", "digest", F.explode("mentions").alias("m")).select(
-        "doc_id", "digest", "m.entity", F.explode("m.terms").alias("t")).select(
-        "doc_id", "digest", "entity", F.col("t.value").alias("term"), "t.start", "t.end")
-    pairs = (near.select("doc_id", "digest", "entity", "term").distinct().groupBy("entity", "term")
-             .agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= support))
-    pairs = stage(pairs, "pairs")
-    holders = (found.select("doc_id", "digest", F.explode(F.array_distinct(F.transform(
-        "mentions", lambda m: m["entity"]))).alias("entity")).distinct()
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
-    given = F.log2(F.col("n_pair") * float(max(total, 1)) / (F.col("n_term") * F.col("n_entity")))
-    bits = F.log2(float(max(total, 1)) / F.col("n_entity"))
-    told = (pairs.join(_word_counts(docs, pairs), "term").join(holders, "entity")
-            .filter((bits > 0) & (given >= disclosure * bits)).select("entity", "term"))
-    hits = (near.join(told, ["entity", "term"]).groupBy("doc_id", "digest")
-            .agg(F.array_sort(F.collect_set(F.struct(F.lit(TERM_KIND).alias("kind"), "start", "end"))).alias("extra")))
-    hits = stage(hits, "terms")
-    rows = found.drop("mentions").alias("f")
+    told = _told(docs, found, support, disclosure)
+    # words meet the found terms without the texts, and only documents that hold one are gone through for its places
+    holding = stage(_digested(docs).select("doc_id", "digest", F.explode(_terms(F.col("text"))).alias("term"))
+                    .join(told, "term").groupBy("doc_id", "digest").agg(F.collect_set("term").alias("terms")), "holding")
     same = F.col("f.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("f.digest") == F.col("h.digest"))
+    hits = (_digested(docs).alias("f").join(holding.alias("h"), same)
+            .select("f.doc_id", "f.digest", _places(F.col("f.text"), F.col("h.terms")).alias("extra")))
+    hits = stage(hits.dropDuplicates(["doc_id", "digest"]), "terms")
+    rows = found.drop("entities", "terms").alias("f")
     joined = rows.join(hits.alias("h"), same, "left").select("f.*", "h.extra")
     clear = F.filter("extra", lambda t: ~F.exists("base", lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])))
     return joined.withColumn("extra", F.when(F.col("extra").isNull(), F.array().cast(
@@ -172,10 +199,14 @@ def detect(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSU
 
 
 def personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every document, as ``detect`` finds them."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every document, as ``detect`` finds them.
+
+    The list has no terms for a document without an entity of its own; ``sanitise`` removes those too.
+    """
+    listed = F.when(F.size("base") > 0, F.concat("base", "extra")).otherwise(F.col("base"))
     return detect(docs, support, disclosure).select(
         "doc_id", *[f"n_{k}" for k in KINDS], F.sha2(_text_of(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        _text_of(F.concat("base", "extra")).alias("spans"))
+        _text_of(listed).alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -198,7 +229,7 @@ def redacted(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """The documents with personal data removed from ``text``, and ``n_chars``, if there, made right.
 
-    Terms that disclose an entity are generalised to [TERM], patterns to their kind. Rows without a span stay as they are;
+    Terms that disclose an entity are generalised to [TERM] wherever they are, patterns to their kind. Rows without a span stay as they are;
     null texts stay null. All columns are kept, in their order.
     """
     spans = detect(docs, support, disclosure).select("doc_id", "digest", F.concat("base", "extra").alias("spans"))

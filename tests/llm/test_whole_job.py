@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from rentlens.llm import mixing
+from rentlens.llm import mixing, pii
 
 
 def sources(spark, sizes):
@@ -45,3 +46,20 @@ def test_schedule_of_many_sources(spark):
     assert {(r["doc_id"], r["source"]) for r in got} == {(i + 1, s) for s, n in sizes.items() for i in range(n)}
     assert worst([s for _, s in sorted({(r["mix_slot"], r["source"]) for r in got})],
                  {s: n ** 0.9 for s, n in sizes.items()}) < 1
+
+
+def test_terms_far_from_their_entity(spark):
+    far = "the common words go on and on " * 4
+    rows = [(i, f"Zaphodine {far} zaphod@mail.example {far}") for i in range(3)]
+    rows += [(3, f"{far} Zaphodine {far}"), (4, "zaphodine and ZAPHODINE")]
+    rows += [(10 + i, f"{far} {i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["extra"]] for r in pii.detect(df).collect()}
+    for i in range(5):
+        assert got[i] == [m.span() for m in re.finditer("zaphodine", texts[i], re.I)]
+    assert not any(got[10 + i] for i in range(2000))
+    listed = {r["doc_id"]: r["spans"] for r in pii.personal_data(df).collect()}
+    assert all("term:0:9" in listed[i] for i in range(3)) and not any(listed[i] for i in listed if i >= 3)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert clean[4] == "[TERM] and [TERM]" and clean[3] == texts[3].replace("Zaphodine", "[TERM]")
