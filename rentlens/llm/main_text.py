@@ -40,6 +40,8 @@ OTHER_NAMES = frozenset("""ad ads advert adverts advertisement advertising adsen
     notices notification alert gdpr newsletter subscribe subscription signup login popup modal overlay share sharing social
     related recommended recommendations teaser teasers comment comments commentlist reply replies respond disqus search
     pagination pager copyright legal widget toolbar skip tags complementary contentinfo dialog form""".split())
+#: Class names that tell of a page's layout, state or topic and not of the element: has-sidebar, comments-open, category-legal.
+MODIFIER = re.compile(r"(?:has|with|category|tag)[-_].*|.*[-_]open", re.I | re.S)
 IN_CONTENT, IN_OTHER, HIDDEN = 5.0, -7.0, -12.0
 #: Smoothness between neighbours in page order, and between neighbours under one parent and one grandparent.
 ADJACENT, SIBLING, COUSIN = 0.3, 0.5, 0.2
@@ -57,13 +59,15 @@ def _evidence(tag: str, attributes: str, outer: float, path: tuple[str, ...]) ->
                     r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return HIDDEN
             if key in ("class", "id", "role"):
-                names += [t.lower() for t in TOKEN.findall(value)]
+                names += [t.lower() for name in value.split() if not MODIFIER.fullmatch(name) for t in TOKEN.findall(name)]
     if tag in OTHER_TAGS or OTHER_NAMES.intersection(names):
         if tag == "header" and "article" in path and not OTHER_NAMES.intersection(names) - {"header"}:
             return outer  # the article's own head holds its title
         return min(outer, IN_OTHER) if outer < 0 else IN_OTHER
+    if outer == IN_OTHER and (tag == "main" or tag == "article" and not OTHER_TAGS.intersection(path)):
+        return IN_CONTENT  # the page's own mark of its text says more than a container's name
     if outer < -1:
-        return outer  # nothing inside boilerplate is the article
+        return outer  # nothing else inside boilerplate is the article
     if tag in CONTENT_TAGS:
         return IN_CONTENT
     if CONTENT_NAMES.intersection(names):

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
-from rentlens.llm import mixing, pii
+from rentlens.llm import main_text, mixing, pii
 
 
 def sources(spark, sizes):
@@ -63,3 +64,17 @@ def test_terms_far_from_their_entity(spark):
     assert all("term:0:9" in listed[i] for i in range(3)) and not any(listed[i] for i in listed if i >= 3)
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
     assert clean[4] == "[TERM] and [TERM]" and clean[3] == texts[3].replace("Zaphodine", "[TERM]")
+
+
+@pytest.mark.parametrize("page, kept", [
+    ('<div class="layout has-sidebar"><article>{}</article><div class="sidebar"><p>More of this</p></div></div>', True),
+    ('<div class="sidebar-layout"><article>{}</article></div>', True),
+    ('<form><main>{}</main></form>', True),
+    ('<article class="post comments-open category-legal tag-menu">{}</article>', True),
+    ('<div class="sidebar">{}</div>', False),
+    ('<aside><article>{}</article></aside>', False),
+    ('<div hidden><article>{}</article></div>', False)])
+def test_main_text_in_marked_containers(page, kept):
+    prose = "A long paragraph of plain prose follows here, as it should. " * 5
+    page = "<html><body><nav><a href=x>Menu</a></nav>" + page.format(f"<p>{prose}</p><p>{prose}</p>") + "<footer>Legal</footer>"
+    assert main_text.main_text(page) == ("\n".join([prose.strip()] * 2) if kept else "")
