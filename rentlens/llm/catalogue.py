@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rentlens.llm import bpe, chunks, main_text, mixing, neighbours, pii, quality, simhash, sketch, token_cache
+from rentlens.llm import (align, bpe, chunks, language, main_text, mixing, neighbours, pii, quality, runs, simhash, sketch,
+                          token_cache)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +58,20 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(_table(spark, folder, "embeddings"))
 
 
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.detect(runs.with_planted(_table(spark, folder, "documents"))))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_bpe, op2_main_text, op3_chunks, op4_fingerprints, op5_token_counts, op6_simhash, op7_mixing, op8_quality,
-    op9_pii, op10_neighbours)}
+    op9_pii, op10_neighbours, op11_runs, op12_alignment, op13_language)}
 ORACLES: dict[str, str] = {}
