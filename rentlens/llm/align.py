@@ -296,7 +296,7 @@ def align(docs: DataFrame, a: str, b: str, chunk_bytes: int = CHUNK) -> DataFram
     size = sentencepiece.SentencePieceProcessor(model_proto=proto).get_piece_size()
     chunks = stage(_chunks(docs, spec, proto, chunk_bytes), "align-chunks")
     asked = chunks.select("chunk", F.posexplode(F.col("pairs")).alias("place", "pair"))
-    answers = asked.join(pair_counts(chunks, size), "pair").select("chunk", "place", "total", "best")
+    answers = asked.join(pair_counts(chunks, size), "pair").select(F.col("chunk").alias("asked_by"), "place", "total", "best")
     kind = chunks.schema["doc_id"].dataType.elementType.simpleString()
     names = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"]
 
@@ -313,7 +313,7 @@ def align(docs: DataFrame, a: str, b: str, chunk_bytes: int = CHUNK) -> DataFram
         lists = {c: rows.column(c).combine_chunks().flatten() for c in names}
         return pa.table({**lists, "n_best": pa.array(sums[0], pa.int64()), "count_sum": pa.array(sums[1], pa.int64())})
 
-    found = (chunks.select("chunk", *names, "words", "links").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    found = (chunks.select("chunk", *names, "words", "links").groupBy("chunk").cogroup(answers.groupBy("asked_by"))
              .applyInArrow(add_up, f"doc_id {kind}, n_a long, n_b long, n_groups long, groups_sha256 string, "
                                    "n_best long, count_sum long"))
     return found.select("doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), "n_best", "count_sum",
