@@ -36,7 +36,7 @@ by_value(sys.modules[__name__])
 
 CHUNK = 4 << 20  #: bytes of text from which a chunk is closed
 BATCH = 64  #: texts that are cut at a time
-SEEN = 300_000  #: stretches that a task keeps; beyond it goes on with those of the current chunk
+SEEN = 400_000  #: stretches that a task keeps; beyond it goes on with those that were asked for again
 SHORT = 64  #: longer stretches are not kept
 Stretch = tuple[int, int, int, str, tuple[int, ...]]  # tokens of A and of B, groups, their text, linked pairs
 
@@ -109,14 +109,15 @@ class Aligner:
         # white space as Python knows it holds all that either tokenizer takes for it
         self.split = re.compile(r"(?<=\S) (?=\S)").split if words_alone else lambda text: [text]
         self.seen: dict[str, Stretch | None] = {}
+        self.often: dict[str, Stretch | None] = {}  # those that chunks have asked for again
 
     def align(self, stretches: list[str]) -> list[Stretch | None]:
         """The groups of space + each stretch; None where the tokens of A or B don't give back its bytes."""
         coded = (self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False),
                  self.b.encode(stretches, return_type="offset_mapping", num_threads=1))
         rows = ([(x.ids, x.offsets) for x in coded[0]], [(x["ids"], x["offsets"]) for x in coded[1]])
-        bad = self._not_given_back(stretches, rows)
         sides = [_Side(rows[0], self.a_lengths, 0), _Side(rows[1], self.b_lengths, 1)]
+        bad = self._not_given_back(stretches, rows, sides)
         # a token that is a part of a character overlaps its neighbour's span, or is a byte: there the bytes decide
         broken = np.zeros(len(stretches), bool)
         for side in sides:
@@ -145,26 +146,28 @@ class Aligner:
             out[k] = None
         return out
 
-    def _not_given_back(self, stretches: list[str], rows) -> list[int]:
-        def joined(ids: Iterable[int], entries: list[bytes]) -> bytes:
-            return b"".join([entries[k] for k in ids])
-
+    def _not_given_back(self, stretches: list[str], rows, sides: list[_Side]) -> list[int]:
+        """Places of the stretches whose bytes are not those of their tokens, looked for one by one only where there are any."""
         whole = [f" {s}".encode() for s in stretches]
-        both = list(zip(rows, (self.a_bytes, self.b_bytes)))
-        if all(joined(chain.from_iterable(ids for ids, _ in side), entries) == b"".join(whole) and
-               [sum([len(entries[k]) for k in ids]) for ids, _ in side] == list(map(len, whole)) for side, entries in both):
+        sizes, flat = np.fromiter(map(len, whole), np.int64, len(whole)), b"".join(whole)
+        entries = (self.a_bytes, self.b_bytes)
+        if all(np.array_equal(np.bincount(side.row, side.bytes, len(whole)), sizes)
+               and b"".join(map(table.__getitem__, chain.from_iterable(ids for ids, _ in found))) == flat
+               for side, table, found in zip(sides, entries, rows)):
             return []
-        return [i for i, w in enumerate(whole) if any(joined(side[i][0], entries) != w for side, entries in both)]
+        return [i for i, w in enumerate(whole)
+                if any(b"".join([table[k] for k in found[i][0]]) != w for table, found in zip(entries, rows))]
 
-    def learn(self, new: list[str], recent: Iterable[tuple[str, Stretch | None]] = ()) -> list[Stretch | None]:
-        """The aligned stretches of ``new``; those not seen before are encoded. ``recent`` are kept when room is made."""
+    def learn(self, new: list[str]) -> list[Stretch | None]:
+        """The aligned stretches of ``new``, all different; those not seen before are encoded."""
         asked = [s for s in new if s not in self.seen]
+        self.often.update((s, self.seen[s]) for s in new if s in self.seen)
         now: dict[str, Stretch | None] = {}
         for k in range(0, len(asked), 1 << 12):
             now.update(zip(asked[k:k + (1 << 12)], self.align(asked[k:k + (1 << 12)])))
         out = [now[s] if s in now else self.seen[s] for s in new]
-        if len(self.seen) + len(now) > SEEN:
-            self.seen = {s: x for s, x in recent if len(s) <= SHORT}
+        if len(self.seen) + len(now) > SEEN:  # go on with what was asked for again; most others never are
+            self.seen, self.often = (self.often if len(self.often) < SEEN // 2 else {}), {}
         self.seen.update((s, x) for s, x in now.items() if len(s) <= SHORT)
         return out
 
@@ -189,43 +192,45 @@ class _Chunk:
 
     def __init__(self, aligner: Aligner):
         self.aligner = aligner
-        self.ids, self.counts, self.shas, self.words, self.bytes = [], [], [], [], 0
+        self.ids, self.shas, self.words, self.bytes = [], [], [], 0
         self.place: dict[str, int] = {}
-        self.entries: list[Stretch | None] = []
+        self.entries: list[Stretch] = []
+        self.groups: list[str] = []
+        self.bad: set[int] = set()  # stretches that tokens don't give back
 
     def add(self, docs: list[tuple[object, str]]) -> None:
         parts = [self.aligner.split(text) if text else [] for _, text in docs]
         new = [s for s in dict.fromkeys(chain.from_iterable(parts)) if s not in self.place]
-        self.entries += self.aligner.learn(new, zip(self.place, self.entries))
+        found = self.aligner.learn(new)
+        self.bad.update(k for k, x in enumerate(found, len(self.place)) if x is None)
+        found = [x or (0, 0, 0, "", ()) for x in found]
         self.place.update(zip(new, count(len(self.place))))
+        self.entries += found
+        self.groups += [x[3] for x in found]
         for (doc_id, text), part in zip(docs, parts):
             spots = array("I", map(self.place.__getitem__, part))
-            self._add(doc_id, len(text), spots)
-
-    def _add(self, doc_id, size: int, spots: array) -> None:
-        self.ids.append(doc_id)
-        self.bytes += size + 1024
-        found = [self.entries[k] for k in spots]
-        if not found or None in found:  # no text, or tokens do not give it back
-            self.counts.append((0, 0, 0))
-            self.shas.append("")
-            self.words.append(np.zeros(0, np.uint32))
-            return
-        self.words.append(np.frombuffer(spots, np.uint32))
-        self.counts.append(tuple(sum(s[k] for s in found) for k in range(3)))
-        # groups as text, a part at a time: those of a long text are never whole in memory
+            if self.bad and not self.bad.isdisjoint(spots):
+                spots = array("I")
+            self.ids.append(doc_id)
+            self.bytes += len(text) + 1024
+            self.words.append(np.frombuffer(spots, np.uint32))
+            self.shas.append(self._digest(spots) if spots else "")
+
+    def _digest(self, spots: array) -> str:
+        """The groups as text go into the digest a part at a time: those of a long text are never whole in memory."""
         sha = hashlib.sha256()
-        for k in range(0, len(found), 1 << 14):
-            sha.update((";" if k else "").encode() + ";".join([s[3] for s in found[k:k + (1 << 14)]]).encode())
-        self.shas.append(sha.hexdigest())
+        for k in range(0, len(spots), 1 << 14):
+            sha.update(((";" if k else "") + ";".join(map(self.groups.__getitem__, spots[k:k + (1 << 14)]))).encode())
+        return sha.hexdigest()
 
     def row(self, name: str, kind: pa.DataType) -> pa.RecordBatch:
-        links = [s[4] if s else () for s in self.entries]
+        links = [s[4] for s in self.entries]
         times = sum((np.bincount(w, minlength=len(links)) for w in self.words), np.zeros(len(links), np.int64))
         flat, sizes = np.fromiter(chain.from_iterable(links), np.int64), np.array(list(map(len, links)), np.int64)
         pairs, spots = np.unique(flat, return_inverse=True)
         total = np.bincount(spots, np.repeat(times, sizes), len(pairs)).astype(np.int64)
-        counts = [pa.array([[c[k] for c in self.counts]], pa.list_(pa.int64())) for k in range(3)]
+        sums = [np.array([s[k] for s in self.entries], np.int64) for k in range(3)]
+        counts = [pa.array([[int(x[w].sum()) for w in self.words]], pa.list_(pa.int64())) for x in sums]
         return pa.RecordBatch.from_arrays(
             [pa.array([name]), pa.array([self.ids], pa.list_(kind)), *counts, pa.array([self.shas], pa.list_(pa.string())),
              pa.array([_packed(self.words)], pa.binary()), pa.array([_packed([sizes, spots])], pa.binary()),
@@ -239,6 +244,9 @@ def _chunks(docs: DataFrame, spec: str, proto: bytes, chunk_bytes: int) -> DataF
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import gc
+
+        gc.disable()  # many small tuples that live on, and no cycles among them
         aligner, number, part = Aligner(spec, proto), 0, TaskContext.get().partitionId()
         chunk = _Chunk(aligner)
         for batch in batches:
