@@ -19,8 +19,8 @@ from rentlens.operators.design import SlopeModel, coefficient_table, cross_produ
 from rentlens.sources.store import stage
 
 COARSE = np.concatenate([[0.0], 10.0 ** np.linspace(-6, 6, 25)])
-FINE = 17
 LAST = 1e60  # where the search for the variance ratio gives up, with an error
+STEP = 1e-9  # the search ends with a step of the logarithm of the ratio below this
 
 
 @dataclass(frozen=True)
@@ -63,20 +63,38 @@ def sector_terms(df: DataFrame, model: SlopeModel, group: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("term", "u"))).alias("terms"))
 
 
+def term_pairs(sectors: DataFrame) -> DataFrame:
+    """(i, j, s, uu) for the pairs of terms of each sector, response included: what every evaluation adds up."""
+    left = sectors.select("s", "terms", F.explode("terms").alias("a"))
+    return (left.select("s", "a", F.explode("terms").alias("b")).filter(F.col("a.term") <= F.col("b.term"))
+            .select(F.col("a.term").alias("i"), F.col("b.term").alias("j"), "s", (F.col("a.u") * F.col("b.u")).alias("uu")))
+
+
+def shrunk_sums(pairs: DataFrame, thetas: list[float], size: int, orders: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """At [k, d]: the d-th derivatives at the k-th theta of sum(c u u'), a matrix, and of sum(log(1 + theta s)), a number,
+    over the sectors. One job, whose result is as large as the matrices."""
+    s = F.col("s")
+    columns = []
+    for k, t in enumerate(thetas):
+        base = 1 + F.lit(float(t)) * s
+        weights = [F.lit(float(t)) / base, 1 / (base * base), -2 * s / (base * base * base)]
+        logs = [F.log1p(F.lit(float(t)) * s), s / base, -s * s / (base * base)]
+        for d in range(orders):
+            columns += [F.sum(F.col("uu") * weights[d]).alias(f"g{k}_{d}"), F.sum(logs[d]).alias(f"l{k}_{d}")]
+    out, logs = np.zeros((len(thetas), orders, size, size)), np.zeros((len(thetas), orders))
+    for r in pairs.groupBy("i", "j").agg(*columns).collect():
+        for k in range(len(thetas)):
+            for d in range(orders):
+                out[k, d, r["i"], r["j"]] = out[k, d, r["j"], r["i"]] = r[f"g{k}_{d}"]
+                if r["i"] == r["j"] == 0:  # every sector has the common slope's term, once
+                    logs[k, d] = r[f"l{k}_{d}"]
+    return out, logs
+
+
 def shrunk_products(sectors: DataFrame, thetas: list[float], size: int) -> tuple[list[np.ndarray], np.ndarray]:
     """For each theta, sum(c u u') over sectors (response included) and sum(log(1 + theta s))."""
-    left = sectors.select("s", "terms", F.explode("terms").alias("a"))
-    pairs = (left.select("s", "a", F.explode("terms").alias("b")).filter(F.col("a.term") <= F.col("b.term"))
-             .select("s", F.col("a.term").alias("i"), F.col("b.term").alias("j"),
-                     (F.col("a.u") * F.col("b.u")).alias("uu")))
-    c = [F.lit(t) / (1 + F.lit(t) * F.col("s")) for t in thetas]
-    found = pairs.groupBy("i", "j").agg(*[F.sum(F.col("uu") * v).alias(f"g{k}") for k, v in enumerate(c)]).collect()
-    out = [np.zeros((size, size)) for _ in thetas]
-    for r in found:
-        for k, m in enumerate(out):
-            m[r["i"], r["j"]] = m[r["j"], r["i"]] = r[f"g{k}"]
-    logs = sectors.agg(*[F.sum(F.log1p(F.lit(t) * F.col("s"))).alias(f"g{k}") for k, t in enumerate(thetas)]).first()
-    return out, np.array([logs[k] or 0.0 for k in range(len(thetas))])
+    found, logs = shrunk_sums(term_pairs(sectors), thetas, size)
+    return list(found[:, 0]), logs[:, 0]
 
 
 def profile(gram: np.ndarray, shrunk: np.ndarray, logs: float, n: int, kept: list[int],
@@ -110,24 +128,72 @@ def profile_table(df: DataFrame, model: SlopeModel, group: str, thetas: list[flo
     return df.sparkSession.createDataFrame(rows, "THETA double, LOGLIK double, SIGMA2 double")
 
 
-def _peak(log_t: np.ndarray, values: np.ndarray) -> float:
-    """Maximiser of a smooth function known on a fine grid, by a polynomial through it."""
-    mid, half = 0.5 * (log_t[0] + log_t[-1]), 0.5 * (log_t[-1] - log_t[0])
-    fit = np.polynomial.Polynomial.fit(log_t, values, 10)
-    grid = mid + half * np.linspace(-1, 1, 20001)
-    return float(grid[np.argmax(fit(grid))])
+def profile_slope(gram: np.ndarray, shrunk: np.ndarray, logs: np.ndarray, n: int, kept: list[int],
+                  method: str) -> tuple[float, float]:
+    """First and second derivative by theta of the profile likelihood at one theta.
+
+    With m the shrunk products and v = (-beta, 1), q = v'mv is the least residual sum; its derivatives follow from those of m
+    alone, as q is stationary in beta. For REML, log|A| adds tr(A^-1 A') and its derivative.
+    """
+    m = [gram - shrunk[0], -shrunk[1], -shrunk[2]]
+    a, first, second = (x[np.ix_(kept, kept)] for x in m)
+    beta = np.linalg.solve(a, m[0][kept, -1])
+    v = np.append(-beta, 1.0)
+    whole = [*kept, len(gram) - 1]
+    q, q1, q2 = (v @ x[np.ix_(whole, whole)] @ v for x in m)
+    rest = m[1][kept, -1] - first @ beta
+    q2 -= 2 * rest @ np.linalg.solve(a, rest)
+    free = n - len(kept) if method == "REML" else n
+    slope, curve = free * q1 / q + logs[1], free * (q2 / q - (q1 / q) ** 2) + logs[2]
+    if method == "REML":
+        inner = np.linalg.solve(a, first)
+        slope += np.trace(inner)
+        curve += np.trace(np.linalg.solve(a, second)) - np.trace(inner @ inner)
+    return -0.5 * slope, -0.5 * curve
+
+
+@dataclass
+class _Search:
+    """The search for one model: a bracket of log(theta) in which the score changes its sign, and the best point yet."""
+
+    low: float
+    high: float
+    at: float
+    best: tuple[float, float, float, np.ndarray]  # theta, log-likelihood, error variance, coefficients
+    done: bool = False
+
+    def move(self, slope: float, curve: float) -> None:
+        """A Newton step in log(theta); the middle of the bracket where that leaves it or the likelihood is not concave."""
+        theta = np.exp(self.at)
+        score, information = theta * slope, -(theta * slope + theta * theta * curve)
+        if score > 0:
+            self.low = self.at
+        else:
+            self.high = self.at
+        new = self.at + score / information if information > 0 else np.inf
+        if not self.low < new < self.high:
+            new = 0.5 * (self.low + self.high)
+        self.done = abs(new - self.at) < STEP
+        self.at = new
 
 
 def _maximise(sectors: DataFrame, gram: np.ndarray, n: int, columns: list[list[int]], method: str):
-    """Best (theta, loglik, sigma2, beta) for each nested column list. Three jobs, whatever their number."""
+    """Best (theta, loglik, sigma2, beta) for each nested column list.
+
+    A coarse grid finds where the likelihood of each model is greatest, then all models take safeguarded Newton steps together:
+    likelihood, score and information of every model come from one aggregate over the sectors. The boundary, no variation
+    between sectors, is taken where the likelihood falls from there.
+    """
     scale = float(sectors.agg(F.avg("s")).first()[0])
+    pairs = stage(term_pairs(sectors), "term-pairs")
     grid = [float(v) for v in COARSE / scale]
 
-    def evaluate(thetas: list[float]):
-        shrunk, logs = shrunk_products(sectors, thetas, len(gram))
-        return [[profile(gram, s, v, n, c, method) for s, v in zip(shrunk, logs)] for c in columns]
+    def evaluate(thetas: list[float], orders: int = 1):
+        shrunk, logs = shrunk_sums(pairs, thetas, len(gram), orders)
+        return shrunk, logs, [[profile(gram, s[0], v[0], n, c, method) for s, v in zip(shrunk, logs)] for c in columns]
 
-    coarse = evaluate(grid)
+    shrunk, logs, coarse = evaluate(grid, 3)
+    at_zero = [profile_slope(gram, shrunk[0], logs[0], n, c, method)[0] for c in columns]
     while True:
         best = [int(np.argmax([v[0] for v in values])) for values in coarse]
         if max(best) < len(grid) - 1:
@@ -137,30 +203,25 @@ def _maximise(sectors: DataFrame, gram: np.ndarray, n: int, columns: list[list[i
             raise ArithmeticError("the likelihood still rises at the end of the search: the errors have no variance")
         more = [grid[-1] * float(v) for v in 10.0 ** np.linspace(0.5, 12, 24)]
         grid += more
-        coarse = [a + b for a, b in zip(coarse, evaluate(more))]
-    brackets = []
-    for i in best:
-        low, high = max(i - 1, 1), min(max(i, 1) + 1, len(grid) - 1)
-        brackets.append(np.linspace(np.log(grid[low]), np.log(grid[high]), FINE))
-    fine = evaluate([float(t) for b in brackets for t in np.exp(b)])
-    final = []
-    for k, b in enumerate(brackets):
-        values = np.array([v[0] for v in fine[k][k * FINE:(k + 1) * FINE]])
-        final.append(float(np.exp(_peak(b, values))))
-    last = evaluate(final)
-    for k, b in enumerate(brackets):
-        # a polynomial may miss; a point of the grid that is better takes its place
-        values = fine[k][k * FINE:(k + 1) * FINE]
-        top = int(np.argmax([v[0] for v in values]))
-        if values[top][0] > last[k][k][0]:
-            final[k], last[k][k] = float(np.exp(b[top])), values[top]
-    out = []
-    for k, t in enumerate(final):
-        if coarse[k][0][0] >= last[k][k][0]:
-            out.append((0.0, *coarse[k][0]))  # the boundary: no variation between sectors
-        else:
-            out.append((t, *last[k][k]))
-    return out
+        coarse = [a + b for a, b in zip(coarse, evaluate(more)[2])]
+    searches = []
+    for k, i in enumerate(best):
+        first = np.log(grid[1]) - 12 * np.log(10)  # below it a ratio cannot be told from the boundary
+        low, high = np.log(grid[i - 1]) if i > 1 else first, np.log(grid[i + 1])
+        search = _Search(low, high, np.log(grid[max(i, 1)]), (grid[i], *coarse[k][i]))
+        search.done = i == 0 and at_zero[k] <= 0
+        searches.append(search)
+    for _ in range(200):
+        open_ones = [k for k, s in enumerate(searches) if not s.done]
+        if not open_ones:
+            break
+        shrunk, logs, values = evaluate([float(np.exp(searches[k].at)) for k in open_ones], 3)
+        for place, k in enumerate(open_ones):
+            search, value = searches[k], values[k][place]
+            if value[0] >= search.best[1]:
+                search.best = (float(np.exp(search.at)), *value)
+            search.move(*profile_slope(gram, shrunk[place], logs[place], n, columns[k], method))
+    return [s.best for s in searches]
 
 
 def fit_nested(df: DataFrame, model: SlopeModel, group: str = "CODIGO_BARRIO",

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PARTS = ["Coef_all", "Coef_est", "Coef_loc", "Coef_year"]
+#: the order in which the summaries by stratum and by locality, and the locality rates, are published
+STRATUM_ORDER, LOCALITY_ORDER, PUBLISHED_ORDER = ["ESTRATO", "A"], ["CODIGO_LOCALIDAD", "A"], ["CODIGO_LOCALIDAD", "ESTRATO", "ANO"]
 
 
 def _part(coefs: DataFrame, factor: str, key: str, name: str) -> DataFrame:

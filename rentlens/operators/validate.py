@@ -106,11 +106,13 @@ def validation_summary(df: DataFrame) -> DataFrame:
     return null_safe_join(counts, medians, by, "left")
 
 
+SUMMARY_KEYS = ["OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC"]
+
+
 def validation_tables(df: DataFrame) -> dict[str, DataFrame]:
     """What the validation publishes: its rows and the four summaries, each ordered by its keys."""
     summary = stage(validation_summary(df), "summary")
-    keys = ["OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC"]
-    return {"BASE_FINAL": df} | {name: summary.filter(F.col("NIVEL") == name).drop("NIVEL").orderBy(*keys)
+    return {"BASE_FINAL": df} | {name: summary.filter(F.col("NIVEL") == name).drop("NIVEL").orderBy(*SUMMARY_KEYS)
                                  for name in ("RESUMEN", "RESUMEN_CP", "RESUMEN_LOC", "RESUMEN_EST")}
 
 

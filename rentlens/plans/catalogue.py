@@ -14,6 +14,8 @@ from rentlens.operators import (clean, cohort, control, design, diagnostics, mix
 from rentlens.plans.fixtures import Tables
 from rentlens.plans.study import ClassStudy, Study
 from rentlens.sources import schemas, tables
+from rentlens.sources.publication import Ordered, Publication
+from rentlens.sources.steps import Steps
 from rentlens.sources.store import Store, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -633,6 +635,50 @@ def lmm_random_histogram_p1(t: Inputs) -> DataFrame:
     return diagnostics.histogram(effects, "RAN_EFFECT").select("BIN", "N")
 
 
+def _nested(t: Inputs, make: Callable[[str, list[mixed.MixedFit]], DataFrame]) -> DataFrame:
+    """``make`` of the nested fits of the whole model, by both methods, on the cohorts of each class."""
+    return _by_class(t, lambda rows: _labelled_methods(rows, make))
+
+
+def _labelled_methods(rows: DataFrame, make) -> DataFrame:
+    model = design.slope_model(rows)
+    made = [make(m, mixed.fit_nested(rows, model, method=m)).withColumn("METHOD", F.lit(m)) for m in ("REML", "ML")]
+    return made[0].unionByName(made[1])
+
+
+@query
+def lmm_search(t: Inputs) -> DataFrame:
+    """What the search for the variance ratio finds for each of the nested models, by REML and ML."""
+    def found(method: str, fits: list[mixed.MixedFit]) -> DataFrame:
+        rows = [(k, float(f.theta), float(f.sigma2), float(f.loglik), f.p) for k, f in enumerate(fits, 1)]
+        return t.spark.createDataFrame(rows, "Model int, theta double, SIGMA2 double, LOGLIK double, P int")
+
+    return _nested(t, found).select(
+        "CLASE_PREDIO", "METHOD", "Model", "P", F.round(F.when(F.col("theta") > 0, F.log("theta")), 3).alias("LOG_THETA"),
+        F.round(F.col("SIGMA2") / 1e9, 2).alias("SIGMA2"), _rounded("LOGLIK", 5))
+
+
+@query
+def lmm_nested_anova(t: Inputs) -> DataFrame:
+    """The likelihood-ratio table of the nested models, by REML as published and by ML, whose comparison is valid."""
+    return _nested(t, lambda method, fits: mixed.anova(t.spark, fits)).select(
+        "CLASE_PREDIO", "METHOD", "Model", "df", *[_rounded(c, 4) for c in ("AIC", "BIC", "logLik", "L_Ratio")])
+
+
+@query
+def lmm_whole_fixed(t: Inputs) -> DataFrame:
+    """Coefficients of the whole model with the variance ratio that the search finds."""
+    return _nested(t, lambda method, fits: fits[-1].coefs).select(
+        "CLASE_PREDIO", "METHOD", "FACTOR", "NIVEL", _rounded("COEF", 3))
+
+
+@query
+def lmm_whole_random(t: Inputs) -> DataFrame:
+    """Random slopes of the whole model with the variance ratio that the search finds."""
+    return _nested(t, lambda method, fits: fits[-1].ranef).select(
+        "CLASE_PREDIO", "METHOD", "CODIGO_BARRIO", _rounded("RAN_EFFECT", 3))
+
+
 @query
 def lmm_fixed(t: Inputs) -> DataFrame:
     return _study_by_class(t, lambda c: c.fit.coefs)
@@ -746,7 +792,7 @@ def _read_back(t: Inputs, level: str) -> DataFrame:
             for f in (rates.published_sector_rates, rates.published_locality_rates)]
     for _ in range(2):
         tables.publish_rates(*map(stage, both), path)
-    return t.spark.read.parquet(f"{path}/{level}")
+    return tables.read_published(t.spark, path, level)
 
 
 @query
@@ -759,6 +805,48 @@ def rates_locality_read_back(t: Inputs) -> DataFrame:
     return _read_back(t, "localidades")
 
 
+def _ordered(t: Inputs, table: DataFrame, order: list[str]) -> DataFrame:
+    """Publish a table in an order, prove the order of its files, and read it with its rank."""
+    made = Publication(t.spark, Store(t.spark, "ordered").path("published"))
+    made.write({"tabla": Ordered(stage(table), tuple(order))})
+    made.check()
+    return made.read("tabla")
+
+
+@query
+def rates_sector_ordered(t: Inputs) -> DataFrame:
+    return _ordered(t, t.fixed_rates, ["TASA_RENTA"])
+
+
+@query
+def rates_stratum_ordered(t: Inputs) -> DataFrame:
+    return _ordered(t, rates.rates_by_stratum(t.fixed_rates), rates.STRATUM_ORDER)
+
+
+@query
+def rates_locality_ordered(t: Inputs) -> DataFrame:
+    return _ordered(t, rates.rates_by_locality(t.fixed_rates), rates.LOCALITY_ORDER)
+
+
+@query
+def rates_published_ordered(t: Inputs) -> DataFrame:
+    return _ordered(t, rates.published_locality_rates(t.fixed_rates), rates.PUBLISHED_ORDER)
+
+
+@query
+def cohorts_reloaded(t: Inputs) -> DataFrame:
+    """Cohorts made as named steps, and loaded by name from a session that did not make them."""
+    root = Store(t.spark, "steps").path("catalogue")
+    steps = Steps(t.spark, root)
+    urban = steps.run("urban", _urban, steps.source(t.listings))
+    steps.run("cohorts", cohort.cohort_table, urban)
+    return _doubles(Steps(t.spark.newSession(), root).load("cohorts"), *N_COLUMNS)
+
+
+def _urban(listings: DataFrame) -> DataFrame:
+    return clean.parsed_listings(clean.exclusions(clean.only_homes(listings)))
+
+
 @query
 def clean_rows_read_back(t: Inputs) -> DataFrame:
     """Cleaned listings written as a table and read again."""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from rentlens.operators.clean import DEFLATORS, SEGMENT
 from rentlens.operators.validate import ERROR_EDGES, ERROR_LABELS, ERROR_QUANTILES
 from rentlens.plans.catalogue import BLUP_THETA, THETAS
 from rentlens.plans.fixtures import with_views
 
 ORACLES: dict[str, str] = {}
-RECURSIVE = ("walk", "bisect")
+RECURSIVE = ("walk", "bisect", "sweep")
 
 
 def _real(v: float) -> str:
@@ -494,6 +496,125 @@ for _name, _step, _value in (("lmm_residual_histogram_p1", "residuals", "e"),
                              ("lmm_random_histogram_p1", "blup", "RAN_EFFECT")):
     oracle(_name, f"""SELECT cast(least(floor(({_value} - lo) / ((hi - lo) / 30)), 29) AS int) AS BIN, count(*) AS N
         FROM {_step}, (SELECT min({_value}) AS lo, max({_value}) AS hi FROM {_step}) GROUP BY 1""", steps=(_step,))
+
+# The search for the variance ratio of the four nested models. A matrix is a list; sweeping its columns in the order of the
+# design leaves the residual sum in the last entry and the determinant in the pivots after each model's last column, so one
+# recursion serves all four. Four grids, each around the best point of the one before, and the top of a parabola through the
+# last one's best points take the place of derivatives.
+_GRID = 20
+
+
+def _grid(number: int) -> str:
+    """(class, method, model, theta): 41 points around the best ones so far; at first 0 and 12 decades."""
+    models = "(SELECT unnest(['REML', 'ML']) AS METHOD), (SELECT unnest([1, 2, 3, 4]) AS Model)"
+    if number == 0:
+        return f"""SELECT CLASE_PREDIO, METHOD, Model, theta FROM (SELECT CLASE_PREDIO, scale FROM mm_size), {models},
+            (SELECT unnest(range(0, {2 * _GRID + 1})) AS k),
+            LATERAL (SELECT CASE WHEN k = 0 THEN 0.0 ELSE 10.0::double ** (-6.6 + 0.3 * k) / scale END AS theta)"""
+    step = 0.6 * math.log(10) / _GRID * (2 / _GRID) ** (number - 1)
+    return f"""SELECT CLASE_PREDIO, METHOD, Model, CASE WHEN k = 0 THEN best ELSE best * exp(k * {step!r}) END AS theta
+        FROM mm_best{number - 1}, (SELECT unnest(range(-{_GRID}, {_GRID + 1})) AS k)"""
+
+
+def _search_steps(grids: int = 4) -> None:
+    STEPS["mm_terms"] = ([], ["flats"], """SELECT CLASE_PREDIO, FACTOR, NIVEL, part,
+        cast(row_number() OVER (PARTITION BY CLASE_PREDIO ORDER BY part, NIVEL) - 1 AS int) AS i FROM (
+          SELECT DISTINCT CLASE_PREDIO, 'all' AS FACTOR, '' AS NIVEL, 1 AS part FROM flats
+          UNION ALL SELECT DISTINCT CLASE_PREDIO, 'est', cast(ESTRATO AS varchar), 2 FROM flats f
+            WHERE ESTRATO > (SELECT min(ESTRATO) FROM flats g WHERE g.CLASE_PREDIO = f.CLASE_PREDIO)
+          UNION ALL SELECT DISTINCT CLASE_PREDIO, 'loc', CODIGO_LOCALIDAD, 3 FROM flats f
+            WHERE CODIGO_LOCALIDAD > (SELECT min(CODIGO_LOCALIDAD) FROM flats g WHERE g.CLASE_PREDIO = f.CLASE_PREDIO)
+          UNION ALL SELECT DISTINCT CLASE_PREDIO, 'year', cast(ANO AS varchar), 4 FROM flats f
+            WHERE ANO > (SELECT min(ANO) FROM flats g WHERE g.CLASE_PREDIO = f.CLASE_PREDIO))""")
+    STEPS["mm_size"] = ([], ["mm_terms"], """SELECT CLASE_PREDIO, N, scale, width, [p1, p2, p3, p4] AS p FROM (
+        SELECT CLASE_PREDIO, cast(count(*) + 1 AS int) AS width, cast(count(*) FILTER (part <= 1) AS int) AS p1,
+          cast(count(*) FILTER (part <= 2) AS int) AS p2, cast(count(*) FILTER (part <= 3) AS int) AS p3,
+          cast(count(*) AS int) AS p4 FROM mm_terms GROUP BY CLASE_PREDIO)
+        JOIN (SELECT CLASE_PREDIO, sum(k) AS N, avg(s) AS scale FROM (SELECT CLASE_PREDIO, CODIGO_BARRIO, count(*) AS k,
+          sum(x * x) AS s FROM flats GROUP BY ALL) GROUP BY CLASE_PREDIO) USING (CLASE_PREDIO)""")
+    # a sector's sums by term; the response is the last one
+    STEPS["mm_parts"] = ([], ["mm_size"], """SELECT CLASE_PREDIO, CODIGO_BARRIO, i, sum(u) AS u FROM (
+        SELECT f.CLASE_PREDIO, CODIGO_BARRIO, i, x * x AS u FROM flats f JOIN mm_terms t ON t.CLASE_PREDIO = f.CLASE_PREDIO
+          AND (FACTOR = 'all' OR FACTOR = 'est' AND NIVEL = cast(ESTRATO AS varchar) OR FACTOR = 'loc' AND
+            NIVEL = CODIGO_LOCALIDAD OR FACTOR = 'year' AND NIVEL = cast(ANO AS varchar))
+        UNION ALL SELECT CLASE_PREDIO, CODIGO_BARRIO, width - 1, x * y FROM flats JOIN mm_size USING (CLASE_PREDIO))
+        GROUP BY ALL""")
+    STEPS["mm_products"] = ([], ["mm_parts"], """SELECT a.CLASE_PREDIO, a.i, b.i AS j, c.u AS s, a.u * b.u AS uu
+        FROM mm_parts a JOIN mm_parts b USING (CLASE_PREDIO, CODIGO_BARRIO) JOIN mm_parts c USING (CLASE_PREDIO, CODIGO_BARRIO)
+        WHERE c.i = 0""")
+    STEPS["mm_gram"] = ([], ["mm_size"], """WITH d AS (SELECT f.CLASE_PREDIO, f.rowid AS r, i, x AS v FROM mm_rows f
+          JOIN mm_terms t ON t.CLASE_PREDIO = f.CLASE_PREDIO AND (FACTOR = 'all' OR FACTOR = 'est' AND
+            NIVEL = cast(ESTRATO AS varchar) OR FACTOR = 'loc' AND NIVEL = CODIGO_LOCALIDAD OR FACTOR = 'year' AND
+            NIVEL = cast(ANO AS varchar))
+          UNION ALL SELECT CLASE_PREDIO, f.rowid, width - 1, y FROM mm_rows f JOIN mm_size USING (CLASE_PREDIO))
+        SELECT a.CLASE_PREDIO, a.i, b.i AS j, sum(a.v * b.v) AS g FROM d a JOIN d b USING (CLASE_PREDIO, r) GROUP BY ALL""")
+    STEPS["mm_rows"] = ([], ["flats"], "SELECT *, row_number() OVER () AS rowid FROM flats")
+    STEPS["mm_gram"] = ([], ["mm_size", "mm_rows"], STEPS["mm_gram"][2])
+
+    def evaluated(tag: str, grid: str, needs: list[str]) -> None:
+        STEPS[f"mm_grid{tag}"] = ([], needs, grid)
+        STEPS[f"mm_logs{tag}"] = ([], [f"mm_grid{tag}", "mm_parts"], f"""SELECT CLASE_PREDIO, theta, sum(ln(1 + theta * u)) AS logs
+            FROM (SELECT DISTINCT CLASE_PREDIO, theta FROM mm_grid{tag}) JOIN mm_parts USING (CLASE_PREDIO) WHERE i = 0
+            GROUP BY ALL""")
+        STEPS[f"mm_matrix{tag}"] = ([], [f"mm_logs{tag}", "mm_products", "mm_gram"], f"""SELECT CLASE_PREDIO, theta, width,
+            list(m ORDER BY i, j) AS m FROM (
+              SELECT g.CLASE_PREDIO, t.theta, z.width, g.i, g.j, g.g - coalesce(h.h, 0) AS m
+              FROM (SELECT z.CLASE_PREDIO, a.i, b.i AS j, coalesce(g.g, 0) AS g FROM mm_size z,
+                  LATERAL (SELECT unnest(range(0, z.width)) AS i) a, LATERAL (SELECT unnest(range(0, z.width)) AS i) b
+                  LEFT JOIN mm_gram g ON g.CLASE_PREDIO = z.CLASE_PREDIO AND g.i = a.i AND g.j = b.i) g
+              JOIN mm_logs{tag} t USING (CLASE_PREDIO) JOIN mm_size z USING (CLASE_PREDIO)
+              LEFT JOIN (SELECT CLASE_PREDIO, theta, i, j, sum(theta / (1 + theta * s) * uu) AS h
+                FROM mm_products JOIN mm_logs{tag} USING (CLASE_PREDIO) GROUP BY ALL) h
+                ON h.CLASE_PREDIO = g.CLASE_PREDIO AND h.theta = t.theta AND h.i = g.i AND h.j = g.j) GROUP BY ALL""")
+        STEPS[f"sweep_{tag}"] = ([], [f"mm_matrix{tag}"], f"""
+            SELECT CLASE_PREDIO, theta, width, 0 AS k, m, 0.0::double AS det FROM mm_matrix{tag}
+            UNION ALL SELECT CLASE_PREDIO, theta, width, k + 1, list_transform(range(0, width * width), lambda e: CASE
+                WHEN e // width = k AND e % width = k THEN -1 / m[k * width + k + 1]
+                WHEN e // width = k THEN m[e + 1] / m[k * width + k + 1]
+                WHEN e % width = k THEN m[e + 1] / m[k * width + k + 1]
+                ELSE m[e + 1] - m[e // width * width + k + 1] * m[k * width + e % width + 1] / m[k * width + k + 1] END),
+              det + ln(m[k * width + k + 1]) FROM sweep_{tag} WHERE k < width - 1""")
+        STEPS[f"mm_value{tag}"] = ([], [f"sweep_{tag}"], f"""SELECT g.CLASE_PREDIO, METHOD, Model, g.theta, z.N, z.p[Model] AS P,
+              m[-1] / free AS sigma2, m, -0.5 * (free * (ln(2 * pi() * m[-1] / free) + 1) + logs
+                + CASE WHEN METHOD = 'REML' THEN det ELSE 0 END) AS loglik
+            FROM mm_grid{tag} g JOIN mm_size z USING (CLASE_PREDIO) JOIN mm_logs{tag} l
+              ON l.CLASE_PREDIO = g.CLASE_PREDIO AND l.theta = g.theta
+            JOIN sweep_{tag} w ON w.CLASE_PREDIO = g.CLASE_PREDIO AND w.theta = g.theta AND w.k = z.p[Model],
+            LATERAL (SELECT CASE WHEN METHOD = 'REML' THEN z.N - z.p[Model] ELSE z.N END AS free)""")
+        STEPS[f"mm_best{tag}"] = ([], [f"mm_value{tag}"], f"""SELECT CLASE_PREDIO, METHOD, Model,
+            arg_max(theta, loglik) AS best FROM mm_value{tag} GROUP BY ALL""")
+
+    for number in range(grids):
+        evaluated(str(number), _grid(number), ["mm_size"] if number == 0 else [f"mm_best{number - 1}"])
+    group = "PARTITION BY CLASE_PREDIO, METHOD, Model"
+    step = 0.6 * math.log(10) / _GRID * (2 / _GRID) ** (grids - 2)
+    STEPS["mm_top"] = ([], [f"mm_value{grids - 1}"], f"""SELECT CLASE_PREDIO, METHOD, Model, CASE WHEN theta > 0
+          THEN theta * exp(0.5 * {step!r} * (below - above) / (below - 2 * loglik + above)) ELSE theta END AS theta
+        FROM (SELECT *, lag(loglik) OVER ({group} ORDER BY theta) AS below, lead(loglik) OVER ({group} ORDER BY theta) AS above
+          FROM mm_value{grids - 1}) QUALIFY row_number() OVER ({group} ORDER BY loglik DESC) = 1""")
+    evaluated("_top", "SELECT * FROM mm_top", ["mm_top"])
+    STEPS["mm_fit"] = ([], ["mm_value_top"], "SELECT * FROM mm_value_top")
+    STEPS["mm_beta"] = ([], ["mm_fit"], """SELECT f.CLASE_PREDIO, METHOD, theta, FACTOR, NIVEL, i,
+        m[i * width + width] AS beta FROM mm_fit f JOIN mm_size USING (CLASE_PREDIO) JOIN mm_terms USING (CLASE_PREDIO)
+        WHERE Model = 4""")
+
+
+_search_steps()
+oracle("lmm_search", """SELECT CLASE_PREDIO, METHOD, Model, P, round(CASE WHEN theta > 0 THEN ln(theta) END, 3) AS LOG_THETA,
+    round(sigma2 / 1e9, 2) AS SIGMA2, round(loglik, 5) + 0 AS LOGLIK FROM mm_fit""", steps=("mm_fit",))
+oracle("lmm_nested_anova", """SELECT CLASE_PREDIO, METHOD, Model, P + 2 AS df, round(2 * (P + 2) - 2 * loglik, 4) + 0 AS AIC,
+    round((P + 2) * ln(CASE WHEN METHOD = 'REML' THEN N - P ELSE N END) - 2 * loglik, 4) + 0 AS BIC,
+    round(loglik, 4) + 0 AS logLik, round(2 * abs(loglik - lag(loglik) OVER (PARTITION BY CLASE_PREDIO, METHOD ORDER BY Model)), 4)
+      + 0 AS L_Ratio FROM mm_fit""", steps=("mm_fit",))
+oracle("lmm_whole_fixed", "SELECT CLASE_PREDIO, METHOD, FACTOR, NIVEL, round(beta, 3) + 0 AS COEF FROM mm_beta",
+       steps=("mm_beta",))
+oracle("lmm_whole_random", """SELECT CLASE_PREDIO, METHOD, CODIGO_BARRIO, round(theta / (1 + theta * s) * rest, 3) + 0
+    AS RAN_EFFECT FROM (SELECT b.CLASE_PREDIO, b.METHOD, b.theta, CODIGO_BARRIO, max(CASE WHEN p.i = 0 THEN u END) AS s,
+        max(CASE WHEN p.i = width - 1 THEN u END) - sum(CASE WHEN p.i < width - 1 THEN u * beta ELSE 0 END) AS rest
+      FROM mm_parts p JOIN mm_size z USING (CLASE_PREDIO) JOIN (SELECT DISTINCT CLASE_PREDIO, METHOD, theta FROM mm_beta) b
+        ON b.CLASE_PREDIO = p.CLASE_PREDIO
+      LEFT JOIN mm_beta c ON c.CLASE_PREDIO = p.CLASE_PREDIO AND c.METHOD = b.METHOD AND c.i = p.i
+      GROUP BY b.CLASE_PREDIO, b.METHOD, b.theta, CODIGO_BARRIO)""", steps=("mm_parts", "mm_beta"))
 oracle("coef_terms", """SELECT 'PRECIO_MEAN_ARRIENDO' AS rowname, cast(NULL AS varchar) AS ESTRATO,
       cast(NULL AS varchar) AS CODIGO_LOCALIDAD, cast(NULL AS varchar) AS ANO, 1 AS Intercepto
     UNION ALL SELECT DISTINCT concat('PRECIO_MEAN_ARRIENDO:ESTRATO', ESTRATO), cast(ESTRATO AS varchar), NULL, NULL, 0
@@ -530,6 +651,21 @@ oracle("rates_report", f"""SELECT A, ESTRATO, round(1 / TASA_RENTA, 5) AS TASA_R
 _PUBLISHED = """SELECT ANO, CODIGO_LOCALIDAD, ESTRATO, CODIGO_BARRIO, round(1 / TASA_RENTA, 5) AS TASA_RENTA
     FROM rates"""
 oracle("rates_published", _PUBLISHED, steps=("rates",))
+
+
+def _in_order(body: str, keys: list[str], others: list[str]) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in [*keys, *others])
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS ORDEN FROM ({body})"
+
+
+oracle("rates_stratum_ordered", _in_order(_STRATUM, ["ESTRATO", "A"], ["TASA_RENTA", "TASA_RENTA_2"]), steps=("rates",))
+oracle("rates_locality_ordered", _in_order(_PLACE, ["CODIGO_LOCALIDAD", "A"], ["TASA_RENTA", "TASA_RENTA_2"]), steps=("rates",))
+oracle("rates_published_ordered", _in_order("""SELECT DISTINCT ANO, cast(CODIGO_LOCALIDAD AS int) AS CODIGO_LOCALIDAD, ESTRATO,
+    round(1 / (Coef_all + Coef_est + Coef_loc + Coef_year), 5) AS TASA_RENTA FROM rates""",
+                                            ["CODIGO_LOCALIDAD", "ESTRATO", "ANO"], ["TASA_RENTA"]), steps=("rates",))
+oracle("rates_sector_ordered", _in_order("SELECT * FROM rates", ["TASA_RENTA"], [
+    "CODIGO_BARRIO", "CODIGO_LOCALIDAD", "ANO", "ESTRATO"]), steps=("rates",))
+oracle("cohorts_reloaded", f"SELECT {_N_DOUBLE} FROM cohorts", steps=("cohorts",))
 oracle("rates_sector_read_back", f"SELECT *, 'P' AS CLASE FROM ({_PUBLISHED})", steps=("rates",))
 oracle("rates_locality_read_back", """SELECT DISTINCT ANO, cast(CODIGO_LOCALIDAD AS int) AS CODIGO_LOCALIDAD, ESTRATO,
     round(1 / (Coef_all + Coef_est + Coef_loc + Coef_year), 5) AS TASA_RENTA, 'P' AS CLASE FROM rates""", steps=("rates",))

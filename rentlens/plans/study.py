@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -13,11 +14,26 @@ from rentlens.operators.control import quality_control
 from rentlens.operators.design import slope_model
 from rentlens.operators.mixed import MixedFit, anova, fit_nested, with_fitted
 from rentlens.operators.ols import prune_influential
-from rentlens.operators.rates import (published_locality_rates, published_sector_rates, rate_table,
-                                      rates_by_locality, rates_by_stratum)
-from rentlens.operators.validate import apply_rates, screen_second_sample, validation_tables
+from rentlens.operators.rates import (LOCALITY_ORDER, STRATUM_ORDER, published_locality_rates, published_sector_rates,
+                                      rate_table, rates_by_locality, rates_by_stratum)
+from rentlens.operators.validate import SUMMARY_KEYS, apply_rates, screen_second_sample, validation_tables
+from rentlens.sources.publication import Ordered, Publication
+from rentlens.sources.steps import Steps, Table
 from rentlens.sources.store import Store
-from rentlens.sources.tables import publish_rates, write_tables
+from rentlens.sources.tables import publish_rates
+
+
+def class_cohorts(split: DataFrame, kind: str) -> DataFrame:
+    """Cohorts of one class whose ratio lies in the window."""
+    return split.filter((F.col("SPLIT") == "in") & (F.col("CLASE_PREDIO") == kind))
+
+
+def clean(listings: DataFrame, fee_census: DataFrame) -> DataFrame:
+    return clean_listings(only_homes(listings), fee_census)
+
+
+def prune(cohorts: DataFrame) -> DataFrame:
+    return prune_influential(cohorts, slope_model(cohorts))
 
 
 class ClassStudy:
@@ -26,17 +42,17 @@ class ClassStudy:
     def __init__(self, study: "Study", kind: str):
         self.study, self.kind = study, kind
 
-    def _save(self, df: DataFrame, name: str) -> DataFrame:
-        return self.study.store.save(df, f"{name}_{self.kind}")
+    def _step(self, name: str, make, *inputs: str, **options) -> DataFrame:
+        own = [f"{i}_{self.kind}" if i in vars(ClassStudy) else i for i in inputs]
+        return self.study.step(f"{name}_{self.kind}", make, *own, **options)
 
     @cached_property
     def cohorts(self) -> DataFrame:
-        chosen = (F.col("SPLIT") == "in") & (F.col("CLASE_PREDIO") == self.kind)
-        return self._save(self.study.split.filter(chosen), "cohorts")
+        return self._step("cohorts", class_cohorts, "split", kind=self.kind)
 
     @cached_property
     def pruned(self) -> DataFrame:
-        return self._save(prune_influential(self.cohorts, slope_model(self.cohorts)), "pruned")
+        return self._step("pruned", prune, "cohorts")
 
     @cached_property
     def fits(self) -> list[MixedFit]:
@@ -46,17 +62,28 @@ class ClassStudy:
     def fit(self) -> MixedFit:
         return self.fits[-1]
 
+    # what the fits give is stored, so that a session which finds it does not fit
+    @cached_property
+    def coefs(self) -> DataFrame:
+        return self._step("coefs", lambda pruned: self.fit.coefs, "pruned", code=(fit_nested, slope_model))
+
+    @cached_property
+    def ranef(self) -> DataFrame:
+        return self._step("ranef", lambda pruned: self.fit.ranef, "pruned", code=(fit_nested, slope_model))
+
     @cached_property
     def anova(self) -> DataFrame:
-        return anova(self.study.store.spark, self.fits)
+        return self._step("anova", lambda pruned: anova(pruned.sparkSession, self.fits), "pruned",
+                          code=(anova, fit_nested, slope_model))
 
     @cached_property
     def residuals(self) -> DataFrame:
-        return self._save(with_fitted(self.pruned, self.fit), "residuals")
+        return self._step("residuals", lambda pruned: with_fitted(pruned, self.fit), "pruned",
+                          code=(with_fitted, fit_nested, slope_model))
 
     @cached_property
     def rates(self) -> DataFrame:
-        return self._save(rate_table(self.pruned, self.fit.coefs, self.fit.ranef), "rates")
+        return self._step("rates", rate_table, "pruned", "coefs", "ranef")
 
     @cached_property
     def by_stratum(self) -> DataFrame:
@@ -68,32 +95,53 @@ class ClassStudy:
 
 
 class Study:
-    """Steps are computed on first use and kept in the store."""
+    """Steps are computed on first use and kept in a store of their own, or in ``steps``, where other sessions find them."""
 
-    def __init__(self, listings: DataFrame, fee_census: DataFrame, cadastral: DataFrame):
+    def __init__(self, listings: DataFrame, fee_census: DataFrame, cadastral: DataFrame, steps: Steps | None = None):
         self.listings, self.fee_census, self.cadastral = listings, fee_census, cadastral
-        self.store = Store(listings.sparkSession, "study")
+        self.store, self.steps = Store(listings.sparkSession, "study"), steps
         self.classes = {kind: ClassStudy(self, kind) for kind in ("P", "N")}
+        self._tables: dict[str, Table] = {}
+
+    def _frame(self, name: str) -> DataFrame:
+        """A source or a step, by its name; steps of a class end in its letter."""
+        if name in vars(Study) or name in vars(self):
+            return getattr(self, name)
+        short, _, kind = name.rpartition("_")
+        return getattr(self.classes[kind], short)
+
+    def _table(self, name: str) -> Table:
+        frame = self._frame(name)  # a step enters its table
+        if name not in self._tables:
+            self._tables[name] = self.steps.source(frame)
+        return self._tables[name]
+
+    def step(self, name: str, make, *inputs: str, code: tuple = (), **parameters) -> DataFrame:
+        if self.steps is None:
+            return self.store.save(make(*[self._frame(i) for i in inputs], **parameters), name)
+        table = self.steps.run(name, make, *[self._table(i) for i in inputs], code=code, **parameters)
+        self._tables[name] = table
+        return table.frame
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        return self.store.save(clean_listings(only_homes(self.listings), self.fee_census), "cleaned")
+        return self.step("cleaned", clean, "listings", "fee_census")
 
     @cached_property
     def kept(self) -> DataFrame:
-        return quality_control(self.cleaned, save=self.store.save)
+        return self.step("kept", quality_control, "cleaned")
 
     @cached_property
     def cohorts(self) -> DataFrame:
-        return self.store.save(cohort_table(self.kept), "cohorts")
+        return self.step("cohorts", cohort_table, "kept")
 
     @cached_property
     def imputed(self) -> DataFrame:
-        return self.store.save(impute_cohorts(self.cohorts, self.kept, self.cadastral), "imputed")
+        return self.step("imputed", impute_cohorts, "cohorts", "kept", "cadastral")
 
     @cached_property
     def split(self) -> DataFrame:
-        return self.store.save(split_by_ratio(self.imputed), "split")
+        return self.step("split", split_by_ratio, "imputed")
 
     def _both(self, table) -> DataFrame:
         parts = [table(c).withColumn("CLASE_PREDIO", F.lit(kind)) for kind, c in self.classes.items()]
@@ -107,8 +155,13 @@ class Study:
     def locality_rates(self) -> DataFrame:
         return self._both(lambda c: published_locality_rates(c.rates))
 
-    def publish(self, path: str) -> None:
-        publish_rates(self.sector_rates, self.locality_rates, path)
+    def publish(self, path: str) -> int:
+        """All rate tables as the next version of the publication in ``path``; the number of the version."""
+        strata, places = (self._both(f).withColumnRenamed("CLASE_PREDIO", "CLASE")
+                          for f in (lambda c: c.by_stratum, lambda c: c.by_locality))
+        return publish_rates(self.sector_rates, self.locality_rates, path,
+                             estratos=Ordered(strata, ("CLASE", *STRATUM_ORDER)),
+                             resumen_localidades=Ordered(places, ("CLASE", *LOCALITY_ORDER)))
 
     def validated(self, two_price: DataFrame) -> DataFrame:
         """Listings with both prices next to what the published rates say of them."""
@@ -119,12 +172,17 @@ class Study:
         locality = locality.withColumn("CODIGO_LOCALIDAD", F.col("CODIGO_LOCALIDAD").cast("string"))
         return apply_rates(two_price, sector, locality, self.fee_census)
 
-    def write(self, two_price: DataFrame, path: str) -> None:
-        """The cleaned listings, the validation's base and summaries, and the second sample's survivors as tables."""
-        checked = self.store.save(self.validated(two_price), "validated")
+    def write(self, two_price: DataFrame, path: str) -> int:
+        """The cleaned listings, the validation's base and summaries, and the second sample's survivors, as the next version
+        of the publication in ``path``; the number of the version."""
+        checked = self.store.save(self.validated(two_price), f"validated-{uuid.uuid4().hex}")
         survivors = screen_second_sample(two_price, self.cleaned, self.fee_census)
-        write_tables({"DEPURADA": self.cleaned, **validation_tables(checked), "SOBREVIVIENTES": survivors}, path)
+        made = {name: table if name == "BASE_FINAL" else Ordered(table, tuple(SUMMARY_KEYS))
+                for name, table in validation_tables(checked).items()}
+        publication = Publication(two_price.sparkSession, path)
+        return publication.write({"DEPURADA": self.cleaned, **made, "SOBREVIVIENTES": survivors})
 
     def close(self) -> None:
-        """Remove the study's stored steps. Its tables cannot be read afterwards; what was published stays."""
+        """Remove the steps of the study's own store. Its tables cannot be read afterwards; what was published stays, and so
+        do the steps of a shared catalogue."""
         self.store.remove()

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from rentlens.functions.text import normalise_names
 from rentlens.sources import schemas
+from rentlens.sources.publication import RANK, Ordered, Publication
 
 
 RATE_KEYS = ["OFT_TIPO_INMUEBLE", "ANO", "CODIGO_LOCALIDAD", "ESTRATO", "CODIGO_BARRIO"]
@@ -36,15 +37,21 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("errorifexists").option("header", True).option("sep", sep).csv(path)
 
 
-def publish_rates(sector: DataFrame, locality: DataFrame, path: str) -> None:
-    """The rate tables: a root per level with its own schema, in it a folder per class. A second run replaces the first.
+def publish_rates(sector: DataFrame, locality: DataFrame, path: str, **others: Ordered) -> int:
+    """The rate tables as a version of the publication in ``path``, each ordered by its keys; the version's number.
 
-    ``sector`` and ``locality`` carry CLASE_PREDIO. Rows are sorted by their keys, over all files of a level.
+    ``sector`` and ``locality`` carry CLASE_PREDIO, published as CLASE. ``others`` are published with them. Readers see all
+    tables of one version; one that fails on the way leaves the version before.
     """
-    for level, table in (("sectores", sector), ("localidades", locality)):
-        keys = [c for c in RATE_KEYS if c in table.columns]
-        (table.withColumnRenamed("CLASE_PREDIO", "CLASE").repartitionByRange("CLASE", *keys)
-         .sortWithinPartitions("CLASE", *keys).write.mode("overwrite").partitionBy("CLASE").parquet(f"{path}/{level}"))
+    named = {"sectores": sector.withColumnRenamed("CLASE_PREDIO", "CLASE"),
+             "localidades": locality.withColumnRenamed("CLASE_PREDIO", "CLASE")}
+    tables = {name: Ordered(df, ("CLASE", *[c for c in RATE_KEYS if c in df.columns])) for name, df in named.items()}
+    return Publication(sector.sparkSession, path).write(tables | others)
+
+
+def read_published(spark: SparkSession, path: str, name: str, version: int | None = None) -> DataFrame:
+    """A table of the newest version published in ``path``, or of a given one, without its rank."""
+    return Publication(spark, path).read(name, version).drop(RANK)
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rentlens.operators import clean, cohort, rates, validate
 from rentlens.plans.fixtures import Tables
 from rentlens.plans.study import Study
+from rentlens.sources.publication import Publication
 from rentlens.sources import schemas, store, tables
 
 LISTING = dict(IDENTIFICADOR="1", TIPO_INMUEBLE="APARTAMENTO", TIPO_OFERTA="ARRIENDO", CLASE_PREDIO="P", ESTRATO=3,
@@ -149,14 +150,20 @@ def test_study_publishes_and_writes(spark, tmp_path):
     for _ in range(2):  # a second publication replaces the first
         study.publish(f"{tmp_path}/rates")
     for level, want in (("sectores", study.sector_rates), ("localidades", study.locality_rates)):
-        found = spark.read.parquet(f"{tmp_path}/rates/{level}").withColumnRenamed("CLASE", "CLASE_PREDIO")
+        found = tables.read_published(spark, f"{tmp_path}/rates", level).withColumnRenamed("CLASE", "CLASE_PREDIO")
         assert sorted(map(repr, found.select(want.columns).collect())) == sorted(map(repr, want.collect()))
         assert {r["CLASE_PREDIO"] for r in found.collect()} == set("PN")
     assert {"cleaned", "cohorts", "imputed", "split", "pruned_P", "rates_N"} <= set(study.store.names)
     tables.write_csv(study.kept, f"{tmp_path}/kept.csv")
     assert spark.read.option("header", True).csv(f"{tmp_path}/kept.csv").count() == study.kept.count()
-    study.write(t.two_price, f"{tmp_path}/tables")
-    found = {name: spark.read.parquet(f"{tmp_path}/tables/{name}") for name in (
+    rates = Publication(spark, f"{tmp_path}/rates")
+    rates.check()  # the order of all four tables, from their files
+    assert rates.versions() == [1, 2] and rates.manifest()["estratos"]["keys"] == ["CLASE", "ESTRATO", "A"]
+    assert rates.read("resumen_localidades").count() == sum(c.by_locality.count() for c in study.classes.values())
+    assert [study.write(t.two_price, f"{tmp_path}/tables") for _ in range(2)] == [1, 2]  # it can be run again
+    written = Publication(spark, f"{tmp_path}/tables")
+    written.check()
+    found = {name: written.read(name) for name in (
         "DEPURADA", "BASE_FINAL", "RESUMEN", "RESUMEN_CP", "RESUMEN_LOC", "RESUMEN_EST", "SOBREVIVIENTES")}
     assert found["DEPURADA"].count() == study.cleaned.count()
     assert 0 < found["RESUMEN_CP"].count() <= 2
