@@ -128,7 +128,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     The longest n-grams go by their counts, shorter ones by the number of characters seen before them. Each order has an
     absolute discount per language, n1/(n1 + 2 n2), from its numbers of n-grams seen once and twice; what it takes off is
     given to the order below, and the lowest one shares it evenly among all characters seen and one that was not.
-    ``back`` is the logarithm of the share given on by the n-gram as a context, null where it is none.
+    ``back`` is the logarithm of the share given on by the n-gram as a context, null where it is none; ``logp`` is null for
+    what is only a context.
     """
     none = F.lit(None).cast("double").alias("back")
     levels = {ORDER: stage(counts, "grams")}
@@ -150,7 +151,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
                                                            F.log2(F.col("given") * F.col("p")).alias("logp"), none))
         else:
             backs = contexts.select("lang", F.col("context").alias("gram"), F.log2("given").alias("back"))
-            out[-1] = out[-1].drop("back").join(backs, ["lang", "gram"], "left")
+            # what stands before a text's first letters is a context, but no n-gram that was ever predicted
+            out[-1] = out[-1].drop("back", "size").join(backs, ["lang", "gram"], "full").withColumn("size", F.lit(k - 1))
         here = stage(level.join(contexts, ["lang", "context"]).join(lower, ["lang", "tail"])
                      .select("lang", "gram", p.alias("p")), "probabilities")
         lower = here.withColumnRenamed("gram", "tail")
@@ -173,18 +175,20 @@ class Arrays:
     levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     def look_up(self, size: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(found, logp, back) of hashes among the n-grams of ``size`` characters."""
+        """(known, logp, back) of hashes among the n-grams of ``size`` characters; logp is nan for what is only a context."""
         hashed, logp, back = self.levels[size - 1]
         if not len(hashed):
             return np.zeros(len(keys), bool), np.zeros(len(keys)), np.zeros(len(keys))
         at = np.minimum(np.searchsorted(hashed, keys), len(hashed) - 1)
-        return hashed[at] == keys, logp[at], back[at]
+        known = hashed[at] == keys
+        return known, logp[at], back[at]
 
     def bits(self, keys: list[np.ndarray], contexts: list[np.ndarray]) -> np.ndarray:
         """Minus log2 of the probability of each n-gram's last character, from its hashes at all orders."""
         out, left = np.zeros(len(keys[0])), np.arange(len(keys[0]))
         for size in range(ORDER, 0, -1):
             found, logp, _ = self.look_up(size, keys[size - 1][left])
+            found = found & ~np.isnan(logp)
             out[left[found]] += logp[found]
             left = left[~found]
             if not len(left):
@@ -252,7 +256,7 @@ class Model:
                                | (F.col("size") <= 2))
         found = rows.select("lang", "size", "hash", "logp", "back").toArrow()
         size, key = (found.column(c).to_numpy() for c in ("size", "hash"))
-        key, logp = key.view(np.uint64), found.column("logp").to_numpy().astype(np.float32)
+        key, logp = key.view(np.uint64), found.column("logp").to_numpy().astype(np.float32)  # nan where null
         back = found.column("back").to_numpy().astype(np.float32)
         out = {}
         for lang in self.langs:
@@ -356,7 +360,7 @@ def calibrate(scored: DataFrame, langs: list[str], reject: float = REJECT) -> Ca
     names = F.array(*[F.lit(x) for x in langs])
     rows = stage(scored.filter("n_letters > 0").withColumn("at", F.array_position(names, F.col("lang")).cast("int") - 1)
                  .filter("at >= 0").withColumn("best", _best(langs)).drop("doc_id"), "calibration")
-    own = F.expr("entropy[at]")
+    own = F.get("entropy", F.col("at"))
 
     def loss(sharpness: tuple[float, float]) -> Column:
         w = _weights(F.col("n_places"), sharpness)
@@ -398,7 +402,7 @@ def classify(docs: DataFrame, model: Model, calibration: Calibration) -> DataFra
     and rejected."""
     rows = entropies(docs, model).withColumn("best", _best(model.langs))
     names = F.array(*[F.lit(x) for x in model.langs]) if model.langs else F.array().cast("array<string>")
-    rows = rows.withColumn("lang_best", names[F.col("best.at")])
+    rows = rows.withColumn("lang_best", F.get(names, F.col("best.at")))
     w = _weights(F.col("n_places"), calibration.sharpness)
     total = F.aggregate("entropy", F.lit(0.0), lambda s, e: s + F.exp(-w * (e - F.col("best.entropy"))))
     rejected = F.lit(False)
