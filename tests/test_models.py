@@ -188,6 +188,37 @@ def test_fit_is_the_maximum(spark, fitted, method):
         assert found[c] == pytest.approx(b, rel=1e-6, abs=1e-8)
 
 
+@pytest.mark.parametrize("method", ["REML", "ML"])
+def test_score_and_information_are_the_derivatives(spark, method):
+    df = table(spark, cohorts())
+    model = design.slope_model(df)
+    gram, n = design.cross_products(df, model)
+    kept = design.independent_columns(gram[:-1, :-1])
+    pairs = mixed.term_pairs(mixed.sector_terms(df, model, "CODIGO_BARRIO"))
+    theta, h = 1.7e-3, 2e-5
+    shrunk, logs = mixed.shrunk_sums(pairs, [theta - h, theta, theta + h], len(gram), 3)
+    low, mid, high = (mixed.profile(gram, s[0], v[0], n, kept, method)[0] for s, v in zip(shrunk, logs))
+    slopes = [mixed.profile_slope(gram, s, v, n, kept, method) for s, v in zip(shrunk, logs)]
+    assert slopes[1][0] == pytest.approx((high - low) / (2 * h), rel=2e-3)
+    assert slopes[1][1] == pytest.approx((slopes[2][0] - slopes[0][0]) / (2 * h), rel=2e-3)
+
+
+@pytest.mark.parametrize("method", ["REML", "ML"])
+def test_search_ends_where_the_score_is_zero(spark, method):
+    df = table(spark, cohorts())
+    model = design.slope_model(df)
+    gram, n = design.cross_products(df, model)
+    kept = design.independent_columns(gram[:-1, :-1])
+    fits = mixed.fit_nested(df, model, method=method)
+    pairs = mixed.term_pairs(mixed.sector_terms(df, model, "CODIGO_BARRIO"))
+    for k, fit in enumerate(fits):
+        columns = [c for c in kept if model.terms[c][0] in ("all", *model.factors[:k])]
+        shrunk, logs = mixed.shrunk_sums(pairs, [fit.theta, fit.theta * 1.01], len(gram), 3)
+        slope, curve = mixed.profile_slope(gram, shrunk[0], logs[0], n, columns, method)
+        assert abs(fit.theta * slope) < 1e-6 and curve < 0  # the score in log(theta)
+        assert mixed.profile(gram, shrunk[1][0], logs[1][0], n, columns, method)[0] < fit.loglik
+
+
 def test_planted_values_are_recovered(spark):
     rows = cohorts(seed=6, n=6000, sectors=200, theta=4e-3, noise=20.0)
     df = table(spark, rows)
