@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,29 +24,62 @@ TERM = r"\p{L}{4,}"
 TERM_KIND = "term"
 SUPPORT = 2       #: documents in which a term and an entity must occur together
 DISCLOSURE = 0.9  #: share of an entity's information that a term may not give away
+PART = 64         #: matches whose places are counted together
 
 SPAN = "struct<start:int,end:int,value:string>"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """All matches of a pattern as (start, end, value) in code points, end exclusive.
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` and the lambdas in it name it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _parts(rows: Column, size: int = PART) -> Column:
+    """An array cut into arrays of ``size`` elements, in order."""
+    return _once(rows, lambda r: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(r) - 1) / size).cast("int"))),
+        lambda i: F.slice(r, i * size + 1, F.lit(size))))
+
+
+def _placed(pieces: Column, kind: str, hit: Callable[[Column, Column, Column], Column],
+            wanted: Callable[[Column], Column]) -> Column:
+    """Spans of the wanted hits of a text, from ``pieces`` (gap, length, value) whose lengths add up to the places.
 
-    What lies between matches and the matches themselves alternate, so their lengths add up to the places. The lambda
-    reads nothing but its arguments, so that each pattern runs twice over a text and not once per match.
+    An array that grows by one costs its length each time, so places are first counted inside parts of PART pieces, and
+    the parts then get the places where they start.
     """
-    pieces = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                        lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), F.char_length(hit).alias("length"),
-                                                  hit.alias("value")))
+    empty = F.array().cast(f"array<{kind}>")
 
     def step(state: Column, piece: Column) -> Column:
         start = state["at"] + piece["gap"]
         end = start + F.coalesce(piece["length"], F.lit(0))
-        return F.struct(end.alias("at"), F.when(piece["value"].isNull(), state["out"]).otherwise(
-            F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"),
-                                                    piece["value"].alias("value"))))).alias("out"))
+        return F.struct(end.alias("at"), F.when(piece["value"].isNotNull() & wanted(piece["value"]), F.concat(
+            state["out"], F.array(hit(start, end, piece["value"])))).otherwise(state["out"]).alias("out"))
+
+    inside = F.transform(_parts(pieces), lambda part: F.aggregate(
+        part, F.struct(F.lit(0).alias("at"), empty.alias("out")), step))
+
+    def follow(state: Column, part: Column) -> Column:
+        more = F.struct(state["at"].alias("from"), part["out"].alias("out"))
+        return F.struct((state["at"] + part["at"]).alias("at"), F.concat(state["out"], F.array(more)).alias("out"))
+
+    parts = F.aggregate(inside, F.struct(F.lit(0).alias("at"), F.array().cast(
+        f"array<struct<from:int,out:array<{kind}>>>").alias("out")), follow, lambda state: state["out"])
+    return F.flatten(F.transform(parts, lambda part: F.transform(part["out"], lambda s: s.withField(
+        "start", s["start"] + part["from"]).withField("end", s["end"] + part["from"]))))
+
+
+def _pieces(text: Column, pattern: str) -> Column:
+    """What lies between the matches of a pattern and the matches themselves, which alternate, with their lengths."""
+    return F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                      lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), F.char_length(hit).alias("length"),
+                                                hit.alias("value")))
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    return F.aggregate(pieces, none, step, lambda state: state["out"])
+
+def matches(text: Column, pattern: str, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
+    """All wanted matches of a pattern as (start, end, value) in code points, end exclusive."""
+    return _placed(_pieces(text, pattern), SPAN, lambda start, end, value: F.struct(
+        start.alias("start"), end.alias("end"), value.alias("value")), wanted)
 
 
 def _digits(value: Column) -> Column:
@@ -79,7 +114,7 @@ def valid(kind: str, value: Column) -> Column:
 
 def base_spans(text: Column, kind: str) -> Column:
     """Valid matches of a kind, in order."""
-    found = F.filter(matches(text, PATTERNS[kind]), lambda s: valid(kind, s["value"]))
+    found = matches(text, PATTERNS[kind], lambda value: valid(kind, value))
     mark = F.contains(text, F.lit(MARKS[kind])) if MARKS[kind] else F.lit(True)
     if kind in ("ip", "card"):
         mark = mark & F.rlike(text, F.lit("[0-9]"))
@@ -92,19 +127,10 @@ def _terms(text: Column) -> Column:
 
 
 def _places(text: Column, terms: Column) -> Column:
-    """Spans of all occurrences of the terms. Others are passed over at once, so that a text is gone through once."""
-    pieces = F.arrays_zip(F.split(text, TERM, -1).alias("gap"),
-                          F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("value"))
-
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + F.char_length(piece["gap"])
-        end = start + F.coalesce(F.char_length(piece["value"]), F.lit(0))
-        found = F.struct(F.lit(TERM_KIND).alias("kind"), start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(F.array_contains(terms, F.lower(piece["value"])), F.concat(
-            state["out"], F.array(found))).otherwise(state["out"]).alias("out"))
-
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,end:int>>").alias("out"))
-    return F.aggregate(pieces, none, step, lambda state: state["out"])
+    """Spans of all occurrences of the terms."""
+    return _placed(_pieces(text, TERM), "struct<kind:string,start:int,end:int>", lambda start, end, value: F.struct(
+        F.lit(TERM_KIND).alias("kind"), start.alias("start"), end.alias("end")),
+        lambda value: F.array_contains(terms, F.lower(value)))
 
 
 def _named(kind: str) -> Column:
@@ -199,31 +225,40 @@ def detect(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSU
 
 
 def personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every document, as ``detect`` finds them.
-
-    The list has no terms for a document without an entity of its own; ``sanitise`` removes those too.
-    """
-    listed = F.when(F.size("base") > 0, F.concat("base", "extra")).otherwise(F.col("base"))
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every document: all that ``detect`` finds."""
     return detect(docs, support, disclosure).select(
-        "doc_id", *[f"n_{k}" for k in KINDS], F.sha2(_text_of(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        _text_of(listed).alias("spans"))
+        "doc_id", *[F.col(f"n_{k}") for k in KINDS],
+        F.sha2(_text_of(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        _text_of(F.concat("base", "extra")).alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """A text with every span replaced by its kind in brackets; overlapping spans are replaced together, once."""
+    """A text with every span replaced by its kind in brackets; overlapping spans are replaced together, once.
+
+    A text is cut at the ends of parts of PART spans, and each part's spans are replaced in its own piece, so that
+    a long text is not gone through for every span.
+    """
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                                  s["kind"].alias("kind"))))
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        more = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]),
-                        F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.when(fresh, more).otherwise(state["out"]).alias("out"),
-                        F.greatest(state["at"], s["end"]).alias("at"))
+    def part(state: Column, some: Column) -> Column:
+        first = state["at"]
+        piece = F.substring(text, first + 1, F.greatest(F.array_max(F.transform(some, lambda s: s["end"])), first) - first)
+
+        def step(inner: Column, s: Column) -> Column:
+            fresh = s["start"] >= inner["at"]
+            more = F.concat(inner["out"], F.substring(inner["piece"], inner["at"] - first + 1, s["start"] - inner["at"]),
+                            F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.struct(F.when(fresh, more).otherwise(inner["out"]).alias("out"),
+                            F.greatest(inner["at"], s["end"]).alias("at"), inner["piece"].alias("piece"))
+
+        start = F.struct(F.lit("").alias("out"), first.alias("at"), piece.alias("piece"))
+        return F.aggregate(some, start, step, lambda inner: F.struct(
+            F.concat(state["out"], inner["out"]).alias("out"), inner["at"].alias("at")))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    return F.aggregate(ordered, start, step, lambda state: F.concat(
-        state["out"], F.substring(text, state["at"] + 1, F.char_length(text))))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(_parts(ordered), start, part, lambda state: F.concat(
+        state["out"], F.substring(text, state["at"] + 1, F.char_length(text)))))
 
 
 def sanitise(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
