@@ -59,7 +59,9 @@ def candidates(index: Index, queries: np.ndarray, axes: np.ndarray, k: int, coll
     """
     n = index.rows.shape[1]
     wanted = min(n, MARGIN * k + int(verified * n))
-    units = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+    # by the largest component first, as squares of very small or large ones leave the range of doubles
+    units = queries / np.abs(queries).max(axis=1, keepdims=True)
+    units = units / np.linalg.norm(units, axis=1, keepdims=True)
     at = np.column_stack((units, np.zeros(len(units)))) @ axes.T
     need = max(1, int(np.ceil(collisions * len(axes))))
     low = np.column_stack([np.searchsorted(v, x) for v, x in zip(index.values, at.T)])
@@ -124,10 +126,14 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, block: int = BLOC
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("embedding").cast("array<double>").alias("v"))
     rows = rows.filter(F.col("vec_id").isNotNull()).filter(usable(F.col("v"))).withColumn("size", F.size("v"))
-    stats = rows.select("size", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).alias("square"),
-                        (F.col("vec_id") % every == 0).cast("long").alias("asked")).groupBy("size").agg(
-        F.count(F.lit(1)).alias("n"), F.max("square").alias("square"), F.sum("asked").alias("asked"))
-    stats = stats.select("size", F.sqrt("square").alias("longest"), F.ceil(F.col("n") / block).alias("nv"),
+    # lengths in units of the largest component, as its square may leave the range of doubles
+    largest = F.array_max(F.transform("v", F.abs))
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.col("largest")) * (x / F.col("largest")))
+    stats = rows.withColumn("largest", largest).select(
+        "size", (F.col("largest") * F.sqrt(square)).alias("length"),
+        (F.col("vec_id") % every == 0).cast("long").alias("asked")).groupBy("size").agg(
+        F.count(F.lit(1)).alias("n"), F.max("length").alias("longest"), F.sum("asked").alias("asked"))
+    stats = stats.select("size", "longest", F.ceil(F.col("n") / block).alias("nv"),
                          F.greatest(F.lit(1), F.ceil(F.col("asked") / block)).alias("nq"))
     rows = rows.join(stats, "size")  # one row per length of vectors
 

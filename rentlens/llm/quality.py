@@ -61,8 +61,9 @@ def statistics(text: str, n_chars: float | None) -> list[float]:
 
 def features(text: str, n_chars: float | None) -> tuple[np.ndarray, np.ndarray, list[float]]:
     """Word buckets, their values (log counts, of length one together) and the statistics. Takes the whole text."""
-    counts = Counter(zlib.crc32(w.encode("utf-8", "replace")) % WORDS for w, k in Counter(text.lower().split()).items()
-                     for _ in range(min(k, 8)))
+    counts: Counter[int] = Counter()
+    for w, k in Counter(text.lower().split()).items():
+        counts[zlib.crc32(w.encode("utf-8", "replace")) % WORDS] += k
     at = np.fromiter(counts.keys(), np.int32, len(counts))
     values = np.log1p(np.fromiter(counts.values(), np.float32, len(counts)))
     norm = float(np.sqrt((values ** 2).sum()))
@@ -155,9 +156,10 @@ def held_out(col: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``rows`` labelled documents that are not held out. That bounds what the driver holds.
+    """Fit on at most ``rows`` labels of documents that are not held out. That bounds what the driver holds.
 
-    Rows with a null id or quality are passed over; of repeated labels of an id, and of repeated documents, each counts.
+    Rows with a null id or quality are passed over. Of repeated labels of an id each counts, with one document: of
+    documents that repeat an id, the one whose text has the smallest hash, and of those the smallest n_chars.
     """
     wanted = (labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
               .filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))))
@@ -171,8 +173,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                  pa.array([f[1].astype(np.float32).tobytes() for f in found], pa.binary()),
                  pa.array([f[2] for f in found], pa.list_(pa.float64()))], ["quality", "at", "value", "stats"])
 
-    # at most `rows` ids are sent; each task keeps their documents and no text moves
-    learnt = _rows(docs).join(F.broadcast(wanted), "doc_id").select("quality", "text", "n_chars")
+    # at most `rows` ids are sent; each task keeps one document of each, so that a repeated id moves few texts and gives one
+    ids = F.broadcast(wanted.select("doc_id").distinct())
+    order = F.struct(F.xxhash64("text"), "text", "n_chars")
+    one = _rows(docs).join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(order).alias("row"))
+    learnt = one.join(F.broadcast(wanted), "doc_id").select("quality", "row.text", "row.n_chars")
     got = learnt.mapInArrow(run, "quality int, at binary, value binary, stats array<double>").toPandas()
     got = got.sort_values(["quality", "at", "value"], ignore_index=True)  # the same model on every run
     return fit([(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32), list(s))

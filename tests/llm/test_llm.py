@@ -286,6 +286,28 @@ def test_quality(spark, docs, table):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
+def test_learnt_rows_are_bounded(spark, monkeypatch):
+    learnt = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels, **_: learnt.append((len(rows), labels.tolist())))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:3]
+    rows = [(ids[0], f"copy {k % 3}") for k in range(3000)] + [(ids[1], "one"), (ids[2], None), (None, "none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(ids[0], 1), (ids[1], 0), (ids[2], 1), (None, 1), (ids[1], None)],
+                                   "doc_id long, quality int")
+    for most in (1, 2, 3, 10):
+        quality.train(df, labels, most)
+        assert learnt[-1][0] == len(learnt[-1][1]) == min(most, 3)
+    repeated = labels.union(labels.filter(F.col("doc_id") == ids[0]))
+    quality.train(df, repeated, 10)
+    assert sorted(learnt[-1][1]) == [0, 1, 1, 1]
+
+
+def test_every_repetition_counts():
+    few, many = quality.features("word " * 8, None), quality.features("word " * 800 + "other", None)
+    assert few[1].tolist() == [1] and len(many[1]) == 2
+    assert max(many[1]) / min(many[1]) == pytest.approx(math.log1p(800) / math.log1p(1))
+
+
 def test_factorisation_machine_identity():
     rng = np.random.default_rng(0)
     size = quality.WORDS + len(quality.NAMES)
@@ -439,6 +461,11 @@ def test_neighbours(spark):
     assert [got[40][k][0] for k in range(1, 21)] == list(range(100, 120))
     assert neighbours.search(df.limit(0)).count() == 0
     assert neighbours.search(df.filter("vec_id in (0, 1, 2)")).count() == 2
+    # doubles whose squares are zero, or beyond all doubles, are vectors like any other
+    tiny = [(0, [1e-200, 0.0]), (1, [1e-200, 1e-201]), (2, [0.0, 1e-200]), (3, [1e180, 0.0]), (4, [1e180, 1e170])]
+    for part in (tiny[:3], tiny[:3] + tiny[3:]):
+        odd = neighbours.search(spark.createDataFrame(part, "vec_id long, embedding array<double>")).collect()
+        assert [r["query_id"] for r in odd] == [0] * (len(part) - 1)
 
 
 def test_empty_tables(docs):
