@@ -25,6 +25,7 @@ from rentlens.llm.common import by_value, chunk_count, texts, total_bytes
 by_value(sys.modules[__name__])
 
 ENCODED = "ids array<long>"
+BUCKET = 8        #: chunks for each bucket of the distinct-word table
 #: Fixed values. White space as tokenizers know it; letters and numbers of Latin-1 after lower-casing.
 SPACE = "\\t-\\r \\x85\\xa0"
 LETTER = "a-z\\xaa\\xb5\\xba\\xdf-\\xf6\\xf8-\\xff"
@@ -116,10 +117,10 @@ def _dictionary(found: set[str], buckets: int) -> dict[int, list[str]]:
     return out
 
 
-def _pack(rows: list[list[int]]) -> bytes:
-    lengths = np.array([len(r) for r in rows], "<u4")
-    ids = np.array([i for r in rows for i in r], "<u4")
-    return zstandard.compress(np.concatenate((np.array([len(rows)], "<u4"), lengths, ids)).tobytes(), 1)
+def _pack(rows: list[bytes]) -> bytes:
+    """Each word's ids, little-endian unsigned 32-bit integers, behind their number and their lengths."""
+    lengths = np.array([len(rows), *(len(r) // 4 for r in rows)], "<u4")
+    return zstandard.compress(lengths.tobytes() + b"".join(rows), 1)
 
 
 def _unpack(data: bytes) -> list[bytes]:
@@ -136,6 +137,8 @@ def _encoded(docs: DataFrame, spec: str, chunk_bytes: int, finish: Callable[[pa.
     """The documents with their ids, as ``finish`` makes rows of doc_ids and packed ids. See ``encode``."""
     rows = texts(docs)
     chunks = chunk_count(total_bytes(rows), chunk_bytes)
+    buckets = -(-chunks // BUCKET)
+    words = Words(spec)  # sent with the task, where its tokenizer is loaded once
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,36 +149,41 @@ def _encoded(docs: DataFrame, spec: str, chunk_bytes: int, finish: Callable[[pa.
             yield pa.RecordBatch.from_arrays([b.column("chunk"), b.column("doc_id"), data], ["chunk", "doc_id", "data"])
 
     def words_of(table: pa.Table) -> Iterator[list[str]]:
-        grow, words = zstandard.ZstdDecompressor().decompress, Words(spec)
+        grow = zstandard.ZstdDecompressor().decompress
         for data in table.column("data"):
             yield words.split(grow(data.as_buffer()).decode())
 
     def ask(table: pa.Table) -> pa.Table:
         chunk, found = table.column("chunk")[0].as_py(), set()
-        for words in words_of(table):
-            found.update(words)
-        parts = _dictionary(found, chunks)
+        for some in words_of(table):
+            found.update(some)
+        parts = _dictionary(found, buckets)
         return pa.table({"bucket": pa.array(parts, pa.int64()), "chunk": pa.array([chunk] * len(parts), pa.int64()),
                          "words": pa.array([zstandard.compress("\n".join(p).encode(), 3) for p in parts.values()],
                                            pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
         # the distinct-word table of this bucket: each word once, however many chunks hold it
-        asked = [zstandard.decompress(w.as_buffer()).decode().split("\n") for w in table.column("words")]
-        encode = Words(spec).encode
-        ids = {w: encode(w) for w in dict.fromkeys(w for words in asked for w in words)}
+        ids: dict[str, bytes] = {}
+        answers = []
+        for data in table.column("words"):
+            asked = zstandard.decompress(data.as_buffer()).decode().split("\n")
+            for word in asked:
+                if word not in ids:
+                    ids[word] = np.array(words.encode(word), "<u4").tobytes()
+            answers.append(_pack([ids[word] for word in asked]))
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
-                         "ids": pa.array([_pack([ids[w] for w in words]) for words in asked], pa.binary())})
+                         "ids": pa.array(answers, pa.binary())})
 
     def assemble(docs: pa.Table, answers: pa.Table) -> pa.Table:
         place: defaultdict[str, int] = defaultdict()
         place.default_factory = place.__len__  # a word's position in the chunk's dictionary
-        split = [array("i", map(place.__getitem__, words)) for words in words_of(docs)]
-        parts, ids = _dictionary(set(place), chunks), [b""] * len(place)
+        split = [array("i", map(place.__getitem__, some)) for some in words_of(docs)]
+        parts, ids = _dictionary(set(place), buckets), [b""] * len(place)
         for bucket, data in zip(answers.column("bucket").to_pylist(), answers.column("ids")):
-            for word, coded in zip(parts[bucket], _unpack(data.as_buffer())):
-                ids[place[word]] = coded
-        return finish(docs.column("doc_id"), (b"".join(map(ids.__getitem__, words)) for words in split))
+            for word, coded in zip(parts.pop(bucket), _unpack(data.as_buffer())):
+                ids[place.pop(word)] = coded
+        return finish(docs.column("doc_id"), (b"".join(map(ids.__getitem__, spots)) for spots in split))
 
     packed = (rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "doc_id",
                           F.col("text").cast("binary").alias("text"))
@@ -199,7 +207,8 @@ def encode(docs: DataFrame, tokenizer: str, chunk_bytes: int = 4 << 20) -> DataF
     its hash; a bucket holds the distinct-word table of its words, encodes each once, and answers every chunk that
     asked. The ids come back to the chunk by bucket and position, and are laid out along each document. The texts
     are shuffled once, as both the question and the answer use the same partitioning; a frequent word costs a chunk
-    one row. A chunk and a bucket are bounded, and their number follows the corpus.
+    one row. A bucket gets the words of ``BUCKET`` chunks on average, and holds the ids of distinct ones only. A chunk and
+    a bucket are bounded, and their number follows the corpus.
 
     Null and empty texts have no ids. Special tokens in a text give their id. Repeated rows each give a row, a null
     doc_id stays null, other columns are left out, and an empty table gives an empty result.
