@@ -7,10 +7,13 @@ peeling recovers the rest: a cell that holds one digest gives it away, it is tak
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentlens.llm.common import stage, texts
+from rentlens.operators.control import numbered
 
 #: A paragraph is a line, cut after every eighth word. Possessive, so that no text makes it go back.
 PARAGRAPH = r"(?:[^\s]++[^\S\n]*+){1,8}+"
@@ -20,6 +23,7 @@ LEAST = 32        #: cells of each part of a table to be peeled, at least
 ROUNDS = 4        #: passes over the three parts in an attempt
 GROWTH = 4        #: an attempt that leaves cells is made anew with a table so much larger
 BLOCK = 64        #: documents of neighbouring ids that are put in order together
+BORDERS = 1 << 14  #: blocks at most, as the driver holds their borders; beyond, blocks take more documents
 TASK = 8 << 20    #: bytes of text in a task; their cells take about twenty times as much
 
 EDITED, NEXT, PRINT, EDITED_PRINT, COUNTS = range(5)  # tables of a document
@@ -151,31 +155,62 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.char_length(text) - half), F.substring(following, F.lit(1), half))
 
 
+def _borders(rows: DataFrame, blocks: int) -> list[tuple[Decimal, int, float]]:
+    """(key, k, salt) of the first row of each block but the first, where blocks take equal parts of the rows in order.
+
+    Ids and hashes are sorted over all partitions and only the borders, at most ``BORDERS``, reach the driver.
+    """
+    n = rows.count()
+    ids = rows.select((-F.col("key")).alias("down"), "k", "salt", F.lit(1).alias("one"))
+    ranked = numbered(ids, ["one"], ["down", "k", "salt"], "rank")
+    step = -(-n // blocks)
+    found = ranked.filter((F.col("rank") - 1) % step == 0).orderBy("rank").select("down", "k", "salt").collect()
+    return [(-r["down"], r["k"], r["salt"]) for r in found[1:]]
+
+
+def _block(borders: list[tuple[Decimal, int, float]]) -> Column:
+    """The number of borders that a row has reached, by bisection."""
+    if not borders:
+        return F.lit(0)
+    keys, ks, salts = (F.split(F.lit(",".join(str(x[i]) for x in borders)), ",").cast(f"array<{kind}>")
+                       for i, kind in enumerate(("decimal(20,0)", "long", "double")))
+    steps = [1 << i for i in reversed(range(len(borders).bit_length()))]
+
+    def reached(at: Column) -> Column:
+        key, k, salt = (F.get(x, at - 1) for x in (keys, ks, salts))
+        same = (key == F.col("key")) & ((k < F.col("k")) | ((k == F.col("k")) & (salt <= F.col("salt"))))
+        return (at <= len(borders)) & ((key > F.col("key")) | same)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: at + F.when(
+        reached(at + step), step).otherwise(F.lit(0)))
+
+
 def _in_order(docs: DataFrame) -> DataFrame:
     """(block, place, doc_id, k, text, next_id, next_k, following): every document and the one before it by doc_id.
 
-    Documents go to blocks of neighbouring ids. A block also gets the first row of the block that follows it, which comes
-    from a table of one row per block, so the texts are shuffled once. The smallest id is followed by the largest.
+    Documents go to blocks of neighbouring ids, with equal numbers of rows whatever the ids are: rows of one id are
+    divided by their text's hash, and equal rows by a random number, as their order does not matter. A block also gets
+    the first row of the block that follows it, which comes from a table of one row per block, so the texts are shuffled
+    once. The smallest id is followed by the largest. Beyond ``BORDERS`` blocks grow with the table.
     """
-    rows = texts(docs).withColumn("k", F.xxhash64("text"))
-    span = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"),
-                    F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
-    blocks = max(1, span["n"] // BLOCK)
-    low, width = span["low"] or 0, max(1, -(-((span["high"] or 0) - (span["low"] or 0) + 1) // blocks))
-    # rows without an id come last, in blocks below zero
-    block = F.coalesce(F.expr(f"(doc_id - {low}L) div {width}L"), -1 - F.pmod("k", F.lit(blocks)))
+    # rows without an id come last, below all longs
+    key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(Decimal(-10 ** 19)).cast("decimal(20,0)"))
+    rows = texts(docs).withColumn("k", F.xxhash64("text")).withColumns({"key": key, "salt": F.rand(19)})
+    span = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
+    blocks = min(BORDERS, max(1, span["n"] // BLOCK))
+    block = _block(_borders(rows, blocks)) if blocks > 1 else F.lit(0)
     rows = rows.select(block.alias("block"), "doc_id", "k", "text")
     top = F.struct(F.col("doc_id"), F.bitwise_not("k").alias("down"))
     heads = rows.groupBy("block").agg(F.max_by(F.struct("doc_id", "k", "text"), top).alias("head"))
     heads = stage(heads.select("block", "head.*"), "heads")
-    # the block below each block: within a run of blocks, else the top of the run below, else the top of all
+    # the block behind each block: within a run of blocks, else the first of the next run, else the first of all
     order = heads.select("block", F.floor(F.col("block") / 4096).alias("run"))
-    runs = order.groupBy("run").agg(F.max("block").alias("top"))
-    runs = runs.select("run", F.lag("top").over(Window.orderBy("run")).alias("under"), F.max("top").over(
+    runs = order.groupBy("run").agg(F.min("block").alias("low"))
+    runs = runs.select("run", F.lead("low").over(Window.orderBy("run")).alias("over"), F.min("low").over(
         Window.partitionBy(F.lit(0))).alias("all"))
     within = Window.partitionBy("run").orderBy("block")
-    below = order.join(runs, "run").select("block", F.coalesce(F.lag("block").over(within), "under", "all").alias("below"))
-    borders = (below.join(heads.withColumnRenamed("block", "below"), "below")
+    behind = order.join(runs, "run").select("block", F.coalesce(F.lead("block").over(within), "over", "all").alias("behind"))
+    borders = (behind.join(heads.withColumnRenamed("block", "behind"), "behind")
                .select("block", "doc_id", "k", "text", F.lit(1).alias("border")))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (span["bytes"] or 0) // TASK)
     every = rows.withColumn("border", F.lit(0)).unionByName(borders).repartition(tasks, "block")

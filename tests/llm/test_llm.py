@@ -187,6 +187,21 @@ def test_sketch(request, which, monkeypatch):
         assert prints.setdefault(dict(rows)[r[0]], r[3]) == r[3]
 
 
+def test_blocks_whatever_the_ids(spark, monkeypatch):
+    monkeypatch.setattr(sketch, "BLOCK", 16)
+    low, high = -(1 << 63), (1 << 63) - 1
+    ids = [*range(300), 10 ** 15, low, high, low + 1, None, None, None] + [7] * 200 + [9] * 100
+    rows = [(i, f"text {n}\nsecond {n % 5}" if i != 9 else "equal rows") for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = {r["block"]: r["n"] for r in sketch._in_order(df).groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert max(sizes.values()) <= 20 and len(sizes) >= len(rows) // 20
+    hashes = {r["text"]: r["k"] for r in df.select("text", F.xxhash64("text").alias("k")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    want = [(i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order)]
+    assert bag(tuple(r) for r in sketch._in_order(df).select("doc_id", "text", "following").collect()) == bag(want)
+    assert sketch.fingerprints(df.filter("doc_id < 0 or doc_id > 1e15")).count() == 3
+
+
 def brute_components(prints, distance=3):
     ids = list(range(len(prints)))
     def root(i):  # noqa: E306
