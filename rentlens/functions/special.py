@@ -7,6 +7,7 @@ import math
 import numpy as np
 
 _TINY = 1e-300
+TERMS = 20_000  #: of the continued fraction; it takes about as many as the root of the larger parameter
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -28,7 +29,7 @@ def _log_beta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def beta_cdf(x, a, b):
-    """Regularised incomplete beta I_x(a, b), by its continued fraction."""
+    """Regularised incomplete beta I_x(a, b), by its continued fraction; an error where it does not converge."""
     x, a, b = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (x, a, b)))
     # the complement converges sooner beyond the mean, but where x is tiny and b huge it has lost the digits of x
     swap = (x > (a + 1.0) / (a + b + 2.0)) & ~((x < 1e-3) & ((a + b) * x < 30.0))
@@ -45,7 +46,7 @@ def beta_cdf(x, a, b):
     d = 1.0 - (p + q) * y_in / (p + 1.0)
     d = 1.0 / np.where(np.abs(d) < _TINY, _TINY, d)
     total = d.copy()
-    for m in range(1, 400):
+    for m in range(1, TERMS):
         before = total.copy()
         even = m * (q - m) * y_in / ((p + 2 * m - 1) * (p + 2 * m))
         odd = -(p + m) * (p + q + m) * y_in / ((p + 2 * m) * (p + 2 * m + 1))
@@ -55,10 +56,13 @@ def beta_cdf(x, a, b):
             c = 1.0 + step / c
             c = np.where(np.abs(c) < _TINY, _TINY, c)
             total = total * c * d
-        if np.all(np.abs(total - before) <= 2e-15 * np.abs(total)):
+        # a nan stays one
+        if np.all((np.abs(total - before) <= 2e-15 * np.abs(total)) | np.isnan(total)):
             break
+    else:
+        raise ArithmeticError("the continued fraction of the incomplete beta function did not converge")
     value = np.exp(log_front) * total / p
-    value = np.where(inside, value, np.where(y <= 0, 0.0, 1.0))
+    value = np.where(inside, value, np.where(np.isnan(y), np.nan, np.where(y <= 0, 0.0, 1.0)))
     return np.where(swap, 1.0 - value, value)
 
 

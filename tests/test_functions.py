@@ -1,5 +1,8 @@
 import math
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -78,6 +81,24 @@ def test_beta_quantile_inverts(p, a, b):
     assert float(special.beta_cdf(special.beta_quantile(p, a, b), a, b)) == pytest.approx(p, abs=1e-9)
 
 
+def test_beta_cdf_converges_or_fails(monkeypatch):
+    for n in (1e3, 1e5, 1e7):  # symmetric, and the slowest place: about the root of n terms
+        assert float(special.beta_cdf(0.5, n, n)) == pytest.approx(0.5, abs=1e-7)
+    assert np.isnan(special.beta_cdf([0.5, np.nan], 1.5, 20.0)).tolist() == [False, True]
+    monkeypatch.setattr(special, "TERMS", 5)
+    with pytest.raises(ArithmeticError):
+        special.beta_cdf(0.5, 1e5, 1e5)
+
+
+def test_entry_without_a_library_of_the_subpackage():
+    """The other queries stay where something that only the subpackage needs cannot be imported."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['xxhash'] = sys.modules['tokenizers'] = sys.modules['public_tokenizers'] = None; "
+            "import __spark_entry__ as e; from rentlens.plans.catalogue import QUERIES; "
+            "assert set(QUERIES) == set(e.queries()) and set(e.oracle_sql()) <= set(QUERIES)")
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
 def test_beta_quantile_without_freedom():
     assert np.isnan(special.beta_quantile(0.9, 1.0, 0.0)) and np.isnan(special.beta_quantile(0.9, 1.0, -1.5))
 
