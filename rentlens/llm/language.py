@@ -413,7 +413,7 @@ def classify(docs: DataFrame, model: Model, calibration: Calibration) -> DataFra
         rejected = F.coalesce(z > calibration.limit, F.lit(False))
     return rows.select(*[c for c in rows.columns if c not in ("entropy", "best", "n_places", "lang_best")],
                        F.col("lang_best").alias("lang"), F.col("best.entropy").alias("entropy"),
-                       F.coalesce(1 / total, F.lit(0.0)).alias("score"),
+                       F.coalesce(F.try_divide(F.lit(1.0), total), F.lit(0.0)).alias("score"),
                        (F.col("lang_best").isNull() | rejected).alias("rejected"))
 
 
