@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.functions.joins import null_safe_join
-from rentlens.functions.quantiles import exact_medians
+from rentlens.functions.quantiles import lattice_quantiles
 from rentlens.functions.text import as_code, pad_left, parse_fee, parse_money
 from rentlens.sources.store import stage
 
@@ -55,9 +55,11 @@ def fee_medians(fee_census: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Exact median fee by (sector, stratum) and by sector."""
     census = fee_census.select(sector_of_lot(F.col("BARMANPRE_AJUSTADO")).alias("CODIGO_BARRIO"),
                                "ESTRATO", "VALOR_ADMINISTRACION_MODA")
-    fee = "VALOR_ADMINISTRACION_MODA"
-    by_both = exact_medians(census, ["CODIGO_BARRIO", "ESTRATO"], {fee: "MEDIANA_ADMON"})
-    by_sector = exact_medians(census, ["CODIGO_BARRIO"], {fee: "MEDIANA_ADMON_2"})
+    levels = {"both": ["CODIGO_BARRIO", "ESTRATO"], "sector": ["CODIGO_BARRIO"]}
+    q = stage(lattice_quantiles(census, levels, ["VALOR_ADMINISTRACION_MODA"], [0.5]), "fee-medians")
+    median = F.col("VALOR_ADMINISTRACION_MODA_q")[0]
+    by_both, by_sector = (q.filter(F.col("LEVEL") == level).select(*keys, median.alias(name)) for (level, keys), name in
+                          zip(levels.items(), ("MEDIANA_ADMON", "MEDIANA_ADMON_2")))
     return by_both, by_sector
 
 
@@ -75,11 +77,11 @@ def lots_with_several_fees(fee_census: DataFrame) -> DataFrame:
 
 
 def with_census_fees(df: DataFrame, fee_census: DataFrame) -> DataFrame:
-    """Left-join the lot's own fee and the two medians. The stage tables let Catalyst see their sizes."""
+    """Left-join the lot's own fee and the two medians, which come from a stage table, so that Catalyst sees their size."""
     by_both, by_sector = fee_medians(fee_census)
     return (df.join(lot_fees(fee_census), "BARMANPRE", "left")
-            .join(stage(by_both, "fee-by-stratum"), ["CODIGO_BARRIO", "ESTRATO"], "left")
-            .join(stage(by_sector, "fee-by-sector"), "CODIGO_BARRIO", "left"))
+            .join(by_both, ["CODIGO_BARRIO", "ESTRATO"], "left")
+            .join(by_sector, "CODIGO_BARRIO", "left"))
 
 
 def fee_by_priority(kind: str, own: Column | None = None) -> Column:

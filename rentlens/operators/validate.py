@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.functions.joins import null_safe_join
-from rentlens.functions.quantiles import exact_medians, exact_quantiles
+from rentlens.functions.quantiles import exact_quantiles, lattice_quantiles
 from rentlens.functions.text import as_code, band, pad_left, strip_decimal
 from rentlens.operators.clean import (DEFLATORS, HOMES, clean_listings, fee_by_priority, indexed, value_per_m2,
                                       with_census_fees)
@@ -22,6 +21,8 @@ ERROR_EDGES = [0.0, 3e6, 5e6, 10e6, 15e6, 30e6, 50e6, 1000e6]
 ERROR_LABELS = ["0-3", "3-5", "5-10", "10-15", "15-30", "30-50", "50-1000"]
 ERROR_QUANTILES = [0.05, 0.1, 0.25, 0.4, 0.45, 0.5, 0.55, 0.6, 0.75, 0.9, 0.95]
 
+SUMMARY_KEYS = ["OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC"]
+
 
 def join_rates(two_price: DataFrame, rates_sector: DataFrame, rates_locality: DataFrame) -> DataFrame:
     """Left-join the sector rate and the locality rate."""
@@ -84,29 +85,15 @@ def apply_rates(two_price: DataFrame, rates_sector: DataFrame, rates_locality: D
 def validation_summary(df: DataFrame) -> DataFrame:
     """Count and median errors by (type, locality, stratum), type, locality and stratum.
 
-    NIVEL names the grouping. Rows are expanded to the four groupings as GROUPING SETS would, and the exact
-    medians also hold for groups of any size, such as all apartments.
+    NIVEL names the grouping. Values are counted once in the finest groups; all four groupings and their counts come from that
+    table, and the exact medians also hold for groups of any size, such as all apartments.
     """
-    kind, place, stratum = F.col("OFT_TIPO_INMUEBLE"), F.col("NOMBRE_LOCALIDAD"), F.col("CODIGO_ESTRATO_SIIC")
-
-    def level(name: str, *used: str):
-        parts = {"OFT_TIPO_INMUEBLE": kind, "NOMBRE_LOCALIDAD": place, "CODIGO_ESTRATO_SIIC": stratum}
-        return F.struct(F.lit(name).alias("NIVEL"), *[
-            (c if n in used else F.when(F.lit(False), c)).alias(n) for n, c in parts.items()])
-
-    levels = F.array(level("RESUMEN", "OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC"),
-                     level("RESUMEN_CP", "OFT_TIPO_INMUEBLE"), level("RESUMEN_LOC", "NOMBRE_LOCALIDAD"),
-                     level("RESUMEN_EST", "CODIGO_ESTRATO_SIIC"))
-    by = ["NIVEL", "OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC"]
-    rows = df.dropna(subset=by[1:]).select("CODIGO_RESTO", "DIFERENCIAS", "DIFERENCIAS_TCR",
-                                           F.explode(levels).alias("g"))
-    rows = rows.select("g.*", "CODIGO_RESTO", "DIFERENCIAS", "DIFERENCIAS_TCR")
-    counts = rows.groupBy(*by).agg(F.count("CODIGO_RESTO").alias("NUM_PREDIOS"))
-    medians = exact_medians(rows, by, {"DIFERENCIAS": "ERROR_TOTAL_MEDIO", "DIFERENCIAS_TCR": "DIF_TCR"})
-    return null_safe_join(counts, medians, by, "left")
-
-
-SUMMARY_KEYS = ["OFT_TIPO_INMUEBLE", "NOMBRE_LOCALIDAD", "CODIGO_ESTRATO_SIIC"]
+    levels = {"RESUMEN": SUMMARY_KEYS, "RESUMEN_CP": SUMMARY_KEYS[:1], "RESUMEN_LOC": SUMMARY_KEYS[1:2],
+              "RESUMEN_EST": SUMMARY_KEYS[2:]}
+    names = {"DIFERENCIAS": "ERROR_TOTAL_MEDIO", "DIFERENCIAS_TCR": "DIF_TCR"}
+    q = lattice_quantiles(df.dropna(subset=SUMMARY_KEYS), levels, list(names), [0.5], "CODIGO_RESTO")
+    return q.select(F.col("LEVEL").alias("NIVEL"), *SUMMARY_KEYS, F.col("N").alias("NUM_PREDIOS"),
+                    *[F.col(f"{c}_q")[0].alias(name) for c, name in names.items()])
 
 
 def validation_tables(df: DataFrame) -> dict[str, DataFrame]:

@@ -11,7 +11,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rentlens.functions import special, text
-from rentlens.functions.quantiles import exact_medians, exact_quantiles
+from rentlens.functions import quantiles
+from rentlens.functions.quantiles import exact_medians, exact_quantiles, lattice_quantiles
 
 
 def one(spark, expr, **values):
@@ -129,7 +130,9 @@ def _check(spark, rows, by):
         assert found[key] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12, abs=1e-300)
 
 
-def test_quantiles_of_uneven_groups(spark):
+@pytest.mark.parametrize("size", [quantiles.SLICE, 700])
+def test_quantiles_of_uneven_groups(spark, monkeypatch, size):
+    monkeypatch.setattr(quantiles, "SLICE", size)  # the same over one slice and over many
     rnd = random.Random(4)
     rows = [("a", 1, rnd.gauss(0, 1)) for _ in range(4000)]
     rows += [(None, 2, rnd.choice([1.0, 2.0, 3.0])) for _ in range(900)]        # few distinct values, null key
@@ -158,6 +161,36 @@ def test_adjacent_doubles(spark):
     _check(spark, [("a", 1, v) for v in [a] * 30 + [b] * 31], ["g"])
 
 
+@pytest.mark.parametrize("size", [quantiles.SLICE, 50])
+def test_lattice_of_groupings(spark, monkeypatch, size):
+    monkeypatch.setattr(quantiles, "SLICE", size)
+    rnd = random.Random(11)
+    rows = [(rnd.choice("ab"), rnd.choice([1, 2, None]), rnd.choice([0.0, -0.0, 5.0, rnd.random()]), rnd.choice(["y", None]))
+            for _ in range(800)]
+    rows += [("c", 9, None, "y")] * 2
+    df = spark.createDataFrame(rows, "g string, h int, x double, named string")
+    levels = {"both": ["g", "h"], "g": ["g"], "h": ["h"], "all": []}
+    found = {(r["LEVEL"], r["g"], r["h"]): r for r in lattice_quantiles(df, levels, ["x"], PROBS, "named").collect()}
+    wanted = {}
+    for g, h, x, named in rows:
+        for level, key in (("both", (g, h)), ("g", (g, None)), ("h", (None, h)), ("all", (None, None))):
+            wanted.setdefault((level, *key), []).append((x, named))
+    assert set(found) == set(wanted)
+    for key, members in wanted.items():
+        values = [x for x, _ in members if x is not None]
+        assert found[key]["N"] == sum(named is not None for _, named in members)
+        assert (found[key]["x_q"] is None) if not values else found[key]["x_q"] == pytest.approx(list(np.quantile(values, PROBS)))
+    assert lattice_quantiles(df.limit(0), levels, ["x"], PROBS).count() == 0
+
+
+def test_a_huge_group_is_ranked_slice_by_slice(spark, monkeypatch):
+    """A group of all rows: the slices in which no quantile lies are counted, not sorted."""
+    monkeypatch.setattr(quantiles, "SLICE", 1000)
+    df = spark.range(20_000).selectExpr("id % 7 AS k", "cast((id * 7919) % 20011 AS double) AS x")
+    exact = df.toPandas()["x"].to_numpy()
+    assert exact_quantiles(df, [], ["x"], PROBS).first()["x_q"] == pytest.approx(list(np.quantile(exact, PROBS)))
+
+
 def test_medians_of_two_columns(spark):
     rnd = random.Random(5)
     rows = [("a", rnd.random(), rnd.random() * 10) for _ in range(501)] + [("b", 1.0, None)] * 3
