@@ -104,6 +104,43 @@ def src_listings(t: Inputs) -> DataFrame:
     return tables.read_listings(t.spark, path)
 
 
+#: last digit of the id -> the line that stands for the listing in ``_faulty``
+FAULTS = {"2": "no number in two columns", "4": "a field less", "5": "a field more", "6": "a byte that is no text"}
+
+
+def _faulty(t: Inputs) -> tuple[DataFrame, DataFrame]:
+    """All listings written as text, some lines with a fault, and read again: accepted rows and rejected lines."""
+    names = [f.name for f in schemas.LISTINGS]
+    last = F.right("IDENTIFICADOR", F.lit(1))
+    fields = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names}
+    fields["ESTRATO"] = F.when(last == "2", "tres").otherwise(fields["ESTRATO"])
+    fields["ANO"] = F.when(last == "2", "20l9").otherwise(fields["ANO"])
+    line = F.concat_ws("\t", *[fields[n] for n in names[:-1]], F.when(last != "4", fields[names[-1]]),
+                       F.when(last == "5", "more"))
+    # 0xFF is in no text of UTF-8
+    whole = F.when(last == "6", F.concat(F.encode(line, "UTF-8"), F.unhex(F.lit("FF")))).otherwise(F.encode(line, "UTF-8"))
+    path = Store(t.spark, "faulty").path("listings.tab")
+    t.listings.select(whole.cast("string").alias("value")).write.text(path)
+    return tables.read_checked(t.spark, path, schemas.LISTINGS, header=False)
+
+
+@query
+def src_rejected(t: Inputs) -> DataFrame:
+    """Lines that don't follow the schema, with the reasons."""
+    return _faulty(t)[1].select("IDENTIFICADOR", "TIPO_OFERTA", "PRECIO", "ANO", F.concat_ws(",", tables.REASONS).alias("MOTIVOS"))
+
+
+@query
+def src_rejected_counts(t: Inputs) -> DataFrame:
+    return tables.rejected_counts(_faulty(t)[1])
+
+
+@query
+def src_accepted(t: Inputs) -> DataFrame:
+    """Rows of the lines that follow the schema."""
+    return _faulty(t)[0]
+
+
 @query
 def src_cadastral(t: Inputs) -> DataFrame:
     store = Store(t.spark, "cadastral")
@@ -443,6 +480,13 @@ def t2_limit(t: Inputs) -> DataFrame:
     return limits.select(*SEGMENT, "CODIGO_BARRIO", "n", "p", "ucl")
 
 
+@query
+def t2_limit_scaled(t: Inputs) -> DataFrame:
+    """Limits on three measures with the singularity rule on, judged on the correlation: measures that others determine leave."""
+    limits = control.chart_parameters(control.moments(t.urban, [*SEGMENT, "CODIGO_LOCALIDAD"]), singular_tol=1e-12, scaled=True)
+    return limits.select(*SEGMENT, "CODIGO_LOCALIDAD", "n", "p", _rounded("ucl", 6))
+
+
 @query
 def t2_flags_p2(t: Inputs) -> DataFrame:
     chart = control.t2_chart(t.urban, SEGMENT, PAIR)

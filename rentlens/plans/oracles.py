@@ -246,6 +246,28 @@ STEPS["sizes_p2"] = ([], ["urban"], f"""SELECT {SEG}, CODIGO_LOCALIDAD, count(*)
     FROM urban GROUP BY ALL""")
 _limits("_p2", "sizes_p2")
 
+# three measures under the singularity rule at 1e-12: a pair's reciprocal condition is (1 - r) / (1 + r), that of all three comes
+# from the cofactors of the correlation
+_TOL = "1e-12::double"
+STEPS["spread_p3"] = ([], ["urban"], f"""SELECT {SEG}, CODIGO_LOCALIDAD, count(*) AS m,
+    max(PRECIO) > min(PRECIO) AS op, max(VALOR_M2_INTEGRAL) > min(VALOR_M2_INTEGRAL) AS ov,
+    max(AREA_CONSTRUIDA) > min(AREA_CONSTRUIDA) AS oa,
+    CASE WHEN op AND ov THEN covar_samp(PRECIO, VALOR_M2_INTEGRAL) / (stddev_samp(PRECIO) * stddev_samp(VALOR_M2_INTEGRAL)) END AS a,
+    CASE WHEN op AND oa THEN covar_samp(PRECIO, AREA_CONSTRUIDA) / (stddev_samp(PRECIO) * stddev_samp(AREA_CONSTRUIDA)) END AS b,
+    CASE WHEN ov AND oa THEN covar_samp(VALOR_M2_INTEGRAL, AREA_CONSTRUIDA)
+      / (stddev_samp(VALOR_M2_INTEGRAL) * stddev_samp(AREA_CONSTRUIDA)) END AS c
+    FROM urban GROUP BY ALL""")
+STEPS["sizes_p3"] = ([], ["spread_p3"], f"""SELECT {SEG}, CODIGO_LOCALIDAD, m,
+    CASE WHEN NOT (op AND ov AND oa) THEN least(cast(op AS int) + cast(ov AS int) + cast(oa AS int),
+        CASE WHEN (1 - abs(coalesce(a, b, c, 0))) / (1 + abs(coalesce(a, b, c, 0))) < {_TOL} THEN 1 ELSE 2 END)
+      WHEN (1 - abs(a)) / (1 + abs(a)) < {_TOL} THEN 1
+      WHEN least(1 - abs(b), 1 - abs(c)) / 2 < {_TOL} OR abs(1 + 2 * a * b * c - a * a - b * b - c * c)
+        / greatest(1 + abs(a) + abs(b), 1 + abs(a) + abs(c), 1 + abs(b) + abs(c))
+        / greatest(1 - c * c + abs(b * c - a) + abs(a * c - b), 1 - b * b + abs(b * c - a) + abs(a * b - c),
+          1 - a * a + abs(a * c - b) + abs(a * b - c)) < {_TOL} THEN 2
+      ELSE 3 END AS p FROM spread_p3""")
+_limits("_p3", "sizes_p3")
+
 
 def _sql(body: str, views: tuple[str, ...] = (), steps: tuple[str, ...] = ()) -> str:
     """``body`` behind every view and step it needs, in order."""
@@ -278,6 +300,15 @@ def oracle(name: str, body: str, views: tuple[str, ...] = (), steps: tuple[str,
 # ---- sources and cleaning ------------------------------------------------------------------------------
 
 oracle("src_listings", "SELECT * FROM listings", ("listings",))
+_LAST = "substr(IDENTIFICADOR, length(IDENTIFICADOR), 1)"
+_MARKED = f"""SELECT *, CASE WHEN {_LAST} = '2' THEN 'ESTRATO,ANO' WHEN {_LAST} IN ('4', '5') THEN 'CAMPOS'
+    WHEN {_LAST} = '6' THEN 'CODIFICACION' END AS MOTIVOS FROM listings"""
+oracle("src_accepted", f"SELECT * EXCLUDE (MOTIVOS) FROM ({_MARKED}) WHERE MOTIVOS IS NULL", ("listings",))
+oracle("src_rejected", f"""SELECT IDENTIFICADOR, TIPO_OFERTA, PRECIO,
+    CASE WHEN MOTIVOS = 'ESTRATO,ANO' THEN NULL ELSE ANO END AS ANO, MOTIVOS FROM ({_MARKED}) WHERE MOTIVOS IS NOT NULL""",
+       ("listings",))
+oracle("src_rejected_counts", f"""SELECT unnest(string_split(MOTIVOS, ',')) AS MOTIVO, count(*) AS N FROM ({_MARKED})
+    GROUP BY 1""", ("listings",))
 oracle("src_cadastral", "SELECT * FROM cadastral", ("cadastral",))
 oracle("src_normalised_names", """SELECT CODIGO_BARRIO, ANO, VALOR_M2_INTEGRAL AS VALOR_M2_INTEGRAL, PRECIO,
     ESTRATO AS PRECIO_2 FROM offers""", ("offers",))
@@ -427,6 +458,8 @@ oracle("t2_statistic_p3", f"""SELECT IDENTIFICADOR, {SEG}, PRECIO, round((
       FROM urban JOIN stats USING ({SEG}))""", steps=("stats",))
 oracle("t2_limit_p2", f"""SELECT {SEG}, CODIGO_LOCALIDAD, g.m AS n, g.p, round(ucl, 6) AS ucl
     FROM sizes_p2 g LEFT JOIN limits_p2 l ON g.m = l.m AND g.p = l.p""", steps=("sizes_p2", "limits_p2"))
+oracle("t2_limit_scaled", f"""SELECT {SEG}, CODIGO_LOCALIDAD, g.m AS n, g.p, round(ucl, 6) AS ucl
+    FROM sizes_p3 g LEFT JOIN limits_p3 l ON g.m = l.m AND g.p = l.p""", steps=("sizes_p3", "limits_p3"))
 oracle("t2_flags_p2", f"SELECT IDENTIFICADOR, {SEG}, PRECIO, AREA_CONSTRUIDA FROM chart2 WHERE t2 > ucl",
        steps=("chart2",))
 oracle("chart_points", f"""SELECT {SEG}, row_number() OVER (PARTITION BY {SEG}

@@ -4,6 +4,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rentlens.operators import clean, cohort, rates, validate
 from rentlens.plans.fixtures import Tables
@@ -121,6 +122,32 @@ def test_delimited_round_trip(spark, tmp_path):
     assert sorted(map(str, tables.read_listings(spark, f"{tmp_path}/x.tab").collect())) == sorted(map(str, df.collect()))
 
 
+def test_rejected_lines(spark, tmp_path):
+    kind = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType()), T.StructField("c", T.DoubleType())])
+    lines = ["a;b;c", "1;x;2.5", ";;", "one;x;2", "2;y", "3;y;1;1", "4;z;1,5", "x;y;z", '5;"q;q";1', "", "6;caf\u00e9;1"]
+    good = "\n".join(lines).encode() + b"\n7;caf\xe9;1\n"
+    (tmp_path / "x.csv").write_bytes(good)
+    kept, out = tables.read_checked(spark, str(tmp_path / "x.csv"), kind, ";")
+    assert kept.count() == 4 and sorted(map(tuple, kept.collect()), key=str) == [
+        (1, "x", 2.5), (5, "q;q", 1.0), (6, "caf\u00e9", 1.0), (None, None, None)]
+    found = {r["LINEA"]: (r["a"], r["b"], r["c"], r["MOTIVOS"]) for r in out.collect()}
+    last = found.pop("7;caf\ufffd;1.0")
+    assert last[3] == ["CODIFICACION"]
+    assert found == {"one;x;2": (None, "x", 2.0, ["a"]), "2;y": (2, "y", None, ["CAMPOS"]),
+                     "3;y;1;1": (3, "y", 1.0, ["CAMPOS"]), "4;z;1,5": (4, "z", None, ["c"]), "x;y;z": (None, "y", None, ["a", "c"])}
+    assert dict(tables.rejected_counts(out).collect()) == {"a": 2, "c": 2, "CAMPOS": 2, "CODIFICACION": 1}
+
+
+def test_rejected_lines_in_another_encoding(spark, tmp_path):
+    kind = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    (tmp_path / "x.tab").write_bytes("1\tcaf\u00e9\n".encode("latin-1"))
+    kept, out = tables.read_checked(spark, str(tmp_path / "x.tab"), kind, header=False, encoding="ISO-8859-1")
+    assert [tuple(r) for r in kept.collect()] == [(1, "caf\u00e9")] and out.count() == 0
+    (tmp_path / "none.tab").write_bytes(b"")
+    kept, out = tables.read_checked(spark, str(tmp_path / "none.tab"), kind)
+    assert kept.count() == out.count() == 0
+
+
 def test_sheet_round_trip(spark, tmp_path):
     df = census(spark, *FEES)
     df.toDF("Barmanpre ajustado", "Estrato", "valor_administracion_moda").write.parquet(f"{tmp_path}/sheet")
