@@ -12,6 +12,8 @@ from rentlens.sources.store import stage
 
 SEGMENT = ["ANO", "CLASE_PREDIO", "ESTRATO", "TIPO_OFERTA"]
 HOMES = ("APARTAMENTO", "CASA")
+COPIES = "COPIES"  #: rows that a listing kept once stands for: one for each distinct census fee of its lot
+MEDIANS = ["MEDIANA_ADMON", "MEDIANA_ADMON_2"]
 
 # fixed values: yearly price-index factors applied to the administration fee
 DEFLATORS = {2017: 1 - 0.0463, 2018: 1.0, 2019: 1 + 0.0349, 2020: (1 + 0.0117) * (1 + 0.0349)}
@@ -76,6 +78,11 @@ def lots_with_several_fees(fee_census: DataFrame) -> DataFrame:
             .filter(F.col("FEES") > 1))
 
 
+def lot_copies(fee_census: DataFrame) -> DataFrame:
+    """How often the join on lot id repeats a listing of each lot; as many rows as lots, whatever their fees."""
+    return lot_fees(fee_census).groupBy("BARMANPRE").agg(F.count(F.lit(1)).alias(COPIES))
+
+
 def with_census_fees(df: DataFrame, fee_census: DataFrame) -> DataFrame:
     """Left-join the lot's own fee and the two medians, which come from a stage table, so that Catalyst sees their size."""
     by_both, by_sector = fee_medians(fee_census)
@@ -104,9 +111,16 @@ def value_per_m2(price: Column, area: Column) -> Column:
     return F.try_divide(price, area)
 
 
-def fill_group_mean(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+def mean(value: Column, weight: str | None = None) -> Column:
+    """Mean of the values, each counted as often as ``weight`` says."""
+    if weight is None:
+        return F.avg(value)
+    return F.try_divide(F.sum(value * F.col(weight)), F.sum(F.when(value.isNotNull(), F.col(weight))))
+
+
+def fill_group_mean(df: DataFrame, cols: list[str], by: list[str], weight: str | None = None) -> DataFrame:
     """Replace nulls by the group's mean. An aggregate and a join, so a huge group is never one task."""
-    means = stage(df.groupBy(*by).agg(*[F.avg(c).alias(f"{c}__mean") for c in cols]), "group-means")
+    means = stage(df.groupBy(*by).agg(*[mean(F.col(c), weight).alias(f"{c}__mean") for c in cols]), "group-means")
     filled = null_safe_join(df, means, by, "left")
     return filled.withColumns({c: F.coalesce(c, f"{c}__mean") for c in cols}).drop(*[f"{c}__mean" for c in cols])
 
@@ -135,16 +149,46 @@ def clean_listings(listings: DataFrame, fee_census: DataFrame, min_fee: float =
     The published method leaves rents gross; ``net_of_fee`` subtracts the indexed fee from them.
     """
     kept = parsed_listings(exclusions(listings), min_fee)
-    priced = with_census_fees(kept, fee_census).withColumn(
-        "VALOR_ADMON", fee_by_priority("TIPO_INMUEBLE", F.col("VALOR_ADMINISTRACION")))
-    priced = priced.withColumn(
-        "VALOR_ADMON_IPC", indexed(F.col("VALOR_ADMON"), F.col("ANO"), deflators, default_deflator))
+    priced = _with_fee(with_census_fees(kept, fee_census), deflators, default_deflator)
     if net_of_fee:
         is_rent = F.col("TIPO_OFERTA") == "ARRIENDO"
         priced = priced.withColumn(
             "PRECIO", F.when(is_rent, F.col("PRECIO") - F.col("VALOR_ADMON_IPC")).otherwise(F.col("PRECIO")))
     return (with_segment_key(priced).filter(F.col("PRECIO") > 0)
-            .drop("VALOR_ADMINISTRACION_MODA", "MEDIANA_ADMON", "MEDIANA_ADMON_2"))
+            .drop("VALOR_ADMINISTRACION_MODA", *MEDIANS))
+
+
+def _with_fee(joined: DataFrame, deflators: dict[int, float], default_deflator: float) -> DataFrame:
+    """The fee by priority and its indexed value, from the census columns."""
+    priced = joined.withColumn("VALOR_ADMON", fee_by_priority("TIPO_INMUEBLE", F.col("VALOR_ADMINISTRACION")))
+    return priced.withColumn(
+        "VALOR_ADMON_IPC", indexed(F.col("VALOR_ADMON"), F.col("ANO"), deflators, default_deflator))
+
+
+def clean_once(listings: DataFrame, fee_census: DataFrame, min_fee: float = 10000.0) -> DataFrame:
+    """``clean_listings`` with rents gross, each listing once: COPIES rows that differ in the lot's fee only.
+
+    The medians stay as columns; ``with_each_fee`` gives the rows themselves. The fees of a lot multiply its rows, so
+    what does not look at fees is done before. Copies that the listings have already are multiplied.
+    """
+    # stored before the joins: in one stage with them the parsing takes several times as long
+    kept = stage(parsed_listings(exclusions(listings), min_fee).filter(F.col("PRECIO") > 0), "parsed")
+    by_both, by_sector = fee_medians(fee_census)
+    lots = stage(lot_copies(fee_census), "lot-copies").withColumnRenamed(COPIES, "lot_copies")
+    before = F.col(COPIES) if COPIES in kept.columns else F.lit(1)
+    joined = (kept.join(lots, "BARMANPRE", "left").join(by_both, ["CODIGO_BARRIO", "ESTRATO"], "left")
+              .join(by_sector, "CODIGO_BARRIO", "left"))
+    copies = before * F.coalesce("lot_copies", F.lit(1))
+    return with_segment_key(joined.withColumn(COPIES, copies.cast("long")).drop("lot_copies"))
+
+
+def with_each_fee(once: DataFrame, fee_census: DataFrame, deflators: dict[int, float] = DEFLATORS,
+                  default_deflator: float = 1.0) -> DataFrame:
+    """The rows of ``clean_listings`` from those of ``clean_once``, also after some of them were left out."""
+    own = [c for c in once.columns if c not in (COPIES, *MEDIANS)]
+    place = own.index("key")
+    rows = _with_fee(once.join(lot_fees(fee_census), "BARMANPRE", "left"), deflators, default_deflator)
+    return rows.select(*own[:place], "VALOR_ADMON", "VALOR_ADMON_IPC", *own[place:])
 
 
 def exclusion_counts(listings: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rentlens.functions.joins import null_safe_join
 from rentlens.functions.quantiles import exact_medians
+from rentlens.operators.clean import mean
 from rentlens.sources.store import stage
 
 PLACE = ["CODIGO_BARRIO", "NOMBRE_BARRIO", "CODIGO_LOCALIDAD", "NOMBRE_LOCALIDAD"]
@@ -26,16 +27,21 @@ def cohort_summary(df: DataFrame, stat: str = "mean") -> DataFrame:
     return null_safe_join(counts.drop("PRECIO_MEAN"), medians, by, "left")
 
 
-def cohort_pivot(df: DataFrame, stat: str = "mean") -> DataFrame:
-    """One row per cohort with rent and sale columns; absent offer types are null, counts included."""
+def cohort_pivot(df: DataFrame, stat: str = "mean", weight: str | None = None) -> DataFrame:
+    """One row per cohort with rent and sale columns; absent offer types are null, counts included.
+
+    ``weight`` names the number of equal rows that a row stands for; medians have no such form.
+    """
     def of(offer: str, value):
         return F.when(F.col("TIPO_OFERTA") == offer, value)
 
     if stat == "mean":
         # conditional aggregates need one shuffle where pivot needs two
         return df.groupBy(*COHORT).agg(
-            *[F.avg(of(o, F.col("VALOR_M2_INTEGRAL"))).alias(f"PRECIO_MEAN_{o}") for o in OFFERS],
-            *[F.sum(of(o, F.lit(1))).alias(f"N_{o}") for o in OFFERS])
+            *[mean(of(o, F.col("VALOR_M2_INTEGRAL")), weight).alias(f"PRECIO_MEAN_{o}") for o in OFFERS],
+            *[F.sum(of(o, F.lit(1) if weight is None else F.col(weight))).alias(f"N_{o}") for o in OFFERS])
+    if weight is not None:
+        raise ValueError("weights go with stat 'mean'")
     return cohort_summary(df, stat).groupBy(*COHORT).agg(
         *[F.max(of(o, F.col(name))).alias(f"{name}_{o}") for name in ("PRECIO_MEAN", "N") for o in OFFERS])
 
@@ -45,15 +51,15 @@ def keep_cohorts(cohorts: DataFrame, min_sales: int = 5) -> DataFrame:
     return cohorts.filter(F.col("PRECIO_MEAN_ARRIENDO").isNotNull() | (F.col("N_VENTA") > min_sales))
 
 
-def cohort_table(df: DataFrame, stat: str = "mean", min_sales: int = 5) -> DataFrame:
-    return keep_cohorts(cohort_pivot(df, stat), min_sales)
+def cohort_table(df: DataFrame, stat: str = "mean", min_sales: int = 5, weight: str | None = None) -> DataFrame:
+    return keep_cohorts(cohort_pivot(df, stat, weight), min_sales)
 
 
-def locality_rent_mean(listings: DataFrame, by_year: bool = True) -> DataFrame:
+def locality_rent_mean(listings: DataFrame, by_year: bool = True, weight: str | None = None) -> DataFrame:
     """Mean rent per m2 by locality, class and stratum (and year)."""
     by = ["CODIGO_LOCALIDAD", "CLASE_PREDIO", "ESTRATO", *(["ANO"] if by_year else [])]
     return (listings.filter(F.col("TIPO_OFERTA") == "ARRIENDO").groupBy(*by)
-            .agg(F.avg("VALOR_M2_INTEGRAL").alias("MEAN_ARRIENDO_LOC")))
+            .agg(mean(F.col("VALOR_M2_INTEGRAL"), weight).alias("MEAN_ARRIENDO_LOC")))
 
 
 def impute_sale(cohorts: DataFrame, cadastral: DataFrame) -> DataFrame:
@@ -63,16 +69,17 @@ def impute_sale(cohorts: DataFrame, cadastral: DataFrame) -> DataFrame:
     return joined.withColumn("PRECIO_MEAN_VENTA", F.coalesce("PRECIO_MEAN_VENTA", "VALOR_INTEGRAL"))
 
 
-def impute_rent(cohorts: DataFrame, listings: DataFrame) -> DataFrame:
+def impute_rent(cohorts: DataFrame, listings: DataFrame, weight: str | None = None) -> DataFrame:
     """Missing rents from the locality's mean of the same class, stratum and year."""
-    means = stage(locality_rent_mean(listings), "locality-rent")
+    means = stage(locality_rent_mean(listings, weight=weight), "locality-rent")
     joined = cohorts.join(means, ["CODIGO_LOCALIDAD", "CLASE_PREDIO", "ESTRATO", "ANO"], "left")
     return (joined.withColumn("PRECIO_MEAN_ARRIENDO", F.coalesce("PRECIO_MEAN_ARRIENDO", "MEAN_ARRIENDO_LOC"))
             .drop("MEAN_ARRIENDO_LOC"))
 
 
-def impute_cohorts(cohorts: DataFrame, listings: DataFrame, cadastral: DataFrame) -> DataFrame:
-    return impute_rent(impute_sale(cohorts, cadastral), listings)
+def impute_cohorts(cohorts: DataFrame, listings: DataFrame, cadastral: DataFrame,
+                   weight: str | None = None) -> DataFrame:
+    return impute_rent(impute_sale(cohorts, cadastral), listings, weight)
 
 
 def split_by_ratio(cohorts: DataFrame, low: float = 100.0, high: float = 300.0) -> DataFrame:

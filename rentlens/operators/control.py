@@ -33,8 +33,13 @@ def _pairs(cols: list[str]) -> list[tuple[int, int]]:
     return [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
 
 
-def moments(df: DataFrame, by: list[str], cols: list[str] = MEASURES) -> DataFrame:
-    """Count, extremes, means, variances and covariances (n - 1) per group; no group is collected."""
+def moments(df: DataFrame, by: list[str], cols: list[str] = MEASURES, weight: str | None = None) -> DataFrame:
+    """Count, extremes, means, variances and covariances (n - 1) per group; no group is collected.
+
+    A row counts as often as ``weight`` says, as if it were repeated.
+    """
+    if weight is not None:
+        return _repeated_moments(df, by, cols, weight)
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.avg(c).alias(f"mean{i}") for i, c in enumerate(cols)],
@@ -44,6 +49,44 @@ def moments(df: DataFrame, by: list[str], cols: list[str] = MEASURES) -> DataFra
         *[F.covar_samp(cols[i], cols[j]).alias(f"cov{i}{j}") for i, j in _pairs(cols)])
 
 
+def _repeated_moments(df: DataFrame, by: list[str], cols: list[str], weight: str) -> DataFrame:
+    """Moments of rows that each stand for ``weight`` equal ones.
+
+    Rows of one weight, and with values in the same columns, have their moments first; their groups are put together in
+    windows over the table of groups. A column takes part where it has values, a pair where both have.
+    """
+    k, pairs = range(len(cols)), _pairs(cols)
+    holes = {f"hole{i}": F.col(c).isNull() for i, c in enumerate(cols)}
+    parts = moments(df.withColumns(holes), [*by, weight, *holes], cols).withColumn("rows", F.col("n") * F.col(weight))
+    over = Window.partitionBy(*by)
+
+    def centre(i: int, has: Column) -> Column:
+        return F.try_divide(F.sum(F.when(has, F.col("rows") * F.col(f"mean{i}"))).over(over),
+                            F.sum(F.when(has, F.col("rows"))).over(over))
+
+    def spread(inner: str, a: Column, b: Column, has: Column) -> Column:
+        within = F.col(weight) * (F.col("n") - 1) * F.coalesce(F.col(inner), F.lit(0.0))
+        return F.try_divide(F.sum(F.when(has, within + F.col("rows") * a * b)), F.sum(F.when(has, F.col("rows"))) - 1)
+
+    one = [~F.col(f"hole{i}") for i in k]
+    both = {(i, j): one[i] & one[j] for i, j in pairs}
+    placed = parts.withColumns({**{f"at{i}": centre(i, one[i]) for i in k},
+                                **{f"at{i}_{i}{j}": centre(i, both[i, j]) for i, j in pairs},
+                                **{f"at{j}_{i}{j}": centre(j, both[i, j]) for i, j in pairs}})
+
+    def gap(i: int, name: str) -> Column:
+        return F.col(f"mean{i}") - F.col(name)
+
+    return placed.groupBy(*by).agg(
+        F.sum("rows").alias("n"),
+        *[F.max(f"at{i}").alias(f"mean{i}") for i in k],
+        *[F.min(f"min{i}").alias(f"min{i}") for i in k],
+        *[F.max(f"max{i}").alias(f"max{i}") for i in k],
+        *[spread(f"var{i}", gap(i, f"at{i}"), gap(i, f"at{i}"), one[i]).alias(f"var{i}") for i in k],
+        *[spread(f"cov{i}{j}", gap(i, f"at{i}_{i}{j}"), gap(j, f"at{j}_{i}{j}"), both[i, j]).alias(f"cov{i}{j}")
+          for i, j in pairs])
+
+
 def constant_columns(df: DataFrame, by: list[str], cols: list[str] = MEASURES) -> DataFrame:
     """Whether each column holds one value in the group."""
     return df.groupBy(*by).agg(*[(F.min(c) == F.max(c)).alias(f"{c}_CONSTANT") for c in cols])
@@ -185,10 +228,13 @@ def t2_chart(df: DataFrame, by: list[str], cols: list[str] = MEASURES, confidenc
 
 
 def control_pass(df: DataFrame, cutoff: int = 10, confidence: float = 0.9, cols: list[str] = MEASURES,
-                 singular_tol: float = SINGULAR, scaled: bool = False) -> DataFrame:
-    """Pool small sectors and score every row: adds CODIGO_BARRIO_NEW, t2, ucl and is_outlier."""
+                 singular_tol: float = SINGULAR, scaled: bool = False, weight: str | None = None) -> DataFrame:
+    """Pool small sectors and score every row: adds CODIGO_BARRIO_NEW, t2, ucl and is_outlier.
+
+    ``weight`` names the number of equal rows that a row stands for.
+    """
     size = len(cols)
-    sectors = stage(moments(df, [*SEGMENT, "CODIGO_BARRIO"], cols), "sector-moments")
+    sectors = stage(moments(df, [*SEGMENT, "CODIGO_BARRIO"], cols, weight), "sector-moments")
     counts = sectors.select(*SEGMENT, F.col("CODIGO_BARRIO").alias("code"), "n")
     pools = pool_sectors(counts, SEGMENT, cutoff).select(
         *SEGMENT, F.col("code").alias("CODIGO_BARRIO"), F.col("pool").alias("CODIGO_BARRIO_NEW"))
@@ -203,18 +249,20 @@ def control_pass(df: DataFrame, cutoff: int = 10, confidence: float = 0.9, cols:
 
 def quality_control(df: DataFrame, passes: int = 2, cutoff: int = 10, confidence: float = 0.9,
                     cols: list[str] = MEASURES, singular_tol: float = SINGULAR, scaled: bool = False,
-                    save: Callable[[DataFrame, str], DataFrame] = stage) -> DataFrame:
+                    save: Callable[[DataFrame, str], DataFrame] = stage, weight: str | None = None) -> DataFrame:
     """Rows that stay inside the limits in every pass; pools are rebuilt from the survivors each time.
 
-    ``df`` is read several times and should be a stored table. ``save`` stores the rows after each pass.
+    ``df`` is read several times and should be a stored table. ``save`` stores the rows after each pass but the last,
+    which is read from there and the table of limits. ``weight`` names the number of equal rows that a row stands for.
     """
     kept = df
     if "AREA_CONSTRUIDA" in cols and not df.filter(F.col("AREA_CONSTRUIDA").isNull()).isEmpty():
-        kept = stage(fill_group_mean(kept, ["AREA_CONSTRUIDA"], SEGMENT), "qc-input")
+        kept = stage(fill_group_mean(kept, ["AREA_CONSTRUIDA"], SEGMENT, weight), "qc-input")
     for k in range(1, passes + 1):
-        scored = control_pass(kept.drop("CODIGO_BARRIO_NEW"), cutoff, confidence, cols, singular_tol, scaled)
-        kept = save(scored.filter(~F.col("is_outlier"))
-                    .drop("t2", "ucl", "is_outlier", "pool_n", "pool_p"), f"qc-pass-{k}")
+        scored = control_pass(kept.drop("CODIGO_BARRIO_NEW"), cutoff, confidence, cols, singular_tol, scaled, weight)
+        kept = scored.filter(~F.col("is_outlier")).drop("t2", "ucl", "is_outlier", "pool_n", "pool_p")
+        if k < passes:
+            kept = save(kept, f"qc-pass-{k}")
     return kept
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rentlens.functions.quantiles import exact_quantiles, lattice_quantiles
 from rentlens.functions.text import as_code, band, pad_left, strip_decimal
-from rentlens.operators.clean import (DEFLATORS, HOMES, clean_listings, fee_by_priority, indexed, value_per_m2,
+from rentlens.operators.clean import (COPIES, DEFLATORS, HOMES, clean_once, fee_by_priority, indexed, value_per_m2,
                                       with_census_fees)
 from rentlens.operators.control import quality_control
 from rentlens.sources.store import stage
@@ -144,20 +144,28 @@ def as_listings(two_price: DataFrame) -> DataFrame:
 
 
 def union_samples(two_price: DataFrame, listings: DataFrame) -> DataFrame:
-    """Second sample and cleaned listings in one table, told apart by MARCA."""
-    return (as_listings(two_price).withColumn("MARCA", F.lit("Test"))
-            .unionByName(listings.select(*COMMON).withColumn("MARCA", F.lit("Train"))))
+    """Second sample and cleaned listings in one table, told apart by MARCA; listings kept once keep their copies."""
+    test, more = as_listings(two_price).withColumn("MARCA", F.lit("Test")), []
+    if COPIES in listings.columns:
+        test, more = test.withColumn(COPIES, F.lit(1).cast("long")), [COPIES]
+    return test.unionByName(listings.select(*COMMON, *more).withColumn("MARCA", F.lit("Train")))
 
 
 def keep_survivors(two_price: DataFrame, survivors: DataFrame, repeat: bool = False) -> DataFrame:
     """Second-sample rows whose id survived. ``repeat`` keeps a copy per surviving price, as published."""
-    ids = survivors.filter(F.col("MARCA") == "Test").select(F.col("IDENTIFICADOR").alias("OFT_CODIGO"))
+    test = survivors.filter(F.col("MARCA") == "Test")
+    if repeat and COPIES in test.columns:
+        test = test.withColumn("copy", F.explode(F.sequence(F.lit(1), COPIES)))
+    ids = test.select(F.col("IDENTIFICADOR").alias("OFT_CODIGO"))
     return two_price.join(ids, "OFT_CODIGO", "inner" if repeat else "left_semi")
 
 
 def screen_second_sample(two_price: DataFrame, listings: DataFrame, fee_census: DataFrame,
                          repeat: bool = False) -> DataFrame:
-    """Clean and quality-control the second sample among the listings; its surviving rows."""
+    """Clean and quality-control the second sample among the listings; its surviving rows.
+
+    The control does not look at fees, so every row goes through it once, with its copies.
+    """
     united = union_samples(two_price, listings)
-    cleaned = stage(clean_listings(united, fee_census), "second-sample")
-    return keep_survivors(two_price, quality_control(cleaned), repeat)
+    cleaned = stage(clean_once(united, fee_census), "second-sample")
+    return keep_survivors(two_price, quality_control(cleaned, weight=COPIES), repeat)

@@ -31,6 +31,7 @@ class Inputs(Tables):
     @cached_property
     def study(self) -> Study:
         """The steps that this query asks for, from the tables as they are now."""
+        self.stored_rows  # listings and cadastral values are made of them
         return Study(self.listings, self.fee_census, self.cadastral)
 
     @cached_property
@@ -44,6 +45,7 @@ class Inputs(Tables):
 
     @property
     def imputed(self) -> DataFrame:
+        self.stored_rows  # listings and cadastral values are made of them
         return cohort.impute_cohorts(self.cohorts, self.urban, self.cadastral)
 
     @cached_property
@@ -56,10 +58,11 @@ class Inputs(Tables):
         inside = stage(self.split.filter(F.col("SPLIT") == "in"))
         return {kind: inside.filter(F.col("CLASE_PREDIO") == kind) for kind in CLASSES}
 
-    @property
+    @cached_property
     def fixed_rates(self) -> DataFrame:
         """Rate table from fixed coefficients."""
-        return rates.rate_table(self.split.filter(F.col("SPLIT") == "in"), self.coefs, self.ranef)
+        inside = self.split.filter(F.col("SPLIT") == "in")
+        return stage(rates.rate_table(inside, self.coefs, self.ranef), "fixed-rates")
 
     @property
     def validated(self) -> DataFrame:
@@ -530,9 +533,10 @@ def qc_two_pass_rows(t: Inputs) -> DataFrame:
 
 @query
 def qc_pass(t: Inputs) -> DataFrame:
-    scored = control.control_pass(t.study.cleaned)
+    scored = control.control_pass(t.study.cleaned_once, weight=clean.COPIES)
     return scored.groupBy(*SEGMENT, "CODIGO_BARRIO_NEW").agg(
-        F.count(F.lit(1)).alias("N"), F.count_if("is_outlier").alias("OUT"), F.first("ucl").alias("UCL"))
+        F.sum(clean.COPIES).alias("N"), F.sum(F.when(F.col("is_outlier"), F.col(clean.COPIES)).otherwise(0)).alias("OUT"),
+        F.first("ucl").alias("UCL"))
 
 
 @query
@@ -1008,9 +1012,9 @@ def second_sample_union(t: Inputs) -> DataFrame:
 
 
 def _survivors(t: Inputs) -> DataFrame:
-    """Rows of both samples that two passes of the control keep."""
-    sample = stage(clean.clean_listings(validate.union_samples(t.two_price, t.urban), t.fee_census))
-    return control.quality_control(sample, singular_tol=0.0)
+    """Rows of both samples that two passes of the control keep, each once with its copies."""
+    sample = stage(clean.clean_once(validate.union_samples(t.two_price, t.urban), t.fee_census))
+    return control.quality_control(sample, singular_tol=0.0, weight=clean.COPIES)
 
 
 @query
@@ -1034,4 +1038,4 @@ def second_sample_inner(t: Inputs) -> DataFrame:
 
 @query
 def second_sample_qc(t: Inputs) -> DataFrame:
-    return validate.screen_second_sample(t.two_price, t.study.cleaned, t.fee_census)
+    return validate.screen_second_sample(t.two_price, t.study.cleaned_once, t.fee_census)

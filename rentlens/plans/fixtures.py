@@ -9,6 +9,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rentlens.sources.store import stage
+
 BASE_TABLES = ("nation", "customer", "orders", "lineitem")
 
 _SECTOR = """concat(CASE WHEN c_nationkey = 24 THEN '1' ELSE '0' END,
@@ -105,18 +107,27 @@ SELECT DISTINCT OFT_TIPO_INMUEBLE, VIGENCIA AS ANO, CODIGO_LOCALIDAD, CODIGO_EST
 FROM two_price WHERE CODIGO_LOCALIDAD <> '24'""",
 }
 
+# the rows that "offers" is made of, with the small tables joined to the orders before the line items are
+_JOIN = """FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey"""
+_OFFER_ROWS = """
+SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+  o_custkey, o_orderdate, o_orderpriority, c_nationkey, n_name
+FROM lineitem JOIN (SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, c_nationkey, n_name
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) ON l_orderkey = o_orderkey"""
+
 _NEEDS = {"listings": ["offers"], "cadastral": ["offers"], "ranef": ["offers"],
           "rates_sector": ["two_price"], "rates_locality": ["two_price"]}
 
 
-def with_views(names: list[str], query: str) -> str:
+def with_views(names: list[str], query: str, views: dict[str, str] = VIEWS) -> str:
     """``query`` behind the WITH clause that defines ``names`` and what they need."""
     order: list[str] = []
     for name in names:
         for needed in (*_NEEDS.get(name, []), name):
             if needed not in order:
                 order.append(needed)
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in order) + "\n" + query
+    return "WITH " + ",\n".join(f"{n} AS ({views[n]})" for n in order) + "\n" + query
 
 
 class Tables:
@@ -131,7 +142,18 @@ class Tables:
     def view(self, name: str) -> DataFrame:
         for table in BASE_TABLES:
             self.base(table).createOrReplaceTempView(table)
-        return self.spark.sql(with_views([name], f"SELECT * FROM {name}"))
+        views = VIEWS | {"offers": VIEWS["offers"].replace(_JOIN, "FROM {rows}")}
+        rows = self.stored_rows if "stored_rows" in vars(self) else self.spark.sql(_OFFER_ROWS)
+        args = {"rows": rows} if "offers" in (name, *_NEEDS.get(name, [])) else {}
+        return self.spark.sql(with_views([name], f"SELECT * FROM {name}", views), **args)
+
+    @cached_property
+    def stored_rows(self) -> DataFrame:
+        """The rows behind the offers as a stage table, for queries that read several of the views made of them; views
+        asked for later read it, and so join the order tables once."""
+        for table in BASE_TABLES:
+            self.base(table).createOrReplaceTempView(table)
+        return stage(self.spark.sql(_OFFER_ROWS), "offer-rows")
 
     offers = cached_property(lambda self: self.view("offers"))
     listings = cached_property(lambda self: self.view("listings"))

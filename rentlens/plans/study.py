@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.operators.clean import clean_listings, only_homes
+from rentlens.operators.clean import COPIES, clean_once, only_homes, with_each_fee
 from rentlens.operators.cohort import cohort_table, impute_cohorts, split_by_ratio
 from rentlens.operators.control import quality_control
 from rentlens.operators.design import slope_model
@@ -29,13 +29,17 @@ def class_cohorts(split: DataFrame, kind: str) -> DataFrame:
 
 
 def clean(listings: DataFrame, fee_census: DataFrame) -> DataFrame:
-    return clean_listings(only_homes(listings), fee_census)
+    return clean_once(only_homes(listings), fee_census)
 
 
 def prune(cohorts: DataFrame) -> DataFrame:
     return prune_influential(cohorts, slope_model(cohorts))
 
 
+#: steps that hold each listing once, by the attribute they are read from inside the study
+ONCE = {"cleaned": "cleaned_once", "kept": "kept_once"}
+
+
 class ClassStudy:
     """Model and rates of one property class (P: apartments, N: houses)."""
 
@@ -105,6 +109,7 @@ class Study:
 
     def _frame(self, name: str) -> DataFrame:
         """A source or a step, by its name; steps of a class end in its letter."""
+        name = ONCE.get(name, name)
         if name in vars(Study) or name in vars(self):
             return getattr(self, name)
         short, _, kind = name.rpartition("_")
@@ -124,20 +129,29 @@ class Study:
         return table.frame
 
     @cached_property
-    def cleaned(self) -> DataFrame:
+    def cleaned_once(self) -> DataFrame:
         return self.step("cleaned", clean, "listings", "fee_census")
 
+    @cached_property
+    def kept_once(self) -> DataFrame:
+        return self.step("kept", quality_control, "cleaned", weight=COPIES)
+
+    # a listing stands for a row per fee of its lot; the rows are made where they are asked for
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        return with_each_fee(self.cleaned_once, self.fee_census)
+
     @cached_property
     def kept(self) -> DataFrame:
-        return self.step("kept", quality_control, "cleaned")
+        return with_each_fee(self.kept_once, self.fee_census)
 
     @cached_property
     def cohorts(self) -> DataFrame:
-        return self.step("cohorts", cohort_table, "kept")
+        return self.step("cohorts", cohort_table, "kept", weight=COPIES)
 
     @cached_property
     def imputed(self) -> DataFrame:
-        return self.step("imputed", impute_cohorts, "cohorts", "kept", "cadastral")
+        return self.step("imputed", impute_cohorts, "cohorts", "kept", "cadastral", weight=COPIES)
 
     @cached_property
     def split(self) -> DataFrame:
@@ -176,7 +190,7 @@ class Study:
         """The cleaned listings, the validation's base and summaries, and the second sample's survivors, as the next version
         of the publication in ``path``; the number of the version."""
         checked = self.store.save(self.validated(two_price), f"validated-{uuid.uuid4().hex}")
-        survivors = screen_second_sample(two_price, self.cleaned, self.fee_census)
+        survivors = screen_second_sample(two_price, self.cleaned_once, self.fee_census)
         made = {name: table if name == "BASE_FINAL" else Ordered(table, tuple(SUMMARY_KEYS))
                 for name, table in validation_tables(checked).items()}
         publication = Publication(two_price.sparkSession, path)
