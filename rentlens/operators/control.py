@@ -253,7 +253,7 @@ def quality_control(df: DataFrame, passes: int = 2, cutoff: int = 10, confidence
     """Rows that stay inside the limits in every pass; pools are rebuilt from the survivors each time.
 
     ``df`` is read several times and should be a stored table. ``save`` stores the rows after each pass but the last,
-    which is read from there and the table of limits. ``weight`` names the number of equal rows that a row stands for.
+    whose rows the caller stores or reads once. ``weight`` names the number of equal rows that a row stands for.
     """
     kept = df
     if "AREA_CONSTRUIDA" in cols and not df.filter(F.col("AREA_CONSTRUIDA").isNull()).isEmpty():
