@@ -1,8 +1,7 @@
 """Alignment of the tokens of two tokenizers over the same text, and how often their tokens end together.
 
-Tokenizer A is a byte-level BPE file of the tokenizers library, B a sentencepiece model. The character spans that both libraries
-give are coarse cuts; where a token holds a part of a multibyte character, or B falls back to single bytes, the cuts of that
-stretch come from the tokens' decoded bytes.
+Tokenizer A is a byte-level BPE file of the tokenizers library, B a sentencepiece model. Where a token ends follows from the
+decoded bytes of the tokens up to it; whether these give back the text's bytes is checked for every stretch.
 
 A text is cut where no token of either tokenizer can reach over, before a single space between two words. Both have a cut there, so
 the groups of a text are those of its stretches one after the other, and a stretch that a task has seen is not aligned again.
@@ -38,6 +37,7 @@ CHUNK = 4 << 20  #: bytes of text from which a chunk is closed
 BATCH = 64  #: texts that are cut at a time
 SEEN = 400_000  #: stretches that a task keeps; beyond it goes on with those that were asked for again
 SHORT = 64  #: longer stretches are not kept
+UNSEEN = ()  #: in place of a stretch that is not kept
 Stretch = tuple[int, int, int, str, tuple[int, ...]]  # tokens of A and of B, groups, their text, linked pairs
 
 
@@ -49,27 +49,15 @@ def _byte_letters() -> dict[str, int]:
 
 
 class _Side:
-    """The tokens of many stretches by one tokenizer, one after the other."""
-
-    def __init__(self, rows: list[tuple[list[int], list[tuple[int, int]]]], lengths: np.ndarray, before: int):
-        self.ends = np.concatenate(([0], np.cumsum([len(ids) for ids, _ in rows], dtype=np.int64)))
-        self.ids = np.fromiter(chain.from_iterable(ids for ids, _ in rows), np.int64, int(self.ends[-1]))
-        flat = chain.from_iterable(chain.from_iterable(spans for _, spans in rows))
-        spans = np.fromiter(flat, np.int64, 2 * len(self.ids)).reshape(-1, 2) + before
-        self.begin, self.end = spans[:, 0], spans[:, 1]  # in characters of space + stretch
-        self.row = np.repeat(np.arange(len(rows)), np.diff(self.ends))
-        self.bytes = lengths[self.ids]
-
-    def overlapping(self) -> np.ndarray:
-        """Stretches with a token that does not begin where the one before ends."""
-        inner = self.row[1:] == self.row[:-1]
-        return self.row[1:][inner & (self.begin[1:] != self.end[:-1])]
+    """The tokens of many stretches by one tokenizer, one after the other, and where each ends in bytes of its stretch."""
 
-    def keys(self, by_bytes: np.ndarray) -> np.ndarray:
-        """Where each token ends, in characters or, for the stretches of ``by_bytes``, in bytes; with its stretch."""
-        total = np.cumsum(self.bytes)
-        before = np.concatenate(([0], total))[self.ends[:-1]]
-        return (self.row << 40) + np.where(by_bytes[self.row], total - before[self.row], self.end)
+    def __init__(self, ids: list[int], counts: np.ndarray, lengths: np.ndarray):
+        self.ends = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+        self.list, self.ids = ids, np.array(ids, np.int64)
+        self.row = np.repeat(np.arange(len(counts)), counts)
+        self.bytes = lengths[self.ids]
+        total = np.concatenate(([0], np.cumsum(self.bytes)))
+        self.keys = (self.row << 40) + total[1:] - total[self.ends[:-1]][self.row]
 
 
 class Aligner:
@@ -101,33 +89,44 @@ class Aligner:
         self.is_byte = np.array([self.b.is_byte(k) for k in range(self.b_size)])
         self.width = max(len(self.a_bytes), self.b_size)
         self.names = [f"{k}{after}" for after in (",", "|", ";", "") for k in range(self.width)]
+        self.name_sizes = np.array(list(map(len, self.names)))
         parts = json.loads(spec)
         before = parts["pre_tokenizer"] or {}
         words_alone = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not parts["normalizer"]
                        and not parts["post_processor"] and not before["add_prefix_space"]
                        and not any(re.search("[^▁]▁", p) for p in pieces))
-        # white space as Python knows it holds all that either tokenizer takes for it
-        self.split = re.compile(r"(?<=\S) (?=\S)").split if words_alone else lambda text: [text]
+        self.words_alone = words_alone
+        # white space as Python knows it holds all that either tokenizer takes for it; a pattern that begins with its space is
+        # looked for at spaces only
+        self.split = re.compile(r" (?<=\S )(?=\S)").split if words_alone else lambda text: [text]
         self.seen: dict[str, Stretch | None] = {}
         self.often: dict[str, Stretch | None] = {}  # those that chunks have asked for again
 
+    def _tokens_a(self, stretches: list[str], flat: bytes, sizes: np.ndarray) -> _Side:
+        """A's tokens of space + each stretch. Words go in as one text, where each begins a token; the bytes tell whose it is."""
+        if self.words_alone and not any(s[0].isspace() for s in stretches):
+            ids = self.a.encode(flat.decode(), add_special_tokens=False).ids
+            if b"".join(map(self.a_bytes.__getitem__, ids)) == flat:
+                ends, borders = np.cumsum(self.a_lengths[np.array(ids, np.int64)]), np.cumsum(sizes)
+                after = np.searchsorted(ends, borders, "right")
+                return _Side(ids, np.diff(after, prepend=0), self.a_lengths)
+        rows = [x.ids for x in self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)]
+        return _Side(list(chain.from_iterable(rows)), np.array(list(map(len, rows))), self.a_lengths)
+
     def align(self, stretches: list[str]) -> list[Stretch | None]:
         """The groups of space + each stretch; None where the tokens of A or B don't give back its bytes."""
-        coded = (self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False),
-                 self.b.encode(stretches, return_type="offset_mapping", num_threads=1))
-        rows = ([(x.ids, x.offsets) for x in coded[0]], [(x["ids"], x["offsets"]) for x in coded[1]])
-        sides = [_Side(rows[0], self.a_lengths, 0), _Side(rows[1], self.b_lengths, 1)]
-        bad = self._not_given_back(stretches, rows, sides)
-        # a token that is a part of a character overlaps its neighbour's span, or is a byte: there the bytes decide
-        broken = np.zeros(len(stretches), bool)
-        for side in sides:
-            broken[side.overlapping()] = True
-        broken[sides[1].row[self.is_byte[sides[1].ids]]] = True
-        keys = [side.keys(broken) for side in sides]
-        cuts = [np.isin(keys[0], keys[1], assume_unique=True), np.isin(keys[1], keys[0], assume_unique=True)]
+        flat = (" " + " ".join(stretches)).encode()
+        sizes = np.array(list(map(len, stretches)), np.int64) + 1
+        if sizes.sum() != len(flat):  # a character of several bytes
+            sizes = np.array([len(s.encode()) for s in stretches], np.int64) + 1
+        a = self._tokens_a(stretches, flat, sizes)
+        rows = self.b.encode(stretches, out_type=int, num_threads=1)
+        b = _Side(list(chain.from_iterable(rows)), np.array(list(map(len, rows))), self.b_lengths)
+        sides = [a, b]
+        bad = self._not_given_back(flat, sizes, sides)
+        cuts = [np.isin(a.keys, b.keys, assume_unique=True), np.isin(b.keys, a.keys, assume_unique=True)]
         group = [np.cumsum(c) - c + side.row for c, side in zip(cuts, sides)]  # grows with each cut and each stretch
         # a group's tokens of A, then those of B; after each "," or, at a cut, "|" and ";" (nothing after a stretch's last)
-        a, b = sides
         order = [np.arange(len(a.ids)) + np.searchsorted(group[1], group[0], "left"),
                  np.arange(len(b.ids)) + np.searchsorted(group[0], group[1], "right")]
         last = np.zeros(len(b.ids), bool)
@@ -135,40 +134,40 @@ class Aligner:
         names = np.empty(len(a.ids) + len(b.ids), np.int64)
         names[order[0]] = a.ids + self.width * cuts[0]
         names[order[1]] = b.ids + self.width * np.where(last, 3, 2 * cuts[1])
-        names = [self.names[k] for k in names.tolist()]
+        text = "".join(map(self.names.__getitem__, names.tolist()))
+        ends = np.concatenate(([0], np.cumsum(self.name_sizes[names])))[a.ends + b.ends].tolist()
         links = (a.ids[cuts[0]] * self.b_size + b.ids[cuts[1]]).tolist()
         groups = np.concatenate(([0], np.cumsum(np.bincount(a.row[cuts[0]], minlength=len(stretches))))).tolist()
-        ends = (a.ends + b.ends).tolist()
         out: list[Stretch | None] = [
-            (x, y, h - g, "".join(names[i:j]), tuple(links[g:h]))
+            (x, y, h - g, text[i:j], tuple(links[g:h]))
             for x, y, g, h, i, j in zip(np.diff(a.ends).tolist(), np.diff(b.ends).tolist(), groups, groups[1:], ends, ends[1:])]
         for k in bad:
             out[k] = None
         return out
 
-    def _not_given_back(self, stretches: list[str], rows, sides: list[_Side]) -> list[int]:
+    def _not_given_back(self, flat: bytes, sizes: np.ndarray, sides: list[_Side]) -> list[int]:
         """Places of the stretches whose bytes are not those of their tokens, looked for one by one only where there are any."""
-        whole = [f" {s}".encode() for s in stretches]
-        sizes, flat = np.fromiter(map(len, whole), np.int64, len(whole)), b"".join(whole)
-        entries = (self.a_bytes, self.b_bytes)
-        if all(np.array_equal(np.bincount(side.row, side.bytes, len(whole)), sizes)
-               and b"".join(map(table.__getitem__, chain.from_iterable(ids for ids, _ in found))) == flat
-               for side, table, found in zip(sides, entries, rows)):
+        pairs = list(zip(sides, (self.a_bytes, self.b_bytes)))
+        if all(np.array_equal(np.bincount(side.row, side.bytes, len(sizes)), sizes)
+               and b"".join(map(table.__getitem__, side.list)) == flat for side, table in pairs):
             return []
-        return [i for i, w in enumerate(whole)
-                if any(b"".join([table[k] for k in found[i][0]]) != w for table, found in zip(entries, rows))]
+        ends = [0, *np.cumsum(sizes).tolist()]
+        return [i for i in range(len(sizes))
+                if any(b"".join(map(table.__getitem__, side.list[side.ends[i]:side.ends[i + 1]])) != flat[ends[i]:ends[i + 1]]
+                       for side, table in pairs)]
 
     def learn(self, new: list[str]) -> list[Stretch | None]:
         """The aligned stretches of ``new``, all different; those not seen before are encoded."""
-        asked = [s for s in new if s not in self.seen]
-        self.often.update((s, self.seen[s]) for s in new if s in self.seen)
-        now: dict[str, Stretch | None] = {}
-        for k in range(0, len(asked), 1 << 12):
-            now.update(zip(asked[k:k + (1 << 12)], self.align(asked[k:k + (1 << 12)])))
-        out = [now[s] if s in now else self.seen[s] for s in new]
+        out = [self.seen.get(s, UNSEEN) for s in new]
+        self.often.update((s, x) for s, x in zip(new, out) if x is not UNSEEN)
+        spots = [k for k, x in enumerate(out) if x is UNSEEN]
+        asked = [new[k] for k in spots]
+        now = list(chain.from_iterable(self.align(asked[k:k + (1 << 12)]) for k in range(0, len(asked), 1 << 12)))
+        for k, x in zip(spots, now):
+            out[k] = x
         if len(self.seen) + len(now) > SEEN:  # go on with what was asked for again; most others never are
             self.seen, self.often = (self.often if len(self.often) < SEEN // 2 else {}), {}
-        self.seen.update((s, x) for s, x in now.items() if len(s) <= SHORT)
+        self.seen.update((s, x) for s, x in zip(asked, now) if len(s) <= SHORT)
         return out
 
 

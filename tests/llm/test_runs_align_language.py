@@ -207,6 +207,30 @@ def test_alignment_of_awkward_texts(monkeypatch):
             assert [divmod(p, aligner.b_size) for x in found for p in x[4]] == want[3]
 
 
+def test_words_are_one_text_to_tokenizer_a():
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.asked = inner, 0
+
+        def encode(self, *args, **options):
+            self.asked += 1
+            return self.inner.encode(*args, **options)
+
+        def encode_batch(self, texts, **options):
+            self.asked += len(texts)
+            return self.inner.encode_batch(texts, **options)
+
+    aligner = align.Aligner(*align.read_tokenizers(A, B))
+    aligner.a = Counting(aligner.a)
+    words = [f"wörd{k}" for k in range(500)]
+    found = aligner.learn(words)
+    assert aligner.a.asked == 1
+    # a word that begins with white space goes in alone, and so do those with it
+    assert aligner.learn(["a  ", "\tb", "c"]) == [aligner.align([s])[0] for s in ("a  ", "\tb", "c")]
+    for word, got, want in zip(words, found, brute_alignment(words)):
+        assert (None if got is None else (got[0], got[1], got[3])) == (want and (want[0], want[1], ";".join(want[2])))
+
+
 def brute_model(texts, order=language.ORDER):
     """Probabilities of one language from the definition, as a function of (context, character)."""
     reader = language.Reader(language.letter_table())
