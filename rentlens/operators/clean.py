@@ -171,8 +171,9 @@ def clean_once(listings: DataFrame, fee_census: DataFrame, min_fee: float = 1000
     The medians stay as columns; ``with_each_fee`` gives the rows themselves. The fees of a lot multiply its rows, so
     what does not look at fees is done before. Copies that the listings have already are multiplied.
     """
-    # stored before the joins: in one stage with them the parsing takes several times as long
-    kept = stage(parsed_listings(exclusions(listings), min_fee).filter(F.col("PRECIO") > 0), "parsed")
+    # stored before the joins: in one stage with them the parsing takes several times as long. The price is tested on the stored
+    # column: a test before would parse it again, ahead of all else
+    kept = stage(parsed_listings(exclusions(listings), min_fee), "parsed").filter(F.col("PRECIO") > 0)
     by_both, by_sector = fee_medians(fee_census)
     lots = stage(lot_copies(fee_census), "lot-copies").withColumnRenamed(COPIES, "lot_copies")
     before = F.col(COPIES) if COPIES in kept.columns else F.lit(1)

@@ -107,3 +107,21 @@ def test_order_tables_are_joined_once(spark, tmp_path):
         for made in (found, lazy[n]):
             assert made.exceptAll(direct[n]).isEmpty() and direct[n].exceptAll(made).isEmpty()
         assert {f.rsplit("/", 2)[-2] for f in found.inputFiles()} == {"rows"}
+
+
+def test_prices_are_parsed_once(spark, monkeypatch):
+    """The price is tested where it is stored: a test ahead of that would parse the text a second time."""
+    plans = {}
+
+    def stage(df, label="stage"):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, label)
+
+    store = clean.stage
+    monkeypatch.setattr(clean, "stage", stage)
+    texts = ["$1,500", "$0", "$-3", "none", None, "Infinity", "$0.5"]
+    rows = [("r%d" % k, *_listing(1, "001101")[1:6], text, *_listing(1, "001101")[7:]) for k, text in enumerate(texts)]
+    once = clean.clean_once(spark.createDataFrame(rows, LISTING), _census(spark, 2))
+    assert {r["IDENTIFICADOR"]: r["PRECIO"] for r in once.collect()} == {"r0": 1500.0, "r6": 0.5}
+    filters = [line for line in plans["parsed"].splitlines() if "Filter" in line]
+    assert filters and not any("translate(" in line for line in filters)
