@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 def parse_money(col: Column) -> Column:
     """``"$1,234"`` -> 1234.0; text that is no number, or not a finite one, becomes null."""
-    value = F.translate(col, "$,", "").try_cast("double")
+    # not translate, which makes a text of every character
+    value = F.replace(F.replace(col, F.lit("$")), F.lit(",")).try_cast("double")
     return F.when(F.abs(value) < float("inf"), value)
 
 

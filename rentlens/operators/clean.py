@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -165,22 +167,25 @@ def _with_fee(joined: DataFrame, deflators: dict[int, float], default_deflator:
         "VALOR_ADMON_IPC", indexed(F.col("VALOR_ADMON"), F.col("ANO"), deflators, default_deflator))
 
 
-def clean_once(listings: DataFrame, fee_census: DataFrame, min_fee: float = 10000.0) -> DataFrame:
+def clean_once(listings: DataFrame, fee_census: DataFrame, min_fee: float = 10000.0,
+               save: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """``clean_listings`` with rents gross, each listing once: COPIES rows that differ in the lot's fee only.
 
     The medians stay as columns; ``with_each_fee`` gives the rows themselves. The fees of a lot multiply its rows, so
-    what does not look at fees is done before. Copies that the listings have already are multiplied.
+    what does not look at fees is done before. Copies that the listings have already are multiplied. ``save`` stores the
+    rows, also those without a price, which the result leaves out when it is read.
     """
-    # stored before the joins: in one stage with them the parsing takes several times as long. The price is tested on the stored
-    # column: a test before would parse it again, ahead of all else
-    kept = stage(parsed_listings(exclusions(listings), min_fee), "parsed").filter(F.col("PRECIO") > 0)
     by_both, by_sector = fee_medians(fee_census)
     lots = stage(lot_copies(fee_census), "lot-copies").withColumnRenamed(COPIES, "lot_copies")
-    before = F.col(COPIES) if COPIES in kept.columns else F.lit(1)
-    joined = (kept.join(lots, "BARMANPRE", "left").join(by_both, ["CODIGO_BARRIO", "ESTRATO"], "left")
+    rows = parsed_listings(exclusions(listings), min_fee)
+    before = F.col(COPIES) if COPIES in rows.columns else F.lit(1)
+    joined = (rows.join(lots, "BARMANPRE", "left").join(by_both, ["CODIGO_BARRIO", "ESTRATO"], "left")
               .join(by_sector, "CODIGO_BARRIO", "left"))
     copies = before * F.coalesce("lot_copies", F.lit(1))
-    return with_segment_key(joined.withColumn(COPIES, copies.cast("long")).drop("lot_copies"))
+    once = with_segment_key(joined.withColumn(COPIES, copies.cast("long")).drop("lot_copies"))
+    # rows are written once, parsed and joined. The price is tested on the stored column: a test before would parse it again,
+    # ahead of all else
+    return (save or stage)(once, "parsed").filter(F.col("PRECIO") > 0)
 
 
 def with_each_fee(once: DataFrame, fee_census: DataFrame, deflators: dict[int, float] = DEFLATORS,

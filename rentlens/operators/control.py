@@ -249,11 +249,12 @@ def control_pass(df: DataFrame, cutoff: int = 10, confidence: float = 0.9, cols:
 
 def quality_control(df: DataFrame, passes: int = 2, cutoff: int = 10, confidence: float = 0.9,
                     cols: list[str] = MEASURES, singular_tol: float = SINGULAR, scaled: bool = False,
-                    save: Callable[[DataFrame, str], DataFrame] = stage, weight: str | None = None) -> DataFrame:
+                    save: Callable[[DataFrame, str], DataFrame] | None = None, weight: str | None = None) -> DataFrame:
     """Rows that stay inside the limits in every pass; pools are rebuilt from the survivors each time.
 
-    ``df`` is read several times and should be a stored table. ``save`` stores the rows after each pass but the last,
-    whose rows the caller stores or reads once. ``weight`` names the number of equal rows that a row stands for.
+    ``df`` is read several times and should be a stored table. A pass stores its limits, not its rows: these are ``df``
+    scored again, with the columns that the reader asks for. ``save`` stores the rows after each pass but the last.
+    ``weight`` names the number of equal rows that a row stands for.
     """
     kept = df
     if "AREA_CONSTRUIDA" in cols and not df.filter(F.col("AREA_CONSTRUIDA").isNull()).isEmpty():
@@ -261,7 +262,7 @@ def quality_control(df: DataFrame, passes: int = 2, cutoff: int = 10, confidence
     for k in range(1, passes + 1):
         scored = control_pass(kept.drop("CODIGO_BARRIO_NEW"), cutoff, confidence, cols, singular_tol, scaled, weight)
         kept = scored.filter(~F.col("is_outlier")).drop("t2", "ucl", "is_outlier", "pool_n", "pool_p")
-        if k < passes:
+        if k < passes and save is not None:
             kept = save(kept, f"qc-pass-{k}")
     return kept
 

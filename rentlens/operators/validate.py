@@ -167,5 +167,5 @@ def screen_second_sample(two_price: DataFrame, listings: DataFrame, fee_census:
     The control does not look at fees, so every row goes through it once, with its copies.
     """
     united = union_samples(two_price, listings)
-    cleaned = stage(clean_once(united, fee_census), "second-sample")
+    cleaned = clean_once(united, fee_census)
     return keep_survivors(two_price, quality_control(cleaned, weight=COPIES), repeat)

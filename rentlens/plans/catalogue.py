@@ -1013,7 +1013,7 @@ def second_sample_union(t: Inputs) -> DataFrame:
 
 def _survivors(t: Inputs) -> DataFrame:
     """Rows of both samples that two passes of the control keep, each once with its copies."""
-    sample = stage(clean.clean_once(validate.union_samples(t.two_price, t.urban), t.fee_census))
+    sample = clean.clean_once(validate.union_samples(t.two_price, t.urban), t.fee_census)
     return control.quality_control(sample, singular_tol=0.0, weight=clean.COPIES)
 
 

@@ -107,13 +107,15 @@ SELECT DISTINCT OFT_TIPO_INMUEBLE, VIGENCIA AS ANO, CODIGO_LOCALIDAD, CODIGO_EST
 FROM two_price WHERE CODIGO_LOCALIDAD <> '24'""",
 }
 
-# the rows that "offers" is made of, with the small tables joined to the orders before the line items are
+# the rows that "offers" is made of: the small tables are joined to the orders before the line items are, and the texts that
+# depend on the order alone are made there, once for all its items
 _JOIN = """FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey"""
-_OFFER_ROWS = """
+_OFFER_ROWS = f"""
 SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-  o_custkey, o_orderdate, o_orderpriority, c_nationkey, n_name
-FROM lineitem JOIN (SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, c_nationkey, n_name
+  o_sector, o_lot, o_orderdate, o_orderpriority, c_nationkey, n_name
+FROM lineitem JOIN (SELECT o_orderkey, {_O_SECTOR} AS o_sector, {_O_LOT} AS o_lot, o_orderdate, o_orderpriority,
+    c_nationkey, n_name
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) ON l_orderkey = o_orderkey"""
 
 _NEEDS = {"listings": ["offers"], "cadastral": ["offers"], "ranef": ["offers"],
@@ -142,7 +144,8 @@ class Tables:
     def view(self, name: str) -> DataFrame:
         for table in BASE_TABLES:
             self.base(table).createOrReplaceTempView(table)
-        views = VIEWS | {"offers": VIEWS["offers"].replace(_JOIN, "FROM {rows}")}
+        offers = VIEWS["offers"].replace(_JOIN, "FROM {rows}").replace(_O_SECTOR, "o_sector").replace(_O_LOT, "o_lot")
+        views = VIEWS | {"offers": offers}
         rows = self.stored_rows if "stored_rows" in vars(self) else self.spark.sql(_OFFER_ROWS)
         args = {"rows": rows} if "offers" in (name, *_NEEDS.get(name, [])) else {}
         return self.spark.sql(with_views([name], f"SELECT * FROM {name}", views), **args)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -28,8 +29,8 @@ def class_cohorts(split: DataFrame, kind: str) -> DataFrame:
     return split.filter((F.col("SPLIT") == "in") & (F.col("CLASE_PREDIO") == kind))
 
 
-def clean(listings: DataFrame, fee_census: DataFrame) -> DataFrame:
-    return clean_once(only_homes(listings), fee_census)
+def clean(listings: DataFrame, fee_census: DataFrame, save: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    return clean_once(only_homes(listings), fee_census, save=save)
 
 
 def prune(cohorts: DataFrame) -> DataFrame:
@@ -109,6 +110,8 @@ class Study:
 
     def _frame(self, name: str) -> DataFrame:
         """A source or a step, by its name; steps of a class end in its letter."""
+        if name == "kept" and self.steps is None and "kept_once" not in vars(self):
+            return self.controlled  # read for a few columns: rows are stored where they are asked for
         name = ONCE.get(name, name)
         if name in vars(Study) or name in vars(self):
             return getattr(self, name)
@@ -130,10 +133,19 @@ class Study:
 
     @cached_property
     def cleaned_once(self) -> DataFrame:
+        if self.steps is None:  # stored once, by the cleaning itself
+            return clean(self.listings, self.fee_census, lambda rows, label: self.store.save(rows, "cleaned"))
         return self.step("cleaned", clean, "listings", "fee_census")
 
+    @cached_property
+    def controlled(self) -> DataFrame:
+        """The listings that the control keeps, as a view of the cleaned ones and the stored limits."""
+        return quality_control(self.cleaned_once, weight=COPIES)
+
     @cached_property
     def kept_once(self) -> DataFrame:
+        if self.steps is None:
+            return self.store.save(self.controlled, "kept")
         return self.step("kept", quality_control, "cleaned", weight=COPIES)
 
     # a listing stands for a row per fee of its lot; the rows are made where they are asked for

@@ -125,3 +125,54 @@ def test_prices_are_parsed_once(spark, monkeypatch):
     assert {r["IDENTIFICADOR"]: r["PRECIO"] for r in once.collect()} == {"r0": 1500.0, "r6": 0.5}
     filters = [line for line in plans["parsed"].splitlines() if "Filter" in line]
     assert filters and not any("translate(" in line for line in filters)
+
+
+def _stored(monkeypatch, *modules):
+    """Columns of what the modules store, by label, from here on."""
+    found = []
+    for module in modules:
+        def stage(df, label="stage", store=module.stage):
+            found.append((label, df.columns))
+            return store(df, label)
+
+        monkeypatch.setattr(module, "stage", stage)
+    return found
+
+
+def test_control_stores_limits_and_no_listings(spark, monkeypatch):
+    """A pass keeps its limits; the rows are the same as with those of every pass stored."""
+    rows = clean.clean_once(_listings(spark), _census(spark, 5))
+    with_rows = control.quality_control(rows, cutoff=5, save=control.stage, weight=clean.COPIES)
+    want = _sorted(with_rows)
+    found = _stored(monkeypatch, control)
+    kept = control.quality_control(rows, cutoff=5, weight=clean.COPIES)
+    assert kept.columns == with_rows.columns and _sorted(kept) == want and 0 < len(want) < rows.count()
+    assert found and not any("IDENTIFICADOR" in columns for _, columns in found)
+
+
+def test_study_writes_listings_once(spark, monkeypatch):
+    """The parsed and joined listings are written once; those kept are read from them until they are asked for."""
+    priceless = spark.createDataFrame([("none", *_listing(1, "001101")[1:6], "unknown", *_listing(1, "001101")[7:])], LISTING)
+    listings, census = _listings(spark).unionByName(priceless), _census(spark, 3)
+    found = _stored(monkeypatch, clean, control)
+    study = Study(listings, census, spark.createDataFrame([], schemas.CADASTRAL))
+    cohorts = _sorted(study.cohorts)
+    study.split.collect()
+    assert found and not any("IDENTIFICADOR" in columns for _, columns in found)
+    assert "cleaned" in study.store.names and "kept" not in study.store.names
+    assert study.cleaned_once.count() == 60 and study.cleaned_once.filter("IDENTIFICADOR = 'none'").isEmpty()
+    kept = study.kept_once
+    assert "kept" in study.store.names and _sorted(kept) == _sorted(study.controlled)
+    again = _sorted(cohort.cohort_table(kept, weight=clean.COPIES))
+    assert len(cohorts) == len(again) > 0
+    for a, b in zip(again, cohorts):
+        assert a == tuple(pytest.approx(v, rel=1e-12) if isinstance(v, float) else v for v in b)
+
+
+def test_texts_of_an_order_are_made_once(spark, tmp_path):
+    """Sector and lot are made with the order, not with each of its items."""
+    _order_tables(spark, tmp_path)
+    t = fixtures.Tables(spark, str(tmp_path))
+    assert {"o_sector", "o_lot"} <= set(t.stored_rows.columns)
+    plan = t.view("listings")._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_sector" in plan and "lpad(" not in plan
